@@ -6,11 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm import quality, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.mixing import mixture
 from corpusloom.llm.sharding import shard_manifest
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -20,6 +31,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op4_quality": op4_quality,
     "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
 }
