@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import quality, toxicity
+from corpusloom.llm import language, quality, secrets, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.mixing import mixture
 from corpusloom.llm.sharding import shard_manifest
@@ -22,10 +22,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.trained(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.dictionaries(docs))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_manifest(table(spark, sf_dir, "documents"), shards=16)
 
@@ -33,7 +42,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op8_mixing": op8_mixing,
+    "op9_language": op9_language,
     "op10_sharding": op10_sharding,
 }
 
