@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import language, quality, secrets, toxicity
+from corpusloom.llm import decontamination, language, quality, secrets, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.mixing import mixture
 from corpusloom.llm.sharding import shard_manifest
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
@@ -40,6 +44,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
