@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Tables in the shared checkpoint folder, for rows that pack better in columns than in a checkpoint."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame) -> DataFrame:
+        sc = self.spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            cut(self.spark.range(1))
+        path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove the tables once nothing reads them any more."""
+        jvm = self.spark._jvm
+        for path in self.paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = []
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` once inside an expression."""
     return F.transform(F.array(value), body)[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, language, quality, secrets, toxicity
+from corpusloom.llm import decontamination, jaccard, language, quality, secrets, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.mixing import mixture
 from corpusloom.llm.sharding import shard_manifest
@@ -21,6 +21,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.trained(docs, table(spark, sf_dir, "labels")))
@@ -46,6 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op3_jaccard": op3_jaccard,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op8_mixing": op8_mixing,
