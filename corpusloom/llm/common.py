@@ -37,7 +37,7 @@ class Scratch:
     """Tables in the shared checkpoint folder, for rows that pack better in columns than in a checkpoint."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.paths = spark, []
+        self.spark, self.paths, self.names = spark, [], []
 
     def table(self, df: DataFrame) -> DataFrame:
         sc = self.spark.sparkContext
@@ -48,13 +48,24 @@ class Scratch:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def clear(self) -> None:
-        """Remove the tables once nothing reads them any more."""
+    def bucketed(self, df: DataFrame, buckets: int, column: str) -> DataFrame:
+        """A table in buckets of a column, which joins on that column without another shuffle."""
+        name = f"scratch_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, column).saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
+
+    def clear(self, keep: DataFrame | None = None) -> None:
+        """Remove the tables, but for ``keep``, once nothing reads them any more."""
+        kept = {p.rpartition("/")[0] for p in keep.inputFiles()} if keep is not None else set()
         jvm = self.spark._jvm
         for path in self.paths:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-        self.paths = []
+            if not any(k.endswith(path.rpartition("/")[2]) for k in kept):
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        for name in self.names:
+            self.spark.sql(f"drop table if exists {name}")
+        self.paths, self.names = [], []
 
 
 def let(value: Column, body) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, embeddings, jaccard, language, quality, secrets, toxicity
+from corpusloom.llm import decontamination, embeddings, jaccard, language, quality, secrets, substrings, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.mixing import mixture
 from corpusloom.llm.sharding import shard_manifest
@@ -34,6 +34,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated(table(spark, sf_dir, "documents")).drop("edges")
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard": op3_jaccard,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_substrings": op6_substrings,
     "op7_embeddings": op7_embeddings,
     "op8_mixing": op8_mixing,
     "op9_language": op9_language,
