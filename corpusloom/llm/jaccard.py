@@ -31,7 +31,9 @@ SIZE = 5  # words in a shingle
 NUM, DEN = 3, 4  # the threshold as a fraction
 CELLS = 1 << 20  # of the count sketch
 BLOOM = 1 << 23  # bits of the filter on documents to verify
-MOST_MATCHES = 6
+MOST_MATCHES = 32
+#: Postings that a prefix token is taken to meet where the sketch is too coarse to tell.
+UNSEEN = 0.1
 CHUNK = 1 << 16  # bytes of a sketch or filter in one row
 
 
@@ -92,7 +94,7 @@ def prefix_of(tokens: np.ndarray, seen: np.ndarray, noise: float) -> tuple[int,
     need = -(-NUM * n // DEN)
     longest = min(MOST_MATCHES, need)
     lengths = n - need + np.arange(1, longest + 1)
-    met = np.concatenate([[0.0], np.cumsum(np.maximum(0.0, seen - noise))])[lengths]
+    met = np.concatenate([[0.0], np.cumsum(np.maximum(UNSEEN, seen - noise))])[lengths]
     cost = lengths + met + met / np.arange(1, longest + 1) * n / 4
     best = int(np.argmin(cost))
     return best + 1, int(lengths[best])
@@ -224,7 +226,10 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, tokens`` of the documents in ``wanted (doc_id, node)``, found again through a filter of fixed size."""
+    """``node, tokens`` of the documents in ``wanted (doc_id)`` and of some others: a filter of fixed size finds them again.
+
+    A node comes once from each task that has a document of it.
+    """
 
     def bits(ids: np.ndarray) -> np.ndarray:
         return (mix64(ids.view(np.uint64)) >> np.uint64(64 - 23)).astype(np.int64)
@@ -241,33 +246,37 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(shared.value).astype(bool)
+        held, known = np.unpackbits(shared.value).astype(bool), set()
         for batch in pieces(batches, "text"):
             ids = batch.column(0)
             hit = ids.is_valid().to_numpy(zero_copy_only=False)
             hit[hit] = held[bits(ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))]
             if not hit.any():
                 continue
-            sub = batch.filter(pa.array(hit))
-            sets = shingle_sets(*text_buffer(sub.column(1)))
-            at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).astype(np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([sub.column(0), pa.array([print_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["doc_id", "node", "tokens"])
+            sets = {}
+            for t in shingle_sets(*text_buffer(batch.filter(pa.array(hit)).column(1))):
+                if len(t) and (node := print_of(t)) not in known:
+                    known.add(node)
+                    sets[node] = t
+            if sets:
+                at = np.concatenate([[0], np.cumsum([len(t) for t in sets.values()])]).astype(np.int32)
+                flat = np.concatenate(list(sets.values())).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["node", "tokens"])
 
-    found = rows.mapInArrow(run, "doc_id long, node long, tokens array<long>")
-    return found.join(wanted, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "tokens")
+    return rows.mapInArrow(run, "node long, tokens array<long>")
 
 
 def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The links ``(a, b)`` among ``pairs (a, b, na, nb)``."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = cut(nodes.join(classes, "node").select("doc_id", "node"))
-    sets = _sets(rows, wanted)
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = both.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+
+    def sets(side: str) -> DataFrame:
+        found = _sets(rows, pairs.select(F.col(side).alias("node")).distinct().join(classes, "node").select("doc_id"))
+        return found.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
+
+    both = pairs.join(sets("b"), "b").join(sets("a"), "a")
     common = F.size(F.array_intersect("ta", "tb"))
     both = both.select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("sizes"))
-    return both.where(DEN * F.col("common") >= NUM * (F.col("sizes") - F.col("common"))).select("a", "b")
+    return both.where(DEN * F.col("common") >= NUM * (F.col("sizes") - F.col("common"))).select("a", "b").distinct()
 
 
 def _fits(na: str, nb: str):
