@@ -151,12 +151,12 @@ def _fingerprints(rows: DataFrame) -> DataFrame:
 
 
 def _prefixes(rows: DataFrame, sketch, noise: float) -> DataFrame:
-    """``token, node, n, matches``: the prefix tokens of each distinct set, once for each task that has it."""
+    """``token, node, n, matches, place``: the prefix tokens of each distinct set with their places in the order, once for each task that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set()
         for batch in pieces(batches, "text"):
-            tokens, nodes, sizes, matches = [], [], [], []
+            tokens, nodes, sizes, matches, places = [], [], [], [], []
             for s in shingle_sets(*text_buffer(batch.column(1))):
                 node = print_of(s) if len(s) else None
                 if node is None or node in known:
@@ -168,10 +168,11 @@ def _prefixes(rows: DataFrame, sketch, noise: float) -> DataFrame:
                 nodes.append(np.full(length, node))
                 sizes.append(np.full(length, len(s), np.int32))
                 matches.append(np.full(length, l, np.int8))
+                places.append(np.arange(length, dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(matches))], ["token", "node", "n", "matches"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(matches)), pa.array(np.concatenate(places))], ["token", "node", "n", "matches", "place"])
 
-    return rows.mapInArrow(run, "token long, node long, n int, matches byte")
+    return rows.mapInArrow(run, "token long, node long, n int, matches byte, place int")
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
@@ -179,7 +180,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
     Rows come sorted by token; runs are cut and passed on as they stream by, whatever their length.
     """
-    names = ["token", "node", "n", "matches", "lead", "lead_n", "lead_matches"]
+    names = ["token", "node", "n", "matches", "place", "lead", "lead_n", "lead_matches", "lead_place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row before, and whether it is the first of its run
@@ -187,7 +188,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
             if last is not None:
                 cols = [np.concatenate([[x], c]) for x, c in zip(last, cols, strict=True)]
             token, node = cols[0], cols[1]
@@ -202,27 +203,27 @@ def _shared(prefixes: DataFrame) -> DataFrame:
             new[1:] = token[1:] != token[:-1]
             heads = np.flatnonzero(new)
             run_of = np.cumsum(new) - 1
-            leads = [cols[k][heads].copy() for k in (1, 2, 3)]
+            leads = [cols[k][heads].copy() for k in (1, 2, 3, 4)]
             carried = lead is not None and lead[0] == token[0]
             if carried:
-                for k in range(3):
+                for k in range(4):
                     leads[k][0] = lead[k + 1]
             size = np.diff(np.append(heads, len(token)))
             shared = (size > 1)[run_of]
             # the row before was passed on already if its run had begun earlier
             if last is not None and carried:
                 shared[run_of == 0] = size[0] > 1
-                if lead[4]:
+                if lead[5]:
                     shared[0] = False
             out = [c[shared] for c in cols] + [v[run_of][shared] for v in leads]
             if len(out[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
             end = len(heads) - 1
             last = [c[-1] for c in cols]
-            lead = [token[-1], leads[0][end], leads[1][end], leads[2][end], bool(size[end] > 1 or (end == 0 and carried and lead[4]))]
+            lead = [token[-1], *(v[end] for v in leads), bool(size[end] > 1 or (end == 0 and carried and lead[5]))]
 
     ordered = prefixes.repartition("token").sortWithinPartitions("token", "n", "node")
-    return ordered.mapInArrow(run, "token long, node long, n int, matches byte, lead long, lead_n int, lead_matches byte")
+    return ordered.mapInArrow(run, "token long, node long, n int, matches byte, place int, lead long, lead_n int, lead_matches byte, lead_place int")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -279,8 +280,16 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     return both.where(DEN * F.col("common") >= NUM * (F.col("sizes") - F.col("common"))).select("a", "b").distinct()
 
 
-def _fits(na: str, nb: str):
-    return DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)
+def _fits(a: tuple[str, str, str], b: tuple[str, str, str]):
+    """Whether a shared token counts for a pair, from size, matches and place on either side.
+
+    A pair of these sizes at the threshold has an overlap of t / (1 + t) of their sum, so its l-th shared token stands no later than
+    n - overlap + l - 1 in either.
+    """
+    (na, ma, pa_), (nb, mb, pb) = (tuple(F.col(c) for c in x) for x in (a, b))
+    overlap = F.ceil(NUM * (na + nb) / (NUM + DEN))
+    slack = F.least(ma, mb) - 1 - overlap
+    return (DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)) & (pa_ <= na + slack) & (pb <= nb + slack)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,7 +306,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = cut(prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
 
     # each node against the leader with which it shares most prefix tokens
-    met = postings.where("node <> lead").where(_fits("n", "lead_n")).groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
+    met = postings.where("node <> lead").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place"))).groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
     met = cut(met)
     star = met.where("shared >= matches").groupBy("node").agg(F.max_by(F.struct("lead", "n", "lead_n"), F.struct("shared", "lead")).alias("x"))
     links = cut(_verified(rows, classes, star.select(F.col("x.lead").alias("a"), F.col("node").alias("b"), F.col("x.lead_n").alias("na"), F.col("x.n").alias("nb"))))
@@ -311,11 +320,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     apart = postings.where("node <> lead").select("lead", "node").distinct()
     apart = labelled(labelled(apart, "lead", "lead_component"), "node", "own").where("own <> lead_component").select("lead", "node")
     tokens = postings.join(apart, ["lead", "node"], "left_semi").select("token").distinct()
-    open_ = labelled(postings.join(tokens, "token", "left_semi"), "node", "own").select("token", "node", "n", "matches", "lead", "own")
-    open_ = scratch.table(labelled(open_, "lead", "lead_component"))
-    one = open_.where("own <> lead_component").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("matches").alias("ma"), F.col("own").alias("ca"))
-    two = open_.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("matches").alias("mb"), F.col("own").alias("cb"), (F.col("own") == F.col("lead_component")).alias("led"))
-    cross = one.join(two, "token").where("ca <> cb and (led or a < b)").where(_fits("na", "nb"))
+    open_ = labelled(postings.join(tokens, "token", "left_semi"), "node", "own").select("token", "node", "n", "matches", "place", "lead", "own")
+    open_ = labelled(open_, "lead", "lead_component").withColumn("led", F.col("own") == F.col("lead_component"))
+    open_ = scratch.table(open_.drop("lead", "lead_component"))
+    # the smaller of a pair has its token early; of two nodes in different components one is outside the leader's
+    early = F.col("place") < F.col("n") - F.ceil(2 * NUM * F.col("n") / (NUM + DEN)) + F.col("matches")
+    small = open_.where(early).select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "matches", "place", "own", "led")))
+    large = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "matches", "place", "own", "led")))
+    sized = "own_a <> own_b and (n_a < n_b or (n_a = n_b and node_a < node_b))"
+    fits = _fits(("n_a", "matches_a", "place_a"), ("n_b", "matches_b", "place_b"))
+    parts = [s.join(g, "token").where(sized).where(fits) for s, g in ((small.where("not led_a"), large), (small.where("led_a"), large.where("not led_b")))]
+    cross = parts[0].unionByName(parts[1]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("matches_a").alias("ma"), F.col("matches_b").alias("mb"))
     pair = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = cross.groupBy(pair.alias("pair")).agg(F.count("*").alias("shared"), F.first(F.least("ma", "mb")).alias("matches"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     cross = cut(cross.where("shared >= matches").select("pair.a", "pair.b", "na", "nb"))
