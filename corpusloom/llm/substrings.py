@@ -36,8 +36,8 @@ from corpusloom.llm.rindex import RunIndex
 WIDTH = 50
 GRAM = 24
 CHUNK = 1 << 19
-BLOCK_BYTES = 4 << 20
-RANGE_BYTES = 8 << 20  # of text for one hash range
+BLOCK_BYTES = 2 << 20
+RANGE_BYTES = 3 << 20  # of text for one hash range
 MOST_RANGES = 4096
 LONGEST = 64  # windows in a segment
 HOT = 1024  # blocks
