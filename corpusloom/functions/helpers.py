@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gzip
 import json
 import re
@@ -14,7 +15,17 @@ from pyspark.sql import functions as F
 from corpusloom.functions import rules
 
 
-@F.pandas_udf("string")
+def _text_udf(f):
+    """A vectorised function to string, made where it is called: workers import this module without a session."""
+
+    @functools.wraps(f)
+    def call(*columns: Column) -> Column:
+        return F.pandas_udf(f, "string")(*columns)
+
+    return call
+
+
+@_text_udf
 def decode_bytes(content: pd.Series) -> pd.Series:
     """Text of raw bytes: gunzipped by its magic, windows-1252 where declared in the head, else UTF-8 with replacement."""
 
@@ -79,19 +90,19 @@ def scope(html: str | None, host: str | None, table=rules.SCOPES) -> str | None:
     return html if found is None else found
 
 
-@F.pandas_udf("string")
+@_text_udf
 def scope_html(html: pd.Series, host: pd.Series) -> pd.Series:
     """The main element of a page by the rules of its host; the whole page where none applies."""
     return pd.Series([scope(a, b) for a, b in zip(html, host, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@_text_udf
 def scope_article(html: pd.Series) -> pd.Series:
     """The first article element with its nested ones, or the whole page."""
     return pd.Series([None if x is None else element(x, "tag", "article") or x for x in html], dtype=object)
 
 
-@F.pandas_udf("string")
+@_text_udf
 def resolve_odd(href: pd.Series, base: pd.Series) -> pd.Series:
     """References with dot segments and other rare forms."""
 
@@ -120,7 +131,7 @@ def flatten(node: dict, depth: int = 0) -> list[str]:
     return out
 
 
-@F.pandas_udf("string")
+@_text_udf
 def flatten_node_tree(tree: pd.Series) -> pd.Series:
     """A JSON tree of titles and contents as headed text, depth first; null for what is no such tree."""
 
@@ -133,7 +144,7 @@ def flatten_node_tree(tree: pd.Series) -> pd.Series:
     return tree.map(one, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@_text_udf
 def unescape_literal(text: pd.Series) -> pd.Series:
     """The value of a quoted script literal's body, by its escapes alone; nothing is evaluated."""
     plain = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f", "v": "\v", "0": "\0"}

@@ -13,6 +13,11 @@ from corpusloom.functions import rules
 SPACE = r"[\s\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def trim(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, f"^{SPACE}+", ""), f"{SPACE}+\\z", "")
 
@@ -29,8 +34,12 @@ def _code_point(digits: Column, base: int) -> Column:
 
 
 def _decode_numbers(text: Column, pattern: str, prefix: str, base: int) -> Column:
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    return F.aggregate(found, text, lambda t, d: F.replace(t, F.concat(F.lit(prefix), d, F.lit(";")), _code_point(d, base)))
+
+    def decoded(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.aggregate(found, text, lambda t, d: F.replace(t, F.concat(F.lit(prefix), d, F.lit(";")), _code_point(d, base)))
+
+    return let(text, decoded)
 
 
 def decode_entities(text: Column, numbers: bool = True) -> Column:
@@ -70,6 +79,10 @@ def non_empty_lines(text: Column) -> Column:
 
 def merge_markers(lines: Column) -> Column:
     """A lone dash joins the line after it, unless that is a lone dash too."""
+    return let(lines, _merged)
+
+
+def _merged(lines: Column) -> Column:
 
     def at(i: Column) -> Column:
         return F.try_element_at(lines, i + 1)
@@ -95,7 +108,7 @@ def html_to_lines(html: Column, origin: Column | None = None, numbers: bool = Tr
     for pattern, by in ((rf"(?i)</?(?:{rules.BLOCK_TAGS})\b[^>]*>", "\n"), (r"(?i)<li\b[^>]*>", "\n- "), (r"(?i)<br\s*/?\s*>", "\n"), (r"<[^>]+>", " ")):
         out = F.regexp_replace(out, pattern, by)
     lines = merge_markers(non_empty_lines(clean_text(out, numbers)))
-    return F.when(F.length(trim(pre_text)) > rules.PRE_LEAST, non_empty_lines(clean_text(pre_text, numbers))).otherwise(lines)
+    return let(pre_text, lambda t: F.when(F.length(trim(t)) > rules.PRE_LEAST, non_empty_lines(clean_text(t, numbers))).otherwise(lines))
 
 
 def first_article(html: Column) -> Column:
@@ -115,15 +128,21 @@ def drop_chrome(html: Column) -> Column:
 
 def slice_lines(lines: Column, start: Column, end: Column, include_end: Column, skip: Column) -> Column:
     """From the first line with ``start`` to the next later line with ``end``, without lines that match a skip pattern."""
-    lines = F.filter(F.transform(lines, trim), lambda x: x != "")
+    return let(F.filter(F.transform(lines, trim), lambda x: x != ""), lambda x: _sliced(x, start, end, include_end, skip))
+
 
+def _sliced(lines: Column, start: Column, end: Column, include_end: Column, skip: Column) -> Column:
     def first(of: Column, text: Column, from_: int) -> Column:
         hit = F.transform(of, lambda x, i: F.when((i >= from_) & F.contains(x, text), i))
         return F.array_min(F.filter(hit, lambda i: i.isNotNull()))
 
-    lines = F.when(F.coalesce(start, F.lit("")) == "", lines).otherwise(F.slice(lines, F.coalesce(first(lines, start, 0), F.lit(0)) + 1, F.greatest(F.size(lines), F.lit(1))))
-    stop = first(lines, end, 1) + F.coalesce(include_end, F.lit(False)).cast("int")
-    lines = F.when((F.coalesce(end, F.lit("")) == "") | stop.isNull(), lines).otherwise(F.slice(lines, F.lit(1), stop))
+    begun = F.when(F.coalesce(start, F.lit("")) == "", lines).otherwise(F.slice(lines, F.coalesce(first(lines, start, 0), F.lit(0)) + 1, F.greatest(F.size(lines), F.lit(1))))
+
+    def ended(lines: Column) -> Column:
+        stop = first(lines, end, 1) + F.coalesce(include_end, F.lit(False)).cast("int")
+        return let(stop, lambda n: F.when((F.coalesce(end, F.lit("")) == "") | n.isNull(), lines).otherwise(F.slice(lines, F.lit(1), n)))
+
+    lines = let(begun, ended)
     patterns = F.coalesce(skip, F.expr("cast(array() as array<string>)"))
     return F.filter(lines, lambda x: ~F.exists(patterns, lambda p: F.call_function("rlike", x, F.concat(F.lit("(?iu)"), p))))
 
@@ -139,9 +158,12 @@ def trim_chrome(lines: Column, host: Column) -> Column:
         tests = [matches_any(line, ps) if h == "" else (((host == h) | host.endswith(f".{h}")) if h == "douyin.com" else host == h) & matches_any(line, ps) for h, ps in by.items()]
         return reduce(lambda a, b: a | b, tests)
 
-    end = F.array_min(F.filter(F.transform(lines, lambda x, i: F.when(hit(trim(x), rules.CHROME_STARTS), i)), lambda i: i.isNotNull()))
-    body = F.when(end.isNull(), lines).otherwise(F.slice(lines, F.lit(1), F.coalesce(end, F.lit(0))))
-    return F.filter(body, lambda x: ~hit(trim(x), rules.CHROME_LINES))
+    def trimmed(lines: Column) -> Column:
+        end = F.array_min(F.filter(F.transform(lines, lambda x, i: F.when(let(trim(x), lambda y: hit(y, rules.CHROME_STARTS)), i)), lambda i: i.isNotNull()))
+        body = let(end, lambda n: F.when(n.isNull(), lines).otherwise(F.slice(lines, F.lit(1), F.coalesce(n, F.lit(0)))))
+        return F.filter(body, lambda x: ~let(trim(x), lambda y: hit(y, rules.CHROME_LINES)))
+
+    return let(lines, trimmed)
 
 
 def clean_pdf_lines(text: Column, host: Column) -> Column:
@@ -149,8 +171,7 @@ def clean_pdf_lines(text: Column, host: Column) -> Column:
     lines = F.split(text, r"\r?\n")
 
     def dropped(line: Column) -> Column:
-        line = trim(line)
-        return matches_any(line, rules.PDF_LINES) | (F.contains(host, F.lit("le.utah.gov")) & (line == "Utah Code"))
+        return let(trim(line), lambda x: matches_any(x, rules.PDF_LINES) | (F.contains(host, F.lit("le.utah.gov")) & (x == "Utah Code")))
 
     return clean_text(F.array_join(F.filter(lines, lambda x: ~dropped(x)), "\n"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import rules
-from corpusloom.functions.text import decode_entities, trim
+from corpusloom.functions.text import decode_entities, let, trim
 
 _PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?\z"
 _WELL_FORMED = r"^(?i:https?)://[^/?#\s]+"
@@ -43,7 +43,10 @@ def well_formed(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Small host, no fragment unless the site routes by it, no ``utm_`` parameters; a malformed one is cut at its #."""
-    url = decode_entities(url, numbers=False)
+    return let(decode_entities(url, numbers=False), _canonical)
+
+
+def _canonical(url: Column) -> Column:
     whole = F.concat(F.lower(_part(url, 1)), F.lit("://"), _host(url), _path(url), _kept_query(url), _hash(url))
     return F.when(well_formed(url), whole).otherwise(F.regexp_replace(url, r"(?s)#.*\z", ""))
 
@@ -54,12 +57,15 @@ def policy_slug(url: Column) -> Column:
 
 def url_aliases(url: Column) -> Column:
     """Every key under which a URL is known, the most exact first."""
-    url = decode_entities(url, numbers=False)
+    return let(decode_entities(url, numbers=False), _aliases)
+
+
+def _aliases(url: Column) -> Column:
     base = F.concat(F.lower(_part(url, 1)), F.lit("://"), _host(url), _path(url))
     bare = F.concat(F.lit("scheme:"), F.regexp_replace(_host(url), r":\d+\z", ""), _path(url))
     slug, answer = policy_slug(url), F.regexp_extract(url, rules.HELP_ID, 1)
     found = [
-        canonical_url(url),
+        _canonical(url),
         F.concat(bare, F.regexp_replace(_part(url, 4), r"^\?\z", ""), _hash(url)),
         F.concat(base, _hash(url)),
         F.concat(bare, _hash(url)),
@@ -68,7 +74,7 @@ def url_aliases(url: Column) -> Column:
         F.when(answer != "", F.concat(F.lit("youtube-answer:"), answer)),
     ]
     several = F.array_distinct(F.array_compact(F.array(*found)))
-    return F.when(well_formed(url), several).otherwise(F.array(canonical_url(url)))
+    return F.when(well_formed(url), several).otherwise(F.array(_canonical(url)))
 
 
 def resolve_url(href: Column, base: Column) -> Column:
@@ -76,7 +82,10 @@ def resolve_url(href: Column, base: Column) -> Column:
 
     References with dot segments are for ``helpers.resolve_odd``.
     """
-    href = trim(decode_entities(href, numbers=False))
+    return let(trim(decode_entities(href, numbers=False)), lambda h: _resolved(h, base))
+
+
+def _resolved(href: Column, base: Column) -> Column:
     scheme, host = F.lower(_part(base, 1)), _host(base)
     origin = F.concat(scheme, F.lit("://"), host)
     absolute = F.concat(F.lower(_part(href, 1)), F.lit("://"), _host(href), _path(href), _part(href, 4), _part(href, 5))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_text, content_hash, html_to_lines, paragraph_count, relative_path
+from corpusloom.functions.text import clean_text, content_hash, html_to_lines, let, paragraph_count, relative_path
 
 SEPARATOR = "\n\n---\n\n"
 # --- fixed values: what the opening note of a document says, and which notes count as uncertain ---
@@ -27,7 +27,10 @@ def assemble_bodies(pages: DataFrame, keys: list[str], order: list[str]) -> Data
 
 def validate(body: Column, required: Column, least: Column | None = None, notes: Column | None = None, numbers: bool = True) -> Column:
     """A struct of text, status, note, attempted hash and length: extracted, or a stub with the reasons."""
-    text = clean_text(F.coalesce(body, F.lit("")), numbers)
+    return let(clean_text(F.coalesce(body, F.lit("")), numbers), lambda text: _validated(text, required, least, notes))
+
+
+def _validated(text: Column, required: Column, least: Column | None, notes: Column | None) -> Column:
     least = F.lit(500) if least is None else F.coalesce(least, F.lit(500))
     none = F.expr("cast(array() as array<string>)")
     missing = F.filter(F.coalesce(required, none), lambda p: ~F.contains(F.lower(text), F.lower(p)))
@@ -39,7 +42,10 @@ def validate(body: Column, required: Column, least: Column | None = None, notes:
         F.when(F.size(missing) > 0, F.concat(F.lit("missing required phrase(s): "), F.array_join(missing, ", "))),
         given,
     )
-    stub = short | (F.size(missing) > 0)
+    return let(F.struct(short.alias("short"), missing.alias("missing")), lambda x: _outcome(text, x["short"] | (F.size(x["missing"]) > 0), reasons, given))
+
+
+def _outcome(text: Column, stub: Column, reasons: Column, given: Column) -> Column:
     return F.struct(
         F.when(stub, "").otherwise(text).alias("text"),
         F.when(stub, "stub").otherwise("extracted").alias("status"),

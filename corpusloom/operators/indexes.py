@@ -52,7 +52,7 @@ def risk_index(entries: DataFrame, labels: DataFrame) -> DataFrame:
     tags = rows.select("platform_group", F.explode("risk_categories").alias("category")).distinct().join(F.broadcast(labels), "category", "left")
     tags = tags.groupBy("platform_group").agg(F.array_sort(F.collect_list(F.struct("category", F.coalesce("label_en", "category").alias("en"), F.coalesce("label_cn", "category").alias("cn")))).alias("t"))
     out = named.join(tags, "platform_group", "left")
-    return out.select("platform_group", "name", *(F.coalesce(F.transform("t", lambda x, f=f: x[f]), F.expr("cast(array() as array<string>)")).alias(a) for f, a in (("category", "categories"), ("en", "labels_en"), ("cn", "labels_cn"))), "sources")
+    return out.select("platform_group", "name", *(F.coalesce(F.col(f"t.{f}"), F.expr("cast(array() as array<string>)")).alias(a) for f, a in (("category", "categories"), ("en", "labels_en"), ("cn", "labels_cn"))), "sources")
 
 
 def duplicate_values(df: DataFrame, key: str) -> DataFrame:
