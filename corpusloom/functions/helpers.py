@@ -161,7 +161,7 @@ def embedded_json(html: Column, attribute: str, phrase: Column) -> Column:
     """The first JSON text in an attribute or a ``JSON.parse('...')`` literal that holds a phrase."""
     from corpusloom.functions.text import decode_entities
 
-    in_attribute = F.transform(F.regexp_extract_all(html, F.lit(rf"{attribute}=\"([^\"]*)\""), F.lit(1)), decode_entities)
+    in_attribute = F.transform(F.regexp_extract_all(html, F.lit(rf"{attribute}=\"([^\"]*)\""), F.lit(1)), lambda x: decode_entities(x))
     held = F.get(F.filter(in_attribute, lambda x: F.contains(x, phrase)), 0)
     literal = F.get(F.filter(F.regexp_extract_all(html, F.lit(r"JSON\.parse\('((?:[^'\\]|\\.)*)'\)"), F.lit(1)), lambda x: F.contains(x, phrase)), 0)
     return F.coalesce(held, unescape_literal(literal))
