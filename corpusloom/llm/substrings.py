@@ -37,7 +37,8 @@ WIDTH = 50
 GRAM = 24
 CHUNK = 1 << 19
 BLOCK_BYTES = 2 << 20
-RANGE_BYTES = 3 << 20  # of text for one hash range
+RANGE_BYTES = 2 << 20  # of text for one hash range
+INDEX_BYTES = 1 << 19  # of strings in one index, but for a single anchor
 MOST_RANGES = 4096
 LONGEST = 64  # windows in a segment
 HOT = 1024  # blocks
@@ -278,11 +279,20 @@ def _search(table: pa.Table) -> pa.Table:
     other[:-1] |= same
     chosen = np.flatnonzero(other)
     if len(chosen):
-        chosen = chosen[np.argsort(owner[head[chosen]], kind="stable")]
-        seg = head[chosen]
-        take = np.repeat(begin[seg] - (np.cumsum(length[seg]) - length[seg]), length[seg]) + np.arange(length[seg].sum())
-        index = RunIndex.build(data[take], length[seg], owner[seg], WIDTH)
-        which, at = index.statistics()
+        # strings of different anchors share no window, so that a range may have several indexes of a bounded size
+        new = np.ones(len(chosen), bool)
+        new[1:] = anchor[head[chosen[1:]]] != anchor[head[chosen[:-1]]]
+        begun = (np.cumsum(length[head[chosen]]) - length[head[chosen]])[new]
+        part = (begun // INDEX_BYTES)[np.cumsum(new) - 1]
+        chosen = chosen[np.lexsort((owner[head[chosen]], part))]
+        part = np.sort(part)
+        found = []
+        for lo, hi in zip(np.flatnonzero(np.diff(part, prepend=-1)), np.append(np.flatnonzero(np.diff(part)) + 1, len(part)), strict=True):
+            seg = head[chosen[lo:hi]]
+            take = np.repeat(begin[seg] - (np.cumsum(length[seg]) - length[seg]), length[seg]) + np.arange(length[seg].sum())
+            strings, places = RunIndex.build(data[take], length[seg], owner[seg], WIDTH).statistics()
+            found.append((strings + lo, places))
+        which, at = (np.concatenate(x) for x in zip(*found, strict=True))
         # matches go to every segment of that string and owner
         rank = np.full(len(head), -1)
         rank[chosen] = np.arange(len(chosen))
