@@ -34,6 +34,7 @@ BLOOM = 1 << 23  # bits of the filter on documents to verify
 MOST_MATCHES = 32
 #: Postings that a prefix token is taken to meet where the sketch is too coarse to tell.
 UNSEEN = 0.1
+ROUNDS = 8  # of further leaders, before all pairs across components are taken
 CHUNK = 1 << 16  # bytes of a sketch or filter in one row
 
 
@@ -292,6 +293,36 @@ def _fits(a: tuple[str, str, str], b: tuple[str, str, str]):
     return (DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)) & (pa_ <= na + slack) & (pb <= nb + slack)
 
 
+def _labelled(df: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
+    """``df`` with the component of a node; a node without links is its own."""
+    known = label.select(F.col("node").alias("labelled"), "component")
+    return df.join(known, F.col(node) == F.col("labelled"), "left").withColumn(name, F.coalesce("component", node)).drop("labelled", "component")
+
+
+def _star(rows: DataFrame, classes: DataFrame, led: DataFrame) -> DataFrame:
+    """The links of each node of ``led`` with the leader that it shares most tokens with, where it has one."""
+    met = led.groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
+    best = met.where("shared >= matches").groupBy("node").agg(F.max_by(F.struct("lead", "n", "lead_n"), F.struct("shared", "lead")).alias("x"))
+    pairs = cut(best.select(F.col("x.lead").alias("a"), F.col("node").alias("b"), F.col("x.lead_n").alias("na"), F.col("x.n").alias("nb")))
+    return cut(_verified(rows, classes, pairs))
+
+
+def _led(open_: DataFrame, round_: int) -> DataFrame:
+    """Postings with a leader for each token, the node that comes first in an order of its own for each round."""
+    lead = F.min_by(F.struct("node", "n", "matches", "place", "own"), F.xxhash64("node", F.lit(round_)))
+    leads = open_.groupBy("token").agg(lead.alias("l")).select("token", *(F.col(f"l.{c}").alias("lead" if c == "node" else f"lead_{c}") for c in ("node", "n", "matches", "place", "own")))
+    return open_.join(leads, "token")
+
+
+def _merge(label: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Labels after more links, and the components that changed, as ``old, new``."""
+    edges = _labelled(_labelled(links, label, "a", "ca"), label, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
+    merged = connected_components(edges).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(label, "node", "left_anti").withColumn("component", F.col("node"))
+    known = label.unionByName(ends).join(merged, F.col("component") == F.col("old"), "left")
+    return cut(known.select("node", F.coalesce("new", "component").alias("component"))), merged
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document."""
     spark = docs.sparkSession
@@ -306,24 +337,32 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = cut(prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
 
     # each node against the leader with which it shares most prefix tokens
-    met = postings.where("node <> lead").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place"))).groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
-    met = cut(met)
-    star = met.where("shared >= matches").groupBy("node").agg(F.max_by(F.struct("lead", "n", "lead_n"), F.struct("shared", "lead")).alias("x"))
-    links = cut(_verified(rows, classes, star.select(F.col("x.lead").alias("a"), F.col("node").alias("b"), F.col("x.lead_n").alias("na"), F.col("x.n").alias("nb"))))
+    near = postings.where("node <> lead").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
+    links = _star(rows, classes, near)
     label = connected_components(links)
-
-    # postings in which a node stands outside its leader's component: pairs across components
-    def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
-        known = label.select(F.col("node").alias("labelled"), "component")
-        return df.join(known, F.col(node) == F.col("labelled"), "left").withColumn(name, F.coalesce("component", node)).drop("labelled", "component")
-
-    apart = postings.where("node <> lead").select("lead", "node").distinct()
-    apart = labelled(labelled(apart, "lead", "lead_component"), "node", "own").where("own <> lead_component").select("lead", "node")
-    tokens = postings.join(apart, ["lead", "node"], "left_semi").select("token").distinct()
-    open_ = labelled(postings.join(tokens, "token", "left_semi"), "node", "own").select("token", "node", "n", "matches", "place", "lead", "own")
-    open_ = labelled(open_, "lead", "lead_component").withColumn("led", F.col("own") == F.col("lead_component"))
-    open_ = scratch.table(open_.drop("lead", "lead_component"))
-    # the smaller of a pair has its token early; of two nodes in different components one is outside the leader's
+    apart = _labelled(_labelled(postings.where("node <> lead").select("lead", "node").distinct(), label, "lead", "lead_component"), label, "node", "own")
+    tokens = postings.join(apart.where("own <> lead_component").select("lead", "node"), ["lead", "node"], "left_semi").select("token").distinct()
+    open_ = _labelled(postings.join(tokens, "token", "left_semi").select("token", "node", "n", "matches", "place"), label, "node", "own")
+    open_ = scratch.table(open_)
+
+    # again with other leaders, while postings have many more pairs across components than rows
+    for round_ in range(ROUNDS):
+        by = open_.groupBy("token", "own").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+        pairs, size = by.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0))).first()
+        if pairs <= 2 * size:
+            break
+        led = _led(open_, round_).where("own <> lead_own").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
+        more = _star(rows, classes, led)
+        if more.isEmpty():
+            break
+        label, merged = _merge(label, more)
+        open_ = open_.join(merged, open_.own == merged.old, "left").withColumn("own", F.coalesce("new", "own")).drop("old", "new")
+        tokens = open_.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("token")
+        open_ = scratch.table(open_.join(tokens, "token", "left_semi"))
+
+    # what is left: all pairs across components. The smaller of a pair has its token early, and of two nodes in different components
+    # one is outside the leader's
+    open_ = scratch.table(_led(open_, ROUNDS).withColumn("led", F.col("own") == F.col("lead_own")))
     early = F.col("place") < F.col("n") - F.ceil(2 * NUM * F.col("n") / (NUM + DEN)) + F.col("matches")
     small = open_.where(early).select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "matches", "place", "own", "led")))
     large = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "matches", "place", "own", "led")))
@@ -337,7 +376,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if not cross.isEmpty():
         more = cut(_verified(rows, classes, cross))
         if not more.isEmpty():
-            label = connected_components(links.unionByName(more))
+            label, _ = _merge(label, more)
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id")
