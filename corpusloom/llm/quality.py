@@ -3,7 +3,7 @@
 Trusted positives are documents that a label marks as good; unlabelled examples are any documents outside the
 held-out fold; labels of bad documents are never read. A first classifier of positives against unlabelled text gives the class
 prior: over its upper quantiles, on the half of the examples it was not fitted to, the smallest ratio of the unlabelled to the positive
-share bounds the share of good documents in unlabelled text. The scorer then minimises
+share (less its standard error) bounds the share of good documents in unlabelled text. The scorer then minimises
 ``prior * loss(P, +) + max(0, loss(U, -) - prior * loss(P, -))``, and turns back on examples for which the second part went
 below zero. Features are raw byte pairs of the whole text and its share of symbols, capitals, digits and repeated words.
 
@@ -46,9 +46,15 @@ class QualityModel:
 
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The smallest ratio of upper-tail shares over the quantiles 0.05 to 0.75 of the positives' scores."""
-    cuts = np.quantile(positive, np.linspace(0.05, 0.75, 15))
-    return float(np.clip(min((unlabelled >= c).mean() / max((positive >= c).mean(), 1e-9) for c in cuts), 0.05, 0.98))
+    """The smallest ratio of upper-tail shares over the quantiles 0.05 to 0.75 of the positives' scores.
+
+    Each ratio counts less its standard error: a prior that is too large leaves no room for negatives.
+    """
+    low = 1.0
+    for c in np.quantile(positive, np.linspace(0.05, 0.75, 15)):
+        p, u = max((positive >= c).mean(), 1e-9), max((unlabelled >= c).mean(), 1e-9)
+        low = min(low, u / p * (1 - np.sqrt((1 - u) / (u * len(unlabelled)) + (1 - p) / (p * len(positive)))))
+    return float(np.clip(low, 0.05, 0.98))
 
 
 def risk_gradient(xp: np.ndarray, xu: np.ndarray, prior: float, l2: float):
