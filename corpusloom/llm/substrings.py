@@ -155,6 +155,11 @@ def _distinct(start: np.ndarray, anchor: np.ndarray, at: np.ndarray) -> tuple[np
     return values, low < high, inverse
 
 
+def _short(values: np.ndarray) -> bytes:
+    """The upper six bytes of each hash: enough for flags, which only have to miss nothing."""
+    return (values >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
 def _send_anchors(blocks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -165,14 +170,18 @@ def _send_anchors(blocks: DataFrame, bits: int) -> DataFrame:
             cut_at = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(cut_at[1:], len(values))
             if len(cut_at):
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut_at]), pa.array(np.full(len(cut_at), row["block"])), pa.array([values[a:b].tobytes() for a, b in zip(cut_at, ends, strict=True)], pa.binary()), pa.array([np.packbits(twice[a:b]).tobytes() for a, b in zip(cut_at, ends, strict=True)], pa.binary())], ["bucket", "block", "anchors", "twice"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut_at]), pa.array(np.full(len(cut_at), row["block"])), pa.array([_short(values[a:b]) for a, b in zip(cut_at, ends, strict=True)], pa.binary()), pa.array([np.packbits(twice[a:b]).tobytes() for a, b in zip(cut_at, ends, strict=True)], pa.binary())], ["bucket", "block", "anchors", "twice"])
 
     return blocks.mapInArrow(run, "bucket long, block long, anchors binary, twice binary")
 
 
 def _flag(table: pa.Table, hot: int) -> pa.Table:
     """For one hash range, the flags of each block's anchors: repeated, and hot."""
-    parts = [np.frombuffer(x, np.uint64) for x in table["anchors"].to_pylist()]
+    parts = []
+    for x in table["anchors"].to_pylist():
+        wide = np.zeros((len(x) // 6, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
+        parts.append(wide.view(np.uint64).ravel())
     twice = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8))[: len(p)] for x, p in zip(table["twice"].to_pylist(), parts, strict=True)])
     _, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     repeated = np.bincount(inverse, weights=twice) + (count > 1) > 0
@@ -182,14 +191,15 @@ def _flag(table: pa.Table, hot: int) -> pa.Table:
     return pa.table({"block": table["block"], "bucket": table["bucket"], "size": pa.array([len(p) for p in parts], pa.int64()), "flags": pa.array(out, pa.binary())})
 
 
-SENT = "kind int, bucket long, block long, places binary, windows binary, owners binary, anchors binary, text binary"
+SENT = "bucket long, block long, copies binary, copy_windows binary, places binary, windows binary, owners binary, anchors binary, text binary"
 
 
 def _send_segments(flagged: DataFrame, bits: int) -> DataFrame:
-    """Segments of repeated anchors by hash range (kind 0), and the places that copies within a block cover (kind 1)."""
+    """Segments of repeated anchors by hash range, their text compressed, with the places that copies within a block cover."""
     names = [x.split()[0] for x in SENT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
         for row in _rows(batches):
             data, at, ids, known = unpack(row)
             start, size, anchor = segments(data, at, known)
@@ -221,22 +231,20 @@ def _send_segments(flagged: DataFrame, bits: int) -> DataFrame:
             lowest = owner[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
             copy = np.zeros(len(order), bool)
             copy[order] = owner[order] > lowest
-            if copy.any():
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((1, None, row["block"], start[copy].astype(np.int32).tobytes(), size[copy].astype(np.uint8).tobytes(), None, None, None), _KINDS, strict=True)], names)
-            start, size, anchor, owner = start[~copy], size[~copy], anchor[~copy], owner[~copy]
             bucket = _range_of(anchor, bits)
             order = np.argsort(bucket, kind="stable")
             heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
                 o = order[a:b]
+                c, o = o[copy[o]], o[~copy[o]]
                 text = b"".join(data[s : s + w + WIDTH - 1].tobytes() for s, w in zip(start[o].tolist(), size[o].tolist(), strict=True))
-                values = (0, int(bucket[o[0]]), row["block"], start[o].astype(np.int32).tobytes(), size[o].astype(np.uint8).tobytes(), owner[o].tobytes(), anchor[o].tobytes(), text)
+                values = (int(bucket[order[a]]), row["block"], start[c].astype(np.int32).tobytes(), size[c].astype(np.uint8).tobytes(), start[o].astype(np.int32).tobytes(), size[o].astype(np.uint8).tobytes(), owner[o].tobytes(), anchor[o].tobytes(), squeeze.compress(text))
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _KINDS, strict=True)], names)
 
     return flagged.mapInArrow(run, SENT)
 
 
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+_KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 7]
 
 
 def contents(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,6 +262,8 @@ def contents(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[n
 def _search(table: pa.Table) -> pa.Table:
     """For one hash range, the places to mark in each block."""
     column = {name: table[name].to_pylist() for name in ("block", "places", "windows", "owners", "anchors", "text")}
+    expand = zstandard.ZstdDecompressor()
+    column["text"] = [expand.decompress(x) if w else b"" for x, w in zip(column["text"], column["windows"], strict=True)]
     size = [np.frombuffer(x, np.uint8).astype(np.int64) for x in column["windows"]]
     block = np.repeat(np.array(column["block"], np.int64), [len(s) for s in size])
     place = np.concatenate([np.frombuffer(x, np.int32) for x in column["places"]]).astype(np.int64)
@@ -272,6 +282,9 @@ def _search(table: pa.Table) -> pa.Table:
     head = order[change]  # of each distinct string, the segment with the smallest owner
     copy = owner > owner[head][string]
     marks = [(np.flatnonzero(copy), np.zeros(int(copy.sum()), np.int64), size[copy])]
+    near = [np.frombuffer(x, np.int32) for x in table["copies"].to_pylist()]  # copies that stayed behind in their blocks
+    near_block = np.repeat(np.array(column["block"], np.int64), [len(x) for x in near])
+    near_place, near_size = np.concatenate(near).astype(np.int64), np.concatenate([np.frombuffer(x, np.uint8) for x in table["copy_windows"].to_pylist()]).astype(np.int64)
     # strings whose anchor other strings share
     other = np.zeros(len(head), bool)
     same = anchor[head[1:]] == anchor[head[:-1]]
@@ -305,10 +318,10 @@ def _search(table: pa.Table) -> pa.Table:
         target = mine[np.repeat(first_of[which], n) + nth] if len(mine) else np.zeros(0, np.int64)
         marks.append((target, np.repeat(at, n), np.ones(len(target), np.int64)))
     seg, at, count = (np.concatenate(x) for x in zip(*marks, strict=True))
-    where = block[seg]
+    where, spot, count = np.concatenate([block[seg], near_block]), np.concatenate([place[seg] + at, near_place]), np.concatenate([count, near_size])
     order = np.argsort(where, kind="stable")
     heads = np.flatnonzero(np.diff(where[order], prepend=-1))
-    out = [(int(where[order[a]]), (place[seg] + at)[order[a:b]].astype(np.int32).tobytes(), count[order[a:b]].astype(np.uint8).tobytes()) for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True)]
+    out = [(int(where[order[a]]), spot[order[a:b]].astype(np.int32).tobytes(), count[order[a:b]].astype(np.uint8).tobytes()) for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True)]
     return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "places": pa.array([x[1] for x in out], pa.binary()), "windows": pa.array([x[2] for x in out], pa.binary())})
 
 
@@ -340,18 +353,14 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     spark = docs.sparkSession
     scratch = Scratch(spark)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    blocks = scratch.table(pack(rows))
-    total, n_blocks = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(0, min(MOST_RANGES, -(-total // RANGE_BYTES)) - 1).bit_length()
-    buckets = max(8, min(4096, -(-n_blocks // 8)))
-    blocks = scratch.bucketed(blocks, buckets, "block")
+    blocks = scratch.bucketed(pack(rows), max(8, min(4096, -(-total // (8 * BLOCK_BYTES)))), "block")
     sent = _send_anchors(blocks, bits)
     flags = sent.groupBy("bucket").applyInArrow(lambda t: _flag(t, hot), "block long, bucket long, size long, flags binary")
     flags = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "size", "flags")).alias("flags"))
     flagged = blocks.join(flags.hint("shuffle_hash"), "block")
-    segs = scratch.table(_send_segments(flagged, bits))
-    found = segs.where("kind = 0").groupBy("bucket").applyInArrow(_search, "block long, places binary, windows binary")
-    marks = found.unionByName(segs.where("kind = 1").select("block", "places", "windows"))
+    marks = _send_segments(flagged, bits).groupBy("bucket").applyInArrow(_search, "block long, places binary, windows binary")
     marks = marks.groupBy("block").agg(F.collect_list(F.struct("places", "windows")).alias("marks"))
     out = scratch.table(_remains(blocks.join(marks.hint("shuffle_hash"), "block", "left")))
     scratch.clear(keep=out)
