@@ -158,3 +158,18 @@ def test_interval_pairs_keep_all_that_are_near(spark):
     got = {(r.a, r.b) for r in embeddings._interval_pairs(blocks, 0.1).collect()}
     want = {(a, b) for a in range(70) for b in range(a, 70) if low[b] - low[a] - 0.01 <= 0.1}
     assert want <= got and len(got) < 70 * 71 // 2
+
+
+def test_jaccard_group_of_many_variants(spark):
+    """Near copies that are no more like each other than like the original: further leaders join them, none is lost."""
+    rng = random.Random(9)
+    base, rows = plain.prose(rng, 90).split(), []
+    for k in range(70):
+        w = list(base)
+        for at in rng.sample(range(90), 2 + k % 4):
+            w[at] = f"y{rng.randrange(6)}"
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, " ".join(base[:60]) + " " + plain.prose(rng, 12 + k)) for k in range(20)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(spark, rows)).collect()}
+    want = plain.jaccard_components(rows)
+    assert got == want and len({c for _, c in want.values()}) > 1
