@@ -68,4 +68,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+#: Components by closure over links ``l (a, b)``: every node reaches the smallest node of its component.
+_REACHED = "reached(node, low) AS (SELECT a, a FROM l UNION SELECT l.b, r.low FROM reached r JOIN l ON r.node = l.a WHERE l.b > r.low)"
+
+ORACLES: dict[str, str] = {
+    "op3_jaccard": rf"""WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) WHEN len(w) > 0 THEN [len(w) || ' ' || array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS t FROM s),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM e x JOIN e y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+{_REACHED},
+m AS (SELECT node, min(low) AS low FROM reached GROUP BY node)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(m.low, n.doc_id) AS component_id FROM n LEFT JOIN m ON m.node = n.doc_id""",
+    "op7_embeddings": rf"""WITH RECURSIVE
+v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+{_REACHED},
+m AS (SELECT node, min(low) AS low FROM reached GROUP BY node),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, coalesce(m.low, e.vec_id) AS component_id, coalesce(m.low, e.vec_id) = e.vec_id AS kept FROM embeddings e LEFT JOIN m ON m.node = e.vec_id LEFT JOIN k ON k.a = e.vec_id""",
+}
