@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Scratch, connected_components, cut, mix64, pieces, span_hashes, text_buffer, word_spans
@@ -34,7 +34,8 @@ BLOOM = 1 << 23  # bits of the filter on documents to verify
 MOST_MATCHES = 32
 #: Postings that a prefix token is taken to meet where the sketch is too coarse to tell.
 UNSEEN = 0.1
-ROUNDS = 8  # of further leaders, before all pairs across components are taken
+ROUNDS = 3  # of further leaders at most, before all pairs across components are taken
+LEADERS = 4  # of a token, and tries of a node, in such a round
 CHUNK = 1 << 16  # bytes of a sketch or filter in one row
 
 
@@ -299,19 +300,20 @@ def _labelled(df: DataFrame, label: DataFrame, node: str, name: str) -> DataFram
     return df.join(known, F.col(node) == F.col("labelled"), "left").withColumn(name, F.coalesce("component", node)).drop("labelled", "component")
 
 
-def _star(rows: DataFrame, classes: DataFrame, led: DataFrame) -> DataFrame:
-    """The links of each node of ``led`` with the leader that it shares most tokens with, where it has one."""
+def _star(rows: DataFrame, classes: DataFrame, led: DataFrame, tries: int = 1) -> DataFrame:
+    """The links of each node of ``led`` with the leaders that it shares most tokens with, ``tries`` of them."""
     met = led.groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
-    best = met.where("shared >= matches").groupBy("node").agg(F.max_by(F.struct("lead", "n", "lead_n"), F.struct("shared", "lead")).alias("x"))
-    pairs = cut(best.select(F.col("x.lead").alias("a"), F.col("node").alias("b"), F.col("x.lead_n").alias("na"), F.col("x.n").alias("nb")))
+    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "lead"))
+    best = met.where("shared >= matches").withColumn("nth", nth).where(F.col("nth") <= tries)
+    pairs = cut(best.select(F.col("lead").alias("a"), F.col("node").alias("b"), F.col("lead_n").alias("na"), F.col("n").alias("nb")))
     return cut(_verified(rows, classes, pairs))
 
 
-def _led(open_: DataFrame, round_: int) -> DataFrame:
-    """Postings with a leader for each token, the node that comes first in an order of its own for each round."""
-    lead = F.min_by(F.struct("node", "n", "matches", "place", "own"), F.xxhash64("node", F.lit(round_)))
-    leads = open_.groupBy("token").agg(lead.alias("l")).select("token", *(F.col(f"l.{c}").alias("lead" if c == "node" else f"lead_{c}") for c in ("node", "n", "matches", "place", "own")))
-    return open_.join(leads, "token")
+def _led(open_: DataFrame, seeds) -> DataFrame:
+    """Postings with leaders of their token: for each seed the node that comes first in an order of its own."""
+    lead = [F.min_by(F.struct("node", "n", "matches", "place", "own"), F.xxhash64("node", F.lit(k))) for k in seeds]
+    leads = open_.groupBy("token").agg(F.array(*lead).alias("l")).select("token", F.explode(F.array_distinct("l")).alias("l"))
+    return open_.join(leads.select("token", *(F.col(f"l.{c}").alias("lead" if c == "node" else f"lead_{c}") for c in ("node", "n", "matches", "place", "own"))), "token")
 
 
 def _merge(label: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -346,13 +348,15 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     open_ = scratch.table(open_)
 
     # again with other leaders, while postings have many more pairs across components than rows
+    last = float("inf")
     for round_ in range(ROUNDS):
         by = open_.groupBy("token", "own").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         pairs, size = by.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0))).first()
-        if pairs <= 2 * size:
+        if pairs <= 4 * size or pairs > 0.5 * last:
             break
-        led = _led(open_, round_).where("own <> lead_own").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
-        more = _star(rows, classes, led)
+        last = pairs
+        led = _led(open_, range(round_ * LEADERS, (round_ + 1) * LEADERS)).where("own <> lead_own").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
+        more = _star(rows, classes, led, LEADERS)
         if more.isEmpty():
             break
         label, merged = _merge(label, more)
@@ -362,7 +366,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # what is left: all pairs across components. The smaller of a pair has its token early, and of two nodes in different components
     # one is outside the leader's
-    open_ = scratch.table(_led(open_, ROUNDS).withColumn("led", F.col("own") == F.col("lead_own")))
+    open_ = scratch.table(_led(open_, [0]).withColumn("led", F.col("own") == F.col("lead_own")))
     early = F.col("place") < F.col("n") - F.ceil(2 * NUM * F.col("n") / (NUM + DEN)) + F.col("matches")
     small = open_.where(early).select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "matches", "place", "own", "led")))
     large = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "matches", "place", "own", "led")))
