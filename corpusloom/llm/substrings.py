@@ -35,10 +35,10 @@ from corpusloom.llm.rindex import RunIndex
 
 WIDTH = 50
 GRAM = 24
-CHUNK = 1 << 19
-BLOCK_BYTES = 2 << 20
+CHUNK = 1 << 17
+BLOCK_BYTES = 1 << 20
 RANGE_BYTES = 2 << 20  # of text for one hash range
-INDEX_BYTES = 1 << 19  # of strings in one index, but for a single anchor
+INDEX_BYTES = 1 << 18  # of strings in one index, but for a single anchor
 MOST_RANGES = 4096
 LONGEST = 64  # windows in a segment
 HOT = 1024  # blocks
@@ -355,7 +355,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(0, min(MOST_RANGES, -(-total // RANGE_BYTES)) - 1).bit_length()
-    blocks = scratch.bucketed(pack(rows), max(8, min(4096, -(-total // (8 * BLOCK_BYTES)))), "block")
+    blocks = scratch.bucketed(pack(rows), max(8, min(4096, -(-total // (16 * BLOCK_BYTES)))), "block")
     sent = _send_anchors(blocks, bits)
     flags = sent.groupBy("bucket").applyInArrow(lambda t: _flag(t, hot), "block long, bucket long, size long, flags binary")
     flags = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "size", "flags")).alias("flags"))
