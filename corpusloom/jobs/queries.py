@@ -329,11 +329,11 @@ def documents_as_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("/"), "source", F.lit("/"), n, F.lit(".md")).alias("path"), document.alias("document"), "text")
 
 
-@query(r"""SELECT doc_id, 'Document ' || doc_id AS heading, lang AS collection, source AS language, 'x' AS language_group, ['https://a.org/' || doc_id, 'https://b.org/' || (doc_id % 10)] AS source_urls,
+@query(r"""SELECT doc_id, 'Document ' || doc_id AS heading, lang AS collection, source AS language, 'x' AS language_group, 'https://a.org/' || doc_id || ' https://b.org/' || (doc_id % 10) AS source_urls,
   CASE WHEN doc_id % 13 = 0 THEN NULL ELSE sha256(regexp_replace(text, '\n+$', '')) END AS body_hash FROM documents""")
 def t17_rule_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_as_markdown(spark, sf_dir).withColumn("m", text.metadata_of(F.substring_index("document", "\n## Source", 1)))
-    return rows.select("doc_id", text.first_heading(F.col("document"), F.col("path")).alias("heading"), *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("collection", "language", "language_group")), text.url_block(F.col("document"), "Source URL|来源链接").alias("source_urls"), text.content_hash(text.body_of(F.col("document"))).alias("body_hash"))
+    return rows.select("doc_id", text.first_heading(F.col("document"), F.col("path")).alias("heading"), *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("collection", "language", "language_group")), F.array_join(text.url_block(F.col("document"), "Source URL|来源链接"), " ").alias("source_urls"), text.content_hash(text.body_of(F.col("document"))).alias("body_hash"))
 
 
 # --- URLs and links ---
@@ -486,8 +486,8 @@ def j4_dispatch_extractor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.dispatch_extractor(rows).select("page_id", text.content_hash(F.col("text")).alias("hash"))
 
 
-@query("""SELECT conv_id AS id, list('f/' || turn ORDER BY role = 'assistant', turn) FILTER (turn % 4 <> 3) AS source_files, coalesce(list('u' || turn ORDER BY turn) FILTER (role = 'assistant' AND turn % 4 <> 3), []) AS linked_source_urls,
-  CAST(count(*) FILTER (role = 'assistant' AND turn % 4 = 3) AS BIGINT) AS linked_errors, list(sha256(text) ORDER BY role = 'assistant', turn) FILTER (turn % 4 <> 3) AS hashes FROM conversations GROUP BY conv_id""")
+@query("""SELECT conv_id AS id, coalesce(string_agg('f/' || turn, ' ' ORDER BY role = 'assistant', turn) FILTER (turn % 4 <> 3), '') AS source_files, coalesce(string_agg('u' || turn, ' ' ORDER BY turn) FILTER (role = 'assistant' AND turn % 4 <> 3), '') AS linked_source_urls,
+  CAST(count(*) FILTER (role = 'assistant' AND turn % 4 = 3) AS BIGINT) AS linked_errors, coalesce(string_agg(sha256(text), ' ' ORDER BY role = 'assistant', turn) FILTER (turn % 4 <> 3), '') AS hashes FROM conversations GROUP BY conv_id""")
 def j5_manifest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     artifacts = rows.select(
@@ -497,7 +497,7 @@ def j5_manifest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = rows.select(F.col("conv_id").alias("id")).distinct()
     done = ids.select("id", F.lit("x").alias("text"), F.lit("extracted").alias("status"), F.lit(None).cast("string").alias("note"))
     out = assembly.manifest_records(ids, artifacts, done)
-    return out.select("id", "source_files", "linked_source_urls", F.size("linked_source_errors").cast("long").alias("linked_errors"), F.transform("source_sha256", lambda x: x["sha256"]).alias("hashes"))
+    return out.select("id", *(F.array_join(c, " ").alias(c) for c in ("source_files", "linked_source_urls")), F.size("linked_source_errors").cast("long").alias("linked_errors"), F.array_join(F.transform("source_sha256", lambda x: x["sha256"]), " ").alias("hashes"))
 
 
 def _manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -511,9 +511,9 @@ SQL_MERGED = """e AS (SELECT 'd/' || source AS dir, doc_id AS id, ['d/' || sourc
 m AS (SELECT dir, id, source_files, 1 AS version FROM e WHERE id % 10 <> 5 AND id % 23 <> 0 AND id % 5 <> 0 AND dir IN (SELECT dir FROM n) UNION ALL SELECT dir, id, source_files, 2 FROM n)"""
 
 
-@query(f"WITH {SQL_MERGED} SELECT dir, id, source_files, version FROM m")
+@query(f"WITH {SQL_MERGED} SELECT dir, id, array_to_string(source_files, ' ') AS source_files, version FROM m")
 def j6_merge_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assembly.merge_manifests(*_manifests(spark, sf_dir))
+    return assembly.merge_manifests(*_manifests(spark, sf_dir)).withColumn("source_files", F.array_join("source_files", " "))
 
 
 @query(f"""WITH {SQL_MERGED}, r AS (SELECT DISTINCT dir, unnest(source_files) AS f FROM e WHERE id % 10 <> 5 AND id % 5 = 0), k AS (SELECT DISTINCT dir, unnest(source_files) AS f FROM m)
