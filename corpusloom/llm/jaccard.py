@@ -34,7 +34,7 @@ BLOOM = 1 << 23  # bits of the filter on documents to verify
 MOST_MATCHES = 32
 #: Postings that a prefix token is taken to meet where the sketch is too coarse to tell.
 UNSEEN = 0.1
-ROUNDS = 3  # of further leaders at most, before all pairs across components are taken
+ROUNDS = 4  # of further leaders at most, before all pairs across components are taken
 LEADERS = 4  # of a token, and tries of a node, in such a round
 CHUNK = 1 << 16  # bytes of a sketch or filter in one row
 
@@ -97,7 +97,7 @@ def prefix_of(tokens: np.ndarray, seen: np.ndarray, noise: float) -> tuple[int,
     longest = min(MOST_MATCHES, need)
     lengths = n - need + np.arange(1, longest + 1)
     met = np.concatenate([[0.0], np.cumsum(np.maximum(UNSEEN, seen - noise))])[lengths]
-    cost = lengths + met + met / np.arange(1, longest + 1) * n / 4
+    cost = lengths + met + met / np.arange(1, longest + 1) * n / 40
     best = int(np.argmin(cost))
     return best + 1, int(lengths[best])
 
@@ -301,10 +301,13 @@ def _labelled(df: DataFrame, label: DataFrame, node: str, name: str) -> DataFram
 
 
 def _star(rows: DataFrame, classes: DataFrame, led: DataFrame, tries: int = 1) -> DataFrame:
-    """The links of each node of ``led`` with the leaders that it shares most tokens with, ``tries`` of them."""
+    """The links of each node of ``led`` with the leaders that it shares most tokens with, ``tries`` of them.
+
+    Several leaders divide the tokens of a pair among them, so that each needs its part of the matches only.
+    """
     met = led.groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
     nth = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "lead"))
-    best = met.where("shared >= matches").withColumn("nth", nth).where(F.col("nth") <= tries)
+    best = met.where(F.lit(tries) * F.col("shared") >= F.col("matches")).withColumn("nth", nth).where(F.col("nth") <= tries)
     pairs = cut(best.select(F.col("lead").alias("a"), F.col("node").alias("b"), F.col("lead_n").alias("na"), F.col("n").alias("nb")))
     return cut(_verified(rows, classes, pairs))
 
@@ -352,7 +355,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     for round_ in range(ROUNDS):
         by = open_.groupBy("token", "own").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         pairs, size = by.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0))).first()
-        if pairs <= 4 * size or pairs > 0.5 * last:
+        if pairs <= 4 * size or pairs > 0.8 * last:
             break
         last = pairs
         led = _led(open_, range(round_ * LEADERS, (round_ + 1) * LEADERS)).where("own <> lead_own").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))

@@ -20,7 +20,6 @@ keep what no smaller id has; null ids neither remove nor lose bytes; an empty ta
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
