@@ -12,8 +12,8 @@ different components meet; there all pairs across components are counted, filter
 joins its two nodes' components or lies within one. Verification intersects the full sets.
 
 Hashes have 64 bits. Defined cases: null text, empty text and text of separators have an empty set and link with nothing; fewer words than a shingle
-are one shingle; a null id keeps its row and is never a representative; repeated rows share their node; an empty table gives an empty result;
-other columns are kept by ``one_of_each`` and not read otherwise.
+are one shingle; a null id keeps its row, links like any other and is never a representative; repeated rows share their node; unlike texts that share an
+id are documents of their own; an empty table gives an empty result; other columns are kept by ``one_of_each`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Scratch, connected_components, cut, mix64, pieces, span_hashes, text_buffer, word_spans
@@ -129,10 +129,10 @@ def _gather(parts: DataFrame, dtype, size: int, union) -> np.ndarray:
 
 
 def _fingerprints(rows: DataFrame) -> DataFrame:
-    """``doc_id, n, node`` for each document, and rows with ``chunk, part`` of the sketch of each task's distinct sets."""
+    """``doc_id, key, n, node`` for each document, and rows with ``chunk, part`` of the sketch of each task's distinct sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "node", "chunk", "part"]
+        names = ["doc_id", "key", "n", "node", "chunk", "part"]
         sketch, known = np.zeros(CELLS, np.uint32), set()
         for batch in pieces(batches, "text"):
             sets = shingle_sets(*text_buffer(batch.column(1)))
@@ -145,11 +145,11 @@ def _fingerprints(rows: DataFrame) -> DataFrame:
             if fresh:
                 sketch += np.bincount(np.concatenate(fresh), minlength=CELLS).astype(np.uint32)
             size = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
         for k, part in _chunks(sketch):
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()), pa.array([part], pa.binary())], names)
 
-    return rows.mapInArrow(run, "doc_id long, n long, node long, chunk int, part binary")
+    return rows.mapInArrow(run, "doc_id long, key long, n long, node long, chunk int, part binary")
 
 
 def _prefixes(rows: DataFrame, sketch, noise: float) -> DataFrame:
@@ -229,31 +229,29 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, tokens`` of the documents in ``wanted (doc_id)`` and of some others: a filter of fixed size finds them again.
+    """``node, tokens`` of the documents in ``wanted (key)`` and of some others: a filter of fixed size finds them again.
 
     A node comes once from each task that has a document of it.
     """
 
-    def bits(ids: np.ndarray) -> np.ndarray:
-        return (mix64(ids.view(np.uint64)) >> np.uint64(64 - 23)).astype(np.int64)
+    def bits(keys: pa.Array) -> np.ndarray:
+        return (mix64(keys.to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - 23)).astype(np.int64)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(BLOOM, bool)
         for batch in batches:
-            held[bits(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))] = True
+            held[bits(batch.column(0))] = True
         for k, part in _chunks(np.packbits(held)):
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], ["chunk", "part"])
 
     spark = rows.sparkSession
-    packed = _gather(wanted.select("doc_id").mapInArrow(fill, "chunk int, part binary"), np.uint8, BLOOM // 8, np.bitwise_or)
+    packed = _gather(wanted.select("key").mapInArrow(fill, "chunk int, part binary"), np.uint8, BLOOM // 8, np.bitwise_or)
     shared = spark.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = np.unpackbits(shared.value).astype(bool), set()
         for batch in pieces(batches, "text"):
-            ids = batch.column(0)
-            hit = ids.is_valid().to_numpy(zero_copy_only=False)
-            hit[hit] = held[bits(ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))]
+            hit = held[bits(batch.column(2))]
             if not hit.any():
                 continue
             sets = {}
@@ -273,7 +271,7 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     """The links ``(a, b)`` among ``pairs (a, b, na, nb)``."""
 
     def sets(side: str) -> DataFrame:
-        found = _sets(rows, pairs.select(F.col(side).alias("node")).distinct().join(classes, "node").select("doc_id"))
+        found = _sets(rows, pairs.select(F.col(side).alias("node")).distinct().join(classes, "node").select("key")).dropDuplicates(["node"])
         return found.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
 
     both = pairs.join(sets("b"), "b").join(sets("a"), "a")
@@ -328,18 +326,23 @@ def _merge(label: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut(known.select("node", F.coalesce("new", "component").alias("component"))), merged
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document."""
+def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """A hash of id and text, by which a document is found again; never null, whatever the id."""
+    return F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, key, n_shingles, component, component_id`` for every document; ``component`` is a node, so groups of one id stay apart."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), _key(docs, id_col, text_col).alias("key"))
     first = scratch.table(_fingerprints(rows))
     counts = _gather(first.where("chunk is not null"), np.uint32, CELLS, np.add)
-    prints = first.where("chunk is null").select("doc_id", "n", "node")
+    prints = first.where("chunk is null").select("doc_id", "key", "n", "node")
     sketch = spark.sparkContext.broadcast(counts)
     mean = float(counts.mean())
     postings = scratch.table(_shared(_prefixes(rows, sketch, mean + 3 * mean**0.5 + 1)))
-    classes = cut(prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    classes = cut(prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("key")))
 
     # each node against the leader with which it shares most prefix tokens
     near = postings.where("node <> lead").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
@@ -386,15 +389,26 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             label, _ = _merge(label, more)
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
-    out = prints.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.join(least, "component").select("node", "component", "component_id")
+    out = prints.join(named, "node", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id"))
     out = cut(out)
     scratch.clear()
     return out
 
 
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every document."""
+    return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each group, all columns kept; rows without an id stay."""
-    keep = components(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, docs[id_col] == keep.kept_id).drop("kept_id").dropDuplicates([id_col])
+    """The document with the smallest id of each group, all columns kept; rows without an id stay.
+
+    Where several documents of a group share that id, hashes of their text and columns choose, whatever the partitions.
+    """
+    keep = _grouped(docs, id_col, text_col).where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"), "component").agg(F.min("key").alias("kept_key")).drop("component")
+    kept = docs.join(keep, (docs[id_col] == keep.kept_id) & (_key(docs, id_col, text_col) == keep.kept_key))
+    order = F.xxhash64(*(docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    nth = F.row_number().over(Window.partitionBy("kept_id", "kept_key").orderBy(order))
+    kept = kept.withColumn("kept_nth", nth).where("kept_nth = 1").drop("kept_id", "kept_key", "kept_nth")
     return kept.unionByName(docs.where(docs[id_col].isNull()))

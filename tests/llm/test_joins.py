@@ -65,6 +65,30 @@ def test_jaccard_odd_tables(spark):
     assert sorted((r.doc_id or 0, r.component_id) for r in jaccard.one_of_each(docs).collect()) == [(0, 7), (1, 9)]
 
 
+def test_jaccard_null_ids(spark):
+    """Sets that only rows without an id hold link near copies, and bridge groups, beside ids beyond 2^53."""
+    words = [f"w{k}" for k in range(64)]
+    middle = words[:56]
+    texts = {2**53 + 1: words[:48], 2**53 + 3: middle + ["tail", "end"], None: middle, 2**60 + 7: words[8:56], 7: [f"v{k}" for k in range(20)]}
+    rows = [(i, " ".join(w)) for i, w in texts.items()]
+    label = plain.jaccard_components([(i or -1, t) for i, t in rows])
+    assert [label[i or -1][1] for i in texts] == [-1, -1, -1, -1, 7]
+    got = {r.doc_id: r.component_id for r in jaccard.components(documents(spark, rows)).collect()}
+    assert got == {i: 7 if i == 7 else 2**53 + 1 for i in texts}
+    assert {r.doc_id for r in jaccard.one_of_each(documents(spark, rows)).collect()} == {None, 7, 2**53 + 1}
+
+
+def test_one_of_each_shared_ids(spark):
+    """Unlike texts of one id both stay; of like ones the same stays whatever the partitions."""
+    rows = [(1, "a b c d e f", "x"), (1, "A B c d e f", "y"), (1, "a b c d e f", "z"), (1, "q r s t u v", "x"), (2, "q r s t u v", "x"), (3, None, "x"), (3, "", "x")]
+    seen = set()
+    for n in (1, 2, 5):
+        out = jaccard.one_of_each(documents(spark, rows, "doc_id long, text string, source string").repartition(n)).collect()
+        assert sorted((r.doc_id, (r.text or "").lower()) for r in out) == [(1, "a b c d e f"), (1, "q r s t u v"), (3, "")]
+        seen.add(frozenset(map(tuple, out)))
+    assert len(seen) == 1
+
+
 def test_prefix_rule():
     """The matches asked for never exceed the overlap that the threshold guarantees."""
     for n in range(1, 60):
