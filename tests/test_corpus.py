@@ -108,3 +108,17 @@ def test_render_then_parse(spark):
     doc = assembly.render_rule_documents(rows)
     got = doc.select(text.body_of(F.col("document")).alias("b"), text.metadata_of(F.col("document"))["collection"].alias("c"), F.col("document").contains("> Opening Note: litigation pending").alias("n")).first()
     assert tuple(got) == ("body", "c", True)
+
+
+def test_verify_corpus_has_every_check(spark):
+    """V10 is the union of the registered checks V1-V9, row for row."""
+    from collections import Counter
+
+    from corpusloom.jobs.queries import QUERIES
+
+    root = "/root/testdata/sf0.001"
+    parts = [name for name in QUERIES if name.startswith("v") and name != "v10_verify_corpus"]
+    want = Counter(tuple(r) for name in parts for r in QUERIES[name](spark, root).collect())
+    got = Counter(tuple(r) for r in QUERIES["v10_verify_corpus"](spark, root).collect())
+    assert len(parts) == 9 and got == want
+    assert {r[0] for r in got} >= {"V2", "V3", "V6", "V9"}
