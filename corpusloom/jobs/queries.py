@@ -432,7 +432,7 @@ def l8_build_link_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH m AS ({SQL_MAP}), a AS ({sql_alias_rows('SELECT url AS u FROM pages UNION SELECT u FROM (' + SQL_LINKS + ') WHERE page_id % 2 = 0')}) SELECT u AS url, arg_min(target, rank) AS target FROM a JOIN m USING (alias) GROUP BY u")
 def l9_lookup_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = table(spark, sf_dir, "pages").select("url").union(page_links(spark, sf_dir).where("page_id % 2 = 0").select("url"))
+    wanted = table(spark, sf_dir, "pages").select("url").union(page_links(spark, sf_dir).select("url"))
     return links.lookup_targets(wanted, page_link_map(spark, sf_dir))
 
 
@@ -460,7 +460,8 @@ SELECT doc_id, CASE WHEN length(body) < 500 OR len(missing) > 0 THEN 'stub' ELSE
   CASE WHEN (length(body) < 500 OR len(missing) > 0) AND body <> '' THEN sha256(body) END AS attempted FROM m""")
 def j2_validate_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    rows = docs.join(items, F.col("item_id") == F.col("doc_id") % 40, "left")
+    count = items.agg(F.greatest(F.count("*"), F.lit(1)).alias("items"))
+    rows = docs.crossJoin(F.broadcast(count)).join(items, F.col("item_id") == F.col("doc_id") % F.col("items"), "left")
     required = F.when(F.col("doc_id") % 4 == 0, F.array(F.upper(F.left("phrase", F.lit(20))))).otherwise(F.array().cast("array<string>"))
     return rows.select("doc_id", assembly.validate(F.col("text"), required).alias("x")).select("doc_id", "x.status", "x.note", F.col("x.attempted_text_sha256").alias("attempted"))
 

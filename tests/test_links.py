@@ -74,3 +74,16 @@ def test_map_lookup_localize(spark):
     out = links.localize_links(docs, link_map)
     assert [(r.path, r.body) for r in out.collect()] == [("r/x.md", "[p](a1.md) [q](a2%29.md) [r](https://o.org)")]
     assert links.localize_links(out.select("path", "body"), link_map).count() == 0
+
+
+def test_queries_take_every_page_and_item(spark, tmp_path):
+    """L9 looks up the links of odd pages too; J2 asks for phrases beyond the first 40 items."""
+    from corpusloom.jobs.queries import QUERIES
+
+    root = str(tmp_path)
+    pages = [(k, f"https://h.org/{k}", f"<a href='https://o.org/{k}'>x</a>") for k in (1, 2)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
+    spark.createDataFrame([(k, f"passage {k}") for k in range(60)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    spark.createDataFrame([(44, "y" * 500), (64, "y" * 500)], "doc_id long, text string").write.parquet(f"{root}/documents.parquet")
+    assert {r.url: r.target for r in QUERIES["l9_lookup_targets"](spark, root).collect()} == {f"https://o.org/{k}": f"p/{k}.html" for k in (1, 2)}
+    assert {r.doc_id: r.note for r in QUERIES["j2_validate_bodies"](spark, root).collect()} == {44: "missing required phrase(s): PASSAGE 44", 64: "missing required phrase(s): PASSAGE 4"}
