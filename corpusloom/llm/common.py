@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: A word: a run of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
+MOST_ROWS = 1 << 16  # of a piece of a batch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,19 +40,22 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.paths, self.names = spark, [], []
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def _path(self) -> str:
         sc = self.spark.sparkContext
         if sc.getCheckpointDir() is None:
             cut(self.spark.range(1))
-        path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+        self.paths.append(f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}")
+        return self.paths[-1]
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = self._path()
         df.write.parquet(path)
-        self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def bucketed(self, df: DataFrame, buckets: int, column: str) -> DataFrame:
         """A table in buckets of a column, which joins on that column without another shuffle."""
         name = f"scratch_{uuid.uuid4().hex}"
-        df.write.bucketBy(buckets, column).saveAsTable(name)
+        df.write.option("path", self._path()).bucketBy(buckets, column).saveAsTable(name)
         self.names.append(name)
         return self.spark.table(name)
 
@@ -103,6 +107,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
         row = 0
         while row < batch.num_rows:
             stop = max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1)
+            stop = min(stop, row + MOST_ROWS)
             yield batch.slice(row, stop - row)
             row = stop
 
@@ -117,14 +122,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+BASE = 0x9E3779B97F4A7C15  # of running polynomial sums; odd
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of an odd base modulo 2^64, and those of its inverse."""
     if len(_POWERS[0]) < n:
-        base = 0x9E3779B97F4A7C15
-        for k, x in enumerate((base, pow(base, -1, 1 << 64))):
+        for k, x in enumerate((BASE, pow(BASE, -1, 1 << 64))):
             steps = np.full(1 << (n - 1).bit_length(), x, np.uint64)
             steps[0] = 1
             _POWERS[k] = np.multiply.accumulate(steps)

@@ -3,17 +3,23 @@
 A document is the set of hashes of its 5-word shingles; equal sets are one node. With tokens in one global order, rarest
 first, two nodes that reach the threshold share at least l tokens of their prefixes of length n - ceil(t n) + l. Each node picks
 the l that makes its own cost smallest: a longer prefix costs more postings but lets a partner through only with l shared
-prefix tokens (l of the pair is the smaller of the two). The order and the costs come from a count sketch of all shingles, of fixed
-size; a poor estimate costs time and never a result.
+prefix tokens (l of the pair is the smaller of the two).
 
-Large groups of near copies would make all pairs of their postings. Instead each node is first verified against the
-leader of its postings that it shares most tokens with, which joins such a group along a star. What is left are postings in which
-different components meet; there all pairs across components are counted, filtered by l and by size, and verified. So every link either
-joins its two nodes' components or lies within one. Verification intersects the full sets.
+1. Documents are packed into compressed blocks; fingerprints of their sets make the nodes, and one document of each node goes on.
+2. Blocks tally their shingles (``blocks.tally``): the order follows the number of nodes that hold a shingle. Shingles of one node take places in
+   its prefix but are never sent, nor is a node that has too few others to reach the threshold with anyone.
+3. Postings of the prefix tokens are put into clusters by the smallest node that holds the token, so that two nodes with a
+   common prefix token meet in a cluster. Within a cluster the shared prefix tokens of all pairs are counted as a product of sparse
+   matrices; pairs with l of them, and sizes that fit, are verified on their full sets; a spanning forest of the links comes out.
+4. Clusters beyond ``CLUSTER`` nodes are cut into chunks, each with the cluster's leader. Once their links have made components, chunks that
+   hold different components meet pair by pair, and only pairs of nodes across components are counted and verified.
 
-Hashes have 64 bits. Defined cases: null text, empty text and text of separators have an empty set and link with nothing; fewer words than a shingle
+So every link lies within a component, and every component is held together by links. Sets have hashes of 64 bits, fingerprints 128.
+
+Defined cases: null text, empty text and text of separators have an empty set and link with nothing; fewer words than a shingle
 are one shingle; a null id keeps its row, links like any other and is never a representative; repeated rows share their node; unlike texts that share an
-id are documents of their own; an empty table gives an empty result; other columns are kept by ``one_of_each`` and not read otherwise.
+id are documents of their own; an empty table gives an empty result; texts of any length are hashed in parts; other columns are kept
+by ``one_of_each`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -25,305 +31,279 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import Scratch, connected_components, cut, mix64, pieces, span_hashes, text_buffer, word_spans
+from corpusloom.llm.blocks import COUNTS, ROW_BITS, Block, buckets_of, levels_of, pack, range_bits, rows_of, tally
+from corpusloom.llm.common import BASE, Scratch, connected_components, cut, mix64, powers, span_hashes, word_spans
 
 SIZE = 5  # words in a shingle
 NUM, DEN = 3, 4  # the threshold as a fraction
-CELLS = 1 << 20  # of the count sketch
-BLOOM = 1 << 23  # bits of the filter on documents to verify
 MOST_MATCHES = 32
-#: Postings that a prefix token is taken to meet where the sketch is too coarse to tell.
-UNSEEN = 0.1
-ROUNDS = 4  # of further leaders at most, before all pairs across components are taken
-LEADERS = 4  # of a token, and tries of a node, in such a round
-CHUNK = 1 << 16  # bytes of a sketch or filter in one row
+PART = 4 << 20  # bytes of a text that are hashed at once
+CLUSTER = 2048  # nodes of a cluster, and
+CLUSTER_BYTES = 16 << 20  # bytes of its sets, beyond which it is cut
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each row."""
+def _lower(data: np.ndarray) -> np.ndarray:
     low = data.copy()
     low[(low >= 65) & (low <= 90)] += 32
+    return low
+
+
+def _mixed(words: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``SIZE`` words."""
+    n = len(words) - SIZE + 1
+    mixed = np.zeros(max(0, n), np.uint64)
+    for k in range(SIZE if n > 0 else 0):
+        mixed = (mixed ^ words[k : n + k]) * np.uint64(BASE)
+        mixed ^= mixed >> np.uint64(29)
+    return mix64(mixed)
+
+
+def _few(words: np.ndarray) -> np.ndarray:
+    """The one shingle of a text of fewer words."""
+    h = np.uint64(len(words))
+    for w in words:
+        h = mix64(np.array([h ^ w], np.uint64))[0]
+    return np.array([h] if len(words) else [], np.uint64)
+
+
+def _long_set(data: np.ndarray, most: int) -> np.ndarray:
+    """The set of one long text, a part at a time; words that reach over the end of a part are put together."""
+    found, carried = [], np.zeros(0, np.uint64)  # sets of parts, and the last words, which begin the next shingles
+    open_sum, open_size, count = 0, 0, 0
+    for lo in range(0, len(data), most):
+        low = _lower(data[lo : lo + most])
+        starts, ends, _ = word_spans(low, np.array([0, len(low)]))
+        up, down = powers(len(low) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)])])
+        value, size = (sums[ends] - sums[starts]) * down[starts], (ends - starts).astype(np.uint64)
+        if open_size:
+            if len(starts) and starts[0] == 0:
+                value[0] = np.uint64((open_sum + pow(BASE, open_size, 1 << 64) * int(value[0])) % (1 << 64))
+                size[0] += np.uint64(open_size)
+            else:
+                value, size, ends = np.r_[np.uint64(open_sum), value], np.r_[np.uint64(open_size), size], np.r_[0, ends]
+        open_size = 0
+        if len(ends) and ends[-1] == len(low) and lo + most < len(data):
+            open_sum, open_size = int(value[-1]), int(size[-1])
+            value, size = value[:-1], size[:-1]
+        words = np.concatenate([carried, mix64(value ^ size)])
+        count += len(value)
+        found.append(np.unique(_mixed(words)))
+        carried = words[max(0, len(words) - SIZE + 1) :]
+    return np.unique(np.concatenate(found)) if count >= SIZE else _few(carried)
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, most: int = PART) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each row."""
+    if len(data) > most:
+        out, row = [], 0
+        while row < len(at) - 1:
+            stop = max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1)
+            part, sub = data[at[row] : at[stop]], at[row : stop + 1] - at[row]
+            out += [_long_set(part, most)] if len(part) > most else shingle_sets(part, sub, most)
+            row = stop
+        return out
+    low = _lower(data)
     starts, ends, rows = word_spans(low, at)
     words = span_hashes(low, starts, ends)
     first = np.searchsorted(rows, np.arange(len(at)))
-    n = len(words)
-    if n >= SIZE:
-        mixed = np.zeros(n - SIZE + 1, np.uint64)
-        for k in range(SIZE):
-            mixed = (mixed ^ words[k : n - SIZE + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-        mixed = mix64(mixed)
-    out = []
-    for r in range(len(at) - 1):
-        a, b = int(first[r]), int(first[r + 1])
-        if b - a >= SIZE:
-            out.append(np.unique(mixed[a : b - SIZE + 1]))
-        elif b > a:
-            h = np.uint64(b - a)
-            for w in words[a:b]:
-                h = mix64(np.array([h ^ w], np.uint64))[0]
-            out.append(np.array([h], np.uint64))
-        else:
-            out.append(np.zeros(0, np.uint64))
+    mixed, out = _mixed(words), []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        out.append(np.unique(mixed[a : b - SIZE + 1]) if b - a >= SIZE else _few(words[a:b]))
     return out
 
 
-def print_of(tokens: np.ndarray) -> int:
-    """A 64-bit fingerprint of a set."""
-    with np.errstate(over="ignore"):
-        total = mix64(tokens ^ np.uint64(0xA24BAED4963EE407)).sum(dtype=np.uint64) + np.uint64(len(tokens))
-    return int(mix64(np.array([total], np.uint64)).view(np.int64)[0])
-
+def prints_of(tokens: np.ndarray) -> tuple[int, int]:
+    """128 bits of fingerprint of a set, in two words."""
+    size = np.uint64(len(tokens))
+    sums = [mix64(tokens ^ np.uint64(seed)).sum(dtype=np.uint64) + size for seed in (0xA24BAED4963EE407, 0x9FB21C651E98DF25)]
+    return tuple(int(x) for x in mix64(np.array(sums, np.uint64)).view(np.int64))
 
-def cell_of(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(44)).astype(np.int64)
 
-
-def order_of(tokens: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens in the global order, rarest first, and their estimated frequencies."""
-    seen = sketch[cell_of(tokens)]
-    order = np.lexsort((tokens, seen))
-    return tokens[order], seen[order]
-
-
-def prefix_of(tokens: np.ndarray, seen: np.ndarray, noise: float) -> tuple[int, int]:
-    """Matches required and prefix length that cost least.
+def prefix_of(levels: np.ndarray) -> tuple[int, int]:
+    """Matches required and prefix length that cost least, from the levels of the tokens in order.
 
     With l matches required, a prefix that meets p postings admits at most p / l candidates, each verified over
     its whole set.
     """
-    n = len(tokens)
+    n = len(levels)
     need = -(-NUM * n // DEN)
     longest = min(MOST_MATCHES, need)
     lengths = n - need + np.arange(1, longest + 1)
-    met = np.concatenate([[0.0], np.cumsum(np.maximum(UNSEEN, seen - noise))])[lengths]
-    cost = lengths + met + met / np.arange(1, longest + 1) * n / 40
-    best = int(np.argmin(cost))
+    shared = levels > 1
+    posted = np.concatenate([[0], np.cumsum(shared)])[lengths]
+    met = np.concatenate([[0.0], np.cumsum(np.where(shared, COUNTS[levels], 0))])[lengths]
+    best = int(np.argmin(posted + met / np.arange(1, longest + 1) * n / 40))
     return best + 1, int(lengths[best])
 
 
-def _chunks(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    raw = values.tobytes()
-    for k in range(0, len(raw), CHUNK):
-        part = raw[k : k + CHUNK]
-        if any(part):
-            yield k // CHUNK, part
-
+def _facts(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    sets = shingle_sets(data, at)
+    prints = np.array([prints_of(s) for s in sets], np.int64).reshape(len(sets), 2)
+    return [np.array([len(s) for s in sets], np.int64), prints[:, 0].copy(), prints[:, 1].copy()]
 
-def _gather(parts: DataFrame, dtype, size: int, union) -> np.ndarray:
-    """Reduce chunked arrays of all tasks to one, chunk by chunk, in streams; the result has a fixed size."""
 
-    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(raw, dtype)
-                held[k] = union(held[k], part) if k in held else part.copy()
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["chunk", "part"])
-
-    out = np.zeros(size, dtype)
-    width = CHUNK // out.itemsize
-    for r in parts.select("chunk", "part").repartition("chunk").mapInArrow(reduce_, "chunk int, part binary").collect():
-        out[r.chunk * width : r.chunk * width + len(r.part) // out.itemsize] = np.frombuffer(bytes(r.part), dtype)
-    return out
-
-
-def _fingerprints(rows: DataFrame) -> DataFrame:
-    """``doc_id, key, n, node`` for each document, and rows with ``chunk, part`` of the sketch of each task's distinct sets."""
+def _documents(blocks: DataFrame) -> DataFrame:
+    """``doc_id, key, n, first, second, row`` of every document; ``row`` tells its block and its place there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "key", "n", "node", "chunk", "part"]
-        sketch, known = np.zeros(CELLS, np.uint32), set()
-        for batch in pieces(batches, "text"):
-            sets = shingle_sets(*text_buffer(batch.column(1)))
-            nodes = [print_of(s) for s in sets]
-            fresh = []
-            for node, s in zip(nodes, sets, strict=True):
-                if node not in known and len(s):
-                    known.add(node)
-                    fresh.append(cell_of(s))
-            if fresh:
-                sketch += np.bincount(np.concatenate(fresh), minlength=CELLS).astype(np.uint32)
-            size = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
-        for k, part in _chunks(sketch):
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()), pa.array([part], pa.binary())], names)
-
-    return rows.mapInArrow(run, "doc_id long, key long, n long, node long, chunk int, part binary")
-
-
-def _prefixes(rows: DataFrame, sketch, noise: float) -> DataFrame:
-    """``token, node, n, matches, place``: the prefix tokens of each distinct set with their places in the order, once for each task that has it."""
+        for r in rows_of(batches):
+            ids, keys, n, first, second = (np.frombuffer(r[k], np.int64) for k in ("ids", "keys", "n", "first", "second"))
+            row = (r["block"] << ROW_BITS) + np.arange(len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~np.frombuffer(r["known"], bool)), *(pa.array(x) for x in (keys, n, first, second, row))], ["doc_id", "key", "n", "first", "second", "row"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set()
-        for batch in pieces(batches, "text"):
-            tokens, nodes, sizes, matches, places = [], [], [], [], []
-            for s in shingle_sets(*text_buffer(batch.column(1))):
-                node = print_of(s) if len(s) else None
-                if node is None or node in known:
-                    continue
-                known.add(node)
-                ordered, seen = order_of(s, sketch.value)
-                l, length = prefix_of(ordered, seen, noise)
-                tokens.append(ordered[:length])
-                nodes.append(np.full(length, node))
-                sizes.append(np.full(length, len(s), np.int32))
-                matches.append(np.full(length, l, np.int8))
-                places.append(np.arange(length, dtype=np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(matches)), pa.array(np.concatenate(places))], ["token", "node", "n", "matches", "place"])
+    return blocks.select("block", "ids", "known", "keys", "n", "first", "second").mapInArrow(run, "doc_id long, key long, n long, first long, second long, row long")
 
-    return rows.mapInArrow(run, "token long, node long, n int, matches byte, place int")
 
+def _chosen_sets(row: dict) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The rows of a block that stand for their nodes, and their sets."""
+    block, rows = Block(row), np.sort(np.array(row["rows"], np.int64))
+    if len(rows) == len(block.ids):
+        return rows, shingle_sets(block.data, block.at)
+    sizes = block.at[rows + 1] - block.at[rows]
+    data = np.concatenate([block.data[block.at[r] : block.at[r + 1]] for r in rows])
+    return rows, shingle_sets(data, np.concatenate([[0], np.cumsum(sizes)]))
 
-def _shared(prefixes: DataFrame) -> DataFrame:
-    """The postings of tokens that several nodes have, with the leader of the token, its smallest node by size.
 
-    Rows come sorted by token; runs are cut and passed on as they stream by, whatever their length.
-    """
-    names = ["token", "node", "n", "matches", "place", "lead", "lead_n", "lead_matches", "lead_place"]
+def _hashes(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate(_chosen_sets(row)[1]), return_counts=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # the row before, and whether it is the first of its run
-        lead = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            if last is not None:
-                cols = [np.concatenate([[x], c]) for x, c in zip(last, cols, strict=True)]
-            token, node = cols[0], cols[1]
-            same = np.zeros(len(token), bool)
-            same[1:] = (token[1:] == token[:-1]) & (node[1:] == node[:-1])
-            if last is not None:
-                same[0] = False
-            keep = ~same
-            cols = [c[keep] for c in cols]
-            token = cols[0]
-            new = np.ones(len(token), bool)
-            new[1:] = token[1:] != token[:-1]
-            heads = np.flatnonzero(new)
-            run_of = np.cumsum(new) - 1
-            leads = [cols[k][heads].copy() for k in (1, 2, 3, 4)]
-            carried = lead is not None and lead[0] == token[0]
-            if carried:
-                for k in range(4):
-                    leads[k][0] = lead[k + 1]
-            size = np.diff(np.append(heads, len(token)))
-            shared = (size > 1)[run_of]
-            # the row before was passed on already if its run had begun earlier
-            if last is not None and carried:
-                shared[run_of == 0] = size[0] > 1
-                if lead[5]:
-                    shared[0] = False
-            out = [c[shared] for c in cols] + [v[run_of][shared] for v in leads]
-            if len(out[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
-            end = len(heads) - 1
-            last = [c[-1] for c in cols]
-            lead = [token[-1], *(v[end] for v in leads), bool(size[end] > 1 or (end == 0 and carried and lead[5]))]
-
-    ordered = prefixes.repartition("token").sortWithinPartitions("token", "n", "node")
-    return ordered.mapInArrow(run, "token long, node long, n int, matches byte, place int, lead long, lead_n int, lead_matches byte, lead_place int")
-
-
-def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, tokens`` of the documents in ``wanted (key)`` and of some others: a filter of fixed size finds them again.
-
-    A node comes once from each task that has a document of it.
-    """
-
-    def bits(keys: pa.Array) -> np.ndarray:
-        return (mix64(keys.to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - 23)).astype(np.int64)
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(BLOOM, bool)
-        for batch in batches:
-            held[bits(batch.column(0))] = True
-        for k, part in _chunks(np.packbits(held)):
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], ["chunk", "part"])
 
-    spark = rows.sparkSession
-    packed = _gather(wanted.select("key").mapInArrow(fill, "chunk int, part binary"), np.uint8, BLOOM // 8, np.bitwise_or)
-    shared = spark.sparkContext.broadcast(packed)
+def _records(levelled: DataFrame) -> DataFrame:
+    """``node, n, matches, prefix, rest`` of each node that may have a partner: the tokens of its prefix and of its set that other nodes have too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = np.unpackbits(shared.value).astype(bool), set()
-        for batch in pieces(batches, "text"):
-            hit = held[bits(batch.column(2))]
-            if not hit.any():
-                continue
-            sets = {}
-            for t in shingle_sets(*text_buffer(batch.filter(pa.array(hit)).column(1))):
-                if len(t) and (node := print_of(t)) not in known:
-                    known.add(node)
-                    sets[node] = t
-            if sets:
-                at = np.concatenate([[0], np.cumsum([len(t) for t in sets.values()])]).astype(np.int32)
-                flat = np.concatenate(list(sets.values())).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["node", "tokens"])
-
-    return rows.mapInArrow(run, "node long, tokens array<long>")
-
-
-def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The links ``(a, b)`` among ``pairs (a, b, na, nb)``."""
-
-    def sets(side: str) -> DataFrame:
-        found = _sets(rows, pairs.select(F.col(side).alias("node")).distinct().join(classes, "node").select("key")).dropDuplicates(["node"])
-        return found.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
-
-    both = pairs.join(sets("b"), "b").join(sets("a"), "a")
-    common = F.size(F.array_intersect("ta", "tb"))
-    both = both.select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("sizes"))
-    return both.where(DEN * F.col("common") >= NUM * (F.col("sizes") - F.col("common"))).select("a", "b").distinct()
-
-
-def _fits(a: tuple[str, str, str], b: tuple[str, str, str]):
-    """Whether a shared token counts for a pair, from size, matches and place on either side.
-
-    A pair of these sizes at the threshold has an overlap of t / (1 + t) of their sum, so its l-th shared token stands no later than
-    n - overlap + l - 1 in either.
-    """
-    (na, ma, pa_), (nb, mb, pb) = (tuple(F.col(c) for c in x) for x in (a, b))
-    overlap = F.ceil(NUM * (na + nb) / (NUM + DEN))
-    slack = F.least(ma, mb) - 1 - overlap
-    return (DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)) & (pa_ <= na + slack) & (pb <= nb + slack)
-
-
-def _labelled(df: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
-    """``df`` with the component of a node; a node without links is its own."""
-    known = label.select(F.col("node").alias("labelled"), "component")
-    return df.join(known, F.col(node) == F.col("labelled"), "left").withColumn(name, F.coalesce("component", node)).drop("labelled", "component")
-
+        for row in rows_of(batches):
+            rows, sets = _chosen_sets(row)
+            values, levels = np.unique(np.concatenate(sets)), levels_of(row)
+            out = []
+            for r, s in zip(rows.tolist(), sets, strict=True):
+                seen = levels[np.searchsorted(values, s)]
+                rest = s[seen > 1]
+                if DEN * len(rest) < NUM * len(s):
+                    continue
+                order = np.lexsort((s, seen))
+                matches, length = prefix_of(seen[order])
+                prefix = order[:length][seen[order[:length]] > 1]
+                if len(prefix):
+                    out.append(((row["block"] << ROW_BITS) + r, len(s), matches, s[prefix].view(np.int64), rest.tobytes()))
+            if out:
+                at = np.concatenate([[0], np.cumsum([len(x[3]) for x in out])]).astype(np.int32)
+                prefixes = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([x[3] for x in out])))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()), prefixes, pa.array([x[4] for x in out], pa.binary())], ["node", "n", "matches", "prefix", "rest"])
+
+    return levelled.mapInArrow(run, "node long, n long, matches long, prefix array<long>, rest binary")
+
+
+def _common(tokens: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of the sets share, as a matrix."""
+    m = len(tokens)
+    row = np.repeat(np.arange(m), [len(t) for t in tokens])
+    _, column, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    shared = count > 1
+    keep = shared[column]
+    row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width, total = max(64, (1 << 22) // m), int(shared.sum())
+    kind = np.float32 if max(map(len, tokens)) < 1 << 24 else np.float64
+    out = np.zeros((m, m), kind)
+    for lo in range(0, total, width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        part = np.zeros((m, min(width, total - lo)), kind)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
+    return out
 
-def _star(rows: DataFrame, classes: DataFrame, led: DataFrame, tries: int = 1) -> DataFrame:
-    """The links of each node of ``led`` with the leaders that it shares most tokens with, ``tries`` of them.
 
-    Several leaders divide the tokens of a pair among them, so that each needs its part of the matches only.
-    """
-    met = led.groupBy("lead", "node").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("lead_n").alias("lead_n"), F.least(F.first("matches"), F.first("lead_matches")).alias("matches"))
-    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "lead"))
-    best = met.where(F.lit(tries) * F.col("shared") >= F.col("matches")).withColumn("nth", nth).where(F.col("nth") <= tries)
-    pairs = cut(best.select(F.col("lead").alias("a"), F.col("node").alias("b"), F.col("lead_n").alias("na"), F.col("n").alias("nb")))
-    return cut(_verified(rows, classes, pairs))
+def cluster_links(nodes: np.ndarray, n: np.ndarray, matches: np.ndarray, own: np.ndarray, prefixes: list[np.ndarray], rests: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the links between nodes of different ``own``."""
+    fits = (own[:, None] != own) & (DEN * np.minimum(n[:, None], n) >= NUM * np.maximum(n[:, None], n))
+    fits &= _common(prefixes) >= np.minimum(matches[:, None], matches)
+    use = np.flatnonzero(fits.any(axis=1))
+    if len(use) < 2:
+        return []
+    common = _common([rests[k] for k in use])
+    links = fits[np.ix_(use, use)] & (DEN * common >= NUM * (n[use][:, None] + n[use] - common))
+    label, out = np.arange(len(use)), []
+    for r in np.flatnonzero(links.any(axis=1)):
+        met = np.flatnonzero(links[r])
+        names, first = np.unique(label[met], return_index=True)
+        other = names != label[r]
+        out += [(int(nodes[use[r]]), int(nodes[use[met[k]]])) for k in first[other]]
+        if other.any():
+            least = min(label[r], names[0])
+            label[np.isin(label, names) | (label == label[r])] = least
+    return out
 
 
-def _led(open_: DataFrame, seeds) -> DataFrame:
-    """Postings with leaders of their token: for each seed the node that comes first in an order of its own."""
-    lead = [F.min_by(F.struct("node", "n", "matches", "place", "own"), F.xxhash64("node", F.lit(k))) for k in seeds]
-    leads = open_.groupBy("token").agg(F.array(*lead).alias("l")).select("token", F.explode(F.array_distinct("l")).alias("l"))
-    return open_.join(leads.select("token", *(F.col(f"l.{c}").alias("lead" if c == "node" else f"lead_{c}") for c in ("node", "n", "matches", "place", "own"))), "token")
+def _forests(members: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` within each group of ``cluster, node, n, matches, prefix, rest, own``."""
 
+    def solved(held: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        if sum(b.num_rows for b in held) < 2:
+            return []
+        nodes, n, matches, own = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (1, 2, 3, 6))
+        prefixes = [x.values.to_numpy().view(np.uint64) for b in held for x in b.column(4)]
+        rests = [np.frombuffer(x.as_py(), np.uint64) for b in held for x in b.column(5)]
+        return cluster_links(nodes, n, matches, own, prefixes, rests)
 
-def _merge(label: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labels after more links, and the components that changed, as ``old, new``."""
-    edges = _labelled(_labelled(links, label, "a", "ca"), label, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
-    merged = connected_components(edges).select(F.col("node").alias("old"), F.col("component").alias("new"))
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(label, "node", "left_anti").withColumn("component", F.col("node"))
-    known = label.unionByName(ends).join(merged, F.col("component") == F.col("old"), "left")
-    return cut(known.select("node", F.coalesce("new", "component").alias("component"))), merged
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            found, clusters = [], batch.column(0).to_numpy()
+            heads = np.flatnonzero(np.diff(clusters, prepend=clusters[:1] - 1)) if len(clusters) else []
+            for a, b in zip(heads, np.append(heads[1:], len(clusters)), strict=True) if len(clusters) else ():
+                if clusters[a] != key:
+                    found += solved(held)
+                    held, key = [], clusters[a]
+                held.append(batch.slice(a, b - a))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        if found := solved(held):
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    ordered = members.select("cluster", "node", "n", "matches", "prefix", "rest", "own").repartition("cluster").sortWithinPartitions("cluster")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def _parts(count: Column, size: Column, nodes: int, bytes_: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(count / nodes), F.ceil(size / bytes_))
+
+
+def _links(records: DataFrame, most: int, most_bytes: int) -> DataFrame:
+    """The links that make the components, ``(a, b)`` by node."""
+    postings = records.select("node", F.explode("prefix").alias("token"))
+    leads = postings.groupBy("token").agg(F.min("node").alias("lead"), F.count("*").alias("c")).where("c > 1").select("token", "lead")
+    members = cut(postings.join(leads, "token").select("lead", "node").distinct())
+    sized = members.join(records.select("node", (F.octet_length("rest") + 8 * F.size("prefix")).alias("size")), "node")
+    clusters = sized.groupBy("lead").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    clusters = cut(clusters.select("lead", _parts(F.col("c"), F.col("s"), most, most_bytes).alias("parts")))
+    part = F.when(F.col("lead") == F.col("node"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "parts")))
+    placed = members.join(clusters, "lead").select("lead", "node", F.explode(part).alias("part"))
+    first = placed.join(records, "node").withColumn("cluster", F.xxhash64("lead", "part")).withColumn("own", F.col("node"))
+    links = cut(_forests(first))
+    large = clusters.where("parts > 1").select("lead")
+    if large.isEmpty():
+        return links
+
+    # chunks of large clusters: those of one component each, and those of what is left
+    label = connected_components(links).withColumnRenamed("component", "known")
+    crowd = sized.join(large, "lead").join(label, "node", "left").select("lead", "node", "size", F.coalesce("known", "node").alias("own"))
+    crowd = cut(crowd)
+    by = crowd.groupBy("lead", "own").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    by = by.withColumn("alone", (F.col("c") * 4 >= most) | (F.col("s") * 4 >= most_bytes))
+    kind = F.when(F.col("alone"), F.col("own")).otherwise(F.lit(-1))
+    named = by.select("lead", "own", kind.alias("kind"))
+    chunks = by.groupBy("lead", kind.alias("kind")).agg(F.sum("c").alias("c"), F.sum("s").alias("s"))
+    chunks = chunks.select("lead", "kind", _parts(F.col("c"), F.col("s"), most // 2, most_bytes // 2).alias("parts"))
+    each = cut(chunks.select("lead", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+    left, right = (each.select("lead", F.struct("kind", "part").alias(side)) for side in "xy")
+    pairs = left.join(right, "lead").where("x.kind < y.kind or (x.kind = -1 and y.kind = -1 and x.part <= y.part)")
+    tiles = pairs.select("lead", F.xxhash64("lead", "x", "y").alias("cluster"), F.explode(F.array_distinct(F.array("x", "y"))).alias("c")).select("lead", "cluster", "c.kind", "c.part")
+    crowd = crowd.join(named, ["lead", "own"]).join(chunks, ["lead", "kind"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    tiled = crowd.select("lead", "kind", "part", "node", "own").join(tiles, ["lead", "kind", "part"]).select("cluster", "node", "own").join(records, "node")
+    return cut(links.unionByName(_forests(tiled)))
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
@@ -331,74 +311,32 @@ def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, most: int, most_bytes: int) -> DataFrame:
     """``doc_id, key, n_shingles, component, component_id`` for every document; ``component`` is a node, so groups of one id stay apart."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), _key(docs, id_col, text_col).alias("key"))
-    first = scratch.table(_fingerprints(rows))
-    counts = _gather(first.where("chunk is not null"), np.uint32, CELLS, np.add)
-    prints = first.where("chunk is null").select("doc_id", "key", "n", "node")
-    sketch = spark.sparkContext.broadcast(counts)
-    mean = float(counts.mean())
-    postings = scratch.table(_shared(_prefixes(rows, sketch, mean + 3 * mean**0.5 + 1)))
-    classes = cut(prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("key")))
-
-    # each node against the leader with which it shares most prefix tokens
-    near = postings.where("node <> lead").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
-    links = _star(rows, classes, near)
-    label = connected_components(links)
-    apart = _labelled(_labelled(postings.where("node <> lead").select("lead", "node").distinct(), label, "lead", "lead_component"), label, "node", "own")
-    tokens = postings.join(apart.where("own <> lead_component").select("lead", "node"), ["lead", "node"], "left_semi").select("token").distinct()
-    open_ = _labelled(postings.join(tokens, "token", "left_semi").select("token", "node", "n", "matches", "place"), label, "node", "own")
-    open_ = scratch.table(open_)
-
-    # again with other leaders, while postings have many more pairs across components than rows
-    last = float("inf")
-    for round_ in range(ROUNDS):
-        by = open_.groupBy("token", "own").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        pairs, size = by.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0))).first()
-        if pairs <= 4 * size or pairs > 0.8 * last:
-            break
-        last = pairs
-        led = _led(open_, range(round_ * LEADERS, (round_ + 1) * LEADERS)).where("own <> lead_own").where(_fits(("n", "matches", "place"), ("lead_n", "lead_matches", "lead_place")))
-        more = _star(rows, classes, led, LEADERS)
-        if more.isEmpty():
-            break
-        label, merged = _merge(label, more)
-        open_ = open_.join(merged, open_.own == merged.old, "left").withColumn("own", F.coalesce("new", "own")).drop("old", "new")
-        tokens = open_.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("token")
-        open_ = scratch.table(open_.join(tokens, "token", "left_semi"))
-
-    # what is left: all pairs across components. The smaller of a pair has its token early, and of two nodes in different components
-    # one is outside the leader's
-    open_ = scratch.table(_led(open_, [0]).withColumn("led", F.col("own") == F.col("lead_own")))
-    early = F.col("place") < F.col("n") - F.ceil(2 * NUM * F.col("n") / (NUM + DEN)) + F.col("matches")
-    small = open_.where(early).select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "matches", "place", "own", "led")))
-    large = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "matches", "place", "own", "led")))
-    sized = "own_a <> own_b and (n_a < n_b or (n_a = n_b and node_a < node_b))"
-    fits = _fits(("n_a", "matches_a", "place_a"), ("n_b", "matches_b", "place_b"))
-    parts = [s.join(g, "token").where(sized).where(fits) for s, g in ((small.where("not led_a"), large), (small.where("led_a"), large.where("not led_b")))]
-    cross = parts[0].unionByName(parts[1]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("matches_a").alias("ma"), F.col("matches_b").alias("mb"))
-    pair = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    cross = cross.groupBy(pair.alias("pair")).agg(F.count("*").alias("shared"), F.first(F.least("ma", "mb")).alias("matches"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    cross = cut(cross.where("shared >= matches").select("pair.a", "pair.b", "na", "nb"))
-    if not cross.isEmpty():
-        more = cut(_verified(rows, classes, cross))
-        if not more.isEmpty():
-            label, _ = _merge(label, more)
-    named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    blocks = scratch.bucketed(pack(rows, _facts, ("n", "first", "second")), buckets_of(rows, "text"), "block")
+    prints = _documents(blocks)
+    classes = cut(prints.where("n > 0").groupBy("first", "second").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
+    tokens = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    row = F.col("node").bitwiseAND((1 << ROW_BITS) - 1).cast("int")
+    chosen = classes.groupBy(F.shiftright("node", ROW_BITS).alias("block")).agg(F.collect_list(row).alias("rows"))
+    own = blocks.drop("n", "first", "second").join(chosen.hint("shuffle_hash"), "block")
+    levelled = own.join(tally(own, _hashes, range_bits(tokens)).hint("shuffle_hash"), "block")
+    records = scratch.table(_records(levelled))
+    label = connected_components(_links(records, most, most_bytes))
+    named = classes.join(label, "node", "left").select("first", "second", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select("node", "component", "component_id")
-    out = prints.join(named, "node", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = cut(out)
+    named = named.join(least, "component").select("first", "second", "component", "component_id")
+    out = prints.join(named, ["first", "second"], "left")
+    out = cut(out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", F.lit(-1)).alias("component"), F.coalesce("component_id", "doc_id").alias("component_id")))
     scratch.clear()
     return out
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = CLUSTER, most_bytes: int = CLUSTER_BYTES) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document."""
-    return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+    return _grouped(docs, id_col, text_col, most, most_bytes).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -406,7 +344,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Where several documents of a group share that id, hashes of their text and columns choose, whatever the partitions.
     """
-    keep = _grouped(docs, id_col, text_col).where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"), "component").agg(F.min("key").alias("kept_key")).drop("component")
+    groups = _grouped(docs, id_col, text_col, CLUSTER, CLUSTER_BYTES)
+    keep = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"), "component").agg(F.min("key").alias("kept_key")).drop("component")
     kept = docs.join(keep, (docs[id_col] == keep.kept_id) & (_key(docs, id_col, text_col) == keep.kept_key))
     order = F.xxhash64(*(docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
     nth = F.row_number().over(Window.partitionBy("kept_id", "kept_key").orderBy(order))

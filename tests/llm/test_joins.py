@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
-from corpusloom.llm import embeddings, jaccard, rindex, substrings
-from corpusloom.llm.common import connected_components
+from corpusloom.llm import blocks, embeddings, jaccard, rindex, substrings
+from corpusloom.llm.common import connected_components, text_buffer
 
 
 def documents(spark, rows, kind="doc_id long, text string"):
@@ -89,10 +90,41 @@ def test_one_of_each_shared_ids(spark):
     assert len(seen) == 1
 
 
+def test_jaccard_long_texts():
+    """Texts hashed in parts, with words and shingles across their ends, have the sets of texts hashed at once."""
+    rng = random.Random(8)
+    texts = [" ".join("x" * rng.randint(1, 40) + str(rng.randrange(9)) for _ in range(n)) for n in (0, 1, 3, 4, 5, 6, 60, 300)] + ["y" * 700, "  a b" + " " * 500 + "c d e f"]
+    data, at = text_buffer(pa.array(texts))
+    whole = jaccard.shingle_sets(data, at)
+    for most in (1, 7, 64, 200, 1000):
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, jaccard.shingle_sets(data, at, most), strict=True))
+
+
+@pytest.mark.parametrize("most", [3, 12])
+def test_jaccard_cut_clusters(spark, most):
+    """Clusters larger than one task takes lose no link, whatever their components."""
+    rng = random.Random(21)
+    rows = []
+    for g in range(3):
+        base = plain.prose(rng, 60).split()
+        for k in range(25):
+            w = list(base)
+            for at in rng.sample(range(60), 1 + k % 3):
+                w[at] = f"z{rng.randrange(5)}"
+            rows.append((100 * g + k, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(spark, rows), most=most).collect()}
+    assert got == plain.jaccard_components(rows)
+
+
+def test_levels_grow_with_counts():
+    counts = np.arange(1, 5000)
+    assert (np.diff(blocks.level(counts).astype(int)) >= 0).all() and (blocks.COUNTS[blocks.level(counts)] <= counts).all()
+
+
 def test_prefix_rule():
     """The matches asked for never exceed the overlap that the threshold guarantees."""
     for n in range(1, 60):
-        l, length = jaccard.prefix_of(np.arange(n, dtype=np.uint64), np.full(n, 50.0), 1.0)
+        l, length = jaccard.prefix_of(np.full(n, 50, np.uint8))
         need = -(-3 * n // 4)
         assert 1 <= l <= need and length == n - need + l <= n
 
