@@ -40,10 +40,14 @@ class Block:
         self.known = np.frombuffer(row["known"], bool)
 
 
-def buckets_of(rows: DataFrame, text_col: str) -> int:
-    """How many buckets a table of blocks of these texts gets, about 16 MB of text each."""
+def buckets_of(rows: DataFrame, text_col: str) -> tuple[int, int]:
+    """How many buckets a table of blocks of these texts gets, about 16 MB of text each, and the bytes of all texts.
+
+    With fewer buckets than partitions of a shuffle, a join would shuffle the table.
+    """
     total = rows.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    return max(8, min(32768, -(-total // (16 << 20))))
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(32768, -(-total // (16 << 20)))), total
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -64,7 +68,7 @@ def pack(rows: DataFrame, facts: Callable[[np.ndarray, np.ndarray], list[np.ndar
     """Blocks of about ``BLOCK_BYTES`` of ``doc_id, key, text``, and the arrays of ``facts`` about their texts.
 
     With ``part``, longer texts come as several rows, each with the ``overlap`` bytes that follow it; they share a key of
-    their own, which takes the place of the given one.
+    their own, which takes the place of the given one, and other texts have the key -1.
     """
 
     def units(batches: Iterator[pa.RecordBatch]):
@@ -74,14 +78,14 @@ def pack(rows: DataFrame, facts: Callable[[np.ndarray, np.ndarray], list[np.ndar
             data, at = text_buffer(batch.column(2))
             ids, known = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             size = batch.num_rows
-            keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) if part is None else nth + np.arange(size)
+            keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) if part is None else np.full(size, -1)
             nth += size
             if part is None or size > 1 or len(data) <= part + overlap:
                 yield ids, known, keys, np.zeros(size, np.int64), data, np.diff(at)
                 continue
             for lo in range(0, len(data) - overlap, part):
                 piece = data[lo : lo + part + overlap]
-                yield ids, known, keys, np.array([lo]), piece, np.array([len(piece)])
+                yield ids, known, np.array([nth]), np.array([lo]), piece, np.array([len(piece)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 20, [], 0

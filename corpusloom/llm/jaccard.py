@@ -315,7 +315,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, most: int, most_bytes:
     """``doc_id, key, n_shingles, component, component_id`` for every document; ``component`` is a node, so groups of one id stay apart."""
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), _key(docs, id_col, text_col).alias("key"))
-    blocks = scratch.bucketed(pack(rows, _facts, ("n", "first", "second")), buckets_of(rows, "text"), "block")
+    blocks = scratch.bucketed(pack(rows, _facts, ("n", "first", "second")), buckets_of(rows, "text")[0], "block")
     prints = _documents(blocks)
     classes = cut(prints.where("n > 0").groupBy("first", "second").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
     tokens = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -4,14 +4,15 @@ A byte goes if a string of ``WIDTH`` bytes that covers it also starts in a docum
 cannot be spread over machines, so the corpus is first split by content. Every window of ``WIDTH`` bytes has an
 anchor, the smallest hash of its ``GRAM``-byte grams; equal windows have equal anchors. Windows in a row with the same anchor form a segment.
 
-1. Documents are packed into compressed blocks, written once to a table bucketed by block, so that later steps join it in place.
-2. Each block sends its distinct anchors, by hash range; those that occur in two documents come back as flags.
-3. Each block sends the segments of flagged anchors by hash range. Copies within a block stay behind: all but those of the smallest id are
+1. Documents are packed into compressed blocks, in a table bucketed by block, so that later steps join it in place; texts
+   beyond ``PART`` bytes come in parts that overlap by a window.
+2. Blocks tally their anchors (``blocks.tally``); those that occur in two documents matter.
+3. Each block sends the segments of such anchors by hash range. Copies within a block stay behind: all but those of the smallest id are
    covered in full. An anchor found in more than ``hot`` blocks is split, each of its windows going by its own hash.
-4. For each range, equal segments become one string with its smallest id. Strings that share their anchor with others are built into a run-length
-   index (a run-compressed Burrows-Wheeler transform with samples at the ends of repeated stretches) and streamed against it;
-   matches of ``WIDTH`` bytes with a smaller owner are marked. The number of ranges grows with the bytes.
-5. Marks return to the blocks, where what is left of each document is hashed.
+4. For each range, equal segments become one string with its smallest id. Strings that share their anchor with others are built into run-length
+   indexes (a run-compressed Burrows-Wheeler transform with samples at the ends of repeated stretches) and streamed against them;
+   matches of ``WIDTH`` bytes with a smaller owner are marked. The number of ranges grows with the bytes, without a bound.
+5. Marks return to the blocks, where what is left of each document is hashed. The parts of a long text are stitched in order, a part at a time.
 
 Defined cases: null text is empty; documents shorter than ``WIDTH`` keep all; equal ids do not remove from each other, so repeated rows
 keep what no smaller id has; null ids neither remove nor lose bytes; an empty table gives an empty result; other columns are not read.
@@ -24,21 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import Scratch, mix64, pieces, powers, text_buffer
+from corpusloom.llm.blocks import Block, buckets_of, expanded, level, levels_of, pack, range_bits, range_of, rows_of, squeezed, tally
+from corpusloom.llm.common import Scratch, mix64, powers
 from corpusloom.llm.rindex import RunIndex
 
 WIDTH = 50
 GRAM = 24
 CHUNK = 1 << 17
-BLOCK_BYTES = 1 << 20
+PART = 1 << 19  # bytes of a text that make a part
 RANGE_BYTES = 2 << 20  # of text for one hash range
 INDEX_BYTES = 1 << 18  # of strings in one index, but for a single anchor
-MOST_RANGES = 4096
 LONGEST = 64  # windows in a segment
 HOT = 1024  # blocks
 
@@ -101,175 +100,104 @@ def segments(data: np.ndarray, at: np.ndarray, usable: np.ndarray) -> tuple[np.n
     return start, np.minimum(size, LONGEST), low[start]
 
 
-def _range_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+def _anchored(row: dict) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
+    """A block with place, number of windows and anchor of its segments."""
+    block = Block(row)
+    return block, *segments(block.data, block.at, block.known)
 
 
-def pack(rows: DataFrame) -> DataFrame:
-    """``block, ids, known, sizes, bytes, text``: documents in blocks of about ``BLOCK_BYTES``, the text compressed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze, nth = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
-        held: list[tuple[pa.RecordBatch, bytes, np.ndarray]] = []
-
-        def emit() -> pa.RecordBatch:
-            ids = pa.concat_arrays([b.column(0) for b, _, _ in held])
-            text = b"".join(t for _, t, _ in held)
-            values = [nth, ids.fill_null(0).to_numpy().astype(np.int64).tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), np.concatenate([s for _, _, s in held]).tobytes(), len(text), squeeze.compress(text)]
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["block", "ids", "known", "sizes", "bytes", "text"])
-
-        for batch in pieces(batches, "text", BLOCK_BYTES // 2):
-            data, at = text_buffer(batch.column(1))
-            held.append((batch, data.tobytes(), np.diff(at)))
-            if sum(len(t) for _, t, _ in held) >= BLOCK_BYTES // 2 or sum(b.num_rows for b, _, _ in held) >= 1 << 16:
-                yield emit()
-                held, nth = [], nth + 1
-        if held:
-            yield emit()
-
-    return rows.mapInArrow(run, "block long, ids binary, known binary, sizes binary, bytes long, text binary")
-
-
-def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, offsets, ids and which ids are known."""
-    text = zstandard.ZstdDecompressor().decompress(row["text"], max_output_size=row["bytes"] or 1) if row["bytes"] else b""
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    return np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool)
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
-
-
-def _distinct(start: np.ndarray, anchor: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted distinct anchors of a block, whether two of its documents have them, and the place of each segment's anchor among them."""
+def _hashes(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct anchors of a block, counted once or, where two of its rows have them, twice."""
+    block, start, _, anchor = _anchored(row)
     values, inverse = np.unique(anchor, return_inverse=True)
-    doc = np.searchsorted(at, start, "right") - 1
-    low, high = np.full(len(values), len(at)), np.full(len(values), -1)
+    doc = np.searchsorted(block.at, start, "right") - 1
+    low, high = np.full(len(values), len(block.at)), np.full(len(values), -1)
     np.minimum.at(low, inverse, doc)
     np.maximum.at(high, inverse, doc)
-    return values, low < high, inverse
-
-
-def _short(values: np.ndarray) -> bytes:
-    """The upper six bytes of each hash: enough for flags, which only have to miss nothing."""
-    return (values >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _send_anchors(blocks: DataFrame, bits: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            data, at, _, known = unpack(row)
-            start, _, anchor = segments(data, at, known)
-            values, twice, _ = _distinct(start, anchor, at)
-            bucket = _range_of(values, bits)
-            cut_at = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(cut_at[1:], len(values))
-            if len(cut_at):
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut_at]), pa.array(np.full(len(cut_at), row["block"])), pa.array([_short(values[a:b]) for a, b in zip(cut_at, ends, strict=True)], pa.binary()), pa.array([np.packbits(twice[a:b]).tobytes() for a, b in zip(cut_at, ends, strict=True)], pa.binary())], ["bucket", "block", "anchors", "twice"])
-
-    return blocks.mapInArrow(run, "bucket long, block long, anchors binary, twice binary")
-
-
-def _flag(table: pa.Table, hot: int) -> pa.Table:
-    """For one hash range, the flags of each block's anchors: repeated, and hot."""
-    parts = []
-    for x in table["anchors"].to_pylist():
-        wide = np.zeros((len(x) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        parts.append(wide.view(np.uint64).ravel())
-    twice = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8))[: len(p)] for x, p in zip(table["twice"].to_pylist(), parts, strict=True)])
-    _, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-    repeated = np.bincount(inverse, weights=twice) + (count > 1) > 0
-    flags = repeated[inverse].astype(np.uint8), (count > hot)[inverse].astype(np.uint8)
-    ends = np.cumsum([len(p) for p in parts])
-    out = [np.concatenate([np.packbits(f[e - len(p) : e]) for f in flags]).tobytes() for p, e in zip(parts, ends, strict=True)]
-    return pa.table({"block": table["block"], "bucket": table["bucket"], "size": pa.array([len(p) for p in parts], pa.int64()), "flags": pa.array(out, pa.binary())})
+    return values, 1 + (low < high)
 
 
 SENT = "bucket long, block long, copies binary, copy_windows binary, places binary, windows binary, owners binary, anchors binary, text binary"
 
 
-def _send_segments(flagged: DataFrame, bits: int) -> DataFrame:
-    """Segments of repeated anchors by hash range, their text compressed, with the places that copies within a block cover."""
+def _send_segments(levelled: DataFrame, bits: int, hot: int) -> DataFrame:
+    """Segments of repeated anchors by hash range, with the places that copies within a block cover."""
     names = [x.split()[0] for x in SENT.split(", ")]
+    crowded = int(level(np.array(2 * hot)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for row in _rows(batches):
-            data, at, ids, known = unpack(row)
-            start, size, anchor = segments(data, at, known)
-            values, _, inverse = _distinct(start, anchor, at)
-            repeated, hot = np.zeros(len(values), bool), np.zeros(len(values), bool)
-            place = 0
-            for f in sorted(row["flags"], key=lambda f: f["bucket"]):
-                n = f["size"]
-                bits_ = np.frombuffer(f["flags"], np.uint8)
-                half = len(bits_) // 2
-                repeated[place : place + n] = np.unpackbits(bits_[:half])[:n]
-                hot[place : place + n] = np.unpackbits(bits_[half:])[:n]
-                place += n
-            keep = repeated[inverse]
-            start, size, anchor, hot = start[keep], size[keep], anchor[keep], hot[inverse][keep]
-            if hot.any():  # each window of a hot anchor by its own hash
-                n = np.where(hot, size, 1)
+        for row in rows_of(batches):
+            block, start, size, anchor = _anchored(row)
+            values, inverse = np.unique(anchor, return_inverse=True)
+            seen = levels_of(row)[inverse]
+            keep = seen > 1
+            start, size, anchor, many = start[keep], size[keep], anchor[keep], seen[keep] > crowded
+            if many.any():  # each window of a hot anchor by its own hash
+                n = np.where(many, size, 1)
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                hot = np.repeat(hot, n)
-                start, size, anchor = np.repeat(start, n) + nth, np.where(hot, 1, np.repeat(size, n)), np.repeat(anchor, n)
-                anchor = np.where(hot, window_hashes(data)[start], anchor)
+                many = np.repeat(many, n)
+                start, size, anchor = np.repeat(start, n) + nth, np.where(many, 1, np.repeat(size, n)), np.repeat(anchor, n)
+                anchor = np.where(many, window_hashes(block.data)[start], anchor)
             if not len(start):
                 continue
-            owner = ids[np.searchsorted(at, start, "right") - 1]
-            first, second = contents(data, start, size + WIDTH - 1)
+            owner = block.ids[np.searchsorted(block.at, start, "right") - 1]
+            first, second = contents(block.data, start, size + WIDTH - 1)
             order = np.lexsort((owner, second, first))
             new = np.ones(len(order), bool)
             new[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
             lowest = owner[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
             copy = np.zeros(len(order), bool)
             copy[order] = owner[order] > lowest
-            bucket = _range_of(anchor, bits)
+            bucket = range_of(anchor, bits)
             order = np.argsort(bucket, kind="stable")
             heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
                 o = order[a:b]
                 c, o = o[copy[o]], o[~copy[o]]
-                text = b"".join(data[s : s + w + WIDTH - 1].tobytes() for s, w in zip(start[o].tolist(), size[o].tolist(), strict=True))
-                values = (int(bucket[order[a]]), row["block"], start[c].astype(np.int32).tobytes(), size[c].astype(np.uint8).tobytes(), start[o].astype(np.int32).tobytes(), size[o].astype(np.uint8).tobytes(), owner[o].tobytes(), anchor[o].tobytes(), squeeze.compress(text))
+                text = np.concatenate([block.data[s : s + w + WIDTH - 1] for s, w in zip(start[o].tolist(), size[o].tolist(), strict=True)]) if len(o) else block.data[:0]
+                values = (int(bucket[order[a]]), row["block"], squeezed(start[c].astype(np.int32)), squeezed(size[c].astype(np.uint8)), squeezed(start[o].astype(np.int32)), squeezed(size[o].astype(np.uint8)), squeezed(owner[o]), anchor[o].tobytes(), squeezed(text))
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _KINDS, strict=True)], names)
 
-    return flagged.mapInArrow(run, SENT)
+    return levelled.mapInArrow(run, SENT)
 
 
 _KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 7]
 
 
 def contents(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of hash of each stretch, in two words."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    first = mix64((sums[start + length] - sums[start]) * down[start] ^ length.astype(np.uint64))
-    square = (data.astype(np.uint64) + np.uint64(3)) * np.uint64(0xBF58476D1CE4E5B9)
-    square ^= square >> np.uint64(31)
-    np.cumsum(square * up[:-1], out=sums[1:])
-    return first, mix64((sums[start + length] - sums[start]) * down[start] ^ length.astype(np.uint64))
+    """128 bits of hash of each stretch, in two words; stretches begin in ascending order, and are hashed a chunk at a time."""
+    first, second = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
+    row = 0
+    while row < len(start):
+        base = int(start[row])
+        stop = max(row + 1, int(np.searchsorted(start, base + CHUNK, "right")))
+        a, n = start[row:stop] - base, length[row:stop]
+        part = data[base : base + int((a + n).max())].astype(np.uint64)
+        up, down = powers(len(part) + 1)
+        square = (part + np.uint64(3)) * np.uint64(0xBF58476D1CE4E5B9)
+        square ^= square >> np.uint64(31)
+        for out, values in ((first, part + np.uint64(1)), (second, square)):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(values * up[: len(part)], out=sums[1:])
+            out[row:stop] = mix64((sums[a + n] - sums[a]) * down[a] ^ n.astype(np.uint64))
+        row = stop
+    return first, second
 
 
 def _search(table: pa.Table) -> pa.Table:
     """For one hash range, the places to mark in each block."""
-    column = {name: table[name].to_pylist() for name in ("block", "places", "windows", "owners", "anchors", "text")}
-    expand = zstandard.ZstdDecompressor()
-    column["text"] = [expand.decompress(x) if w else b"" for x, w in zip(column["text"], column["windows"], strict=True)]
-    size = [np.frombuffer(x, np.uint8).astype(np.int64) for x in column["windows"]]
-    block = np.repeat(np.array(column["block"], np.int64), [len(s) for s in size])
-    place = np.concatenate([np.frombuffer(x, np.int32) for x in column["places"]]).astype(np.int64)
-    size = np.concatenate(size)
-    owner = np.concatenate([np.frombuffer(x, np.int64) for x in column["owners"]])
-    anchor = np.concatenate([np.frombuffer(x, np.uint64) for x in column["anchors"]])
-    data = np.frombuffer(b"".join(column["text"]), np.uint8)
+
+    def whole(name: str, dtype) -> list[np.ndarray]:
+        return [expanded(x.as_py(), dtype) for x in table[name]]
+
+    sent = table["block"].to_numpy()
+    size = whole("windows", np.uint8)
+    block = np.repeat(sent, [len(s) for s in size])
+    size = np.concatenate(size).astype(np.int64)
+    place = np.concatenate(whole("places", np.int32)).astype(np.int64)
+    owner = np.concatenate(whole("owners", np.int64))
+    anchor = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["anchors"]])
+    data = np.concatenate(whole("text", np.uint8))
     length = size + WIDTH - 1
     begin = np.cumsum(length) - length
     first, second = contents(data, begin, length)
@@ -281,9 +209,9 @@ def _search(table: pa.Table) -> pa.Table:
     head = order[change]  # of each distinct string, the segment with the smallest owner
     copy = owner > owner[head][string]
     marks = [(np.flatnonzero(copy), np.zeros(int(copy.sum()), np.int64), size[copy])]
-    near = [np.frombuffer(x, np.int32) for x in table["copies"].to_pylist()]  # copies that stayed behind in their blocks
-    near_block = np.repeat(np.array(column["block"], np.int64), [len(x) for x in near])
-    near_place, near_size = np.concatenate(near).astype(np.int64), np.concatenate([np.frombuffer(x, np.uint8) for x in table["copy_windows"].to_pylist()]).astype(np.int64)
+    near = whole("copies", np.int32)  # copies that stayed behind in their blocks
+    near_block = np.repeat(sent, [len(x) for x in near])
+    near_place, near_size = np.concatenate(near).astype(np.int64), np.concatenate(whole("copy_windows", np.uint8)).astype(np.int64)
     # strings whose anchor other strings share
     other = np.zeros(len(head), bool)
     same = anchor[head[1:]] == anchor[head[:-1]]
@@ -320,47 +248,94 @@ def _search(table: pa.Table) -> pa.Table:
     where, spot, count = np.concatenate([block[seg], near_block]), np.concatenate([place[seg] + at, near_place]), np.concatenate([count, near_size])
     order = np.argsort(where, kind="stable")
     heads = np.flatnonzero(np.diff(where[order], prepend=-1))
-    out = [(int(where[order[a]]), spot[order[a:b]].astype(np.int32).tobytes(), count[order[a:b]].astype(np.uint8).tobytes()) for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True)]
+    out = [(int(where[order[a]]), squeezed(spot[order[a:b]].astype(np.int32)), squeezed(count[order[a:b]].astype(np.uint8))) for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True)]
     return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "places": pa.array([x[1] for x in out], pa.binary()), "windows": pa.array([x[2] for x in out], pa.binary())})
 
 
 def _remains(marked: DataFrame) -> DataFrame:
+    """What is left of each row of the blocks; rows of one part of a long text carry its key, their place and their bytes."""
+    names = ["doc_id", "key", "place", "n_bytes", "n_removed", "n_spans", "kept_sha256", "edges", "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            data, at, ids, known = unpack(row)
-            step = np.zeros(len(data) + 1, np.int32)
+        for row in rows_of(batches):
+            block = Block(row)
+            step = np.zeros(len(block.data) + 1, np.int32)
             for m in row["marks"] or []:
-                place, n = np.frombuffer(m["places"], np.int32).astype(np.int64), np.frombuffer(m["windows"], np.uint8).astype(np.int64)
+                place, n = expanded(m["places"], np.int32).astype(np.int64), expanded(m["windows"], np.uint8).astype(np.int64)
                 np.add.at(step, place, 1)
                 np.add.at(step, place + n + WIDTH - 1, -1)
             gone = np.cumsum(step)[:-1] > 0
             out = []
-            for r in range(len(at) - 1):
-                a, b = int(at[r]), int(at[r + 1])
-                g = gone[a:b]
-                kept = data[a:b][~g] if g.any() else data[a:b]
+            for r in range(len(block.ids)):
+                a, b = int(block.at[r]), int(block.at[r + 1])
+                g, part = gone[a:b], block.keys[r] >= 0
+                kept = block.data[a:b][~g] if g.any() else block.data[a:b]
                 edge = np.flatnonzero(np.diff(g.astype(np.int8), prepend=0, append=0))
-                out.append((b - a, int(g.sum()), len(edge) // 2, hashlib.sha256(kept.tobytes()).hexdigest(), edge.tolist()))
-            shown = pa.array(ids, pa.int64(), mask=~known)
-            yield pa.RecordBatch.from_arrays([shown, *(pa.array([o[k] for o in out], pa.int64()) for k in range(3)), pa.array([o[3] for o in out], pa.string()), pa.array([o[4] for o in out], pa.list_(pa.int64()))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "edges"])
+                out.append((b - a, int(g.sum()), len(edge) // 2, None if part else hashlib.sha256(kept.tobytes()).hexdigest(), edge.tolist(), squeezed(block.data[a:b]) if part else None))
+            columns = [pa.array(block.ids, pa.int64(), mask=~block.known), pa.array(block.keys, pa.int64(), mask=block.keys < 0), pa.array(block.offsets)]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds))], names)
 
-    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, edges array<long>")
+    return marked.mapInArrow(run, "doc_id long, key long, place long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, edges array<long>, text binary")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def _stitched(parts: DataFrame) -> DataFrame:
+    """Long texts from their parts, in order. The last bytes of a part wait for what the next one says of them."""
+
+    class Text:
+        def __init__(self, doc_id: int | None) -> None:
+            self.doc_id, self.kept, self.size, self.removed, self.edges = doc_id, hashlib.sha256(), 0, 0, []
+            self.tail, self.gone = np.zeros(0, np.uint8), np.zeros(0, bool)
+
+        def add(self, data: np.ndarray, gone: np.ndarray, last: bool = False) -> None:
+            gone[: len(self.gone)] |= self.gone
+            stop = len(data) if last else max(0, len(data) - WIDTH + 1)
+            self.kept.update(data[:stop][~gone[:stop]].tobytes())
+            before = len(self.edges) % 2
+            self.edges += (self.size + np.flatnonzero(np.diff(gone[:stop].astype(np.int8), prepend=before))).tolist()
+            self.size, self.removed = self.size + stop, self.removed + int(gone[:stop].sum())
+            self.tail, self.gone = data[stop:], gone[stop:]
+
+        def result(self) -> tuple:
+            self.add(self.tail, self.gone, True)
+            if len(self.edges) % 2:
+                self.edges.append(self.size)
+            return self.doc_id, self.size, self.removed, len(self.edges) // 2, self.kept.hexdigest(), self.edges
+
+    def batch_of(x: tuple) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(x, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "edges"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, text = None, None
+        for row in rows_of(batches):
+            if row["key"] != key:
+                if text is not None:
+                    yield batch_of(text.result())
+                key, text = row["key"], Text(row["doc_id"])
+            step = np.zeros(row["n_bytes"] + 1, np.int8)
+            step[row["edges"][::2]] = 1
+            step[row["edges"][1::2]] = -1
+            text.add(expanded(row["text"], np.uint8), np.cumsum(step)[:-1] > 0)
+        if text is not None:
+            yield batch_of(text.result())
+
+    ordered = parts.select("doc_id", "key", "place", "n_bytes", "edges", "text").repartition("key").sortWithinPartitions("key", "place")
+    return ordered.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, edges array<long>")
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, part: int = PART, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, edges`` for every document; ``edges`` are begin and end of each removed run."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(0, min(MOST_RANGES, -(-total // RANGE_BYTES)) - 1).bit_length()
-    blocks = scratch.bucketed(pack(rows), max(8, min(4096, -(-total // (16 * BLOCK_BYTES)))), "block")
-    sent = _send_anchors(blocks, bits)
-    flags = sent.groupBy("bucket").applyInArrow(lambda t: _flag(t, hot), "block long, bucket long, size long, flags binary")
-    flags = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "size", "flags")).alias("flags"))
-    flagged = blocks.join(flags.hint("shuffle_hash"), "block")
-    marks = _send_segments(flagged, bits).groupBy("bucket").applyInArrow(_search, "block long, places binary, windows binary")
+    scratch = Scratch(docs.sparkSession)
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.lit(0).cast("long").alias("key"), docs[text_col].cast("string").alias("text"))
+    buckets, total = buckets_of(rows, "text")
+    blocks = scratch.bucketed(pack(rows, part=part, overlap=WIDTH - 1), buckets, "block")
+    levels = tally(blocks, _hashes, range_bits(total // 12))
+    levelled = blocks.join(levels.hint("shuffle_hash"), "block")
+    bits = range_bits(total, range_bytes)
+    marks = _send_segments(levelled, bits, hot).groupBy("bucket").applyInArrow(_search, "block long, places binary, windows binary")
     marks = marks.groupBy("block").agg(F.collect_list(F.struct("places", "windows")).alias("marks"))
     out = scratch.table(_remains(blocks.join(marks.hint("shuffle_hash"), "block", "left")))
+    whole = out.where("key is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "edges")
     scratch.clear(keep=out)
-    return out
+    return whole.unionByName(_stitched(out.where("key is not null")))

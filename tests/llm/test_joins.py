@@ -177,6 +177,24 @@ def test_substrings_odd_tables(spark):
     assert got == {1: (0, 0), 2: (len(long), 1)}
 
 
+@pytest.mark.parametrize("part", [60, 97])
+def test_substrings_in_parts(spark, part):
+    """Texts that come in parts, searched in many ranges, lose what they lose in one piece."""
+    rows = substring_rows(12)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.repeated(documents(spark, rows), part=part, range_bytes=500).collect()), key=str)
+    assert got == sorted(plain.removed(rows), key=str)
+
+
+def test_substrings_long_text(spark):
+    """One text of 20 MB, and a passage in more blocks than ``hot``."""
+    rng = np.random.default_rng(5)
+    passage = bytes(rng.integers(97, 123, 400, np.uint8)).decode()
+    long = bytes(rng.integers(97, 123, 20 << 20, np.uint8)).decode()
+    rows = [(1, passage), (2, long[:700_000] + passage + long[700_000:]), (3, long[5_000_000:7_000_000]), (4, passage[50:]), (5, passage)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in substrings.repeated(documents(spark, rows), hot=1).collect()}
+    assert got == {1: (0, 0), 2: (400, 1), 3: (2_000_000, 1), 4: (350, 1), 5: (400, 1)}
+
+
 def vector_table(spark, vectors):
     return spark.createDataFrame([(i, v, 0) for i, v in vectors], "vec_id long, embedding array<float>, label int").repartition(3)
 
