@@ -77,6 +77,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def times(rows: DataFrame, count: str, nth: str, most: int = 1 << 12) -> DataFrame:
+    """Each row ``count`` times, numbered from 0 in the column ``nth``; in ranges, so that no list is longer than ``most``."""
+    zero, last = F.lit(0).cast("long"), F.col(count) - 1
+    ranges = rows.where(F.col(count) > 0).withColumn("first_", F.explode(F.sequence(zero, last, F.lit(most).cast("long"))))
+    return ranges.withColumn(nth, F.explode(F.sequence("first_", F.least(F.col("first_") + (most - 1), last)))).drop("first_")
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether the row stays out of training: crc32 of the id as text divides by ``folds``. Null ids train."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

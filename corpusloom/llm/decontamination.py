@@ -2,8 +2,8 @@
 
 Texts are compared as folded bytes: small letters, one space for any run of what is no letter or digit. A benchmark
 item is covered by windows of ``WINDOW`` bytes, half overlapping, the last one at its end (a shorter item is one window). A document leaks
-a window when a stretch of it is within k = floor(RATE * length) edits of it. Such a stretch shares at least
-length - Q + 1 - k * Q of the window's q-grams with it, on diagonals at most 2k apart. So q-grams are counted in bands of 2 * BAND diagonals
+a window when a stretch of it is within k edits of it, k = floor(RATE * length), but at most length // Q - 1. Such a stretch shares at least
+length - Q + 1 - k * Q of the window's q-grams with it (one or more, by that limit of k, which holds for lengths of 34 and 35 only), on diagonals at most 2k apart. So q-grams are counted in bands of 2 * BAND diagonals
 that overlap by half, bands below the bound are dropped, and what remains is aligned in its band.
 
 The benchmark is read in blocks of about ``block_bytes``; each block's q-gram index is broadcast and the documents
@@ -54,6 +54,11 @@ def fold(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return low[keep], total[at], keep
 
 
+def budget(size: np.ndarray) -> np.ndarray:
+    """The edits that a window of a size may differ by; its q-gram bound stays at one or more."""
+    return np.minimum((RATE * size).astype(np.int64), size // Q - 1)
+
+
 def gram_keys(text: np.ndarray) -> np.ndarray:
     """A 64-bit key of the 12 bytes at each position."""
     if len(text) < Q:
@@ -144,8 +149,8 @@ class Index:
         fresh[1:] |= offset[1:] != offset[:-1]
         heads = np.flatnonzero(new)
         shared = np.add.reduceat(fresh.astype(np.int64), heads)
-        k = (RATE * self.sizes[window[heads]]).astype(np.int64)
-        heads = heads[shared >= np.maximum(1, self.sizes[window[heads]] - Q + 1 - k * Q)]
+        size = self.sizes[window[heads]]
+        heads = heads[shared >= size - Q + 1 - budget(size) * Q]
         for lo in range(0, len(heads), 2048):
             h = heads[lo : lo + 2048]
             found += self._align(text, at, row[h], window[h], band[h] * BAND - WINDOW)
@@ -167,7 +172,7 @@ class Index:
             cost = np.where((i < size)[:, None], step, cost)
         edits = cost.min(axis=1).astype(np.int64)
         end = at[row] + diagonal - Q // 2 + size + cost.argmin(axis=1)
-        good = edits <= (RATE * size).astype(np.int64)
+        good = edits <= budget(size)
         return [(int(r), int(w), int(max(e - s, a)), int(min(e, z)), int(d)) for r, w, e, s, d, a, z in zip(row[good], window[good], end[good], size[good], edits[good], at[row][good], at[row + 1][good], strict=True)]
 
 

@@ -3,10 +3,11 @@
 Two unit vectors with cosine c or more lie within e = sqrt(2 - 2 c). Vectors are projected on leading principal directions and
 sorted by their grid cells of width e, dimension after dimension; the sequence is cut into blocks with the bounds of their projections.
 Sequence intervals are joined recursively: a pair of intervals whose bounds are further apart than e is skipped with all below it, any other
-is opened into the pairs of its parts, down to blocks. Pairs of blocks that remain are compared by a matrix product in
-single precision, and in double precision where that is close to the threshold.
+is opened into the pairs of its parts, down to blocks. The pairs of blocks that remain are dealt to tiles of ``TILE`` by ``TILE`` blocks, so that
+a block is sent once for each tile it has a partner in, not for each partner. They are compared by a matrix product in
+single precision, and in double precision where that is close to the threshold, as far as its rounding can reach.
 
-Equal vectors are one node with a count, so copies add to link counts but are not compared. A pair of blocks returns link counts
+Equal vectors (by 128 bits of hash) are one node with a count, so copies add to link counts but are not compared. A pair of blocks returns link counts
 and a spanning set of its links, never all of them.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different length
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import connected_components, cut
 
-BLOCK = 2048  # vectors in a block
+BLOCK = 2048  # vectors in a block, and
+BLOCK_BYTES = 1 << 20  # bytes of them, beyond which it holds fewer
+TILE = 8  # blocks on a side of a tile
 FAN = 8  # intervals in the interval above
 LEADING = 8  # principal directions that are looked at
 SLACK = 1e-6  # on distances, for rounding
@@ -62,7 +65,8 @@ def _principal(nodes: DataFrame, dim: int, leading: int) -> np.ndarray:
 
 def _blocks(nodes: DataFrame, directions: np.ndarray, epsilon: float, stored: str) -> DataFrame:
     """Blocks of the grid order: part, nth, bounds of the projections, ids, keys, counts and vectors."""
-    k = directions.shape[1]
+    dim, k = directions.shape
+    most = max(64, min(BLOCK, BLOCK_BYTES // (dim * (8 if stored == "double" else 4))))
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,11 +98,11 @@ def _blocks(nodes: DataFrame, directions: np.ndarray, epsilon: float, stored: st
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            while size >= BLOCK:
+            while size >= most:
                 table = pa.Table.from_batches(held)
-                yield emit(table.slice(0, BLOCK))
-                nth, size = nth + 1, size - BLOCK
-                held = table.slice(BLOCK).to_batches()
+                yield emit(table.slice(0, most))
+                nth, size = nth + 1, size - most
+                held = table.slice(most).to_batches()
         if size:
             yield emit(pa.Table.from_batches(held))
 
@@ -133,11 +137,12 @@ def _compare(a: tuple, b: tuple, same: bool, dim: int, dtype, threshold: float):
     xa /= np.linalg.norm(xa, axis=1)[:, None]
     xb /= np.linalg.norm(xb, axis=1)[:, None]
     fa, fb = xa.astype(np.float32), xb.astype(np.float32)
+    slack = 1e-5 + 2e-7 * dim  # a sum of products in single precision is off by less than its terms times their rounding
     rows, cols = [], []
     for lo in range(0, len(fa), 512):
         s = fa[lo : lo + 512] @ fb.T
-        r, c = np.nonzero(s >= threshold - 1e-4)
-        near = s[r, c] < threshold + 1e-4
+        r, c = np.nonzero(s >= threshold - slack)
+        near = s[r, c] < threshold + slack
         good = ~near
         for q in range(0, int(near.sum()), 65536):
             w = np.flatnonzero(near)[q : q + 65536]
@@ -177,20 +182,33 @@ def _near(nodes: DataFrame, dim: int, stored: str, threshold: float) -> DataFram
     before = F.coalesce(F.sum("blocks").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.join(first.select("part", before.alias("first")), "part").withColumn("at", F.col("first") + F.col("nth"))
     pairs = _interval_pairs(blocks, epsilon)
-    data = blocks.select("at", F.struct("ids", "keys", "counts", "vectors").alias("block"))
-    joined = pairs.join(data.select(F.col("at").alias("a"), F.col("block").alias("block_a")), "a").join(data.select(F.col("at").alias("b"), F.col("block").alias("block_b")), "b")
+    tile = F.floor(F.col("a") / TILE).alias("x"), F.floor(F.col("b") / TILE).alias("y")
+    pairs = pairs.select(*tile, "a", "b")
+    partners = pairs.groupBy("x", "y", F.col("a").alias("at")).agg(F.collect_list("b").alias("partners"))
+    asked = pairs.select("x", "y", F.explode(F.array("a", "b")).alias("at")).distinct().join(partners, ["x", "y", "at"], "left")
+    sent = asked.join(blocks.select("at", "ids", "keys", "counts", "vectors"), "at")
+    sent = sent.select("x", "y", "at", "partners", "ids", "keys", "counts", "vectors").repartition("x", "y").sortWithinPartitions("x", "y")
     dtype = np.float64 if stored == "double" else np.float32
 
+    def compared(held: dict) -> Iterator[pa.RecordBatch]:
+        for a, (partners, *block) in held.items():
+            for b in partners or []:
+                found = _compare(block, held[b][1:], a == b, dim, dtype, threshold)
+                if found is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["key", "links", "id", "root"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
-                a, b = (batch.column(k)[i].as_py() for k in ("block_a", "block_b"))
-                sides = [tuple(x[f] for f in ("ids", "keys", "counts", "vectors")) for x in (a, b)]
-                found = _compare(*sides, batch.column("a")[i].as_py() == batch.column("b")[i].as_py(), dim, dtype, threshold)
-                if found is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["key", "links", "id", "root"])
+                x, y, at, *rest = (column[i].as_py() for column in batch.columns)
+                if (x, y) != tile:
+                    yield from compared(held)
+                    tile, held = (x, y), {}
+                held[at] = rest
+        yield from compared(held)
 
-    return joined.repartition("a", "b").mapInArrow(run, "key long, links long, id long, root long")
+    return sent.mapInArrow(run, "key long, links long, id long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -199,9 +217,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast(f"array<{stored}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0)
-    rows = rows.withColumn("key", F.when(F.coalesce(usable, F.lit(False)), F.xxhash64("embedding", F.size("embedding"))))
-    nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    nodes = cut(nodes.withColumn("dim", F.size("embedding")))
+    usable = F.coalesce(usable, F.lit(False))
+    rows = rows.withColumns({"first": F.when(usable, F.xxhash64("embedding", F.size("embedding"))), "second": F.when(usable, F.xxhash64(F.lit(7), F.reverse("embedding")))})
+    nodes = rows.where("first is not null").groupBy("first", "second").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.any_value("embedding").alias("embedding"))
+    nodes = cut(nodes.withColumns({"dim": F.size("embedding"), "key": F.monotonically_increasing_id()}))
     dims = [r.dim for r in nodes.select("dim").distinct().collect()]
     parts = [_near(nodes.where(F.col("dim") == dim), dim, stored, threshold) for dim in sorted(dims)]
     if not parts:
@@ -210,7 +229,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     label = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     named = nodes.join(links, "key", "left").join(label, nodes.id == label.node, "left")
-    named = named.select("key", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
-    out = rows.select("vec_id", "key").join(named, "key", "left")
+    named = named.select("first", "second", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
+    out = rows.select("vec_id", "first", "second").join(named, ["first", "second"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("n") - 1 + F.col("links"), F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -83,10 +83,10 @@ class Features:
 
 
 def presence(grams: Grams, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes of each row, and their rows."""
-    codes = [np.unique(grams.codes(data[at[r] : at[r + 1]], np.array([0, at[r + 1] - at[r]]))[0]) for r in range(len(at) - 1)]
-    rows = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    return np.concatenate([*codes, np.zeros(0, np.int64)]).astype(np.int64), rows
+    """The distinct codes of each row, and their rows, in 32 bits: the driver holds them for all examples at once."""
+    codes = [np.unique(grams.codes(data[at[r] : at[r + 1]], np.array([0, at[r + 1] - at[r]]))[0]).astype(np.int32) for r in range(len(at) - 1)]
+    rows = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
+    return np.concatenate([*codes, np.zeros(0, np.int32)]), rows
 
 
 def select(codes: np.ndarray, rows: np.ndarray, y: np.ndarray, use: np.ndarray, width: int, least: int = 3) -> np.ndarray:
@@ -94,9 +94,11 @@ def select(codes: np.ndarray, rows: np.ndarray, y: np.ndarray, use: np.ndarray,
 
     Only rows with ``use`` count; a code must be in ``least`` of them.
     """
-    seen = use[rows]
-    with_ = np.bincount(codes[seen], weights=y[rows[seen]], minlength=1 << BITS)
-    without = np.bincount(codes[seen], minlength=1 << BITS) - with_
+    with_, without = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for lo in range(0, len(codes), 1 << 18):
+        code, row = codes[lo : lo + (1 << 18)], rows[lo : lo + (1 << 18)]
+        for out, of in ((with_, use & (y == 1)), (without, use & (y == 0))):
+            out += np.bincount(code[of[row]], minlength=1 << BITS)
     n1 = max(1.0, float(y[use].sum()))
     n0 = max(1.0, float(use.sum()) - n1)
     p = (with_ + without + 1) / (n1 + n0 + 2)
@@ -146,15 +148,13 @@ def descend(gradient, width: int, rounds: int, rate: float) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.05, l2: float = 1e-4) -> np.ndarray:
     """Weights of a logistic regression, its intercept last."""
-    x = np.hstack([x, np.ones((len(x), 1))])
     n = max(1, len(x))
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        g = x.T @ (sigmoid(x @ w) - y) / n
-        g[:-1] += l2 * w[:-1]
-        return g
+        off = sigmoid(linear(x, w)) - y
+        return np.append(x.T @ off / n + l2 * w[:-1], off.sum() / n)
 
-    return descend(gradient, x.shape[1], rounds, rate)
+    return descend(gradient, x.shape[1] + 1, rounds, rate)
 
 
 def linear(x: np.ndarray, w: np.ndarray) -> np.ndarray:

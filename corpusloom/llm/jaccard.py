@@ -344,10 +344,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Where several documents of a group share that id, hashes of their text and columns choose, whatever the partitions.
     """
-    groups = _grouped(docs, id_col, text_col, CLUSTER, CLUSTER_BYTES)
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    col = {name: columns[i] for i, name in reversed(list(enumerate(docs.columns)))}
+    id_, text = col[id_col], col[text_col]
+    rows = docs.toDF(*columns)
+    groups = _grouped(rows, id_, text, CLUSTER, CLUSTER_BYTES)
     keep = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"), "component").agg(F.min("key").alias("kept_key")).drop("component")
-    kept = docs.join(keep, (docs[id_col] == keep.kept_id) & (_key(docs, id_col, text_col) == keep.kept_key))
-    order = F.xxhash64(*(docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    kept = rows.join(keep, (rows[id_] == keep.kept_id) & (_key(rows, id_, text) == keep.kept_key))
+    order = F.xxhash64(*(rows[c] for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind))
     nth = F.row_number().over(Window.partitionBy("kept_id", "kept_key").orderBy(order))
     kept = kept.withColumn("kept_nth", nth).where("kept_nth = 1").drop("kept_id", "kept_key", "kept_nth")
-    return kept.unionByName(docs.where(docs[id_col].isNull()))
+    return kept.unionByName(rows.where(rows[id_].isNull())).toDF(*docs.columns)

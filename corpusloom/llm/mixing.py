@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD, cut, let
+from corpusloom.llm.common import WORD, cut, let, times
 
 WEIGHTS = (5.0, 2.0, 1.0)
 FAN_BITS = 6  # a block of the tree takes in about 2^6 documents or block residuals at most
@@ -125,7 +125,7 @@ def words(text: Column) -> Column:
 def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, seed: int = 8, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, and the copies taken."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), words(docs[text_col]).alias("size"))
-    each = mix(rows, ["doc_id"], weights, most, seed).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    each = times(mix(rows, ["doc_id"], weights, most, seed), "n", "nth")
     copies = F.floor(F.col("copies") / F.col("n")) + (F.col("nth") < F.col("copies") % F.col("n")).cast("long")
     return each.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
 
@@ -142,4 +142,4 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     rows = keyed.select("row_key", "row_key2", F.col(col[source_col]).alias("source"), words(F.col(col[text_col])).alias("size"))
     taken = mix(rows, ["row_key", "row_key2"], weights, most, seed).where("copies > 0").select("row_key", "row_key2", "copies")
     kept = keyed.dropDuplicates(["row_key", "row_key2"]).join(taken, ["row_key", "row_key2"])
-    return kept.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns).toDF(*docs.columns)
+    return times(kept, "copies", "nth").select(*columns).toDF(*docs.columns)

@@ -3,8 +3,8 @@
 A row's shard follows from its key and the number of shards alone, so no ring table is kept, and
 with one more shard only about 1/(n+1) of the rows move, all of them into the new shard.
 
-Defined cases: a null id takes the checksum of its text as its key; a null text has size 1 and the checksum of
-an empty one; rows that are equal in id, size and checksum share a shard and take consecutive slots; an
+Defined cases: a null id has the key ``NO_ID``, so that all rows without one share a shard; a null text has size 1 and the checksum of
+an empty one; rows that are equal in id, size and checksum take consecutive slots; an
 empty table gives an empty manifest; columns other than the id and the text are not read.
 """
 
@@ -15,7 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut
+from corpusloom.llm.common import cut, times
+
+
+NO_ID = -1  # the key of a null id
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -42,17 +45,17 @@ def shard_of(key: Column, shards: int) -> Column:
     return assign(key)
 
 
-def with_shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", name: str = "shard") -> DataFrame:
+def with_shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", name: str = "shard") -> DataFrame:
     """``docs`` with the shard of each row; one narrow pass, no shuffle."""
-    return docs.withColumn(name, shard_of(_key(docs, id_col, text_col), shards))
+    return docs.withColumn(name, shard_of(_key(docs[id_col]), shards))
 
 
 def _crc(docs: DataFrame, text_col: str) -> Column:
     return F.crc32(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
 
 
-def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
-    return F.coalesce(docs[id_col].cast("long"), _crc(docs, text_col))
+def _key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
 
 def shard_manifest(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", buckets: int = 4096) -> DataFrame:
@@ -65,7 +68,7 @@ def shard_manifest(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long") + 1).alias("size"), _crc(docs, text_col).alias("text_crc32"))
     rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    key = F.coalesce("doc_id", "text_crc32")
+    key = _key(F.col("doc_id"))
     rows = rows.select("*", shard_of(key, shards).alias("shard"), shard_of(key, shards + 1).alias("grown_shard"), F.pmod(F.coalesce("doc_id", F.lit(0)).bitwiseXOR(F.col("text_crc32")), F.lit(buckets)).alias("part"))
     rows = cut(rows)
     parts = rows.groupBy("shard", "part").agg(F.sum("n").alias("rows"))
@@ -74,5 +77,5 @@ def shard_manifest(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     inside = Window.partitionBy("shard", "part").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("above", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     rows = rows.join(F.broadcast(parts), ["shard", "part"])
-    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    rows = times(rows, "n", "nth")
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("above") + F.col("nth")).alias("slot"), "grown_shard")

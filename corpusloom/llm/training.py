@@ -9,9 +9,23 @@ from corpusloom.llm.common import held_out
 
 
 def drawn(rows: DataFrame, id_col: str, most: int, seed: int) -> DataFrame:
-    """At most ``most`` distinct ids, those with the smallest hashes: a top-k of each task meets in the driver."""
+    """At most ``most`` distinct ids, those with the smallest hashes.
+
+    Only ids under a bound of the hash are made distinct and ordered. The bound fits unique ids, and rises where
+    repeated ones leave too few.
+    """
     ids = rows.select(F.col(id_col).alias("drawn_id")).where("drawn_id is not null")
-    return ids.orderBy(F.xxhash64("drawn_id", F.lit(seed)), "drawn_id").limit(most * 2).distinct().limit(most)
+    hashed = F.xxhash64("drawn_id", F.lit(seed))
+    share = 4 * most / max(1, ids.count())
+    while share < 1 and ids.where(hashed < _bound(share)).distinct().count() < most:
+        share *= 8
+    low = ids.where(hashed < _bound(share)) if share < 1 else ids
+    return low.distinct().orderBy(hashed, "drawn_id").limit(most)
+
+
+def _bound(share: float) -> int:
+    """The hash below which a share of all hashes lies."""
+    return int(share * 2**64) - 2**63
 
 
 def training_ids(rows: DataFrame, id_col: str, keep: Column, most: int, seed: int) -> DataFrame:

@@ -53,7 +53,7 @@ def test_leaks(spark):
             continue
         for w in range(len(index.begins)):
             window = bytes(index.text[index.begins[w] : index.begins[w] + index.sizes[w]])
-            if plain.best_edits(window, folded) <= int(decontamination.RATE * len(window)):
+            if plain.best_edits(window, folded) <= decontamination.budget(index.sizes[w]):
                 want.add((i, int(index.items[w])))
     assert {p for p in got if p[1] is not None} == want
     assert {i for i, j in got if j is None} == {i for i, j in want if j == 3}
@@ -70,6 +70,21 @@ def test_leaks_in_blocks_and_empty(spark):
     assert decontamination.leaks(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("size", range(24, 81))
+def test_spread_edits_of_every_length(size):
+    """A window within its budget is found wherever its edits stand."""
+    rng = random.Random(size)
+    item = plain.prose(rng, 40).replace(" ", "")[:size]
+    index = decontamination.Index.of([item])
+    k = int(decontamination.budget(index.sizes[:1])[0])
+    for _ in range(6):
+        text = list(item)
+        for n in range(k):  # evenly, where they spoil most q-grams, with some jitter
+            text[min(size - 1, (n + 1) * size // (k + 1) + rng.randrange(-1, 2))] = "0"
+        data, at = decontamination.text_buffer(decontamination.pa.array(["zz " + "".join(text) + " yy"]))
+        assert {i for _, i, *_ in decontamination.regions(index, data, at)} == {0}
+
+
 def test_leak_in_a_long_text(spark):
     rng = random.Random(8)
     item = plain.prose(rng, 30)
@@ -233,7 +248,7 @@ def test_sharding(spark):
     got = sharding.shard_manifest(docs_of(spark, rows)).collect()
     assert len(got) == len(rows)
     for r in got:
-        key = r.text_crc32 if r.doc_id is None else r.doc_id
+        key = sharding.NO_ID if r.doc_id is None else r.doc_id
         assert (r.shard, r.grown_shard) == (plain.jump(key, 16), plain.jump(key, 17))
         assert r.grown_shard in (r.shard, 16) and r.law == "key"
     by = plain.grouped((r.shard, r.slot) for r in got)
@@ -251,3 +266,78 @@ def test_jump(key):
 
     for n in (1, 2, 16, 100):
         assert sharding.jump(np.array([key], np.int64).view(np.uint64), n)[0] == plain.jump(key, n)
+
+
+#: Columns of documents with names that the operators use themselves, nulls everywhere, repeated rows and shared ids.
+CLASHING = "doc_id long, text string, lang string, source string, key long, n long, kept_id long, component long, row_key long, size long, shard int, score double, spans string"
+
+
+def clashing(spark):
+    rng = random.Random(77)
+    texts = [plain.prose(rng, 30) for _ in range(30)]
+    rows = [(k, t, "en" if k % 2 else None, None if k % 5 == 0 else f"s{k % 3}", 1, 2, 3, None, 5, 6, 7, 0.5, "x") for k, t in enumerate(texts)]
+    rows += [rows[3]] * 3 + [(4, texts[9] + " zz", None, None, *[None] * 9), (None, texts[0], None, None, *[None] * 9), (None, None, None, None, *[None] * 9), (77, "", "en", "s1", *[None] * 9)]
+    return rows, spark.createDataFrame(rows, CLASHING).repartition(3)
+
+
+def test_odd_tables(spark):
+    """Every operator on clashing columns, repeated rows, null and shared ids, and on no rows at all."""
+    from corpusloom.llm import embeddings, jaccard, substrings
+
+    rows, docs = clashing(spark)
+    labels = spark.createDataFrame([(k, k % 2, (k // 2) % 2, 1) for k in range(30)] + [(None, None, None, None), (3, 1, 0, 1)], "doc_id long, quality int, toxic int, text int")
+    bench = spark.createDataFrame([(1, rows[5][1], 0), (1, rows[5][1], 0), (None, None, None)], "item_id long, text string, doc_id int")
+    ids = sorted(str(r[0]) for r in rows)
+    for table in (docs, docs.limit(0)):
+        n = 0 if table is not docs else len(rows)
+        for out in (
+            toxicity.score_toxicity(table, toxicity.trained(table, labels)), jaccard.components(table), quality.score_quality(table, quality.trained(table, labels)), secrets.digest(secrets.secrets(table)),
+            substrings.repeated(table), mixing.mixture(table), language.identify(table, language.dictionaries(table)), sharding.shard_manifest(table),
+        ):
+            assert sorted(str(r.doc_id) for r in out.collect()) == (ids if n else [])
+        assert {r.doc_id for r in decontamination.leaks(table, bench).collect()} == ({5} if n else set())
+        kept = jaccard.one_of_each(table).collect()
+        assert len(kept) == (n - 4 if n else 0)  # three copies of a row go, and 9 before the second 4; what shares an id, or has none, stays
+        for out in (toxicity.without_toxic(table, toxicity.trained(table, labels)), decontamination.without_leaks(table, bench), mixing.mixed_documents(table), jaccard.one_of_each(table)):
+            assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= set(rows)
+    vectors = spark.createDataFrame([(1, [1.0, 0.0], 3, "a"), (1, [1.0, 0.0], 3, "a"), (None, [1.0, 0.0], None, None), (2, None, None, None), (3, [0.0, 1.0], 1, "k")], "vec_id long, embedding array<float>, key int, id string")
+    got = sorted(embeddings.near_duplicates(vectors).collect(), key=str)
+    assert sorted((r.vec_id or 0, r.n_links, r.kept) for r in got) == [(0, 0, False), (1, 1, True), (1, 1, True), (2, 0, True), (3, 0, True)]
+    assert embeddings.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_chain_by_hand():
+    """The chain's probabilities from its weights, feature by feature."""
+    import numpy as np
+
+    from corpusloom.llm import grams
+
+    texts = ["bad bad words here", "good words here", "", "bad"]
+    labels = np.array([[1, 1], [0, 0], [0, np.nan], [1, 1]])
+    chain = toxicity.fit_chain(texts * 5, np.tile(labels, (5, 1)), width=16)
+    data, at = grams.joined(texts)
+    got = chain.probabilities(data, at)
+    for row, t in enumerate(texts):
+        odds = []
+        for link in chain.links:
+            low = bytes(grams.FOLDED[np.frombuffer(t.encode(), np.uint8)]) if t else b""
+            codes = [((int.from_bytes(low[k : k + 5], "big") * 0x9E3779B97F4A7C15) % 2**64) >> (64 - grams.BITS) for k in range(len(low) - 4)]
+            x = [np.log1p(codes.count(int(c))) / (1 + np.log1p(len(codes) / 2000)) for c in link.features.chosen]
+            odds.append(min(12, max(-12, sum(a * b for a, b in zip([*x, *odds, 1.0], link.weights, strict=True)))))
+        assert np.allclose(got[row], 1 / (1 + np.exp(-np.array(odds))))
+
+
+def test_risk_gradient():
+    """The gradient against finite differences of the non-negative risk, on both of its sides."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    xp, xu = np.c_[rng.normal(1, 1, (9, 3)), np.ones(9)], np.c_[rng.normal(0, 1, (11, 3)), np.ones(11)]
+    for prior in (0.1, 0.9):
+        gradient = quality.risk_gradient(xp, xu, prior, 0.0)
+        for w in (np.zeros(4), np.array([3.0, 0, 0, 1]), rng.normal(0, 1, 4)):
+            positive = lambda v: prior * np.logaddexp(0, -xp @ v).mean()
+            negative = lambda v: np.logaddexp(0, xu @ v).mean() - prior * np.logaddexp(0, xp @ v).mean()
+            risk = (lambda v: positive(v) + negative(v)) if negative(w) >= 0 else (lambda v: -negative(v))
+            step = np.eye(4) * 1e-6
+            assert np.allclose(gradient(w), [(risk(w + s) - risk(w - s)) / 2e-6 for s in step], atol=1e-5)
