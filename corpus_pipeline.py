@@ -2,6 +2,11 @@
 
 A stage takes ``(spark, docs, sf_dir)``, where ``docs`` is what the stage before kept, and returns documents with the
 same columns; the last one returns the shard manifest.
+
+Defined cases, for every stage: an empty table gives an empty result; documents without an id or with the id of another are documents of their
+own, and stay apart; null and empty texts are clean, have no copies and hold no passage, so they reach the mixture, which takes no document
+without words; equal rows are one document to the second stage (the others go) and share their copies in the mixture; further
+columns, also ones named as an operator's own, are kept to the last stage, which reads id and text only.
 """
 
 from __future__ import annotations
@@ -48,9 +53,12 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn; each result but the last is written and read again."""
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
-    for name, stage in STAGES[:-1]:
+    docs, before = table(spark, sf_dir, "documents"), Scratch(spark)
+    for _, stage in STAGES[:-1]:
+        scratch = Scratch(spark)
         docs = scratch.table(stage(spark, docs, sf_dir))
+        before.clear()
+        before = scratch
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
