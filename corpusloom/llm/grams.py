@@ -12,7 +12,7 @@ from corpusloom.llm.common import pieces, span_hashes, text_buffer, word_spans
 
 BITS = 18
 #: Bytes of text handled at once; a longer text is counted in parts.
-PART = 2 << 20
+PART = 1 << 18
 
 
 def _folding() -> np.ndarray:
@@ -66,20 +66,23 @@ class Features:
         """Counts of the chosen grams in each row, and how many grams each row has."""
         rows, width = len(at) - 1, len(self.chosen)
         out, total = np.zeros((rows, width)), np.zeros(rows)
-        for lo in range(0, max(1, len(data)), PART):  # one pass unless a single text is longer than a part
+        for lo in range(0, len(data), PART):
             hi = min(len(data), lo + PART + self.grams.size - 1)
-            sub = np.clip(at, lo, hi) - lo
-            code, row = self.grams.codes(data[lo:hi], sub)
-            total += np.bincount(row, minlength=rows)
+            # a part holds the rows from first to last; a gram counts in the part that it begins in
+            first, last = int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(at, hi, "left"))
+            code, row = self.grams.codes(data[lo:hi], np.clip(at[first : last + 1], lo, hi) - lo)
+            total[first:last] += np.bincount(row, minlength=last - first)
             col = self.slot[code]
             hit = col >= 0
-            out += np.bincount(row[hit] * width + col[hit], minlength=rows * width).reshape(rows, width)
+            out[first:last] += np.bincount(row[hit] * width + col[hit], minlength=(last - first) * width).reshape(-1, width)
         return out, total
 
     def matrix(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log(1 + count) against the length of the text."""
         out, total = self.counts(data, at)
-        return np.log1p(out) / (1 + np.log1p(total / 2000))[:, None]
+        np.log1p(out, out=out)
+        out /= (1 + np.log1p(total / 2000))[:, None]
+        return out
 
 
 def presence(grams: Grams, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -59,8 +59,20 @@ def _fit_link(codes: np.ndarray, rows: np.ndarray, data: np.ndarray, at: np.ndar
         share = (seen.sum() + 0.5) / (len(seen) + 1)
         return Link(Features(STEMS, np.zeros(0, np.int64)), np.r_[np.zeros(len(odds)), np.log(share / (1 - share))])
     features = Features(STEMS, select(codes, rows, y, use, width))
-    x = np.column_stack([features.matrix(data, at), *odds])[use]
-    return Link(features, fit_logistic(x, seen))
+    return Link(features, fit_logistic(_matrix(features, data, at, odds, use), seen))
+
+
+def _matrix(features: Features, data: np.ndarray, at: np.ndarray, odds: list[np.ndarray], use: np.ndarray) -> np.ndarray:
+    """Features and earlier odds of the rows in use; only these are worked out, a part of the texts at a time."""
+    rows = np.flatnonzero(use)
+    out = np.zeros((len(rows), len(features.chosen) + len(odds)))
+    for lo in range(0, len(rows), 256):
+        some = rows[lo : lo + 256]
+        text = np.concatenate([data[at[r] : at[r + 1]] for r in some])
+        out[lo : lo + 256, : len(features.chosen)] = features.matrix(text, np.concatenate([[0], np.cumsum(at[some + 1] - at[some])]))
+    for k, column in enumerate(odds):
+        out[:, len(features.chosen) + k] = column[rows]
+    return out
 
 
 def fit_chain(texts: list[str | None], labels: np.ndarray, folds: int = 3, width: int = 512) -> Chain:
@@ -77,8 +89,7 @@ def fit_chain(texts: list[str | None], labels: np.ndarray, folds: int = 3, width
             out = np.zeros(len(texts))
             for f in range(folds):
                 link = _fit_link(codes, rows, data, at, y, known & (fold != f), odds, width)
-                x = np.column_stack([link.features.matrix(data, at), *odds])
-                out[fold == f] = np.clip(linear(x, link.weights), -12, 12)[fold == f]
+                out[fold == f] = np.clip(linear(_matrix(link.features, data, at, odds, fold == f), link.weights), -12, 12)
             odds.append(out)
     return chain
 
