@@ -74,7 +74,7 @@ class Features:
             total[first:last] += np.bincount(row, minlength=last - first)
             col = self.slot[code]
             hit = col >= 0
-            out[first:last] += np.bincount(row[hit] * width + col[hit], minlength=(last - first) * width).reshape(-1, width)
+            out[first:last] += np.bincount(row[hit] * width + col[hit], minlength=(last - first) * width).reshape(last - first, width)
         return out, total
 
     def matrix(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
