@@ -6,7 +6,6 @@ import functools
 import gzip
 import json
 import re
-from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column
@@ -74,13 +73,33 @@ def element(html: str, kind: str, selector: str) -> str | None:
     return None
 
 
+def phrased(html: str) -> str | None:
+    """From the heading above a known phrase to the footer after it."""
+    at = html.find(rules.COMMUNITIES_PHRASE)
+    if at < 0:
+        return None
+    heading, footer = max(html.rfind("<h1", 0, at), html.rfind("<h2", 0, at)), html.find("<footer", at)
+    return html[at if heading < 0 else heading : None if footer < 0 else footer]
+
+
+def headed_article(html: str) -> str | None:
+    """The first heading of the content and its article."""
+    content = element(html, "id", "content") or html
+    heading = re.search(r"<h1\b[^>]*>.*?</h1>", content, re.I | re.S)
+    parts = [heading[0] if heading else None, element(content, "class", r"\barticle\b")]
+    return "\n".join(p for p in parts if p) or None
+
+
 def scope(html: str | None, host: str | None, table=rules.SCOPES) -> str | None:
     if html is None:
         return None
-    found = None
+    found = phrased(html) if host == "redditinc.com" else headed_article(html) if host == "douban.com" else None
     for h, kind, selector in table:
         if h == host and found is None:
             found = element(html, kind, selector)
+    if host == "uscode.house.gov" and found is not None:
+        found = re.sub(r"<(script|style)\b.*?</\1>", "\n", found, flags=re.I | re.S)
+        found = re.sub(r"<div\b(?=[^>]*\bclass=([\"'])[^\"']*\bjumpTo\b[^\"']*\1).*?</div>", "\n", found, flags=re.I | re.S)
     for h, mark in rules.SKELETONS:
         if h == host and (found is None or re.search(mark, found, re.I)):
             return ""
@@ -103,45 +122,39 @@ def scope_article(html: pd.Series) -> pd.Series:
 
 
 @_text_udf
-def resolve_odd(href: pd.Series, base: pd.Series) -> pd.Series:
-    """References with dot segments and other rare forms."""
-
-    def one(h: str | None, b: str | None) -> str | None:
-        h = (h or "").strip()
-        if not h or b is None or h.startswith(("mailto:", "tel:", "javascript:")):
-            return None
-        try:
-            out = urljoin(b, h)
-            parts = urlsplit(out)
-        except ValueError:
-            return None
-        return out if parts.scheme and parts.netloc else None
-
-    return pd.Series([one(h, b) for h, b in zip(href, base, strict=True)], dtype=object)
-
-
-def flatten(node: dict, depth: int = 0) -> list[str]:
-    out = []
-    if depth and node.get("title"):
-        out.append(f"{'#' * min(depth + 1, 6)} {node['title']}")
-    if node.get("contentXML"):
-        out.append(re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", node["contentXML"])).strip())
-    for child in node.get("children") or []:
-        out += flatten(child, depth + 1)
+def element_by_id(html: pd.Series, id_: pd.Series) -> pd.Series:
+    """The element with an id, with what is nested in it; null where there is none."""
+    return pd.Series([None if a is None else element(a, "id", b) for a, b in zip(html, id_, strict=True)], dtype=object)
+
+
+def flatten(nodes: list, depth: int = 2) -> list[dict]:
+    """Level, title and content of the nodes of a forest, depth first, whatever its depth."""
+    out, open_ = [], [(n, depth) for n in reversed(nodes)]
+    while open_:
+        node, level = open_.pop()
+        if not isinstance(node, dict):
+            continue
+        title, content = node.get("title"), node.get("contentXML")
+        out.append({"level": min(level, 6), "title": str(title) if title else None, "content": str(content) if content else None})
+        children = node.get("children")
+        open_ += [(c, level + 1) for c in reversed(children if isinstance(children, list) else [])]
     return out
 
 
-@_text_udf
-def flatten_node_tree(tree: pd.Series) -> pd.Series:
-    """A JSON tree of titles and contents as headed text, depth first; null for what is no such tree."""
+def tree_nodes(tree: Column) -> Column:
+    """``level, title, content`` of each node of a JSON list of nodes; null for what is no such list."""
 
-    def one(text: str | None) -> str | None:
-        try:
-            return "\n\n".join(flatten(json.loads(text))) if text else None
-        except (ValueError, AttributeError):
-            return None
+    def all_(trees: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[dict] | None:
+            try:
+                nodes = json.loads(text) if text else None
+            except (ValueError, RecursionError):
+                return None
+            return flatten(nodes) if isinstance(nodes, list) else None
 
-    return tree.map(one, na_action="ignore")
+        return trees.map(one, na_action="ignore")
+
+    return F.pandas_udf(all_, "array<struct<level:int,title:string,content:string>>")(tree)
 
 
 @_text_udf
@@ -157,11 +170,9 @@ def unescape_literal(text: pd.Series) -> pd.Series:
     return text.map(one, na_action="ignore")
 
 
-def embedded_json(html: Column, attribute: str, phrase: Column) -> Column:
-    """The first JSON text in an attribute or a ``JSON.parse('...')`` literal that holds a phrase."""
-    from corpusloom.functions.text import decode_entities
-
-    in_attribute = F.transform(F.regexp_extract_all(html, F.lit(rf"{attribute}=\"([^\"]*)\""), F.lit(1)), lambda x: decode_entities(x))
-    held = F.get(F.filter(in_attribute, lambda x: F.contains(x, phrase)), 0)
-    literal = F.get(F.filter(F.regexp_extract_all(html, F.lit(r"JSON\.parse\('((?:[^'\\]|\\.)*)'\)"), F.lit(1)), lambda x: F.contains(x, phrase)), 0)
-    return F.coalesce(held, unescape_literal(literal))
+def embedded_literal(html: Column, phrase: str) -> Column:
+    """The first ``JSON.parse('...')`` literal that holds a phrase once its escapes are undone."""
+    literals = F.regexp_extract_all(html, F.lit(r"JSON\.parse\('((?:\\'|[^'])*)'\)"), F.lit(1))
+    # one call of the helper for all literals of a page: a character that no text has stands between them
+    plain = F.split(unescape_literal(F.array_join(literals, "\x1d")), "\x1d")
+    return F.get(F.filter(plain, lambda x: F.contains(x, F.lit(phrase))), 0)

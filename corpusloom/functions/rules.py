@@ -9,6 +9,24 @@ ENTITIES = (
     ("mdash", "—"), ("ndash", "–"), ("hellip", "…"), ("middot", "·"),
 )
 
+# --- fixed values: the narrower list for paragraphs ---
+PARAGRAPH_ENTITIES = (("nbsp", " "), ("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"))
+
+# --- fixed values: BBCode marks and what stands for them, in this order ---
+BBCODE = (
+    (r"(?i)\[h1(?:\s+[^\]]*)?\]", "\n\n## "), (r"(?i)\[/h1\]", "\n\n"), (r"(?i)\[h2(?:\s+[^\]]*)?\]", "\n\n### "), (r"(?i)\[/h2\]", "\n\n"),
+    (r"(?i)\[h3(?:\s+[^\]]*)?\]", "\n\n#### "), (r"(?i)\[/h3\]", "\n\n"), (r"(?i)\[hr\]\s*\[/hr\]", "\n\n"), (r"(?i)\[/?list\]", "\n"), (r"\[\*\]", "\n- "),
+    (r"(?i)\[/?(?:b|i|u|strike|code|quote|url|h[1-6]|list|hr)[^\]]*\]", ""),
+)
+
+# --- fixed values: where the article of a help page begins and ends ---
+HELP_PURPOSE = "X's purpose is to serve the public conversation"
+HELP_MONTH = r"^(January|February|March|April|May|June|July|August|September|October|November|December) \d{4}\z"
+HELP_HEADING = r"(?i)^(Overview|Policy|What is|How we|When this applies|Examples|Safety|Privacy|Authenticity|Enforcement)"
+HELP_CHALLENGE = r"(?i)Cloudflare|security verification|Just a moment"
+HELP_END = "Share this article"
+CONVENTION_PHRASE = "违法违禁"
+
 # --- fixed values: what a bot challenge page shows within its first characters ---
 CHALLENGE_WINDOW = 100_000
 CHALLENGE = (r"<title>\s*Just a moment", r"security verification", r"challenges\.cloudflare\.com", r"\bcf_chl\b|__cf_chl")
@@ -43,6 +61,7 @@ SCOPES = (
 SKELETONS = (("trust.douyin.com", "semi-skeleton"),)
 #: Hosts whose main element ends before a text.
 CUT_BEFORE = (("support.discord.com", "Related articles"), ("support.discord.com", "Recently viewed articles"))
+COMMUNITIES_PHRASE = "Reddit is a vast network of communities"
 CHROME_TAGS = ("header", "footer", "nav", "aside")
 HIDDEN_CLASSES = "archived-link|sr-only|visually-hidden|w-condition-invisible|w-dyn-bind-empty"
 

@@ -11,6 +11,8 @@ from corpusloom.functions import rules
 
 #: White space in the wide sense: also no-break, ideographic and zero-width no-break.
 SPACE = r"[\s\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: The same characters, for functions that take a list.
+SPACES = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def let(value: Column, body) -> Column:
@@ -19,7 +21,18 @@ def let(value: Column, body) -> Column:
 
 
 def trim(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, f"^{SPACE}+", ""), f"{SPACE}+\\z", "")
+    return F.btrim(text, F.lit(SPACES))
+
+
+def rewritten(text: Column, pattern: str, groups: int, by) -> Column:
+    """``text`` with each match of a pattern replaced by ``by`` of its groups, in one pass and in order."""
+
+    def joined(text: Column) -> Column:
+        found = F.struct(*(F.regexp_extract_all(text, F.lit(pattern), F.lit(k)).alias(f"g{k}") for k in range(groups + 1)))
+        new = let(found, lambda m: F.transform(m["g0"], lambda whole, i: by(whole, *(F.get(m[f"g{k}"], i) for k in range(1, groups + 1)))))
+        return let(new, lambda new: F.array_join(F.transform(F.split(text, pattern), lambda t, i: F.concat(t, F.coalesce(F.get(new, i), F.lit("")))), ""))
+
+    return F.when(text.rlike(pattern), let(text, joined)).otherwise(text)
 
 
 def matches_any(text: Column, patterns) -> Column:
@@ -33,46 +46,44 @@ def _code_point(digits: Column, base: int) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
 
 
-def _decode_numbers(text: Column, pattern: str, prefix: str, base: int) -> Column:
+def _decode_numbers(text: Column, pattern: str, base: int) -> Column:
 
     def decoded(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        return F.aggregate(found, text, lambda t, d: F.replace(t, F.concat(F.lit(prefix), d, F.lit(";")), _code_point(d, base)))
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        return F.aggregate(found, text, lambda t, m: F.replace(t, m, _code_point(F.regexp_replace(m, "^&#[xX]?|;", ""), base)))
 
-    return let(text, decoded)
+    return let(text, lambda t: F.when(t.rlike(pattern), decoded(t)).otherwise(t))
 
 
-def decode_entities(text: Column, numbers: bool = True) -> Column:
-    """Named entities in their fixed order, then hexadecimal and decimal references; others stay."""
-    for name, char in rules.ENTITIES:
-        text = F.regexp_replace(text, f"(?i)&{name};", char)
-    if not numbers:
-        return text
-    for prefix in ("&#x", "&#X"):
-        text = _decode_numbers(text, f"{prefix}([0-9a-fA-F]+);", prefix, 16)
-    return _decode_numbers(text, r"&#(\d+);", "&#", 10)
+def decode_entities(text: Column, numbers: bool = True, entities=rules.ENTITIES) -> Column:
+    """Named entities in their fixed order, then hexadecimal and decimal references; others stay.
+
+    Text without an ampersand, most text, is passed on as it is.
+    """
+
+    def decoded(text: Column) -> Column:
+        for name, char in entities:
+            text = F.regexp_replace(text, f"(?i)&{name};", char)
+        if not numbers:
+            return text
+        return _decode_numbers(_decode_numbers(text, "&#[xX][0-9a-fA-F]+;", 16), r"&#\d+;", 10)
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def clean_text(text: Column, numbers: bool = True) -> Column:
     """Decoded text with plain spaces, no blanks around line ends and at most one empty line in a row."""
-    text = F.regexp_replace(decode_entities(text, numbers), r"\x{00A0}", " ")
-    for pattern, by in ((r"\r", "\n"), (r"[ \t\f\x0B]+", " "), (r"\n[ \t]+", "\n"), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n")):
-        text = F.regexp_replace(text, pattern, by)
-    return trim(text)
+    text = F.replace(F.replace(decode_entities(text, numbers), F.lit("\u00a0"), F.lit(" ")), F.lit("\r"), F.lit("\n"))
+    text = F.regexp_replace(text, r"[ \t\f\x0B]{2,}|[\t\f\x0B]", " ")
+    # only single spaces are left beside line ends
+    text = F.replace(F.replace(text, F.lit("\n "), F.lit("\n")), F.lit(" \n"), F.lit("\n"))
+    return trim(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
 def html_to_text(html: Column, numbers: bool = True) -> Column:
     return clean_text(F.regexp_replace(html, "<[^>]+>", " "), numbers)
 
 
-def link_anchors(html: Column, origin: Column) -> Column:
-    """Anchors as Markdown links; root-relative targets get the origin, and other schemes and fragments leave their text."""
-    inner = r"((?:[^<]|<(?!/a>))*)</a>"
-    html = F.regexp_replace(html, rf"(?is)<a\b[^>]*?href=[\"'](?:#|mailto:|tel:|javascript:)[^\"'>]*[\"'][^>]*>{inner}", " $1 ")
-    html = F.regexp_replace(html, F.lit(rf"(?is)<a\b[^>]*?href=[\"'](/[^\"'>]*)[\"'][^>]*>{inner}"), F.concat(F.lit(" [$2]("), origin, F.lit("$1) ")))
-    return F.regexp_replace(html, rf"(?is)<a\b[^>]*?href=[\"'](https?://[^\"'>]*)[\"'][^>]*>{inner}", " [$2]($1) ")
-
-
 def non_empty_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line != "")
 
@@ -95,20 +106,30 @@ def _merged(lines: Column) -> Column:
     return F.transform(F.filter(first, lambda x: ~F.coalesce(x["taken"], F.lit(False))), lambda x: x["line"])
 
 
-def html_to_lines(html: Column, origin: Column | None = None, numbers: bool = True) -> Column:
-    """The text lines of a page; with ``origin``, its links too. Long preformatted text stands for the page."""
-    pre = F.regexp_extract_all(html, F.lit(r"(?is)<pre\b[^>]*>(.*?)</pre>"), F.lit(1))
-    pre_text = F.array_join(F.transform(pre, lambda p: html_to_text(F.regexp_replace(p, r"(?i)</?(?:p|br|div)\b[^>]*>", "\n"), numbers)), "\n")
-    out = html
+def without_noise(html: Column) -> Column:
+    """HTML without scripts, styles and comments."""
     for tag in rules.NOISE_TAGS:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}>", "\n")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", "\n")
-    if origin is not None:
-        out = link_anchors(out, origin)
+        html = F.regexp_replace(html, rf"(?is)<{tag}\b.*?</{tag}>", "\n")
+    return F.regexp_replace(html, r"(?s)<!--.*?-->", "\n")
+
+
+def broken_lines(html: Column, numbers: bool = True) -> Column:
+    """The text lines of HTML without noise."""
     for pattern, by in ((rf"(?i)</?(?:{rules.BLOCK_TAGS})\b[^>]*>", "\n"), (r"(?i)<li\b[^>]*>", "\n- "), (r"(?i)<br\s*/?\s*>", "\n"), (r"<[^>]+>", " ")):
-        out = F.regexp_replace(out, pattern, by)
-    lines = merge_markers(non_empty_lines(clean_text(out, numbers)))
-    return let(pre_text, lambda t: F.when(F.length(trim(t)) > rules.PRE_LEAST, non_empty_lines(clean_text(t, numbers))).otherwise(lines))
+        html = F.regexp_replace(html, pattern, by)
+    return merge_markers(non_empty_lines(clean_text(html, numbers)))
+
+
+def long_preformatted(html: Column, numbers: bool = True) -> Column:
+    """The lines of preformatted text, if there is much of it; else null."""
+    pre = F.regexp_extract_all(html, F.lit(r"(?is)<pre\b[^>]*>(.*?)</pre>"), F.lit(1))
+    joined = F.array_join(F.transform(pre, lambda p: html_to_text(F.regexp_replace(p, r"(?i)</?(?:p|br|div)\b[^>]*>", "\n"), numbers)), "\n")
+    return let(joined, lambda t: F.when(F.length(trim(t)) > rules.PRE_LEAST, non_empty_lines(clean_text(t, numbers))))
+
+
+def html_to_lines(html: Column, numbers: bool = True) -> Column:
+    """The text lines of a page without its links. Long preformatted text stands for the page."""
+    return F.coalesce(long_preformatted(html, numbers), broken_lines(without_noise(html), numbers))
 
 
 def first_article(html: Column) -> Column:
@@ -155,7 +176,7 @@ def trim_chrome(lines: Column, host: Column) -> Column:
         by: dict[str, list[str]] = {}
         for h, p in table:
             by.setdefault(h, []).append(p)
-        tests = [matches_any(line, ps) if h == "" else (((host == h) | host.endswith(f".{h}")) if h == "douyin.com" else host == h) & matches_any(line, ps) for h, ps in by.items()]
+        tests = [matches_any(line, ps) if h == "" else (((host == h) | host.endswith(f".{h}") | (host == "lifexue.com")) if h == "douyin.com" else host == h) & matches_any(line, ps) for h, ps in by.items()]
         return reduce(lambda a, b: a | b, tests)
 
     def trimmed(lines: Column) -> Column:
@@ -177,18 +198,68 @@ def clean_pdf_lines(text: Column, host: Column) -> Column:
 
 
 def paragraphs(html: Column, numbers: bool = True) -> Column:
-    """The text of each paragraph element, empty ones left out."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1))
-    return F.filter(F.transform(found, lambda p: F.regexp_replace(html_to_text(p, numbers), r"\s*\n\s*", " ")), lambda p: p != "")
+    """The text of each paragraph element on one line, empty ones left out; tags leave nothing behind, breaks a space."""
+
+    def line(p: Column) -> Column:
+        for tag in ("script", "style"):
+            p = F.regexp_replace(p, rf"(?is)<{tag}\b.*?</{tag}>", "")
+        p = F.regexp_replace(F.regexp_replace(p, r"(?i)<br\s*/?\s*>", "\n"), "<[^>]+>", "")
+        return trim(F.regexp_replace(decode_entities(p, numbers, rules.PARAGRAPH_ENTITIES), f"{SPACE}+", " "))
+
+    found = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>.*?</p>"), F.lit(0))
+    return F.filter(F.transform(found, line), lambda p: p != "")
+
+
+def paragraphs_between(found: Column, title: Column, footer: Column, expected: Column | None = None) -> Column:
+    """A struct of ``paragraphs`` from the one that is the title to before the first with the footer, and ``error``.
+
+    It is an error if the title stands twice, if either is missing or the footer comes first, or if the number is not the expected one.
+    """
+
+    def cut(p: Column) -> Column:
+        titles = F.filter(F.transform(p, lambda x, i: F.when(x == title, i)), lambda i: i.isNotNull())
+        end = F.array_min(F.filter(F.transform(p, lambda x, i: F.when(F.contains(x, footer), i)), lambda i: i.isNotNull()))
+        start = F.get(titles, 0)
+        error = F.when(F.size(titles) > 1, "duplicate document title in paragraph extraction").when(start.isNull() | end.isNull() | (end <= start), "could not locate document body boundaries")
+        body = F.when(error.isNull(), F.slice(p, start + 1, F.greatest(end - start, F.lit(0))))
+        return F.struct(body.alias("paragraphs"), error.alias("error"))
 
+    cut_ = let(found, cut)
+    if expected is None:
+        return cut_
+    n = F.size(cut_["paragraphs"])
+    wrong = F.concat(F.lit("expected "), expected.cast("string"), F.lit(" paragraphs, found "), n.cast("string"))
+    return F.struct(cut_["paragraphs"].alias("paragraphs"), F.coalesce(cut_["error"], F.when(n != expected, wrong)).alias("error"))
 
-def bbcode_to_markdown(text: Column) -> Column:
-    for pattern, by in (
-        (r"(?is)\[url=([^\]]+)\](.*?)\[/url\]", "[$2]($1)"), (r"(?is)\[h([1-6])\](.*?)\[/h[1-6]\]", "\n## $2\n"), (r"(?i)\[\*\]", "\n- "),
-        (r"(?i)\[/?(?:list|olist|b|i|u|p|strike)\]", ""),
-    ):
+
+def bbcode_to_markdown(text: Column, target=lambda href: href, numbers: bool = True) -> Column:
+    """BBCode as Markdown; ``target`` gives the target of a reference, null where there is none."""
+
+    def linked(_whole: Column, href: Column, label: Column) -> Column:
+        label, url = clean_text(label, numbers), target(href)
+        return F.when(url.isNull() | (label == ""), label).otherwise(F.concat(F.lit("["), label, F.lit("]("), F.replace(url, F.lit(")"), F.lit("%29")), F.lit(")")))
+
+    text = F.replace(decode_entities(text, numbers), F.lit("\r"), F.lit("\n"))
+    text = rewritten(text, r"(?is)\[url=([^\]]+)\](.*?)\[/url\]", 2, linked)
+    for pattern, by in rules.BBCODE:
         text = F.regexp_replace(text, pattern, by)
-    return clean_text(text)
+    return clean_text(text, numbers)
+
+
+def help_article(lines: Column) -> Column:
+    """The lines of a help page from where its article begins: before a known phrase, before a month line, or at a policy heading."""
+
+    def first(of: Column, hit) -> Column:
+        return F.array_min(F.filter(F.transform(of, lambda x, i: F.when(hit(x), i)), lambda i: i.isNotNull()))
+
+    def cut(of: Column) -> Column:
+        purpose, month = first(of, lambda x: F.contains(x, F.lit(rules.HELP_PURPOSE))), first(of, lambda x: x.rlike(rules.HELP_MONTH))
+        before = F.when(purpose.isNotNull(), F.greatest(purpose - 1, F.lit(0)))
+        start = F.coalesce(before, F.when(month > 0, month - 1), first(of, lambda x: x.rlike(rules.HELP_HEADING)), F.lit(0))
+        rest = let(start, lambda n: F.slice(of, n + 1, F.greatest(F.size(of), F.lit(1))))
+        return let(rest, lambda r: F.slice(r, F.lit(1), F.coalesce(first(r, lambda x: x == rules.HELP_END), F.size(r))))
+
+    return let(F.filter(lines, lambda x: x != "-"), cut)
 
 
 def content_hash(text: Column) -> Column:
@@ -285,7 +356,7 @@ def first_heading(document: Column, fallback: Column) -> Column:
     return F.coalesce(trim(F.regexp_replace(found, r"^#\s+", "")), fallback)
 
 
-def body_of(document: Column) -> Column:
+def body_of(document: Column, marker: str = "Source Text|正文") -> Column:
     """What follows the body marker, without line ends behind; null without a marker."""
-    found = F.regexp_extract(document, r"(?s)(?:^|\n)## (?:Source Text|正文)\n\n?(.*)\z", 1)
-    return F.when(document.rlike(r"(?:^|\n)## (?:Source Text|正文)\n"), F.regexp_replace(found, r"\n+\z", ""))
+    found = F.regexp_extract(document, rf"(?s)(?:^|\n)## (?:{marker})\n\n?(.*)\z", 1)
+    return F.when(document.rlike(rf"(?:^|\n)## (?:{marker})\n"), F.rtrim(found, F.lit("\n")))

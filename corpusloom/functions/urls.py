@@ -43,7 +43,7 @@ def well_formed(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Small host, no fragment unless the site routes by it, no ``utm_`` parameters; a malformed one is cut at its #."""
-    return let(decode_entities(url, numbers=False), _canonical)
+    return let(decode_entities(url), _canonical)
 
 
 def _canonical(url: Column) -> Column:
@@ -57,7 +57,7 @@ def policy_slug(url: Column) -> Column:
 
 def url_aliases(url: Column) -> Column:
     """Every key under which a URL is known, the most exact first."""
-    return let(decode_entities(url, numbers=False), _aliases)
+    return let(decode_entities(url), _aliases)
 
 
 def _aliases(url: Column) -> Column:
@@ -78,11 +78,21 @@ def _aliases(url: Column) -> Column:
 
 
 def resolve_url(href: Column, base: Column) -> Column:
-    """Absolute, protocol-relative, root-relative, query and path-relative references without dot segments; null for none.
+    """Absolute, protocol-relative, root-relative, query and path-relative references, dot segments taken out; null for none."""
+    return let(trim(decode_entities(href)), lambda h: let(_resolved(h, base), _without_dots))
 
-    References with dot segments are for ``helpers.resolve_odd``.
-    """
-    return let(trim(decode_entities(href, numbers=False)), lambda h: _resolved(h, base))
+
+def _without_dots(url: Column) -> Column:
+    """Segments ``.`` go, and ``..`` with the segment before them."""
+
+    def step(kept: Column, part: Column) -> Column:
+        return F.when(part == ".", kept).when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(part)))
+
+    parts = F.split(F.regexp_replace(_part(url, 3), "^/", ""), "/")
+    whole = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    path = F.concat(F.lit("/"), F.array_join(F.aggregate(whole, F.expr("cast(array() as array<string>)"), step), "/"))
+    head = F.concat(_part(url, 1), F.lit("://"), _part(url, 2))
+    return F.when(_part(url, 3).rlike(r"/\.\.?(?:/|\z)"), F.concat(head, path, _part(url, 4), _part(url, 5))).otherwise(url)
 
 
 def _resolved(href: Column, base: Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import rules, text, urls
+from corpusloom.functions import helpers, rules, text, urls
 from corpusloom.operators import assembly, entries, indexes, links, verification
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- SQL fragments ---
 
+SQL_ANCHOR = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
+
 
 def q(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -69,6 +71,40 @@ def sql_lines(x: str) -> str:
     return f"list_filter(string_split({sql_clean(out)}, chr(10)), lambda x: x <> '')"
 
 
+def sql_let(x: str, body) -> str:
+    """``body`` of a name for ``x``, worked out once."""
+    sql_let.names += 1
+    v = f"v{sql_let.names}"
+    return f"list_transform([{x}], lambda {v}: {body(v)})[1]"
+
+
+sql_let.names = 0
+
+
+def sql_linked(x: str, origin: str, target=lambda u: u) -> str:
+    """Paired anchors with root-relative targets, the only ones in the tables at hand, as Markdown links; as text without an origin."""
+    P = q(SQL_ANCHOR)
+
+    def one(m: str) -> str:
+        def shown(t: str) -> str:
+            u = f"({origin} || {m}.h[i])"
+            return f"CASE WHEN {t} = '' THEN ' ' ELSE " + (f"' ' || {t} || ' '" if not origin else f"' [' || {t} || '](' || {target(u)} || ') '") + " END"
+
+        new = sql_let(sql_text(f"{m}.t[i]"), shown)
+        return f"array_to_string(list_transform(range(1, len({m}.s) + 1), lambda i: {m}.s[i] || CASE WHEN i <= len({m}.h) THEN {new} ELSE '' END), '')"
+
+    return sql_let(x, lambda z: sql_let(f"{{'s': string_split_regex({z}, {P}), 'h': regexp_extract_all({z}, {P}, 1), 't': regexp_extract_all({z}, {P}, 3)}}", one))
+
+
+def sql_linked_lines(x: str, origin: str, target=lambda u: u) -> str:
+    out = sub(x, *((rf"(?is)<{t}\b.*?</{t}>", "\n") for t in rules.NOISE_TAGS), (r"(?s)<!--.*?-->", "\n"))
+    return sql_lines(sql_linked(out, origin, target))
+
+
+def sql_chromeless(x: str) -> str:
+    return sub(x, *((rf"(?is)<{t}\b.*?</{t}>", "\n") for t in rules.CHROME_TAGS), (r"(?i)<input\b[^>]*>", "\n"))
+
+
 def sql_article(x: str = "html") -> str:
     found = f"regexp_extract({x}, {q('(?is)<article[^>]*>.*?</article>')})"
     return f"CASE WHEN {found} <> '' THEN {found} ELSE {x} END"
@@ -102,7 +138,6 @@ def sql_alias_rows(source: str) -> str:
     return f"SELECT u, min(rank) AS rank, alias FROM (SELECT u, unnest(range(0, 4)) AS rank, unnest({sql_aliases('u')}) AS alias FROM (SELECT DISTINCT u FROM ({source}))) GROUP BY u, alias"
 
 
-SQL_ANCHOR = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
 SQL_LINKS = f"""
   SELECT page_id, ordinal, lower({sql_part('url', 1)}) || '://' || lower({sql_part('url', 2)}) || href AS u, inner_ FROM (
     SELECT page_id, url, unnest(range(0, len(h))) AS ordinal, unnest(h) AS href, unnest(t) AS inner_ FROM (
@@ -119,8 +154,8 @@ SELECT host, count(*) AS pages, CAST(count(*) FILTER (length(body) >= 500) AS BI
 def site_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5, T6, J2: for each site, how many pages yield a valid body, and how long it is."""
     pages = table(spark, sf_dir, "pages")
-    body = F.array_join(text.html_to_lines(text.first_article(F.col("html")), numbers=False), "\n\n")
-    rows = pages.select(text.host_of(F.col("url")).alias("host"), assembly.validate(body, F.lit(None).cast("array<string>"), numbers=False).alias("x"))
+    body = F.array_join(text.html_to_lines(text.first_article(F.col("html"))), "\n\n")
+    rows = pages.select(text.host_of(F.col("url")).alias("host"), assembly.validate(body, F.lit(None).cast("array<string>")).alias("x"))
     good = F.col("x.status") == "extracted"
     return rows.groupBy("host").agg(F.count("*").alias("pages"), F.count_if(good).cast("long").alias("valid"), F.coalesce(F.sum(F.when(good, F.length("x.text"))), F.lit(0)).cast("long").alias("chars"))
 
@@ -221,7 +256,7 @@ def p7_compact_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT page_id, sha256({sql_decode('html')}) AS hash FROM pages")
 def t2_decode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.decode_entities(F.col("html"), numbers=False)).alias("hash"))
+    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.decode_entities(F.col("html"))).alias("hash"))
 
 
 @query(f"SELECT doc_id, sha256({sql_clean('text')}) AS hash FROM documents")
@@ -231,23 +266,37 @@ def t3_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT page_id, sha256({sql_text('html')}) AS hash FROM pages")
 def t4_html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.html_to_text(F.col("html"), numbers=False)).alias("hash"))
+    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.html_to_text(F.col("html"))).alias("hash"))
 
 
 @query(f"SELECT page_id, CAST(len(l) AS BIGINT) AS lines, sha256(array_to_string(l, chr(10))) AS hash FROM (SELECT page_id, {sql_lines('html')} AS l FROM pages)")
 def t5_html_to_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages").select("page_id", text.html_to_lines(F.col("html"), numbers=False).alias("l"))
+    rows = table(spark, sf_dir, "pages").select("page_id", text.html_to_lines(F.col("html")).alias("l"))
     return rows.select("page_id", F.size("l").cast("long").alias("lines"), text.content_hash(F.array_join("l", "\n")).alias("hash"))
 
 
 @query(f"SELECT page_id, CAST(length(a) AS BIGINT) AS chars, sha256(a) AS hash FROM (SELECT page_id, {sql_article()} AS a FROM pages)")
 def t6_scope_article(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corpusloom.functions.helpers import scope_article
-
-    rows = table(spark, sf_dir, "pages").select("page_id", scope_article(F.col("html")).alias("a"))
+    rows = table(spark, sf_dir, "pages").select("page_id", helpers.scope_article(F.col("html")).alias("a"))
     return rows.select("page_id", F.length("a").cast("long").alias("chars"), text.content_hash(F.col("a")).alias("hash"))
 
 
+SQL_SCOPED = f"CASE WHEN page_id % 2 = 0 THEN {sql_article()} ELSE html END"
+
+
+@query(f"SELECT page_id, sha256({sql_chromeless(SQL_SCOPED)}) AS hash FROM pages")
+def t6_scope_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main element of a host with rules, the page of any other, both without what is around the text."""
+    host = F.when(F.col("page_id") % 2 == 0, "linkedin.com").otherwise("example.org")
+    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.drop_chrome(helpers.scope_html(F.col("html"), host))).alias("hash"))
+
+
+@query("SELECT page_id, sha256(html) AS hash FROM pages")
+def t1_decode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = F.encode("html", "UTF-8")
+    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(helpers.decode_bytes(content)).alias("hash"))
+
+
 @query(f"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {sql_trim('x')}), lambda x: x <> '') AS l FROM documents),
 a AS (SELECT doc_id, CASE WHEN len(list_filter(l, lambda x: contains(x, 'the'))) > 0 THEN l[list_position(list_transform(l, lambda x: contains(x, 'the')), true):] ELSE l END AS l FROM l),
 b AS (SELECT doc_id, l, list_position(list_transform(l[2:], lambda x: contains(x, 'and')), true) AS stop FROM a)
@@ -275,28 +324,84 @@ def t9_clean_pdf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.content_hash(text.clean_pdf_lines(stamped, F.lit("le.utah.gov"))).alias("hash"))
 
 
-SQL_P = r"(?is)<p\b[^>]*>(.*?)</p>"
+SQL_P = r"(?is)<p\b[^>]*>.*?</p>"
+
+
+def sql_paragraph(x: str) -> str:
+    out = sub(x, (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""), (r"(?i)<br\s*/?\s*>", "\n"), ("<[^>]+>", ""))
+    return sql_trim(sub(sub(out, *((f"(?i)&{name};", char) for name, char in rules.PARAGRAPH_ENTITIES)), (f"{text.SPACE}+", " ")))
 
 
-@query(f"""WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, {q(SQL_P)}, 1), lambda x: {sub(sql_text('x'), (r'\s*\n\s*', ' '))}), lambda x: x <> '') AS p FROM pages)
-SELECT page_id, CAST(len(p) AS BIGINT) AS paragraphs, sha256(array_to_string(p, chr(10))) AS hash, len(p) <> 5 AS unexpected FROM p""")
+SQL_PARAGRAPHS = f"p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, {q(SQL_P)}), lambda x: {sql_paragraph('x')}), lambda x: x <> '') AS p FROM pages)"
+
+
+@query(f"WITH {SQL_PARAGRAPHS} SELECT page_id, CAST(len(p) AS BIGINT) AS paragraphs, sha256(array_to_string(p, chr(10))) AS hash, len(p) <> 5 AS unexpected FROM p")
 def t10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages").select("page_id", text.paragraphs(F.col("html"), numbers=False).alias("p"))
+    rows = table(spark, sf_dir, "pages").select("page_id", text.paragraphs(F.col("html")).alias("p"))
     return rows.select("page_id", F.size("p").cast("long").alias("paragraphs"), text.content_hash(F.array_join("p", "\n")).alias("hash"), (F.size("p") != 5).alias("unexpected"))
 
 
-@query("""SELECT page_id, sha256('# Page ' || page_id || chr(10) || chr(10) || '## Part' || chr(10) || chr(10) || 'first' || chr(10) || chr(10) || url) AS hash FROM pages""")
+@query(f"""WITH {SQL_PARAGRAPHS}, x AS (SELECT page_id, p, p[2] AS title, left(p[4], 25) AS footer FROM p),
+y AS (SELECT page_id, p, list_position(p, title) AS s, len(list_filter(p, lambda x: x = title)) AS n, list_position(list_transform(p, lambda x: contains(x, footer)), true) AS e FROM x),
+z AS (SELECT page_id, CASE WHEN n > 1 THEN 'duplicate document title in paragraph extraction' WHEN coalesce(s, 0) = 0 OR coalesce(e, 0) = 0 OR e <= s THEN 'could not locate document body boundaries' END AS error, p[s:e - 1] AS body FROM y)
+SELECT page_id, coalesce(error, CASE WHEN len(body) <> 2 THEN 'expected 2 paragraphs, found ' || len(body) END) AS error, CASE WHEN error IS NULL THEN sha256(array_to_string(body, chr(10))) END AS hash FROM z""")
+def t10_paragraphs_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the second paragraph to before the first that holds the beginning of the fourth."""
+    rows = table(spark, sf_dir, "pages").select("page_id", text.paragraphs(F.col("html")).alias("p"))
+    rows = rows.select("page_id", text.paragraphs_between(F.col("p"), F.get("p", 1), F.left(F.get("p", 3), F.lit(25)), F.lit(2)).alias("x"))
+    return rows.select("page_id", "x.error", text.content_hash(F.array_join("x.paragraphs", "\n")).alias("hash"))
+
+
+def dispatched(rows: DataFrame) -> DataFrame:
+    return assembly.dispatch_extractor(rows).select("page_id", text.content_hash(F.col("text")).alias("hash"), (F.col("note") != "").alias("noted"))
+
+
+@query(f"""SELECT page_id, sha256('Page ' || page_id || chr(10) || chr(10) || '发布时间：2024-05-06' || chr(10) || chr(10) || '## Part' || chr(10) || chr(10) || array_to_string({sql_linked_lines("html", "")}, chr(10) || chr(10))) AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
 def t11_json_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    section = F.array(F.struct(F.lit("Part").alias("name"), F.concat(F.lit("<p>first</p><p>"), "url", F.lit("</p>")).alias("rawContent")))
-    info = F.struct(F.concat(F.lit("Page "), "page_id").alias("name"), section.alias("section"))
+    """A rule in JSON with the page as its only section; without an address its links are text."""
+    section = F.array(F.struct(F.lit("Part").alias("moduleName"), F.col("html").alias("rawContent")))
+    info = F.struct(F.concat(F.lit("Page "), "page_id").alias("ruleName"), F.lit("2024-05-06").alias("releaseTime"), section.alias("section"))
     content = F.to_json(F.struct(F.struct(info.alias("info")).alias("data")))
-    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(assembly.json_body(content)).alias("hash"))
+    return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", content.alias("content"), F.lit("tencent-rule-json").alias("extractor"), F.lit("json").alias("type")))
 
 
-@query("""SELECT doc_id, source || ' [more](https://x.org/' || doc_id || ')' || chr(10) || '## ' || lang || chr(10) || chr(10) || '- one' || chr(10) || '- two' AS markdown FROM documents""")
+@query("""SELECT page_id, sha256('## 违法违禁 ' || page_id || chr(10) || chr(10) || 'first' || chr(10) || chr(10) || url || chr(10) || chr(10) || '### Part' || chr(10) || chr(10) || '#### Leaf' || chr(10) || chr(10) || 'x' || chr(10) || chr(10) || '## Last') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
+def t12_node_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of nodes in a script literal: titles by depth, contents as lines."""
+    leaf = F.array(F.struct(F.lit("Leaf").alias("title"), F.lit("<p>x</p>").alias("contentXML")))
+    part = F.array(F.struct(F.lit("Part").alias("title"), leaf.alias("children")))
+    one = F.to_json(F.struct(F.concat(F.lit("违法违禁 "), "page_id").alias("title"), F.concat(F.lit("<p>first</p><p>"), "url", F.lit("</p>")).alias("contentXML"), part.alias("children")))
+    content = F.concat(F.lit("<script>var a = JSON.parse('{\"no\":1}'); var b = JSON.parse('["), one, F.lit(',{"title":"Last"}]\');</script>'))
+    return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", content.alias("content"), F.lit("bilibili-convention-js").alias("extractor"), F.lit("html").alias("type")))
+
+
+@query("""SELECT doc_id, source || ' [more](https://x.org/' || doc_id || ') gone' || chr(10) || chr(10) || '### ' || lang || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || 'said so' AS markdown FROM documents""")
 def t13_bbcode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.concat("source", F.lit(" [url=https://x.org/"), "doc_id", F.lit("][b]more[/b][/url][h2]"), "lang", F.lit("[/h2][list][*]one[*]two[/list]"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.bbcode_to_markdown(raw).alias("markdown"))
+    raw = F.concat("source", F.lit(" [url=https://x.org/"), "doc_id", F.lit("][b]more[/b][/url] [url=mailto:x]gone[/url][h2]"), "lang", F.lit("[/h2][list][*]one[*]two[/list][quote]said[/quote] [code]so[/code][hr][/hr]"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.bbcode_to_markdown(raw, lambda h: urls.resolve_url(h, F.lit("https://b.org/"))).alias("markdown"))
+
+
+@query("""SELECT page_id, sha256('# 2 first' || chr(10) || chr(10) || 'body ' || page_id || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '# 10 second' || chr(10) || chr(10) || '[more](' || regexp_extract(url, '^[a-zA-Z]+://[^/?#]*') || '/x)') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
+def t13_faq_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of a store in an attribute, in the order of their numbers."""
+    store = F.concat(F.lit('{"faqs":{"10":{"title":"10 second","content":"[url=/x]more[/url]"},"2":{"title":"2 first","content":"[b]body[/b] '), "page_id", F.lit('"},"3":{"title":"empty"}}}'))
+    content = F.concat(F.lit('<div data-faqstore="'), F.replace(store, F.lit('"'), F.lit("&quot;")), F.lit('"></div>'))
+    return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", content.alias("content"), F.lit("steam-faqstore-json").alias("extractor"), F.lit("html").alias("type")))
+
+
+SQL_ORIGIN = f"(lower({sql_part('url', 1)}) || '://' || lower({sql_part('url', 2)}))"
+SQL_INNER = f"regexp_extract(html, {q('(?is)<article[^>]*>(.*?)</article>')}, 1)"
+
+
+@query(f"""WITH a AS (SELECT page_id, {sql_linked_lines(SQL_INNER, SQL_ORIGIN)} AS l FROM pages)
+SELECT page_id, sha256(array_to_string(CASE page_id % 3 WHEN 0 THEN list_concat(['Policy X', 'May 2024'], list_filter(l, lambda x: x <> '-')) WHEN 1 THEN l ELSE list_concat(['# Title ' || page_id], l) END, chr(10) || chr(10))) AS hash, CAST(NULL AS BOOLEAN) AS noted FROM a""")
+def t14_help_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of each page in the three layouts of help centres."""
+    n, inner = F.col("page_id"), F.regexp_extract("html", r"(?is)<article\b[^>]*>(.*?)</article>", 1)
+    x = F.concat(F.lit('<nav>menu</nav><main class=a id="twtr-main"><p>-</p><p>Menu</p><p>Policy X</p><p>May 2024</p><div>'), inner, F.lit("</div><p>Share this article</p><p>end</p></main>"))
+    g = F.concat(F.lit("<h1 id='title-h1'>Title <b>"), n, F.lit("</b></h1><section id=\"article-contents\">"), inner, F.lit("</section><p>end</p>"))
+    way = F.when(n % 3 == 0, "x-help-html").when(n % 3 == 1, "google-help-article").otherwise("github-docs-article")
+    return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", F.when(n % 3 == 0, x).when(n % 3 == 1, F.col("html")).otherwise(g).alias("content"), way.alias("extractor"), F.lit("html").alias("type")))
 
 
 @query(r"SELECT doc_id, sha256(text) AS hash, CAST(len(list_filter(string_split_regex(text, '\n{2,}'), lambda x: regexp_matches(x, '\S'))) AS BIGINT) AS paragraphs FROM documents")
@@ -340,7 +445,7 @@ def t17_rule_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return links.extract_links(table(spark, sf_dir, "pages"), numbers=False)
+    return links.extract_links(table(spark, sf_dir, "pages"))
 
 
 @query(f"SELECT page_id, ordinal, u AS url FROM ({SQL_LINKS})")
@@ -372,16 +477,30 @@ def l4_extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(spark, sf_dir).withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
-SQL_BODY = "substr(text, 1, 400) || ' [a](https://a.org/' || (doc_id % 50) || ') and [b](https://a.org/' || (doc_id % 50) || '/x) or [c](http://c.org/' || doc_id || ')'"
+SQL_ABOUT = lambda u: f"CASE WHEN regexp_replace({u}, '[?#].*$', '') = {SQL_ORIGIN} || '/about' THEN 'p/about%29.html' ELSE {u} END"
+
+
+@query(f"SELECT page_id, CAST(len(l) AS BIGINT) AS lines, sha256(array_to_string(l, chr(10))) AS hash FROM (SELECT page_id, {sql_linked_lines('html', SQL_ORIGIN, SQL_ABOUT)} AS l FROM pages)")
+def l4_linked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their links; those to one page of each site, by any alias, lead to a local file."""
+    url = F.col("url")
+    about = F.concat(F.lit("scheme:"), F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/?#]*)", 1)), F.lit("/about"))
+    targets = F.create_map(about, F.lit("p/about).html"))
+    piece = F.struct(F.lit("").alias("head"), F.col("html").alias("html"))
+    rows = links.linked_lines(table(spark, sf_dir, "pages").select("page_id", "url", F.array(piece).alias("p")), "p", url, targets).select("page_id", F.get("p", 0)["lines"].alias("l"))
+    return rows.select("page_id", F.size("l").cast("long").alias("lines"), text.content_hash(F.array_join("l", "\n")).alias("hash"))
+
+
+SQL_BODY = "text || ' [a](https://a.org/' || (doc_id % 500) || ') and [b](https://a.org/' || (doc_id % 500) || '/x) or [c](http://c.org/' || doc_id || ')'"
 
 
 def linked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
-    body = F.concat(F.substring("text", 1, 400), F.lit(" [a](https://a.org/"), n % 50, F.lit(") and [b](https://a.org/"), n % 50, F.lit("/x) or [c](http://c.org/"), n, F.lit(")"))
+    body = F.concat("text", F.lit(" [a](https://a.org/"), n % 500, F.lit(") and [b](https://a.org/"), n % 500, F.lit("/x) or [c](http://c.org/"), n, F.lit(")"))
     return table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("/"), n, F.lit(".md")).alias("path"), body.alias("body"))
 
 
-@query(f"SELECT doc_id, unnest(regexp_extract_all({SQL_BODY}, {q(links.MARKDOWN)}, 1)) AS url FROM documents")
+@query(f"SELECT doc_id, unnest(regexp_extract_all({SQL_BODY}, {q(links.MARKDOWN)}, 2)) AS url FROM documents")
 def l5_markdown_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_bodies(spark, sf_dir).select("doc_id", F.explode(links.markdown_links(F.col("body"))).alias("url"))
 
@@ -430,17 +549,18 @@ def l8_build_link_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_link_map(spark, sf_dir)
 
 
-@query(f"WITH m AS ({SQL_MAP}), a AS ({sql_alias_rows('SELECT url AS u FROM pages UNION SELECT u FROM (' + SQL_LINKS + ') WHERE page_id % 2 = 0')}) SELECT u AS url, arg_min(target, rank) AS target FROM a JOIN m USING (alias) GROUP BY u")
+@query(f"WITH m AS ({SQL_MAP}), a AS ({sql_alias_rows('SELECT url AS u FROM pages UNION SELECT u FROM (' + SQL_LINKS + ')')}) SELECT u AS url, arg_min(target, rank) AS target FROM a JOIN m USING (alias) GROUP BY u")
 def l9_lookup_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "pages").select("url").union(page_links(spark, sf_dir).select("url"))
     return links.lookup_targets(wanted, page_link_map(spark, sf_dir))
 
 
 @query(f"""WITH d AS (SELECT lang || '/' || doc_id || '.md' AS path, doc_id, {SQL_BODY} AS body FROM documents),
-n AS (SELECT path, replace(body, '](https://a.org/' || (doc_id % 50) || ')', '](../s/' || (doc_id % 50) || '.html)') AS body FROM d WHERE doc_id % 50 < 20)
+n AS (SELECT path, replace(body, '](https://a.org/' || (doc_id % 500) || ')', '](../s/' || (doc_id % 500) || '.html)') AS body FROM d WHERE doc_id % 500 IN (SELECT item_id FROM benchmark))
 SELECT path, body, sha256(body) AS body_sha256 FROM n""")
 def l10_localize_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = spark.range(20).select(F.concat(F.lit("http://a.org/"), "id").alias("url"), F.concat(F.lit("s/"), "id", F.lit(".html")).alias("target"), F.col("id").alias("at"))
+    n = F.col("item_id")
+    pairs = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("http://a.org/"), n).alias("url"), F.concat(F.lit("s/"), n, F.lit(".html")).alias("target"), n.alias("at"))
     return links.localize_links(linked_bodies(spark, sf_dir), links.build_link_map(pairs, ["at"]))
 
 
@@ -453,7 +573,7 @@ def j1_assemble_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.assemble_bodies(rows, ["conv_id"], ["turn"])
 
 
-@query(f"""WITH b AS (SELECT d.doc_id, {sql_clean('d.text')} AS body, CASE WHEN d.doc_id % 4 = 0 THEN [upper(left(b.text, 20))] ELSE [] END AS phrases FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id % 40),
+@query(f"""WITH b AS (SELECT d.doc_id, {sql_clean('d.text')} AS body, CASE WHEN d.doc_id % 4 = 0 THEN [upper(left(b.text, 20))] ELSE [] END AS phrases FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT greatest(count(*), 1) FROM benchmark)),
 m AS (SELECT doc_id, body, list_filter(phrases, lambda p: NOT contains(lower(body), lower(p))) AS missing FROM b)
 SELECT doc_id, CASE WHEN length(body) < 500 OR len(missing) > 0 THEN 'stub' ELSE 'extracted' END AS status,
   CASE WHEN length(body) < 500 OR len(missing) > 0 THEN concat_ws('; ', CASE WHEN length(body) < 500 THEN 'extracted text length ' || length(body) || ' is below minimum 500' END, CASE WHEN len(missing) > 0 THEN 'missing required phrase(s): ' || missing[1] END) END AS note,
@@ -480,11 +600,18 @@ def j3_resolve_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.resolve_status(rows, down)
 
 
-@query(f"""SELECT page_id, sha256(CASE WHEN page_id % 5 = 0 THEN '' WHEN page_id % 5 = 1 THEN {sql_clean('html')} ELSE array_to_string({sql_lines('html')}, chr(10) || chr(10)) END) AS hash FROM pages""")
+@query(f"""WITH x AS (SELECT page_id, html, page_id % 8 AS k, {sql_linked_lines(sql_chromeless("html"), SQL_ORIGIN)} AS whole, {sql_linked_lines(sql_chromeless(sql_article()), "(lower(" + sql_part("url", 1) + ") || '://linkedin.com')")} AS article, {sql_linked_lines("html", "")} AS bare, {sql_clean("html")} AS plain FROM pages),
+y AS (SELECT page_id, k, CASE k WHEN 0 THEN '' WHEN 1 THEN plain WHEN 2 THEN plain WHEN 3 THEN array_to_string(bare, chr(10) || chr(10)) WHEN 4 THEN '' WHEN 5 THEN '' WHEN 6 THEN array_to_string(article, chr(10) || chr(10)) ELSE array_to_string(whole, chr(10) || chr(10)) END AS t FROM x)
+SELECT page_id, sha256(t) AS hash, CASE WHEN k IN (0, 4, 5) THEN true END AS noted FROM y""")
 def j4_dispatch_extractor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("page_id")
-    rows = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"), F.when(n % 5 == 0, "stub").otherwise("generic-html").alias("extractor"), F.when(n % 5 == 1, "txt").otherwise("html").alias("type"))
-    return assembly.dispatch_extractor(rows).select("page_id", text.content_hash(F.col("text")).alias("hash"))
+    """A stub, plain text, a PDF's text with a page number, HTML in JSON, JSON without any, a help page that is missing its body, a host with scope rules, and any other page."""
+    n, html = F.col("page_id"), F.col("html")
+    k = n % 8
+    way = F.when(k == 0, "stub").when(k.isin(3, 4), "html-data-json").when(k == 5, "github-docs-article").otherwise("generic-html")
+    kind = F.when(k == 1, "txt").when(k == 2, "pdf").when(k.isin(3, 4), "json").otherwise("html")
+    content = F.when(k == 2, F.concat(F.lit("Page 7\n"), html, F.lit("\n-3-"))).when(k == 3, F.to_json(F.struct(html.alias("data")))).when(k == 4, "{}").otherwise(html)
+    rows = table(spark, sf_dir, "pages").select("page_id", F.when(k == 6, F.regexp_replace("url", r"^([a-zA-Z]+://)[^/?#]*", "$1linkedin.com")).otherwise(F.col("url")).alias("url"), content.alias("content"), way.alias("extractor"), kind.alias("type"))
+    return dispatched(rows)
 
 
 @query("""SELECT conv_id AS id, coalesce(string_agg('f/' || turn, ' ' ORDER BY role = 'assistant', turn) FILTER (turn % 4 <> 3), '') AS source_files, coalesce(string_agg('u' || turn, ' ' ORDER BY turn) FILTER (role = 'assistant' AND turn % 4 <> 3), '') AS linked_source_urls,
@@ -642,7 +769,7 @@ def v5_body_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.body_status(_records(spark, sf_dir), documents_as_markdown(spark, sf_dir))
 
 
-@query("""SELECT 'V6' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://a.org/' || (doc_id % 50) AS subject, 'link to a collected source is online' AS detail FROM documents WHERE doc_id % 50 < 20""")
+@query("""SELECT 'V6' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://a.org/' || (doc_id % 500) AS subject, 'link to a collected source is online' AS detail FROM documents WHERE doc_id % 50 < 20""")
 def v6_online_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = linked_bodies(spark, sf_dir).select(F.col("doc_id").alias("id"), "body")
     return verification.online_links(bodies, spark.range(20).select(F.concat(F.lit("http://A.org/"), "id", F.lit("?utm_x=1#top")).alias("url")))

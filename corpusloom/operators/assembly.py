@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_text, content_hash, html_to_lines, let, paragraph_count, relative_path
+from corpusloom.functions import helpers, rules
+from corpusloom.functions.text import (
+    bbcode_to_markdown, clean_pdf_lines, clean_text, content_hash, decode_entities, drop_chrome, help_article, host_of, html_to_text, let, paragraph_count, path_of, relative_path, slice_lines, trim, trim_chrome,
+)
+from corpusloom.functions.urls import resolve_url
+from corpusloom.operators.entries import is_low_value
+from corpusloom.operators.links import linked_lines, local_target
 
 SEPARATOR = "\n\n---\n\n"
 # --- fixed values: what the opening note of a document says, and which notes count as uncertain ---
@@ -83,28 +89,127 @@ def resolve_status(entries: DataFrame, downloads: DataFrame) -> DataFrame:
     return rows.select("id", status.alias("status"), note.alias("note"))
 
 
-def dispatch_extractor(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``text``: the way by extractor and artifact type, as branches of one narrow expression."""
-    lines = F.array_join(html_to_lines(F.col("content")), "\n\n")
-    plain = clean_text(F.col("content"))
-    json_html = F.array_join(html_to_lines(F.coalesce(F.get_json_object("content", "$.data"), F.lit(""))), "\n\n")
+#: Extractors whose pieces of HTML stand without an address, so that only whole URLs are links.
+UNBASED = ("html-data-json", "xiaohongshu-contract-json", "tencent-rule-json", "bilibili-convention-js")
+PIECES = "array<struct<head:string,html:string>>"
+_FAQS = "struct<faqs:map<string,struct<title:string,content:string>>>"
+_RULE = "struct<ruleName:string,releaseTime:string,effectTime:string,section:array<struct<moduleName:string,rawContent:string,content:string>>>"
+
+
+def _one(html: Column) -> Column:
+    return F.when(html.isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("head"), html.alias("html"))))
+
+
+def rule_pieces(content: Column, numbers: bool = True) -> Column:
+    """Head and HTML of the parts of a rule in JSON: name and dates, then its sections; null for what is no such rule."""
+    info = F.from_json(F.get_json_object(content, "$.data.info"), _RULE)
+
+    def pieces(x: Column) -> Column:
+        dates = (F.concat(F.lit("发布时间："), F.nullif(x["releaseTime"], F.lit(""))), F.concat(F.lit("生效时间："), F.nullif(x["effectTime"], F.lit(""))))
+        head = F.concat_ws("\n\n", clean_text(F.nullif(x["ruleName"], F.lit("")), numbers), *dates)
+        first = F.array(F.struct(head.alias("head"), F.lit(None).cast("string").alias("html")))
+        named = lambda s: F.concat(F.lit("## "), clean_text(F.nullif(s["moduleName"], F.lit("")), numbers))
+        parts = F.transform(x["section"], lambda s: F.struct(named(s).alias("head"), F.coalesce(F.nullif(s["rawContent"], F.lit("")), s["content"]).alias("html")))
+        return F.concat(first, parts)
+
+    return let(info, lambda x: F.when(x["section"].isNotNull(), pieces(x)))
+
+
+def tree_pieces(nodes: Column, numbers: bool = True) -> Column:
+    """Head and HTML of the nodes of ``helpers.tree_nodes``."""
+    return F.transform(nodes, lambda n: F.struct(F.concat(F.repeat(F.lit("#"), n["level"]), F.lit(" "), clean_text(n["title"], numbers)).alias("head"), n["content"].alias("html")))
+
+
+def store_articles(html: Column, url: Column, targets: Column | None = None, numbers: bool = True) -> Column:
+    """The articles of a page's FAQ store, an attribute with JSON whose texts are BBCode, numbered ones in order."""
+    raw = F.regexp_extract(html, r"(?is)\bdata-faqstore=(?:\"([^\"]*)\"|'([^']*)')", 1)
+    raw = F.when(raw != "", raw).otherwise(F.regexp_extract(html, r"(?is)\bdata-faqstore=(?:\"([^\"]*)\"|'([^']*)')", 2))
+    faqs = F.map_entries(F.from_json(decode_entities(raw, numbers), _FAQS)["faqs"])
+    faqs = F.array_sort(F.transform(faqs, lambda e, i: F.struct(F.coalesce(e["key"].try_cast("long"), F.lit(2**62)).alias("k"), i.alias("i"), e["value"].alias("v"))))
+    faqs = F.filter(faqs, lambda f: F.coalesce(f["v"]["content"], F.lit("")) != "")
+
+    def article(f: Column) -> Column:
+        title = F.concat(F.lit("# "), clean_text(F.nullif(f["v"]["title"], F.lit("")), numbers))
+        return F.concat_ws("\n\n", title, F.nullif(bbcode_to_markdown(f["v"]["content"], lambda h: local_target(resolve_url(h, url), targets), numbers), F.lit("")))
+
+    return F.transform(faqs, article)
+
+
+def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
+    """``pages`` with ``text`` and ``note``: the way by extractor, then by artifact type.
+
+    ``pages``: url, content (text; of a PDF the text taken from it), type, extractor, and where there are any fetch_method, targets (a map of aliases to local targets) and the
+    rules of slices: boundary_start, boundary_end, include_boundary_end, skip_line_patterns. Each way first yields pieces of HTML with their heads; these
+    become lines in one expression for all ways, and the lines are then cut as the way has it. Pages without worth have an empty text.
+    """
+
+    def given(name: str, kind: str = "string") -> Column:
+        return F.col(name) if name in pages.columns else F.lit(None).cast(kind)
+
+    content, url, way = F.col("content"), F.col("url"), F.coalesce("extractor", F.lit("generic-html"))
+    host, targets = host_of(url), F.col("targets") if "targets" in pages.columns else None
+    stub = (given("fetch_method") == "stub") | (way == "stub")
+    named = way.isin("x-help-html", "google-help-article", "github-docs-article", "steam-faqstore-json", *UNBASED)
+    pdf = ~named & ((way == "pdf-text") | (F.col("type") == "pdf"))
+    plain = ~named & ~pdf & ((way == "plain-text") | F.col("type").isin("txt", "json"))
+    generic = ~named & ~pdf & ~plain
+
+    main = F.regexp_extract(content, r"(?is)<main\b[^>]*id=[\"']twtr-main[\"'][^>]*>(.*?)</main>", 1)
+    article = F.nullif(F.regexp_extract(content, r"(?is)<article\b[^>]*>(.*?)</article>", 1), F.lit(""))
+    data = F.get_json_object(content, "$.data")
+    rows = pages.withColumns({
+        "scoped_": helpers.scope_html(F.when(generic, content), host),
+        "body_": helpers.element_by_id(F.when(way == "github-docs-article", content), F.lit("article-contents")),
+        "nodes_": helpers.tree_nodes(helpers.embedded_literal(F.when(way == "bilibili-convention-js", content), rules.CONVENTION_PHRASE)),
+    })
+    pieces = (
+        F.when(stub, F.lit(None).cast(PIECES))
+        .when(way == "bilibili-convention-js", tree_pieces(F.col("nodes_"), numbers))
+        .when(way == "tencent-rule-json", rule_pieces(content, numbers))
+        .when(way.isin("xiaohongshu-contract-json", "html-data-json"), _one(F.when(~data.rlike(r"^\s*[\[{]"), data)))
+        .when(way == "x-help-html", _one(drop_chrome(F.when(main != "", main).otherwise(content))))
+        .when(way == "google-help-article", _one(article))
+        .when(way == "github-docs-article", _one(F.col("body_")))
+        .when(generic, _one(drop_chrome(F.col("scoped_"))))
+    )
+    base = F.when(~way.isin(*UNBASED), url)
+    rows = linked_lines(rows.withColumn("pieces_", pieces), "pieces_", base, targets, numbers).withColumn("lines_", F.get("pieces_", 0)["lines"])
+
+    def joined(lines: Column) -> Column:
+        return F.array_join(lines, "\n\n")
+
+    lines = F.col("lines_")
+    cut = slice_lines(lines, given("boundary_start"), given("boundary_end"), given("include_boundary_end", "boolean"), given("skip_line_patterns", "array<string>"))
+    rows = rows.withColumn("cut_", F.when(generic | (way == "google-help-article"), trim_chrome(cut, host)).when(way == "github-docs-article", cut))
+    headed = F.array_join(F.filter(F.flatten(F.transform("pieces_", lambda p: F.array(p["head"], joined(p["lines"])))), lambda x: F.coalesce(x, F.lit("")) != ""), "\n\n")
+    title = F.concat(F.lit("# "), F.nullif(html_to_text(F.regexp_extract(content, r"(?is)<h1\b[^>]*id=[\"']title-h1[\"'][^>]*>(.*?)</h1>", 1), numbers), F.lit("")))
+    challenged = F.exists(lines, lambda x: x.rlike(rules.HELP_CHALLENGE))
+    low = is_low_value(host, path_of(url), F.filter("cut_", lambda x: trim(x) != ""))
     text = (
-        F.when((F.col("extractor") == "stub"), "")
-        .when(F.col("extractor") == "html-data-json", json_html)
-        .when((F.col("extractor") == "plain-text") | F.col("type").isin("txt", "json"), plain)
-        .otherwise(lines)
+        F.when(stub, "")
+        .when(way.isin("tencent-rule-json", "bilibili-convention-js"), headed)
+        .when(way.isin("xiaohongshu-contract-json", "html-data-json"), joined(lines))
+        .when(way == "x-help-html", F.when(challenged, "").otherwise(joined(help_article(lines))))
+        .when(way == "google-help-article", joined(F.col("cut_")))
+        .when(way == "github-docs-article", F.when(F.size("cut_") > 0, F.concat_ws("\n\n", title, joined(F.col("cut_")))))
+        .when(way == "steam-faqstore-json", F.array_join(store_articles(content, url, targets, numbers), SEPARATOR))
+        .when(pdf, clean_pdf_lines(content, host))
+        .when(plain, clean_text(content, numbers))
+        .otherwise(F.when(low, "").otherwise(joined(F.col("cut_"))))
     )
-    return pages.withColumn("text", text)
 
+    def noted(what: str) -> Column:
+        return F.concat(url, F.lit(f": {what}"))
 
-def json_body(content: Column) -> Column:
-    """Text of a JSON payload: ``data`` as HTML, or ``data.info`` with name, date and sections; null for what is neither."""
-    section = "array<struct<name:string,rawContent:string,content:string>>"
-    info = F.from_json(F.get_json_object(content, "$.data.info"), f"struct<name:string,publishTime:string,section:{section}>")
-    sections = F.transform(info["section"], lambda s: F.concat_ws("\n\n", F.concat(F.lit("## "), F.nullif(s["name"], F.lit(""))), F.array_join(html_to_lines(F.coalesce(s["rawContent"], s["content"], F.lit(""))), "\n\n")))
-    headed = F.concat_ws("\n\n", F.concat(F.lit("# "), info["name"]), info["publishTime"], F.array_join(sections, "\n\n"))
-    data = F.get_json_object(content, "$.data")
-    return F.when(info["section"].isNotNull(), headed).when(data.isNotNull() & ~data.rlike(r"^\s*[\[{]"), F.array_join(html_to_lines(data), "\n\n"))
+    note = (
+        F.when(stub, "tracked as a stub; no full-text extraction was attempted")
+        .when((way == "x-help-html") & challenged, noted("rendered page was a challenge page, not policy text"))
+        .when(F.col("pieces_").isNull() & (way == "google-help-article"), noted("article element was not found"))
+        .when(F.col("pieces_").isNull() & (way == "github-docs-article"), noted("article contents were not found"))
+        .when(F.col("pieces_").isNull() & way.isin(*UNBASED), noted("the JSON payload was not found"))
+        .when((way == "steam-faqstore-json") & (F.coalesce("text", F.lit("")) == ""), noted("the FAQ data store was not found or holds no records"))
+    )
+    return rows.withColumn("text", F.coalesce(text, F.lit(""))).withColumn("note", note).drop("scoped_", "body_", "nodes_", "pieces_", "lines_", "cut_")
 
 
 def manifest_records(entries: DataFrame, artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
@@ -133,7 +238,7 @@ def render_rule_documents(entries: DataFrame) -> DataFrame:
     """``path, document``: heading, opening note, metadata, hashes, and the body or a stub.
 
     ``entries``: the record of an entry with ``path, title, source_urls, source_sha256, text, status, note, status_note`` and
-    any of the other metadata fields.
+    any of the other metadata fields, ``reference_urls``, and ``linked_source_urls`` with ``linked_source_files``.
     """
     opening = (
         F.when(F.col("status") == "stub", F.concat(F.lit(f"> {STUB_NOTE} Reason: "), F.coalesce(F.nullif("note", F.lit("")), F.lit("not specified"))))
@@ -147,14 +252,21 @@ def render_rule_documents(entries: DataFrame) -> DataFrame:
         value = F.col(name) if default is None else F.coalesce(F.nullif(name, F.lit("")), F.lit(default))
         return F.concat(F.lit(f"- {key}: "), value)
 
+    def listed(name: str, head: str, line) -> Column:
+        if name not in entries.columns:
+            return F.lit(None).cast("string")
+        return F.when(F.size(name) > 0, F.concat(F.lit(f"- {head}:\n"), F.array_join(F.transform(name, line), "\n")))
+
     urls = F.array_join(F.transform("source_urls", lambda u: F.concat(F.lit("- "), u)), "\n")
+    references = listed("reference_urls", "Reference URL", lambda u: F.concat(F.lit("- "), u))
+    linked = listed("linked_source_urls", "Linked Source URL", lambda u, i: linked_source_line(u, F.col("path"), F.get("linked_source_files", i)))
     hashes = F.array_join(F.transform("source_sha256", lambda s: F.concat(F.lit("- "), s["source_file"], F.lit(": "), s["sha256"])), "\n")
     hashes = F.coalesce(F.nullif(hashes, F.lit("")), F.lit("- not available because no source artifact was downloaded"))
     good = F.col("status") == "extracted"
     metadata = F.concat_ws(
         "\n",
         field("Collection", "collection"), field("Jurisdiction", "jurisdiction"), field("Scope Note", "scope_note"), field("Source Authority", "source_authority"),
-        F.lit("- Source URL:"), urls, field("Retrieval Date", "retrieved_date"), field("Language", "language"), field("Language Group", "language_group"),
+        F.lit("- Source URL:"), urls, references, F.lit(""), linked, field("Retrieval Date", "retrieved_date"), field("Language", "language"), field("Language Group", "language_group"),
         field("Fetch Method", "fetch_method"), field("Extractor", "extractor", "generic-html"), field("Extraction Status", "status"), field("Status Note", "status_note", "None"),
         F.lit("- Source SHA-256:"), hashes,
         F.concat(F.lit("- Body SHA-256: "), F.when(good, content_hash(F.col("text"))).otherwise("not generated because this is a source stub")),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import rules
+from corpusloom.functions.text import first_heading, metadata_of
 
 
 def ancestors(path: Column) -> Column:
@@ -29,10 +30,35 @@ def directory_rollup(documents: DataFrame) -> DataFrame:
     return counts.join(child, "directory", "left").withColumn("children", F.coalesce("children", none))
 
 
-def rule_index(documents: DataFrame, fields: list[str]) -> DataFrame:
-    """``directory, rules``: the records of each directory's documents, sorted by title and path in binary order."""
-    record = F.struct("title", "path", *fields)
-    return documents.groupBy(directory_of(F.col("path")).alias("directory")).agg(F.array_sort(F.collect_list(record)).alias("rules"))
+GENERATOR = "corpusloom"
+
+
+def rule_records(documents: DataFrame, fields: tuple[str, ...] = ("collection", "jurisdiction", "language", "retrieval_date")) -> DataFrame:
+    """``directory, file, path, title`` and metadata of ``path, document``; README and risk pages are no rules."""
+    name = F.regexp_extract("path", r"[^/]*\z", 0)
+    rows = documents.where(~name.isin(*rules.NOT_RULES)).withColumn("meta_", metadata_of(F.col("document")))
+    meta = [F.try_element_at("meta_", F.lit(f)).alias(f) for f in fields]
+    return rows.select(directory_of(F.col("path")).alias("directory"), name.alias("file"), "path", first_heading(F.col("document"), name).alias("title"), *meta)
+
+
+def rule_index(documents: DataFrame, fields: tuple[str, ...] = ("collection", "jurisdiction", "language", "retrieval_date")) -> DataFrame:
+    """One row for each directory: version, directory, generator, counts, its rules by file name and its child directories.
+
+    A row is one index file, so it is as large as its directory. ``rule_records`` has the same rules as rows, for directories that are too
+    large for a file; the checks work on rows alone.
+    """
+    records = rule_records(documents, fields)
+    listed = records.groupBy("directory").agg(F.array_sort(F.collect_list(F.struct("file", "path", "title", *fields))).alias("rules"))
+    roll = directory_rollup(documents)
+    child = roll.where("directory <> ''").groupBy(directory_of(F.col("directory")).alias("directory")).agg(
+        F.array_sort(F.collect_list(F.struct(
+            F.regexp_extract("directory", r"[^/]*\z", 0).alias("name"), F.col("directory").alias("path"), F.concat("directory", F.lit("/index.json")).alias("index"), "rule_count", "descendant_rule_count"
+        ))).alias("children")
+    )
+    out = roll.drop("children").join(listed, "directory", "left").join(child, "directory", "left")
+    none = F.filter(F.array(F.struct(*(F.lit("").alias(n) for n in ("file", "path", "title", *fields)))), lambda x: F.lit(False))
+    nobody = F.expr("cast(array() as array<struct<name:string,path:string,index:string,rule_count:bigint,descendant_rule_count:bigint>>)")
+    return out.select(F.lit(1).alias("schema_version"), "directory", F.lit(GENERATOR).alias("generated_by"), "rule_count", "descendant_rule_count", F.coalesce("rules", none).alias("rules"), F.coalesce("children", nobody).alias("children"))
 
 
 def risk_labels(spark: SparkSession) -> DataFrame:
@@ -60,6 +86,11 @@ def duplicate_values(df: DataFrame, key: str) -> DataFrame:
     return df.where((F.col(key).isNotNull()) & (F.col(key).cast("string") != "")).groupBy(key).agg(F.count("*").alias("count")).where("count > 1")
 
 
+def index_summary(index: DataFrame) -> DataFrame:
+    """How many directory indexes there are, and how many rules they list."""
+    return index.agg(F.count("*").alias("indexes"), F.coalesce(F.sum(F.size("rules")), F.lit(0)).cast("long").alias("indexed_rules"))
+
+
 def corpus_summary(records: DataFrame, by: str | None = None) -> DataFrame:
     """Counts of records checked, extracted, stubs and failed ones, over all or by a column."""
     grouped = records.groupBy(by) if by else records.groupBy()

@@ -6,20 +6,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import html_to_text, relative_path
-from corpusloom.functions.urls import canonical_url, resolve_url, url_aliases
+from corpusloom.functions.text import broken_lines, html_to_text, let, long_preformatted, relative_path, rewritten, trim, without_noise
+from corpusloom.functions import rules
+from corpusloom.functions.urls import canonical_url, policy_slug, resolve_url, url_aliases
 
 PAIRED = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
 SINGLE = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*/>\s*([^<\n]+)"
-MARKDOWN = r"\]\((https?://[^)\s]+)\)"
+MARKDOWN = r"\[([^\[\]]+)\]\((https?://[^)\s]+)\)"
 
 
 def extract_links(pages: DataFrame, numbers: bool = True) -> DataFrame:
     """``page_id, ordinal, url, key, text`` of the anchors of ``page_id, url, html``: paired ones in order, then self-closing ones."""
 
     def anchors(pattern: str) -> Column:
-        parts = [F.regexp_extract_all("html", F.lit(pattern), F.lit(k)) for k in (1, 2, 3)]
-        return F.transform(parts[0], lambda double, i: F.struct(F.concat(double, F.get(parts[1], i)).alias("href"), F.get(parts[2], i).alias("inner")))
+        parts = F.struct(*(F.regexp_extract_all("html", F.lit(pattern), F.lit(k)).alias(f"g{k}") for k in (1, 2, 3)))
+        return let(parts, lambda m: F.transform(m["g1"], lambda double, i: F.struct(F.concat(double, F.get(m["g2"], i)).alias("href"), F.get(m["g3"], i).alias("inner"))))
 
     rows = pages.select("page_id", F.col("url").alias("base"), F.posexplode(F.concat(anchors(PAIRED), anchors(SINGLE))).alias("ordinal", "a"))
     url = resolve_url(F.col("a.href"), F.col("base"))
@@ -27,8 +28,55 @@ def extract_links(pages: DataFrame, numbers: bool = True) -> DataFrame:
     return rows.select("page_id", "ordinal", "url", canonical_url(F.col("url")).alias("key"), "text")
 
 
+def local_target(url: Column, targets: Column | None) -> Column:
+    """The target of the first alias of a URL in a map of aliases, or the URL itself."""
+    if targets is None:
+        return url
+    found = F.filter(F.transform(url_aliases(url), lambda a: F.try_element_at(targets, a)), lambda t: t.isNotNull())
+    return F.coalesce(F.get(found, 0), url)
+
+
+def linked_lines(rows: DataFrame, pieces: str, base: Column, targets: Column | None = None, numbers: bool = True) -> DataFrame:
+    """``rows`` with the column ``pieces``, an array of head and HTML, turned into heads and lines whose anchors are Markdown links.
+
+    Links lead to local targets where ``targets`` (alias to target) has one. Self-closing anchors take the text after them. Anchors without text are a
+    space; fragments and references that do not resolve leave their text. Each step is a column of its own, as nested functions would be too deep to analyse.
+    """
+
+    def step(rows: DataFrame, **fields) -> DataFrame:
+        """The fields of each piece, by name from the piece before."""
+        return rows.withColumn(pieces, F.transform(pieces, lambda p: F.struct(*(f(p).alias(name) for name, f in {"head": lambda p: p["head"], "pre": lambda p: p["pre"], **fields}.items()))))
+
+    def same(name: str):
+        return lambda p: p[name]
+
+    rows = step(rows, pre=lambda p: long_preformatted(p["html"], numbers), html=lambda p: without_noise(F.coalesce(p["html"], F.lit(""))))
+    for pattern, paired in ((SINGLE, False), (PAIRED, True)):
+
+        def groups(k: int, pattern: str = pattern):
+            return lambda p: F.regexp_extract_all(p["html"], F.lit(pattern), F.lit(k))
+
+        rows = step(rows, between=lambda p, pattern=pattern: F.split(p["html"], pattern), whole=groups(0), a=groups(1), b=groups(2), inner=groups(3))
+        rows = step(rows, between=same("between"), whole=same("whole"), href=lambda p: F.zip_with(p["a"], p["b"], lambda a, b: F.concat(a, b)), label=lambda p: F.transform(p["inner"], lambda t: html_to_text(t, numbers)))
+        # a fragment has no target of its own among paired anchors
+        resolved = lambda p, paired=paired: F.transform(p["href"], lambda h: F.when(~trim(h).startswith("#") | F.lit(not paired), resolve_url(h, base)))
+        rows = step(rows, between=same("between"), whole=same("whole"), label=same("label"), url=resolved)
+        if targets is not None:
+            rows = step(rows, between=same("between"), whole=same("whole"), label=same("label"), url=lambda p: F.transform(p["url"], lambda u: local_target(u, targets)))
+
+        def anchor(p: Column, i: Column, paired: bool = paired) -> Column:
+            label, url = F.get(p["label"], i), F.get(p["url"], i)
+            link = F.concat(F.lit(" ["), label, F.lit("]("), F.replace(url, F.lit(")"), F.lit("%29")), F.lit(") "))
+            empty, bare = (F.lit(" "), F.concat(F.lit(" "), label, F.lit(" "))) if paired else (F.get(p["whole"], i),) * 2
+            return F.when(label == "", empty).when(url.isNull(), bare).otherwise(link)
+
+        rows = step(rows, html=lambda p, anchor=anchor: F.array_join(F.transform(p["between"], lambda t, i: F.concat(t, F.coalesce(anchor(p, i), F.lit("")))), ""))
+    lines = F.transform(pieces, lambda p: F.struct(p["head"].alias("head"), F.coalesce(p["pre"], broken_lines(p["html"], numbers)).alias("lines")))
+    return rows.withColumn(pieces, lines)
+
+
 def markdown_links(body: Column) -> Column:
-    return F.regexp_extract_all(body, F.lit(MARKDOWN), F.lit(1))
+    return F.regexp_extract_all(body, F.lit(MARKDOWN), F.lit(2))
 
 
 def admit_links(links: DataFrame, entries: DataFrame) -> DataFrame:
@@ -60,47 +108,66 @@ def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         if not seen.intersection(aliases):
             seen.update(aliases)
             keep.append(i)
-    return fresh.loc[keep, ["id", "url", "rank"]]
+    return fresh.loc[keep, ["id", "url", "rank", "depth"]]
+
+
+def preferred_url(links: DataFrame, entries: DataFrame) -> DataFrame:
+    """``links`` (id, url, ...) with policy pages by their canonical URL, where their entry lets that one in."""
+    slug = policy_slug(F.col("url"))
+    canonical = F.when(slug == "parody-account-policy", "https://help.x.com/en/rules-and-policies/parody-account-policy").when(slug != "", F.format_string(rules.POLICY_URL, slug))
+    rows = links.withColumn("canonical", canonical)
+    wanted = rows.where("canonical is not null").select("id", F.col("canonical").alias("url")).distinct()
+    let_in = admit_links(wanted, entries).select("id", F.col("url").alias("canonical"), F.lit(True).alias("let_in"))
+    rows = rows.join(let_in, ["id", "canonical"], "left")
+    better = F.coalesce("let_in", F.lit(False)) | F.coalesce(F.col("canonical").endswith("/parody-account-policy"), F.lit(False))
+    return rows.withColumn("url", F.when(better, F.col("canonical")).otherwise(F.col("url"))).drop("canonical", "let_in")
 
 
 def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: int | None = None) -> DataFrame:
-    """``id, url, depth``: the linked sources of each entry, breadth first.
+    """``id, url, depth, position``: the linked sources of each entry, breadth first, in the order of its queue.
 
-    ``entries``: id, source_urls, linked_source_urls, include, exclude; ``links``: page_url, ordinal, url. A candidate is left out if
-    any alias of it was seen. Exact repeats go first, in a built-in join and window; what remains of an entry, at most the links of
-    its frontier, is settled greedily in order. Each level is checkpointed by its caller's session.
+    ``entries``: id, source_urls, linked_source_urls, include, exclude, and where there are any max_linked_sources and
+    linked_source_discovery_depth, which come before ``cap`` and ``depth``; ``links``: page_url, ordinal, url. Explicit links come first, then the anchors of
+    the entry's own pages in order, then those of each page of the queue. A candidate is left out if any alias of it was seen. Exact repeats go first, in a built-in
+    join and window; what remains of an entry, at most the links of its frontier, is settled greedily in order. Levels after the first are checkpointed.
     """
-    known = entries.select("id", F.explode("source_urls").alias("url")).withColumn("depth", F.lit(0))
-    start = entries.select("id", F.posexplode("linked_source_urls").alias("rank", "url")).withColumn("rank", F.col("rank").cast("long"))
-    found = _settle(known, start.withColumn("depth", F.lit(1)), cap)
-    frontier = known.select("id", "url").unionByName(found.select("id", "url"))
-    by_page = links.withColumn("page_alias", F.get(url_aliases(F.col("page_url")), 0))
-    for level in range(1, depth + 1):
-        pages = frontier.withColumn("page_alias", F.get(url_aliases(F.col("url")), 0)).select("id", "page_alias")
-        reached = pages.join(by_page, "page_alias").select("id", "url", F.xxhash64("page_alias").alias("page"), "ordinal")
-        admitted = admit_links(reached, entries)
-        order = Window.partitionBy("id").orderBy("page", "ordinal", "url")
-        ranked = admitted.withColumn("rank", F.row_number().over(order).cast("long")).withColumn("depth", F.lit(level))
-        more = _settle(known.unionByName(found), ranked.select("id", "url", "rank", "depth"), cap)
-        if level < depth:
+
+    def rule(name: str, default: int | None) -> Column:
+        return F.coalesce(name, F.lit(default).cast("int")) if name in entries.columns else F.lit(default).cast("int")
+
+    limits = entries.select("id", rule("max_linked_sources", cap).alias("most"), F.coalesce(rule("linked_source_discovery_depth", depth), F.lit(1)).alias("deepest"))
+    levels = max(1, limits.agg(F.max("deepest")).first()[0] or 1)
+    own = entries.select("id", F.posexplode("source_urls").alias("position", "url")).select("id", "url", F.lit(0).alias("depth"), F.col("position").cast("long"))
+    start = entries.select("id", F.posexplode("linked_source_urls").alias("rank", "url")).select("id", "url", F.lit(1).alias("depth"), F.lit(-1).cast("long").alias("at"), F.col("rank").cast("long").alias("ordinal"))
+    by_page = links.withColumn("page_alias", F.get(url_aliases(F.col("page_url")), 0)).select("page_alias", F.col("ordinal").cast("long").alias("ordinal"), "url")
+    found, frontier = None, own
+    for level in range(1, levels + 1):
+        pages = frontier.join(limits.where(F.col("deepest") >= level).select("id"), "id", "left_semi") if level > 1 else frontier
+        pages = pages.select("id", F.get(url_aliases(F.col("url")), 0).alias("page_alias"), F.col("position").alias("at"))
+        reached = pages.join(by_page, "page_alias").select("id", "url", F.lit(level).alias("depth"), "at", "ordinal")
+        reached = start.unionByName(reached) if level == 1 else reached
+        admitted = admit_links(preferred_url(reached, entries), entries)
+        order = Window.partitionBy("id").orderBy("at", "ordinal", "url")
+        ranked = admitted.withColumn("rank", F.row_number().over(order).cast("long")).select("id", "url", "rank", "depth")
+        more = _settle(own if found is None else own.unionByName(found), ranked, limits)
+        if level < levels:
             more = more.checkpoint()
-        found, frontier = found.unionByName(more), more.select("id", "url")
+        found = more if found is None else found.unionByName(more)
+        frontier = more
     return found
 
 
-def _settle(known: DataFrame, candidates: DataFrame, cap: int | None) -> DataFrame:
-    """The candidates of which no alias is known or taken by one before them, ``cap`` of all for each entry."""
+def _settle(known: DataFrame, candidates: DataFrame, limits: DataFrame) -> DataFrame:
+    """The candidates of which no alias is known or taken by one before them, with their positions in the queue, up to the cap of the entry."""
     first = candidates.groupBy("id", F.get(url_aliases(F.col("url")), 0).alias("key")).agg(F.min(F.struct("rank", "url", "depth")).alias("x")).select("id", "x.*")
-    rows = known.select("id", "url", F.lit(0).cast("long").alias("rank"), F.lit(True).alias("known")).unionByName(first.select("id", "url", "rank", F.lit(False).alias("known")))
+    rows = known.select("id", "url", F.lit(0).cast("long").alias("rank"), F.lit(True).alias("known"), "depth").unionByName(first.withColumn("known", F.lit(False)))
     rows = rows.withColumn("aliases", url_aliases(F.col("url")))
     kind = known.schema["id"].dataType.simpleString()
-    settled = rows.groupBy("id").applyInPandas(_greedy, f"id {kind}, url string, rank long")
-    out = settled.join(candidates.select("id", "url", "depth").distinct(), ["id", "url"])
-    if cap is not None:
-        linked = known.where("depth > 0").groupBy("id").agg(F.count("*").alias("used"))
-        out = out.join(linked, "id", "left").withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("rank", "url")))
-        out = out.where(F.col("nth") + F.coalesce("used", F.lit(0)) <= cap)
-    return out.select("id", "url", "depth")
+    settled = rows.groupBy("id").applyInPandas(_greedy, f"id {kind}, url string, rank long, depth int")
+    used = known.where("depth > 0").groupBy("id").agg(F.count("*").alias("used"))
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("rank", "url"))
+    out = settled.join(limits, "id").join(used, "id", "left").withColumn("position", (nth + F.coalesce("used", F.lit(0))).cast("long") - 1)
+    return out.where(F.col("most").isNull() | (F.col("position") < F.col("most"))).select("id", "url", "depth", "position")
 
 
 def build_link_map(pairs: DataFrame, order: list[str]) -> DataFrame:
@@ -115,6 +182,28 @@ def lookup_targets(urls: DataFrame, link_map: DataFrame) -> DataFrame:
     return each.join(link_map, "alias").groupBy("url").agg(F.min_by("target", "rank").alias("target"))
 
 
+def localize_documents(documents: DataFrame, link_map: DataFrame) -> DataFrame:
+    """``path, document, body_sha256`` of the documents that change: links of the body made local, and the hash in the header renewed."""
+    head = F.regexp_extract("document", r"(?s)\A(?:.*?\n)?## (?:Source Text|正文)\n\n?", 0)
+    rows = documents.select("path", "document", head.alias("head")).where("head <> ''")
+    rows = rows.withColumn("rest", F.substr("document", F.length("head") + 1)).withColumn("body", F.rtrim("rest", F.lit("\n")))
+    rows = rows.select("path", "head", "body", F.nullif(F.substr("rest", F.length("body") + 1), F.lit("")).alias("tail"))
+    new = localize_links(rows.select("path", "body"), link_map).withColumnsRenamed({"body": "new"})
+    rows = rows.join(new, "path")
+    document = F.concat("head", "new", F.coalesce("tail", F.lit("\n")))
+    for key in ("Body SHA-256: ", "正文 SHA-256："):
+        document = F.regexp_replace(document, F.lit(rf"(?is)\A(?<before>.*?- {key})[0-9a-f]+"), F.concat(F.lit("${before}"), "body_sha256"))
+    return rows.select("path", document.alias("document"), "body_sha256")
+
+
+def renew_hashes(records: DataFrame, changed: DataFrame) -> DataFrame:
+    """All ``records`` (manifest, output_file, body_sha256, ...) of the manifests that name a changed document, with the new hashes."""
+    new = changed.select(F.col("path").alias("output_file"), F.col("body_sha256").alias("renewed"))
+    rows = records.join(new, "output_file", "left")
+    touched = rows.where("renewed is not null").select("manifest").distinct()
+    return rows.join(touched, "manifest", "left_semi").withColumn("body_sha256", F.coalesce("renewed", "body_sha256")).drop("renewed").select(*records.columns)
+
+
 def localize_links(documents: DataFrame, link_map: DataFrame) -> DataFrame:
     """``path, body, body_sha256`` of the documents that change: known links become relative paths.
 
@@ -124,7 +213,6 @@ def localize_links(documents: DataFrame, link_map: DataFrame) -> DataFrame:
     targets = links.join(lookup_targets(links, link_map), "url").where("target <> path")
     targets = targets.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("url", F.replace(relative_path(F.col("path"), F.col("target")), F.lit(")"), F.lit("%29"))))).alias("targets"))
     rows = documents.join(targets, "path")
-    between, urls = F.split("body", MARKDOWN), markdown_links(F.col("body"))
-    parts = F.transform(between, lambda text, i: F.concat(text, F.coalesce(F.concat(F.lit("]("), F.coalesce(F.try_element_at("targets", F.get(urls, i)), F.get(urls, i)), F.lit(")")), F.lit(""))))
-    out = rows.select("path", F.array_join(parts, "").alias("new"), "body").where("new <> body")
+    new = rewritten(F.col("body"), MARKDOWN, 2, lambda whole, label, url: F.coalesce(F.concat(F.lit("["), label, F.lit("]("), F.try_element_at("targets", url), F.lit(")")), whole))
+    out = rows.select("path", new.alias("new"), "body").where("new <> body")
     return out.select("path", F.col("new").alias("body"), F.sha2("new", 256).alias("body_sha256"))

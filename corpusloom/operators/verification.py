@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import body_of, is_challenge_page, relative_path
 from corpusloom.functions.urls import url_aliases
 from corpusloom.operators.assembly import STUB_NOTE
-from corpusloom.operators.indexes import directory_rollup, duplicate_values
+from corpusloom.functions.rules import NOT_RULES
+from corpusloom.operators.indexes import GENERATOR, directory_of, directory_rollup, duplicate_values
 from corpusloom.operators.links import markdown_links
 
 
@@ -39,15 +40,17 @@ def artifact_integrity(declared: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def hash_coverage(records: DataFrame) -> DataFrame:
-    """V2: files without hashes and hashes without files, of ``id, source_files, hashed_files``; lists that are missing."""
+    """V2: of ``id, source_files, source_sha256``: missing hash metadata, entries without file or hash, files without hashes and hashes without files."""
     none = F.expr("cast(array() as array<string>)")
-    files, hashed = F.coalesce("source_files", none), F.coalesce("hashed_files", none)
-    listed = F.concat(
-        F.transform(F.array_except(files, hashed), lambda f: F.struct(f.alias("f"), F.lit("file without hash").alias("w"))),
-        F.transform(F.array_except(hashed, files), lambda f: F.struct(f.alias("f"), F.lit("hash without file").alias("w"))),
-        F.when(F.col("hashed_files").isNull(), F.array(F.struct(F.lit("").alias("f"), F.lit("missing hash metadata").alias("w")))).otherwise(F.filter(F.array(F.struct(F.lit("").alias("f"), F.lit("").alias("w"))), lambda x: F.lit(False))),
-    )
-    found = F.when(F.col("hashed_files").isNull(), F.filter(listed, lambda x: x["w"] == "missing hash metadata")).otherwise(listed)
+    valid = F.filter("source_sha256", lambda h: (F.coalesce(h["source_file"], F.lit("")) != "") & (F.coalesce(h["sha256"], F.lit("")) != ""))
+    files, hashed = F.coalesce("source_files", none), F.transform(valid, lambda h: h["source_file"])
+
+    def said(of: Column, what: str) -> Column:
+        return F.transform(of, lambda f: F.struct(f.alias("f"), F.lit(what).alias("w")))
+
+    invalid = F.array_repeat(F.lit(""), F.size("source_sha256") - F.size(valid))
+    found = F.concat(said(invalid, "invalid hash entry"), said(F.array_except(files, hashed), "file without hash"), said(F.array_except(hashed, files), "hash without file"))
+    found = F.when(F.col("source_sha256").isNull(), said(F.array(F.lit("")), "missing hash metadata")).otherwise(found)
     return records.select("id", F.explode(found).alias("x")).select(*failure("V2", F.col("id"), F.col("x.f"), F.col("x.w")))
 
 
@@ -78,25 +81,39 @@ def scope_notes(records: DataFrame, documents: DataFrame, part: str = "/united-s
     return rows.where(~F.contains("document", F.lit("Scope Note:"))).select(*failure("V4", F.col("id"), F.col("output_file"), "missing scope note"))
 
 
+def _status() -> Column:
+    return F.coalesce(F.nullif("extraction_status", F.lit("")), F.when(F.col("body_sha256").isNotNull(), "legacy"))
+
+
+def _bodies(records: DataFrame, documents: DataFrame) -> DataFrame:
+    """Records with their documents and the body under the marker of their status."""
+    rows = records.join(documents, F.col("output_file") == F.col("path"), "left").withColumn("status_", _status())
+    legacy, current = (body_of(F.col("document"), marker) for marker in ("正文", "Source Text"))
+    return rows.withColumn("body_", F.when(F.col("status_") == "legacy", legacy).when(F.col("status_") == "extracted", current))
+
+
 def body_status(records: DataFrame, documents: DataFrame) -> DataFrame:
-    """V5: by status, the body must be there with its hash, or the stub must say so."""
-    rows = records.join(documents, F.col("output_file") == F.col("path"), "left")
-    body = body_of(F.col("document"))
-    status = F.coalesce(F.nullif("extraction_status", F.lit("")), F.when(F.col("body_sha256").isNotNull(), "legacy"))
+    """V5: by status, the body must be under its marker with its hash, or the stub must say so."""
+    status, read = F.col("status_"), F.col("status_").isin("legacy", "extracted")
     what = (
         F.when(F.col("document").isNull(), "missing output file")
-        .when(status.isin("legacy", "extracted") & body.isNull(), "missing body section")
-        .when(status.isin("legacy", "extracted") & ~F.sha2(body, 256).eqNullSafe(F.col("body_sha256")), "body hash mismatch")
-        .when(status.isin("legacy", "extracted"), F.lit(None))
+        .when(read & F.col("body_").isNull(), "missing body section")
+        .when(read & ~F.sha2("body_", 256).eqNullSafe(F.col("body_sha256")), "body hash mismatch")
+        .when(read, F.lit(None))
         .when((status == "stub") & ~F.contains("document", F.lit(STUB_NOTE)), "stub without opening note")
         .when(status == "stub", F.lit(None))
         .otherwise("unknown extraction status")
     )
-    return rows.withColumn("what", what).where("what is not null").select(*failure("V5", F.col("id"), F.col("output_file"), F.col("what")))
+    return _bodies(records, documents).withColumn("what", what).where("what is not null").select(*failure("V5", F.col("id"), F.col("output_file"), F.col("what")))
+
+
+def sound_bodies(records: DataFrame, documents: DataFrame) -> DataFrame:
+    """``id, body`` of the records that V5 passes, the bodies that V6 reads."""
+    return _bodies(records, documents).where(F.sha2("body_", 256) == F.col("body_sha256")).select("id", F.col("body_").alias("body"))
 
 
 def online_links(bodies: DataFrame, collected: DataFrame) -> DataFrame:
-    """V6: links in ``id, body`` that still lead to a collected ``url``, once for each entry.
+    """V6: links in ``id, body`` (of ``sound_bodies``) that still lead to a collected ``url``, once for each entry.
 
     Both sides are reduced to distinct URLs and aliases before they meet.
     """
@@ -123,17 +140,63 @@ def registry_coverage(registry: DataFrame, records: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def stale_indexes(stored: DataFrame, documents: DataFrame) -> DataFrame:
-    """V9: stored ``directory, rule_count, descendant_rule_count, children`` against the recomputed ones."""
-    rows = stored.alias("s").join(directory_rollup(documents).alias("c"), "directory", "full_outer")
-    found = F.array(
-        F.when(F.col("s.rule_count").isNull(), "missing index"),
-        F.when(F.col("c.rule_count").isNull(), "index of no directory"),
-        F.when(F.col("s.rule_count") != F.col("c.rule_count"), "stale rule count"),
-        F.when(F.col("s.descendant_rule_count") != F.col("c.descendant_rule_count"), "stale descendant count"),
-        F.when(F.col("s.children") != F.col("c.children"), "stale children"),
-    )
-    return rows.select("directory", F.explode(F.array_compact(found)).alias("w")).select(*failure("V9", F.lit(None), F.col("directory"), F.col("w")))
+def stale_indexes(stored: DataFrame, documents: DataFrame, generator: str = GENERATOR) -> DataFrame:
+    """V9: stored indexes against the directories, rules and child indexes that there are.
+
+    ``stored``: location (the directory of the file), schema_version, directory, generated_by, rule_count, descendant_rule_count, rules and children as of
+    ``rule_index``; ``documents``: path. Rules and children are compared as rows, by joins on directory and name, so no directory is one task's.
+    """
+    roll = directory_rollup(documents)
+    known = F.col("directory_").isNotNull()
+    rows = stored.withColumnRenamed("directory", "said").join(roll.select(F.col("directory").alias("directory_"), F.col("rule_count").alias("count_")), F.col("location") == F.col("directory_"), "full_outer")
+    there = F.col("location").isNotNull()
+
+    def wrong(test: Column, what: str) -> Column:
+        return F.when(there & known & test, what)
+
+    own = rows.select(F.coalesce("location", "directory_").alias("at"), F.lit("").alias("name"), F.explode(F.array_compact(F.array(
+        F.when(~there, "missing index"), F.when(~known, "index of no directory"), wrong(~F.col("schema_version").eqNullSafe(F.lit(1)), "wrong schema version"), wrong(~F.col("said").eqNullSafe(F.col("location")), "wrong directory field"),
+        wrong(~F.col("generated_by").eqNullSafe(F.lit(generator)), "wrong generator"), wrong(F.col("rules").isNull(), "rules are no list"), wrong(F.col("children").isNull(), "children are no list"),
+        wrong(~F.col("rule_count").eqNullSafe(F.col("count_")), "stale rule count"),
+    ))).alias("w"))
+    seen = stored.join(roll, F.col("location") == roll.directory, "left_semi")
+
+    # rules
+    name = F.regexp_extract("path", r"[^/]*\z", 0)
+    files = documents.where(~name.isin(*NOT_RULES)).select(directory_of(F.col("path")).alias("at"), name.alias("name"), F.lit(True).alias("real")).join(seen.select("location"), F.col("at") == F.col("location"), "left_semi").distinct()
+    rules = seen.select(F.col("location").alias("at"), F.explode("rules").alias("r")).select("at", F.coalesce("r.file", F.lit("")).alias("name"), "r.path", "r.title")
+    place = F.concat(F.when(F.col("at") == "", "").otherwise(F.concat("at", F.lit("/"))), "name")
+    facts = rules.groupBy("at", "name").agg(F.count("*").alias("n"), F.bool_or(~F.col("path").eqNullSafe(place)).alias("strays"), F.bool_or(F.coalesce("title", F.lit("")) == "").alias("untitled"))
+    facts = facts.join(files, ["at", "name"], "full_outer")
+    listed = F.col("n").isNotNull() & (F.col("name") != "")
+    rules = facts.select("at", "name", F.explode(F.array_compact(F.array(
+        F.when(F.col("n").isNull(), "missing rule"), F.when(F.col("name") == "", "rule without file"), F.when(listed & (F.col("n") > 1), "duplicate rule"), F.when(listed & F.contains("name", F.lit("/")), "misplaced rule"),
+        F.when(listed & F.col("real").isNull(), "rule does not exist"), F.when(listed & F.col("strays"), "wrong rule path"), F.when(listed & F.col("untitled"), "rule without title"),
+    ))).alias("w"))
+
+    # children
+    real = roll.where("directory <> ''").select(directory_of(F.col("directory")).alias("at"), F.regexp_extract("directory", r"[^/]*\z", 0).alias("name"), F.lit(True).alias("real")).join(seen.select("location"), F.col("at") == F.col("location"), "left_semi")
+    children = seen.select(F.col("location").alias("at"), F.explode("children").alias("c")).select("at", F.coalesce("c.name", F.lit("")).alias("name"), *(F.col(f"c.{f}").alias(f) for f in ("path", "index", "rule_count", "descendant_rule_count")))
+    ends = stored.select(F.col("location").alias("child"), F.col("rule_count").alias("its_rules"), F.col("descendant_rule_count").alias("its_all"))
+    children = children.withColumn("place", place).join(ends, F.regexp_replace("index", r"/index\.json\z", "") == F.col("child"), "left")
+    bad = (F.col("name") == "") | F.col("index").isNull()
+    odd = {
+        "lacking": bad, "strays": ~F.col("path").eqNullSafe(F.col("place")), "misses": F.col("index") != F.concat("place", F.lit("/index.json")), "gone": F.col("child").isNull(),
+        "stale": F.col("child").isNotNull() & ~F.col("rule_count").eqNullSafe(F.col("its_rules")), "stale_all": F.col("child").isNotNull() & ~F.col("descendant_rule_count").eqNullSafe(F.col("its_all")),
+    }
+    facts = children.groupBy("at", "name").agg(F.count("*").alias("n"), F.sum("its_all").alias("below"), *(F.bool_or(test).alias(flag) for flag, test in odd.items()))
+    said = facts.join(real, ["at", "name"], "full_outer")
+    good = F.col("n").isNotNull() & ~F.col("lacking")
+    kids = said.select("at", "name", F.explode(F.array_compact(F.array(
+        F.when(F.col("n").isNull(), "missing child"), F.when(F.col("lacking"), "child without name or index"), F.when(good & (F.col("n") > 1), "duplicate child"), F.when(good & F.col("real").isNull(), "child does not exist"), F.when(good & F.col("strays"), "wrong child path"),
+        F.when(good & F.col("misses"), "wrong child index"), F.when(good & F.col("gone"), "child index not readable"), F.when(good & F.col("stale"), "stale child rule count"), F.when(good & F.col("stale_all"), "stale child descendant count"),
+    ))).alias("w"))
+
+    below = facts.where(good).groupBy("at").agg(F.sum("below").alias("below"))
+    total = seen.join(below, F.col("location") == F.col("at"), "left").withColumn("all_", F.coalesce(F.size("rules"), F.lit(0)) + F.coalesce("below", F.lit(0)))
+    total = total.where(~F.col("descendant_rule_count").eqNullSafe(F.col("all_"))).select(F.col("location").alias("at"), F.lit("").alias("name"), F.lit("stale descendant count").alias("w"))
+    found = reduce(DataFrame.unionByName, (own, rules, kids, total))
+    return found.select(*failure("V9", F.lit(None), F.when(F.col("name") == "", F.col("at")).otherwise(F.concat_ws(": ", "at", "name")), F.col("w")))
 
 
 def verify_corpus(*checks: DataFrame) -> DataFrame:

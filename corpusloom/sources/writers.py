@@ -17,7 +17,7 @@ def write_manifests(records: DataFrame, path: str) -> None:
 
 def write_indexes(index: DataFrame, path: str) -> None:
     """One JSON text for each ``directory``."""
-    body = F.to_json(F.struct(F.lit(1).alias("schema_version"), *index.columns))
+    body = F.to_json(F.struct(*index.columns))
     _by_directory(index.select(F.col("directory").alias("dir"), body.alias("value")), path, "text")
 
 
