@@ -7,6 +7,8 @@ checks follow from ids, so that the SQL makes the same ones.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import helpers, rules, text, urls
 from corpusloom.operators import assembly, entries, indexes, links, verification
+from corpusloom.sources import writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -651,17 +654,27 @@ def j7_stale_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.stale_artifacts(existing, new, assembly.merge_manifests(existing, new, registry))
 
 
-@query("""SELECT lang || '/' || doc_id AS path, sha256('# Document ' || doc_id || CASE WHEN doc_id % 3 = 0 THEN chr(10) || chr(10) || '> Opening Note: This file is a source stub only. Reason: too short' ELSE '' END || chr(10) || chr(10) || '- Collection: ' || lang || chr(10) || '- Source URL:' || chr(10) || '- https://a.org/' || doc_id
-  || chr(10) || '- Extraction Status: ' || CASE WHEN doc_id % 3 = 0 THEN 'stub' ELSE 'extracted' END || chr(10) || '- Status Note: None' || chr(10) || '- Source SHA-256:' || chr(10) || '- f/' || doc_id || ': ' || sha256(source) || chr(10) || '- Body SHA-256: ' || CASE WHEN doc_id % 3 = 0 THEN 'not generated because this is a source stub' ELSE sha256(text) END
-  || chr(10) || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '## Source Stub' || chr(10) || chr(10) || 'No source text is kept here.' ELSE '## Source Text' || chr(10) || chr(10) || text END || chr(10)) AS hash FROM documents""")
+@query("""SELECT lang || '/' || doc_id || '.md' AS path, sha256(array_to_string(list_filter(['# Document ' || doc_id, CASE WHEN doc_id % 3 = 0 THEN chr(10) || '> Opening Note: This file is a source stub only. Reason: too short' END, chr(10) || '- Collection: ' || lang, '- Source URL:', '- https://a.org/' || doc_id,
+  CASE WHEN doc_id % 2 = 0 THEN '- Reference URL:' || chr(10) || '- https://r.org/' || doc_id END, '', CASE WHEN doc_id % 5 = 0 THEN '- Linked Source URL:' || chr(10) || '- https://l.org/' || doc_id || ' -> ../f/l' || doc_id END,
+  '- Extractor: generic-html', '- Extraction Status: ' || CASE WHEN doc_id % 3 = 0 THEN 'stub' ELSE 'extracted' END, '- Status Note: None', '- Source SHA-256:', '- f/' || doc_id || ': ' || sha256(source),
+  '- Body SHA-256: ' || CASE WHEN doc_id % 3 = 0 THEN 'not generated because this is a source stub' ELSE sha256(text) END, '', CASE WHEN doc_id % 3 = 0 THEN '## Source Stub' || chr(10) || chr(10) || 'No source text is kept here.' ELSE '## Source Text' || chr(10) || chr(10) || text END, ''], lambda x: x IS NOT NULL), chr(10))) AS hash FROM documents""")
 def s5_render_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, stub = F.col("doc_id"), F.col("doc_id") % 3 == 0
-    rows = table(spark, sf_dir, "documents").select(
-        F.concat("lang", F.lit("/"), n).alias("path"), F.concat(F.lit("Document "), n).alias("title"), F.col("lang").alias("collection"), F.array(F.concat(F.lit("https://a.org/"), n)).alias("source_urls"),
+    return assembly.render_rule_documents(_rendered(spark, sf_dir)).select("path", text.content_hash(F.col("document")).alias("hash"))
+
+
+def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries with what was extracted, ready to be written as documents."""
+    n, stub, none = F.col("doc_id"), F.col("doc_id") % 3 == 0, F.expr("cast(array() as array<string>)")
+
+    def one(cycle: int, text_: str) -> Column:
+        return F.when(n % cycle == 0, F.array(F.concat(F.lit(text_), n))).otherwise(none)
+
+    return table(spark, sf_dir, "documents").select(
+        n.alias("id"), F.concat("lang", F.lit("/"), n, F.lit(".md")).alias("path"), F.concat(F.lit("Document "), n).alias("title"), F.col("lang").alias("collection"), F.array(F.concat(F.lit("https://a.org/"), n)).alias("source_urls"),
+        one(2, "https://r.org/").alias("reference_urls"), one(5, "https://l.org/").alias("linked_source_urls"), one(5, "f/l").alias("linked_source_files"), F.lit("generic-html").alias("extractor"),
         F.array(F.struct(F.concat(F.lit("f/"), n).alias("source_file"), F.sha2("source", 256).alias("sha256"))).alias("source_sha256"), "text",
         F.when(stub, "stub").otherwise("extracted").alias("status"), F.when(stub, "too short").alias("note"), F.lit(None).cast("string").alias("status_note"),
     )
-    return assembly.render_rule_documents(rows).select("path", text.content_hash(F.col("document")).alias("hash"))
 
 
 # --- roll-ups ---
@@ -677,10 +690,25 @@ def a1_directory_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexes.directory_rollup(documents_as_markdown(spark, sf_dir)).withColumn("children", F.array_join("children", ","))
 
 
-@query("SELECT lang || '/' || source AS directory, string_agg('Document ' || doc_id || '|' || n_chars, ',' ORDER BY 'Document ' || doc_id) AS rules FROM documents GROUP BY 1")
+@query(f"""WITH {SQL_ROLLUP}, r AS (SELECT lang || '/' || source AS directory, string_agg(doc_id || '.md|' || lang || '/' || source || '/' || doc_id || '.md|Document ' || doc_id || '|' || source, ',' ORDER BY doc_id || '.md') AS rules FROM documents GROUP BY 1),
+kk AS (SELECT CASE WHEN contains(directory, '/') THEN regexp_replace(directory, '/[^/]*$', '') ELSE '' END AS directory, string_agg(regexp_extract(directory, '[^/]*$') || '|' || directory || '|' || directory || '/index.json|' || rule_count || '|' || descendant_rule_count, ',' ORDER BY regexp_extract(directory, '[^/]*$')) AS children FROM rollup_ WHERE directory <> '' GROUP BY 1)
+SELECT directory, rule_count, descendant_rule_count, coalesce(r.rules, '') AS rules, coalesce(kk.children, '') AS children FROM rollup_ LEFT JOIN r USING (directory) LEFT JOIN kk USING (directory)""")
 def a2_rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.concat("lang", F.lit("/"), "source", F.lit("/"), "doc_id").alias("path"), F.concat(F.lit("Document "), "doc_id").alias("title"), "n_chars")
-    return indexes.rule_index(docs, ["n_chars"]).select("directory", F.array_join(F.transform("rules", lambda r: F.concat(r["title"], F.lit("|"), r["n_chars"])), ",").alias("rules"))
+    def listed(name: str, *fields: str) -> Column:
+        return F.array_join(F.transform(name, lambda x: F.concat_ws("|", *(x[f].cast("string") for f in fields))), ",").alias(name)
+
+    out = indexes.rule_index(_headers(spark, sf_dir), ("language",))
+    return out.select("directory", "rule_count", "descendant_rule_count", listed("rules", "file", "path", "title", "language"), listed("children", "name", "path", "index", "rule_count", "descendant_rule_count"))
+
+
+def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without their bodies, which may themselves hold lines of metadata."""
+    return documents_as_markdown(spark, sf_dir).select("path", F.substring_index("document", "\n## Source", 1).alias("document"))
+
+
+@query("SELECT CAST(1 + count(DISTINCT lang) + count(DISTINCT lang || '/' || source) AS BIGINT) AS indexes, count(*) AS indexed_rules FROM documents")
+def a5_index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indexes.index_summary(indexes.rule_index(_headers(spark, sf_dir), ()))
 
 
 SQL_CATEGORY = "CASE doc_id % 5 WHEN 0 THEN 'self_harm' WHEN 1 THEN 'child_safety' WHEN 2 THEN 'unheard_of' ELSE 'fraud_scams' END"
@@ -730,11 +758,19 @@ def v1_artifact_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.artifact_integrity(_declared(spark, sf_dir), _facts(spark, sf_dir))
 
 
-@query("""SELECT 'V2' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, CASE doc_id % 11 WHEN 0 THEN 'a' WHEN 1 THEN 'c' ELSE '' END AS subject, CASE doc_id % 11 WHEN 0 THEN 'file without hash' WHEN 1 THEN 'hash without file' ELSE 'missing hash metadata' END AS detail FROM documents WHERE doc_id % 11 < 3""")
+SQL_V2 = """SELECT 'V2' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, CASE doc_id % 11 WHEN 0 THEN 'f/' || doc_id WHEN 1 THEN 'h/' || doc_id ELSE '' END AS subject, CASE doc_id % 11 WHEN 0 THEN 'file without hash' WHEN 1 THEN 'hash without file' WHEN 2 THEN 'missing hash metadata' ELSE 'invalid hash entry' END AS detail FROM documents WHERE doc_id % 11 < 4"""
+
+
+@query(SQL_V2)
 def v2_hash_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
-    hashed = F.when(n % 11 == 0, F.array(F.lit("b"))).when(n % 11 == 1, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).when(n % 11 != 2, F.array(F.lit("b"), F.lit("a")))
-    return verification.hash_coverage(table(spark, sf_dir, "documents").select(n.alias("id"), F.array(F.lit("a"), F.lit("b")).alias("source_files"), hashed.alias("hashed_files")))
+
+    def entry(name: str, hash_: Column) -> Column:
+        return F.struct(F.concat(F.lit(name), n).alias("source_file"), hash_.alias("sha256"))
+
+    good, other, odd = entry("e/", F.sha2("text", 256)), entry("f/", F.sha2("source", 256)), entry("g/", F.lit(""))
+    hashes = F.when(n % 11 == 0, F.array(good)).when(n % 11 == 1, F.array(good, other, entry("h/", F.sha2("lang", 256)))).when(n % 11 == 3, F.array(other, odd, good)).when(n % 11 != 2, F.array(other, good))
+    return verification.hash_coverage(table(spark, sf_dir, "documents").select(n.alias("id"), F.array(F.concat(F.lit("e/"), n), F.concat(F.lit("f/"), n)).alias("source_files"), hashes.alias("source_sha256")))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -747,14 +783,20 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT 'V3' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://lost.org' AS subject, 'missing source URL' AS detail FROM documents WHERE doc_id % 31 = 0
-UNION ALL SELECT 'V3', CAST(doc_id AS VARCHAR), unnest(['lang/y', '../../lang/y']), unnest(['linked file not in source files', 'missing local reference']) FROM documents WHERE doc_id % 37 = 0""")
+SQL_V3 = """SELECT 'V3' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://lost.org' AS subject, 'missing source URL' AS detail FROM documents WHERE doc_id % 31 = 0
+UNION ALL SELECT 'V3', CAST(doc_id AS VARCHAR), unnest(['lang/y', '../../lang/y']), unnest(['linked file not in source files', 'missing local reference']) FROM documents WHERE doc_id % 37 = 0"""
+
+
+@query(SQL_V3)
 def v3_document_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.document_references(_records(spark, sf_dir), documents_as_markdown(spark, sf_dir))
 
 
-@query("""SELECT 'V4' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, lang || '/' || source || '/' || doc_id || '.md' AS subject, 'missing scope note' AS detail FROM documents WHERE doc_id % 19 = 0 AND lang = 'en' AND source IN ('src1', 'src3')
-UNION ALL SELECT 'V4', CAST(doc_id AS VARCHAR), lang || '/' || source || '/' || doc_id || '.md', 'missing scope note' FROM documents WHERE doc_id % 19 = 0 AND starts_with(source, 'src1') AND source <> 'src1' AND lang = 'en'""")
+SQL_V4 = """SELECT 'V4' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, lang || '/' || source || '/' || doc_id || '.md' AS subject, 'missing scope note' AS detail FROM documents WHERE doc_id % 19 = 0 AND lang = 'en' AND source IN ('src1', 'src3')
+UNION ALL SELECT 'V4', CAST(doc_id AS VARCHAR), lang || '/' || source || '/' || doc_id || '.md', 'missing scope note' FROM documents WHERE doc_id % 19 = 0 AND starts_with(source, 'src1') AND source <> 'src1' AND lang = 'en'"""
+
+
+@query(SQL_V4)
 def v4_scope_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = verification.scope_notes(_records(spark, sf_dir), documents_as_markdown(spark, sf_dir), "en/src1")
     return one.unionByName(verification.scope_notes(_records(spark, sf_dir), documents_as_markdown(spark, sf_dir), "en/src3/"))
@@ -769,10 +811,18 @@ def v5_body_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.body_status(_records(spark, sf_dir), documents_as_markdown(spark, sf_dir))
 
 
-@query("""SELECT 'V6' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://a.org/' || (doc_id % 500) AS subject, 'link to a collected source is online' AS detail FROM documents WHERE doc_id % 50 < 20""")
+SQL_V6 = """SELECT 'V6' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, 'https://a.org/' || (doc_id % 500) AS subject, 'link to a collected source is online' AS detail FROM documents WHERE doc_id % 500 IN (SELECT item_id FROM benchmark) AND doc_id % 17 <> 0 AND doc_id % 19 <> 0"""
+
+
+@query(SQL_V6)
 def v6_online_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = linked_bodies(spark, sf_dir).select(F.col("doc_id").alias("id"), "body")
-    return verification.online_links(bodies, spark.range(20).select(F.concat(F.lit("http://A.org/"), "id", F.lit("?utm_x=1#top")).alias("url")))
+    """Bodies with links to collected and other sources; those whose hash is wrong, and stubs, are not read."""
+    n, head = F.col("doc_id"), F.lit("# D\n\n## Source Text\n\n")
+    rows = linked_bodies(spark, sf_dir).select(n.alias("id"), "path", "body", F.concat(head, "body", F.lit("\n")).alias("document"))
+    wrong = F.when(F.col("id") % 17 == 0, F.concat("body", F.lit("x"))).otherwise(F.col("body"))
+    records = rows.select("id", F.col("path").alias("output_file"), F.when(F.col("id") % 19 == 0, "stub").otherwise("extracted").alias("extraction_status"), F.sha2(wrong, 256).alias("body_sha256"))
+    collected = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("http://A.org/"), "item_id", F.lit("?utm_x=1#top")).alias("url"))
+    return verification.online_links(verification.sound_bodies(records, rows.select("path", "document")), collected)
 
 
 @query(SQL_V7)
@@ -794,23 +844,101 @@ def v8_registry_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verification.registry_coverage(rows.where("id % 29 <> 0"), rows.where("id % 23 <> 0"))
 
 
-SQL_V9 = f"""WITH {SQL_ROLLUP}, s AS (SELECT directory, rule_count + CASE WHEN directory LIKE '%src1' THEN 1 ELSE 0 END AS rule_count, descendant_rule_count, children FROM rollup_ WHERE directory NOT LIKE '%src2' UNION ALL SELECT 'gone', 1, 1, [])
-SELECT 'V9' AS "check", CAST(NULL AS VARCHAR) AS entry_id, coalesce(s.directory, r.directory) AS subject, CASE WHEN s.directory IS NULL THEN 'missing index' WHEN r.directory IS NULL THEN 'index of no directory' ELSE 'stale rule count' END AS detail FROM s FULL JOIN rollup_ r USING (directory) WHERE s.directory IS NULL OR r.directory IS NULL OR s.rule_count <> r.rule_count"""
+SQL_V9 = f"""WITH {SQL_ROLLUP}, d AS (SELECT lang || '/' || source AS dir_, doc_id AS n, doc_id || '.md' AS file FROM documents),
+i AS (SELECT *, regexp_extract(directory, '[^/]*$') AS name FROM rollup_), gone AS (SELECT directory FROM i WHERE name = 'src2'),
+stored AS (SELECT directory, rule_count + CASE WHEN name = 'src1' THEN 1 ELSE 0 END AS rule_count, descendant_rule_count FROM i WHERE name <> 'src2'),
+kids AS (SELECT CASE WHEN contains(directory, '/') THEN regexp_replace(directory, '/[^/]*$', '') ELSE '' END AS dir_, i.* FROM i WHERE directory <> ''),
+below AS (SELECT dir_, sum(s.descendant_rule_count) AS n FROM kids JOIN stored s USING (directory) GROUP BY dir_),
+f AS (
+  SELECT directory AS dir_, '' AS name, 'missing index' AS w FROM gone
+  UNION ALL SELECT 'no/where', '', 'index of no directory'
+  UNION ALL SELECT directory, '', 'stale rule count' FROM i WHERE name = 'src1'
+  UNION ALL SELECT directory, '', unnest(['wrong schema version', 'wrong generator', 'wrong directory field']) FROM i WHERE name = 'src3'
+  UNION ALL SELECT dir_, file, 'missing rule' FROM d WHERE n % 31 = 0 AND dir_ NOT IN (SELECT directory FROM gone)
+  UNION ALL SELECT dir_, file, 'duplicate rule' FROM d WHERE n % 37 = 0 AND n % 31 <> 0 AND dir_ NOT IN (SELECT directory FROM gone)
+  UNION ALL SELECT dir_, file, 'rule without title' FROM d WHERE n % 41 = 0 AND n % 31 <> 0 AND dir_ NOT IN (SELECT directory FROM gone)
+  UNION ALL SELECT dir_, file, 'wrong rule path' FROM d WHERE n % 43 = 0 AND n % 31 <> 0 AND dir_ NOT IN (SELECT directory FROM gone)
+  UNION ALL SELECT dir_, 'x/' || file, unnest(['misplaced rule', 'rule does not exist']) FROM d WHERE n % 47 = 0 AND dir_ NOT IN (SELECT directory FROM gone)
+  UNION ALL SELECT dir_, name, 'child index not readable' FROM kids WHERE name = 'src2'
+  UNION ALL SELECT dir_, name, 'stale child rule count' FROM kids WHERE name = 'src1'
+  UNION ALL SELECT s.directory, '', 'stale descendant count' FROM stored s LEFT JOIN (SELECT dir_, sum(CASE WHEN n % 31 = 0 THEN 0 WHEN n % 37 = 0 THEN 2 ELSE 1 END + CASE WHEN n % 47 = 0 THEN 1 ELSE 0 END) AS n FROM d GROUP BY dir_) l ON l.dir_ = s.directory LEFT JOIN below b ON b.dir_ = s.directory
+    WHERE s.descendant_rule_count <> coalesce(l.n, 0) + coalesce(b.n, 0))
+SELECT 'V9' AS "check", CAST(NULL AS VARCHAR) AS entry_id, CASE WHEN name = '' THEN dir_ ELSE dir_ || ': ' || name END AS subject, w AS detail FROM f"""
 
 
 @query(SQL_V9)
 def v9_stale_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents_as_markdown(spark, sf_dir)
-    stored = indexes.directory_rollup(docs).where("directory not like '%src2'").withColumn("rule_count", F.col("rule_count") + F.when(F.col("directory").like("%src1"), 1).otherwise(0))
-    gone = spark.range(1).select(F.lit("gone").alias("directory"), F.lit(1).cast("long").alias("rule_count"), F.lit(1).cast("long").alias("descendant_rule_count"), F.array().cast("array<string>").alias("children"))
-    return verification.stale_indexes(stored.unionByName(gone), docs)
+    """Indexes with a fault of each kind: lost, of no directory, miscounted, of another version, and with rules that are left out, doubled, untitled, astray."""
+    docs = _headers(spark, sf_dir)
+    index = indexes.rule_index(docs, ())
+    name = F.regexp_extract("directory", r"[^/]*\z", 0)
+    third = name == "src3"
+
+    def number(r: Column) -> Column:
+        return F.regexp_extract(r["file"], r"\d+", 0).cast("long")
+
+    def rule(r: Column, file: Column, path: Column) -> Column:
+        return F.struct(file.alias("file"), path.alias("path"), F.when(number(r) % 41 == 0, "").otherwise(r["title"]).alias("title"))
+
+    def spoiled(r: Column) -> Column:
+        own = rule(r, r["file"], F.when(number(r) % 43 == 0, "elsewhere").otherwise(r["path"]))
+        kept = F.when(number(r) % 31 == 0, F.array_remove(F.array(own), own)).when(number(r) % 37 == 0, F.array(own, own)).otherwise(F.array(own))
+        astray = F.concat(F.lit("x/"), r["file"])
+        extra = F.struct(astray.alias("file"), F.concat("directory", F.lit("/"), astray).alias("path"), F.lit("t").alias("title"))
+        return F.when(number(r) % 47 == 0, F.array_append(kept, extra)).otherwise(kept)
+
+    stored = index.where(name != "src2").withColumn("rules", F.flatten(F.transform("rules", spoiled))).select(
+        F.col("directory").alias("location"), F.when(third, 2).otherwise(1).alias("schema_version"), F.when(third, "other").otherwise(F.col("directory")).alias("directory"), F.when(third, "x").otherwise(F.col("generated_by")).alias("generated_by"),
+        (F.col("rule_count") + F.when(name == "src1", 1).otherwise(0)).alias("rule_count"), "descendant_rule_count", "rules", "children",
+    )
+    lost = index.where("directory = ''").select(
+        F.lit("no/where").alias("location"), "schema_version", F.lit("no/where").alias("directory"), "generated_by", F.lit(0).cast("long").alias("rule_count"), F.lit(0).cast("long").alias("descendant_rule_count"), "rules", "children"
+    )
+    return verification.stale_indexes(stored.unionByName(lost), docs)
+
+
+CHECKS = (SQL_V1, SQL_V2, SQL_V3, SQL_V4, SQL_V5, SQL_V6, SQL_V7, SQL_V8, SQL_V9)
 
 
-@query(f"{SQL_V1} UNION ALL {SQL_V5} UNION ALL {SQL_V7} UNION ALL {SQL_V8}")
+@query(" UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in CHECKS))
 def v10_verify_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of V1-V9. The SQL is that of V1, V5, V7 and V8 only, so the failures of the others are beyond it."""
+    """All of V1-V9."""
     checks = (
         v1_artifact_integrity, v2_hash_coverage, v3_document_references, v4_scope_notes, v5_body_status, v6_online_links,
         v7_orphan_artifacts, v8_registry_coverage, v9_stale_indexes,
     )
     return verification.verify_corpus(*(f(spark, sf_dir) for f in checks))
+
+
+# --- files ---
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share; a local one for a local master only."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
+    if root is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root}/files-{uuid.uuid4().hex}"
+
+
+@query("SELECT source AS dir, CAST(doc_id AS VARCHAR) AS id, sha256(text) AS body_sha256, 'f/' || doc_id AS source_files FROM documents")
+def s6_write_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written by directory and read again."""
+    n, path = F.col("doc_id"), shared_folder(spark)
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("dir"), n.cast("string").alias("id"), F.sha2("text", 256).alias("body_sha256"), F.array(F.concat(F.lit("f/"), n)).alias("source_files"))
+    writers.write_manifests(rows, path)
+    back = spark.read.schema("id string, body_sha256 string, source_files array<string>, dir string").json(path)
+    return back.select("dir", "id", "body_sha256", F.array_join("source_files", " ").alias("source_files"))
+
+
+@query(f"WITH {SQL_ROLLUP} SELECT directory, rule_count, descendant_rule_count, rule_count AS rules, CAST(len(children) AS BIGINT) AS children FROM rollup_")
+def s7_write_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexes written as JSON, one for each directory, and read again."""
+    path = shared_folder(spark)
+    index = indexes.rule_index(_headers(spark, sf_dir), ("language",))
+    writers.write_indexes(index, path)
+    back = spark.read.text(path).select(F.from_json("value", index.schema.simpleString()).alias("x")).select("x.*")
+    return back.select("directory", "rule_count", "descendant_rule_count", F.size("rules").cast("long").alias("rules"), F.size("children").cast("long").alias("children"))

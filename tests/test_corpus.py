@@ -1,5 +1,6 @@
 """Assembly, merges, indexes, checks and files."""
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -66,16 +67,56 @@ def test_checks_find_each_fault(spark):
     v1 = {(r.entry_id, r.detail) for r in verification.artifact_integrity(declared, facts).collect()}
     assert v1 == {("f", "byte count mismatch"), ("f", "challenge page"), ("g", "missing")}
     assert [r.subject for r in verification.orphan_artifacts(facts, declared).collect()] == ["s/9.html"]
-    rec = spark.createDataFrame([("1", ["a"], None), ("2", ["a", "b"], ["b", "c"]), ("3", ["a"], ["a"])], "id string, source_files array<string>, hashed_files array<string>")
-    assert {(r.entry_id, r.subject, r.detail) for r in verification.hash_coverage(rec).collect()} == {("1", "", "missing hash metadata"), ("2", "a", "file without hash"), ("2", "c", "hash without file")}
+    rec = spark.createDataFrame([("1", ["a"], None), ("2", ["a", "b"], [("b", "h"), ("c", "h")]), ("3", ["a"], [("a", "h")]), ("4", ["a"], [("a", "h"), None, ("z", "")])], "id string, source_files array<string>, source_sha256 array<struct<source_file:string,sha256:string>>")
+    found = [(r.entry_id, r.subject, r.detail) for r in verification.hash_coverage(rec).collect()]
+    assert sorted(found) == [("1", "", "missing hash metadata"), ("2", "a", "file without hash"), ("2", "c", "hash without file"), ("4", "", "invalid hash entry"), ("4", "", "invalid hash entry")]
     good = "# T\n\n- Source URL:\n- https://a.org\n\n## Source Text\n\nbody\n"
-    docs = spark.createDataFrame([("1.md", good), ("2.md", good.replace("body", "other")), ("3.md", "stub")], "path string, document string")
+    docs = spark.createDataFrame([("1.md", good), ("2.md", good.replace("body", "other")), ("3.md", "stub"), ("7.md", "# T\n\n## 正文\n\nbody\n")], "path string, document string")
     body = spark.sql("select sha2('body', 256) h").first().h
-    records = spark.createDataFrame([("1", "1.md", "extracted", body), ("2", "2.md", "extracted", body), ("3", "3.md", "stub", None), ("4", "4.md", "extracted", body), ("5", "1.md", "odd", None), ("6", "1.md", None, body)], "id string, output_file string, extraction_status string, body_sha256 string")
+    records = spark.createDataFrame([("1", "1.md", "extracted", body), ("2", "2.md", "extracted", body), ("3", "3.md", "stub", None), ("4", "4.md", "extracted", body), ("5", "1.md", "odd", None), ("6", "1.md", None, body), ("7", "7.md", None, body), ("8", "7.md", "extracted", body)], "id string, output_file string, extraction_status string, body_sha256 string")
     got = {r.entry_id: r.detail for r in verification.body_status(records, docs).collect()}
-    assert got == {"2": "body hash mismatch", "3": "stub without opening note", "4": "missing output file", "5": "unknown extraction status"}
-    roll = indexes.directory_rollup(docs)
-    assert verification.stale_indexes(roll, docs).count() == 0
+    assert got == {"2": "body hash mismatch", "3": "stub without opening note", "4": "missing output file", "5": "unknown extraction status", "6": "missing body section", "8": "missing body section"}
+    assert {r.id for r in verification.sound_bodies(records, docs).collect()} == {"1", "7"}
+    index = indexes.rule_index(docs, ()).withColumn("location", F.col("directory"))
+    assert verification.stale_indexes(index, docs).count() == 0
+
+
+def test_fresh_output_passes_and_each_fault_shows(spark):
+    """Documents, records and indexes as they are built have no failures."""
+    kind = "id string, path string, title string, source_urls array<string>, reference_urls array<string>, linked_source_urls array<string>, linked_source_files array<string>, source_sha256 array<struct<source_file:string,sha256:string>>, text string, status string, note string, status_note string"
+    rows = [("1", "a/1.md", "One", ["u1"], ["r1"], ["l1"], ["a/sources/l.html"], [("a/sources/s.html", "h"), ("a/sources/l.html", "h")], "body [x](https://o.org/p)", "extracted", None, None), ("2", "a/b/2.md", "Two", ["u2"], [], [], [], [("s2", "h")], "", "stub", "short", None)]
+    entries_ = spark.createDataFrame(rows, kind)
+    docs = assembly.render_rule_documents(entries_)
+    records = entries_.select("id", F.col("path").alias("output_file"), "source_urls", "reference_urls", "linked_source_urls", "linked_source_files", F.transform("source_sha256", lambda h: h["source_file"]).alias("source_files"), "source_sha256", F.col("status").alias("extraction_status"), F.sha2("text", 256).alias("body_sha256"))
+    index = indexes.rule_index(docs).withColumn("location", F.col("directory"))
+    collected = entries_.select(F.explode("source_urls").alias("url"))
+
+    def failures(records=records, docs=docs, index=index, collected=collected):
+        checks = verification.hash_coverage(records), verification.document_references(records, docs), verification.body_status(records, docs), verification.online_links(verification.sound_bodies(records, docs), collected), verification.stale_indexes(index, docs)
+        return [r.detail for r in verification.verify_corpus(*checks).collect()]
+
+    assert failures() == []
+    spoiled = index.withColumn("rule_count", F.col("rule_count") + (F.col("directory") == "a").cast("int"))
+    spoiled = spoiled.withColumn("rules", F.transform("rules", lambda r: r.withField("title", F.when(r["file"] != "2.md", r["title"]))))
+    spoiled = spoiled.withColumn("generated_by", F.when(F.col("directory") != "a/b", F.col("generated_by")))
+    assert sorted(failures(index=spoiled)) == ["rule without title", "stale child rule count", "stale rule count", "wrong generator"]
+    online = spark.createDataFrame([("http://o.org/p#x",)], "url string")
+    unlike = docs.withColumn("document", F.replace("document", F.lit("r1"), F.lit("gone")))
+    assert sorted(failures(docs=unlike, index=index.where("directory <> 'a/b'"), collected=online)) == ["child index not readable", "link to a collected source is online", "missing index", "missing reference URL", "stale descendant count"]
+
+
+def test_localized_documents(spark):
+    from corpusloom.operators import links
+
+    document = "# T\n\n- Body SHA-256: 00ff\n\n## Source Text\n\n[a](https://o.org/p) [b](https://o.org/p/q)\n\n"
+    docs = spark.createDataFrame([("d/1.md", document), ("d/2.md", "no body [a](https://o.org/p)")], "path string, document string")
+    pairs = spark.createDataFrame([("http://o.org/p", "s/p).html", 0)], "url string, target string, at int")
+    out = links.localize_documents(docs, links.build_link_map(pairs, ["at"])).collect()
+    body = "[a](../s/p%29.html) [b](https://o.org/p/q)"
+    assert len(out) == 1 and out[0].document == f"# T\n\n- Body SHA-256: {hashlib.sha256(body.encode()).hexdigest()}\n\n## Source Text\n\n{body}\n\n"
+    records = spark.createDataFrame([("m", "d/1.md", "00ff"), ("m", "d/3.md", "x"), ("k", "e.md", "y")], "manifest string, output_file string, body_sha256 string")
+    new = links.renew_hashes(records, spark.createDataFrame(out))
+    assert sorted(tuple(r) for r in new.collect()) == [("m", "d/1.md", out[0].body_sha256), ("m", "d/3.md", "x")]
 
 
 def test_files_round_trip(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Text, HTML and helper functions on hand-written rows."""
 
+import functools
 import gzip
 
 import pytest
@@ -40,10 +41,40 @@ def test_html_to_lines(spark):
     assert lines(f"<p>a</p><pre>{'b' * 499}</pre>") == ["a", "b" * 499]
     assert lines(f"<p>a</p><pre>{'b' * 501}</pre>") == ["b" * 501]
     assert lines("<p>" * 3000) == []
-    assert one(spark, '<a href="/p?a=1">t <b>u</b></a><a href="#x">v</a>', lambda c: text.html_to_lines(c, F.lit("https://h.org"))) == ["[t u ](https://h.org/p?a=1) v"]
     assert len(lines("<p>" + "word " * 200_000 + "</p>")) == 1
 
 
+def test_linked_lines(spark):
+    from corpusloom.operators import links
+
+    cases = [
+        ('<a href="/p?a=1">t <b>u</b></a><a href="#x">v</a>', ["[t u](https://h.org/p?a=1) v"]), ('x<a href="">t</a><a href="/q"> </a><a href="mailto:m">m</a>y', ["x t m y"]),
+        ("<a href='../c?x=1'>up</a> <a href='?y'>q</a> <a href='//k.org/(z)'>p</a>", ["[up](https://h.org/c?x=1) [q](https://h.org/a/b?y) [p](https://k.org/(z%29)"]),
+        ('<p>a</p><a href="/local#f">in</a>', ["a", "[in](../x%29.html)"]), ('<a class=k href="/s"/> label here<p>b', ["[label here](https://h.org/s)", "b"]), (None, []), (f"<a href='/s'>t</a><pre>{'b' * 501}</pre>", ["b" * 501]),
+    ]
+    rows = [(k, [("", html)], "https://h.org/a/b") for k, (html, _) in enumerate(cases)] + [(99, [("", '<a href="/s">t</a><a href="https://k.org">k</a>')], None), (98, None, None)]
+    df = spark.createDataFrame(rows, "k int, p array<struct<head:string,html:string>>, url string")
+    targets = F.create_map(F.lit("scheme:h.org/local"), F.lit("../x).html"))
+    got = {r.k: r.p and r.p[0].lines for r in links.linked_lines(df, "p", F.col("url"), targets).collect()}
+    assert got == {k: want for k, (_, want) in enumerate(cases)} | {99: ["t [k](https://k.org/)"], 98: None}
+
+
+def test_blanks_take_linear_time(spark):
+    raw = "a" + " " * 1_000_000 + "b" + " " * 1_000_000
+    assert one(spark, raw, text.clean_text) == "a b"
+    assert one(spark, raw, text.trim) == raw.rstrip()
+
+
+def test_help_article(spark):
+    def cut(*lines):
+        return spark.createDataFrame([(list(lines),)], "l array<string>").select(text.help_article(F.col("l")).alias("y")).first().y
+
+    assert cut("menu", "-", "Title", "X's purpose is to serve the public conversation.", "May 2024", "Share this article", "z") == ["Title", "X's purpose is to serve the public conversation.", "May 2024"]
+    assert cut("menu", "Title", "May 2024", "b") == ["Title", "May 2024", "b"]
+    assert cut("May 2024", "overview", "b") == ["overview", "b"]
+    assert cut("a", "b") == ["a", "b"]
+
+
 def test_slice_lines(spark):
     def cut(start, end, include=False, skip=None):
         return one(spark, "a\nstart b\nc\n\nend d\ne", lambda c: text.slice_lines(F.split(c, "\n"), F.lit(start), F.lit(end), F.lit(include), F.array(*map(F.lit, skip)) if skip else F.lit(None).cast("array<string>")))
@@ -74,6 +105,14 @@ def test_pdf_lines(spark):
 
 def test_paragraphs_and_names(spark):
     assert one(spark, "<p> a <b>b</b></p><P class=x>c</P><p></p>", text.paragraphs) == ["a b", "c"]
+    assert one(spark, "<p>中<b>国</b>&apos;<br>x　 y<script>n</script></p>", text.paragraphs) == ["中国&apos; x y"]
+
+    def between(*found):
+        rows = spark.createDataFrame([(list(found),)], "p array<string>")
+        return tuple(rows.select(text.paragraphs_between(F.col("p"), F.lit("T"), F.lit("end"), F.lit(2)).alias("x")).first().x)
+
+    assert between("a", "T", "b", "the end") == (["T", "b"], None)
+    assert between("T", "T", "end")[1].startswith("duplicate") and between("T", "b")[1].startswith("could not") and between("T", "b", "c", "end")[1] == "expected 2 paragraphs, found 3"
     assert one(spark, "top/a/x.md", lambda c: text.relative_path(c, F.lit("top/b/y.html"))) == "../b/y.html"
     assert one(spark, "top/a/x.md", lambda c: text.relative_path(c, F.lit("top/a/s/y.html"))) == "s/y.html"
     assert one(spark, "https://www.A-b.org/x/Y%20z/q.html?u", lambda c: text.linked_artifact_name(F.lit("e"), F.lit(4), c, F.lit("pdf"))) == "e-linked-05-y-20z-q.a-b-org.pdf"
@@ -100,11 +139,16 @@ def test_helpers(spark):
     assert helpers.scope(html, "x.org") == html
     assert helpers.scope(html, "trust.douyin.com") == ""
     assert helpers.balanced("<a><a>", 0, "a") is None
-    tree = '{"title":"t","children":[{"title":"a","contentXML":"<p>x</p>","children":[{"title":"b"}]}]}'
-    assert one(spark, tree, helpers.flatten_node_tree) == "## a\n\nx\n\n### b"
-    assert one(spark, "not json", helpers.flatten_node_tree) is None
+    tree = '[{"title":"a","contentXML":"<p>x</p>","children":[{"title":"b"}]},{"contentXML":"y"}]'
+    nodes = lambda x: one(spark, x, helpers.tree_nodes)
+    assert [tuple(n) for n in nodes(tree)] == [(2, "a", "<p>x</p>"), (3, "b", None), (2, None, "y")]
+    assert nodes("not json") is None and nodes('{"title":"no list"}') is None
+    assert len(helpers.flatten([functools.reduce(lambda n, _: {"title": "t", "children": [n]}, range(5000), {})])) == 5001
+    reddit = "<h1>T</h1><p>Reddit is a vast network of communities</p><footer>f</footer>"
+    assert helpers.scope(f"<nav>n</nav>{reddit}", "redditinc.com") == reddit[: reddit.index("<footer")]
+    assert helpers.scope("<div id=\"content\"><h1>H</h1><p>no</p><div class=\"article\">t</div></div>", "douban.com") == '<h1>H</h1>\n<div class="article">t</div>'
+    assert helpers.scope("<div id=\"docViewer\"><script>s</script>a<div class=\"x jumpTo\">j</div></div>", "uscode.house.gov") == '<div id="docViewer">\na\n</div>'
     assert one(spark, r"a中\'\n\x41", helpers.unescape_literal) == "a中'\nA"
-    assert one(spark, "../x", lambda c: helpers.resolve_odd(c, F.lit("https://h.org/a/b/c"))) == "https://h.org/a/x"
-    page = "<div data-faqstore=\"{&quot;a&quot;:&quot;key&quot;}\"></div><script>JSON.parse('{\"b\":\"it\\'s\"}')</script>"
-    assert one(spark, page, lambda c: helpers.embedded_json(c, "data-faqstore", F.lit("key"))) == '{"a":"key"}'
-    assert one(spark, page, lambda c: helpers.embedded_json(c, "data-faqstore", F.lit("it"))) == '{"b":"it\'s"}'
+    page = "<script>JSON.parse('{\"b\":\"it\\'s\"}'); JSON.parse('{\"c\":\"\\u4e2d\"}')</script>"
+    assert one(spark, page, lambda c: helpers.embedded_literal(c, "it")) == '{"b":"it\'s"}'
+    assert one(spark, page, lambda c: helpers.embedded_literal(c, "中")) == '{"c":"中"}'
