@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import helpers, rules
 from corpusloom.functions.text import (
-    bbcode_to_markdown, clean_pdf_lines, clean_text, content_hash, decode_entities, drop_chrome, help_article, host_of, html_to_text, let, paragraph_count, path_of, relative_path, slice_lines, trim, trim_chrome,
+    bbcode_to_markdown, clean_pdf_lines, clean_text, content_hash, decode_entities, drop_chrome, help_article, host_of, html_to_text, let, paragraph_count, path_of, relative_path, slice_lines, trim_chrome,
 )
 from corpusloom.functions.urls import resolve_url
 from corpusloom.operators.entries import is_low_value
@@ -184,7 +184,7 @@ def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
     headed = F.array_join(F.filter(F.flatten(F.transform("pieces_", lambda p: F.array(p["head"], joined(p["lines"])))), lambda x: F.coalesce(x, F.lit("")) != ""), "\n\n")
     title = F.concat(F.lit("# "), F.nullif(html_to_text(F.regexp_extract(content, r"(?is)<h1\b[^>]*id=[\"']title-h1[\"'][^>]*>(.*?)</h1>", 1), numbers), F.lit("")))
     challenged = F.exists(lines, lambda x: x.rlike(rules.HELP_CHALLENGE))
-    low = is_low_value(host, path_of(url), F.filter("cut_", lambda x: trim(x) != ""))
+    low = is_low_value(host, path_of(url), F.col("cut_"))
     text = (
         F.when(stub, "")
         .when(way.isin("tencent-rule-json", "bilibili-convention-js"), headed)

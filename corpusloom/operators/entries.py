@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import rules
-from corpusloom.functions.text import is_challenge_page
+from corpusloom.functions.text import is_challenge_page, trim
 
 #: The order in which kept artifacts of other types stand in for the expected one.
 TYPE_ORDER = ("html", "pdf", "txt", "xml", "json")
@@ -48,7 +48,8 @@ def choose_artifact(candidates: DataFrame, prefer_cached: bool = False) -> DataF
 
 
 def is_low_value(host: Column, path: Column, lines: Column) -> Column:
-    """Whether the rules of a host call a page worthless by its path and number of lines."""
+    """Whether the rules of a host call a page worthless by its path and number of lines that are not blank."""
+    count = F.size(F.filter(lines, lambda x: trim(x) != ""))
     out = F.lit(False)
     for h, needs, lacks, most in rules.LOW_VALUE:
         hit = host.endswith(h[1:]) if h.startswith("%") else host == h
@@ -57,7 +58,7 @@ def is_low_value(host: Column, path: Column, lines: Column) -> Column:
         if lacks:
             hit &= ~F.contains(F.lower(path), F.lit(lacks))
         if most is not None:
-            hit &= F.size(lines) <= most
+            hit &= count <= most
         out |= F.coalesce(hit, F.lit(False))
     return out
 
