@@ -7,6 +7,7 @@ checks follow from ids, so that the SQL makes the same ones.
 
 from __future__ import annotations
 
+import string
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -576,7 +577,7 @@ def j1_assemble_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.assemble_bodies(rows, ["conv_id"], ["turn"])
 
 
-@query(f"""WITH b AS (SELECT d.doc_id, {sql_clean('d.text')} AS body, CASE WHEN d.doc_id % 4 = 0 THEN [upper(left(b.text, 20))] ELSE [] END AS phrases FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT greatest(count(*), 1) FROM benchmark)),
+@query(f"""WITH b AS (SELECT d.doc_id, {sql_clean('d.text')} AS body, CASE WHEN d.doc_id % 4 = 0 THEN [translate(left(b.text, 20), '{string.ascii_lowercase}', '{string.ascii_uppercase}')] ELSE [] END AS phrases FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT greatest(count(*), 1) FROM benchmark)),
 m AS (SELECT doc_id, body, list_filter(phrases, lambda p: NOT contains(lower(body), lower(p))) AS missing FROM b)
 SELECT doc_id, CASE WHEN length(body) < 500 OR len(missing) > 0 THEN 'stub' ELSE 'extracted' END AS status,
   CASE WHEN length(body) < 500 OR len(missing) > 0 THEN concat_ws('; ', CASE WHEN length(body) < 500 THEN 'extracted text length ' || length(body) || ' is below minimum 500' END, CASE WHEN len(missing) > 0 THEN 'missing required phrase(s): ' || missing[1] END) END AS note,
@@ -585,7 +586,7 @@ def j2_validate_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("phrase"))
     count = items.agg(F.greatest(F.count("*"), F.lit(1)).alias("items"))
     rows = docs.crossJoin(F.broadcast(count)).join(items, F.col("item_id") == F.col("doc_id") % F.col("items"), "left")
-    required = F.when(F.col("doc_id") % 4 == 0, F.array(F.upper(F.left("phrase", F.lit(20))))).otherwise(F.array().cast("array<string>"))
+    required = F.when(F.col("doc_id") % 4 == 0, F.array(F.translate(F.left("phrase", F.lit(20)), string.ascii_lowercase, string.ascii_uppercase))).otherwise(F.array().cast("array<string>"))
     return rows.select("doc_id", assembly.validate(F.col("text"), required).alias("x")).select("doc_id", "x.status", "x.note", F.col("x.attempted_text_sha256").alias("attempted"))
 
 
