@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import helpers, rules, text, urls
 from corpusloom.operators import assembly, entries, indexes, links, verification
-from corpusloom.sources import writers
+from corpusloom.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -925,6 +925,73 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root}/files-{uuid.uuid4().hex}"
 
 
+def folder_of(n: Column, size: int) -> Column:
+    """Directories of ``size`` ids in turn, which bounds a file whatever the sources hold."""
+    return F.floor(n / size).cast("long")
+
+
+def in_order(*values: Column) -> Column:
+    """The values of a group ordered by the first, without it; the second is what is left."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(*values))), lambda x: x["v"])
+
+
+@query("""SELECT '2026-01-' || lpad(CAST(1 + doc_id // 1000 % 28 AS VARCHAR), 2, '0') AS retrieved_date, row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) - 1 AS position, CAST(doc_id AS VARCHAR) AS id, lang AS collection, source AS platform_group,
+  CASE doc_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS enabled, CASE WHEN doc_id % 2 = 0 THEN 'https://a.org/' || doc_id END AS source_url, CASE WHEN doc_id % 2 = 1 THEN 'https://a.org/' || doc_id || ' https://b.org/' || doc_id END AS source_urls FROM documents""")
+def s1_read_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registries of up to a thousand entries written as JSON and read."""
+    n, path = F.col("doc_id"), shared_folder(spark)
+    first, second = F.concat(F.lit("https://a.org/"), n), F.concat(F.lit("https://b.org/"), n)
+    entry = F.struct(
+        n.cast("string").alias("id"), F.col("lang").alias("collection"), F.col("source").alias("platform_group"), F.when(n % 3 == 0, True).when(n % 3 == 1, False).alias("enabled"),
+        F.when(n % 2 == 0, first).alias("source_url"), F.when(n % 2 == 1, F.array(first, second)).alias("source_urls"),
+    )
+    rows = table(spark, sf_dir, "documents").groupBy(folder_of(n, 1000).alias("dir")).agg(in_order(n, entry.alias("v")).alias("entries"))
+    date = F.concat(F.lit("2026-01-"), F.lpad((1 + F.col("dir") % 28).cast("string"), 2, "0"))
+    writers.write_texts(rows.select("dir", F.to_json(F.struct(F.lit(1).alias("schema_version"), date.alias("retrieval_date"), "entries")).alias("value")), path)
+    back = readers.read_registry(spark, path)
+    return back.select("retrieved_date", F.col("position").cast("long").alias("position"), "id", "collection", "platform_group", "enabled", "source_url", F.array_join("source_urls", " ").alias("source_urls"))
+
+
+@query("""WITH f AS (SELECT page_id // 10 AS dir, coalesce(string_agg(html, chr(10) ORDER BY page_id), '') || chr(10) AS content FROM pages GROUP BY 1)
+SELECT 'sources/dir=' || dir AS dir, CAST(strlen(content) AS BIGINT) AS length, sha256(content) AS sha256 FROM f WHERE dir % 5 <> 0""")
+def s2_read_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artifacts of ten pages each written below ``sources`` and beside it, and read as bytes; those beside it are none."""
+    n, path = F.col("page_id"), shared_folder(spark)
+    rows = table(spark, sf_dir, "pages").groupBy(folder_of(n, 10).alias("dir")).agg(F.array_join(in_order(n, F.col("html").alias("v")), "\n").alias("value"))
+    writers.write_texts(rows.where("dir % 5 <> 0"), f"{path}/sources")
+    writers.write_texts(rows.where("dir % 5 = 0"), f"{path}/notes")
+    return readers.read_artifacts(spark, path).select(F.regexp_extract("path", "^(.*)/", 1).alias("dir"), "length", F.sha2("content", 256).alias("sha256"))
+
+
+@query("""SELECT 'dir=' || doc_id // 100 AS dir, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS position, CAST(doc_id AS VARCHAR) AS id, 'https://a.org/' || doc_id AS source_urls,
+  'f/' || doc_id AS source_files, sha256(text) AS hashes, CASE WHEN doc_id % 4 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS bytes FROM documents""")
+def s3_read_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of up to a hundred records written, a fourth of the records in the older schema, and read as one."""
+    n, path = F.col("doc_id"), shared_folder(spark)
+    id_, url, file, hash_ = n.cast("string").alias("id"), F.concat(F.lit("https://a.org/"), n), F.concat(F.lit("f/"), n), F.sha2("text", 256)
+    old = F.to_json(F.struct(id_, url.alias("source_url"), file.alias("source_file"), hash_.alias("source_sha256")))
+    new = F.to_json(F.struct(id_, F.array(url).alias("source_urls"), F.array(file).alias("source_files"), F.array(F.struct(file.alias("source_file"), hash_.alias("sha256"), F.octet_length("text").alias("bytes"))).alias("source_sha256")))
+    record = F.when(n % 4 == 0, old).otherwise(new)
+    rows = table(spark, sf_dir, "documents").groupBy(folder_of(n, 100).alias("dir")).agg(in_order(n, record.alias("v")).alias("records"))
+    writers.write_texts(rows.select("dir", F.concat(F.lit("["), F.array_join("records", ",\n"), F.lit("]")).alias("value")), path)
+    back = readers.read_manifests(spark, path, "part-*")
+    return back.select(
+        F.regexp_extract("manifest", "^(.*)/", 1).alias("dir"), F.col("position").cast("long").alias("position"), "id", F.array_join("source_urls", " ").alias("source_urls"), F.array_join("source_files", " ").alias("source_files"),
+        F.array_join(F.transform("source_sha256", lambda x: x["sha256"]), " ").alias("hashes"), F.get("source_sha256", 0)["bytes"].alias("bytes"),
+    )
+
+
+@query("""WITH f AS (SELECT doc_id // 20 AS dir, coalesce(string_agg(text, chr(10) ORDER BY doc_id), '') || chr(10) AS document FROM documents GROUP BY 1)
+SELECT 'dir=' || dir AS dir, length(document) AS chars, sha256(document) AS sha256 FROM f WHERE dir % 7 <> 0""")
+def s4_read_rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of twenty texts each written beside ``sources`` and below it, and read whole; those below it are none."""
+    n, path = F.col("doc_id"), shared_folder(spark)
+    rows = table(spark, sf_dir, "documents").groupBy(folder_of(n, 20).alias("dir")).agg(F.array_join(in_order(n, F.col("text").alias("v")), "\n").alias("value"))
+    writers.write_texts(rows.where("dir % 7 <> 0"), path)
+    writers.write_texts(rows.where("dir % 7 = 0"), f"{path}/sources")
+    return readers.read_rule_documents(spark, path, "part-*").select(F.regexp_extract("path", "^(.*)/", 1).alias("dir"), F.length("document").cast("long").alias("chars"), F.sha2("document", 256).alias("sha256"))
+
+
 @query("SELECT source AS dir, CAST(doc_id AS VARCHAR) AS id, sha256(text) AS body_sha256, 'f/' || doc_id AS source_files FROM documents")
 def s6_write_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written by directory and read again."""

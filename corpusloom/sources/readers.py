@@ -54,13 +54,13 @@ def _relative(column: str, root: str):
     return F.regexp_replace(F.col(column), rf"^.*?/\Q{name}\E/", "")
 
 
-def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """The records of all manifests under a root, both schemas as one, with manifest path and position.
+def read_manifests(spark: SparkSession, root: str, name: str = "verification-manifest.json") -> DataFrame:
+    """The records of all manifests under a root, both schemas as one, with manifest path and position; ``name`` is the files' name or pattern.
 
     The older schema has one source URL, file and hash where the current one has lists; ``source_sha256`` is read as text and parsed
     by its shape.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "verification-manifest.json").text(root, wholetext=True)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root, wholetext=True)
     rows = files.select(F.col("_metadata.file_path").alias("manifest"), F.posexplode(F.from_json("value", f"array<struct<{_fields(RECORD)}>>")).alias("position", "r"))
     rows = rows.select(_relative("manifest", root).alias("manifest"), "position", "r.*")
     legacy = ~F.col("source_sha256").startswith("[")
@@ -71,8 +71,8 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     return rows.withColumns({"source_urls": urls, "source_files": files_, "source_sha256": hashes}).drop("source_url", "source_file")
 
 
-def read_rule_documents(spark: SparkSession, root: str) -> DataFrame:
-    """``path, document`` of the Markdown files that are rule documents."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root, wholetext=True)
+def read_rule_documents(spark: SparkSession, root: str, name: str = "*.md") -> DataFrame:
+    """``path, document`` of the Markdown files (named by a pattern) that are rule documents."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root, wholetext=True)
     rows = files.select(_relative("_metadata.file_path", root).alias("path"), F.col("value").alias("document"))
     return rows.where(~F.regexp_extract("path", r"[^/]*\z", 0).isin(*NOT_RULES) & ~F.col("path").rlike(r"(^|/)sources/"))

@@ -15,10 +15,15 @@ def write_manifests(records: DataFrame, path: str) -> None:
     _by_directory(records, path, "json")
 
 
+def write_texts(texts: DataFrame, path: str) -> None:
+    """The ``value`` of each ``dir`` as a text file of its own; a line feed follows it."""
+    _by_directory(texts.select("dir", "value"), path, "text")
+
+
 def write_indexes(index: DataFrame, path: str) -> None:
     """One JSON text for each ``directory``."""
     body = F.to_json(F.struct(*index.columns))
-    _by_directory(index.select(F.col("directory").alias("dir"), body.alias("value")), path, "text")
+    write_texts(index.select(F.col("directory").alias("dir"), body.alias("value")), path)
 
 
 def risk_page(language: str):
