@@ -84,6 +84,19 @@ def times(rows: DataFrame, count: str, nth: str, most: int = 1 << 12) -> DataFra
     return ranges.withColumn(nth, F.explode(F.sequence("first_", F.least(F.col("first_") + (most - 1), last)))).drop("first_")
 
 
+def heavy_join(rows: DataFrame, others: DataFrame, key: str, salt: Column, most: int, how: str = "inner", copies: int = 64) -> DataFrame:
+    """Join ``rows`` to ``others`` (one row for each key) where some keys may hold a great part of ``rows``.
+
+    Keys of more than ``most`` rows are dealt over ``copies`` parts by ``salt``, which must not change from run to run, and their
+    other rows are copied to each part. Only those keys are broadcast: there are fewer than the count of rows divided by ``most``.
+    """
+    heavy = F.broadcast(rows.groupBy(key).agg(F.count("*").alias("n_")).where(F.col("n_") > most).select(key, F.lit(True).alias("heavy_")))
+    part, parts = F.pmod(salt, F.lit(copies)).cast("int"), F.sequence(F.lit(0), F.lit(copies - 1))
+    dealt = rows.withColumn("part_", part).join(heavy, key, "left").withColumn("part_", F.when(F.col("heavy_"), F.col("part_")).otherwise(0)).drop("heavy_")
+    copied = others.join(heavy, key, "left").withColumn("part_", F.explode(F.when(F.col("heavy_"), parts).otherwise(F.array(F.lit(0))))).drop("heavy_")
+    return dealt.join(copied, [key, "part_"], how).drop("part_")
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether the row stays out of training: crc32 of the id as text divides by ``folds``. Null ids train."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, pieces
+from corpusloom.llm.common import cut, heavy_join, pieces
 
 #: Fixed patterns of the base kinds, in the order of ties.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+HEAVY, LIGHT = 1000, 1 << 16  # values and span sets of more than a thousandth of all spans, and more than this, are dealt in parts
 KINDS = ("assign", "access", "hex", "mixed")
 #: The added kind: a token of 24 or more characters with capitals, small letters and digits.
 MIXED = re.compile(r"(?a:[A-Za-z0-9+/_-]{24,})")
@@ -87,12 +88,14 @@ def secrets(docs: DataFrame, most_owners: int = 1, owner_col: str = "source", re
     """``doc_id, spans``: each span with kind, start, end, repositories, owners and ``live`` (at most ``most_owners`` hold it).
 
     Base kinds are all kept; mixed tokens only where they are live. Only documents with spans take part in
-    the join on values, and the verdicts return to them by a hash of their spans.
+    the join on values, and the verdicts return to them by a hash of their spans. In both joins a value or a set of spans that
+    very many documents hold is dealt in parts.
     """
     found = cut(candidates(docs, owner_col, repo_col, id_col, text_col))
     some = found.where(F.size("spans") > 0).withColumn("set", F.sha2(F.to_json("spans"), 256))
-    parts = some.groupBy("set").agg(F.first("spans").alias("spans")).select("set", F.explode("spans").alias("s"))
-    judged = parts.join(ownership(found).withColumnRenamed("value_hash", "held"), F.col("s.value_hash") == F.col("held"))
+    most = max(LIGHT, (found.agg(F.sum(F.size("spans"))).first()[0] or 0) // HEAVY)
+    parts = some.groupBy("set").agg(F.first("spans").alias("spans")).select("set", F.explode("spans").alias("s")).withColumn("value_hash", F.col("s.value_hash"))
+    judged = heavy_join(parts, ownership(found), "value_hash", F.xxhash64("set", "s.start"), most)
     judged = judged.withColumn("live", F.col("owners") <= most_owners)
     judged = judged.where((F.col("s.kind") < 3) | F.col("live"))
     kind = F.array(*map(F.lit, KINDS))[F.col("s.kind")]
@@ -100,7 +103,8 @@ def secrets(docs: DataFrame, most_owners: int = 1, owner_col: str = "source", re
     judged = judged.groupBy("set").agg(F.array_sort(F.collect_list(span)).alias("judged"))
     none = F.expr("cast(array() as array<struct<start:long,rank:int,kind:string,end:long,repositories:long,owners:long,live:boolean>>)")
     rest = found.where(F.size("spans") == 0).select("doc_id", none.alias("spans"))
-    return some.join(judged, "set", "left").select("doc_id", F.coalesce("judged", none).alias("spans")).unionByName(rest)
+    held = heavy_join(some, judged, "set", F.monotonically_increasing_id(), most, "left")
+    return held.select("doc_id", F.coalesce("judged", none).alias("spans")).unionByName(rest)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontamination, language, mixing, quality, secrets, sharding, toxicity
+from corpusloom.llm.common import heavy_join
 
 ODD = [None, "", " \n", "é", "🙂 token", "x" * 200_000]
 
@@ -179,6 +180,14 @@ def test_secrets(spark):
     assert secrets.secrets(docs_of(spark, [])).count() == 0
 
 
+def test_heavy_keys_join_in_parts(spark):
+    rows = spark.createDataFrame([(k, 1 if k % 3 else k) for k in range(300)] + [(k, None) for k in range(5)], "id long, key long")
+    others = spark.createDataFrame([(k, f"v{k}") for k in range(0, 300, 2)] + [(1, "v1")], "key long, value string")
+    for how in ("inner", "left"):
+        got = heavy_join(rows, others, "key", F.col("id"), 50, how, 4).select("id", "key", "value").collect()
+        assert sorted(map(str, got)) == sorted(map(str, rows.join(others, "key", how).select("id", "key", "value").collect()))
+
+
 def test_language(spark):
     rng = random.Random(6)
     pieces = {"aa": "the of and ing tion er on", "bb": "der und sch ein heit zu ver", "cc": "que los ción mente ado es"}
