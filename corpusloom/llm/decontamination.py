@@ -6,7 +6,7 @@ a window when a stretch of it is within k edits of it, k = floor(RATE * length),
 length - Q + 1 - k * Q of the window's q-grams with it (one or more, by that limit of k, which holds for lengths of 34 and 35 only), on diagonals at most 2k apart. So q-grams are counted in bands of 2 * BAND diagonals
 that overlap by half, bands below the bound are dropped, and what remains is aligned in its band.
 
-The benchmark is read in blocks of about ``block_bytes``; each block's q-gram index is broadcast and the documents
+The distinct texts of the benchmark are read in blocks of about ``block_bytes``; each block's q-gram index is broadcast and the documents
 pass it once, in one narrow stage. A benchmark of any size so needs a bounded index per pass.
 
 Defined cases: null and empty texts leak nothing; items with fewer than ``LEAST`` folded bytes are too short to show a leak
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import mix64, pieces, text_buffer
+from corpusloom.llm.common import cut, mix64, pieces, text_buffer
 from corpusloom.llm.grams import FOLDED
 
 Q = 12
@@ -34,6 +34,8 @@ RATE = 0.06
 BAND = 16
 LEAST = 24
 PART = 2 << 20
+PARTS = 16  # of the rows found with one text
+CHAINED = 4  # passes, each with an index and a worker of its own, in one stage
 
 
 def fold(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,41 +200,52 @@ def regions(index: Index, data: np.ndarray, at: np.ndarray) -> list[tuple[int, i
     return [(r, i, min(x[0] for x in v), max(x[1] for x in v), min(x[2] for x in v), len({x[3] for x in v})) for (r, i), v in sorted(by.items())]
 
 
-def blocks(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: str) -> Iterator[tuple[list, Index]]:
-    """Ids and index of each block of the benchmark; a block comes to the driver alone."""
-    items = benchmark.select(benchmark[id_col].alias("item_id"), benchmark[text_col].cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[str], Index]]:
+    """Keys and index of each block of the distinct texts of the benchmark; a block comes to the driver alone."""
+    texts = items.select("item_key", "text").dropDuplicates(["item_key"])
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        rows.sort(key=lambda r: (r.item_id is None, r.item_id, r.text))
-        yield [r.item_id for r in rows], Index.of([r.text for r in rows])
+        rows = sorted(texts.where(F.pmod(F.xxhash64("item_key"), F.lit(n)) == k).collect())
+        yield [r.item_key for r in rows], Index.of([r.text for r in rows])
+
+
+def keyed(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``item_id, item_key, text`` of the items with a text; equal texts have equal keys."""
+    text = benchmark[text_col].cast("string")
+    return benchmark.select(benchmark[id_col].alias("item_id"), F.sha2(text.cast("binary"), 256).alias("item_key"), text.alias("text")).where("text is not null")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, start, end, edits, windows``: a row for each document and item of which it holds a window."""
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    kind, item_kind = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    """``doc_id, item_id, start, end, edits, windows``: a row for each document and item of which it holds a window.
+
+    Texts are searched once whatever the number of items that have them; ids return by a join of the rows found, dealt in parts so that a
+    passage that very many documents hold is not one task's.
+    """
+    rows, items = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")), keyed(benchmark, item_col, item_text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def passed(ids: list, index: Index) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast((ids, index))
+    def passed(keys: list[str], index: Index) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast((keys, index))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, index = shared.value
+            keys, index = shared.value
             for batch in pieces(batches, "text", PART):
                 found = regions(index, *text_buffer(batch.column(1)))
-                r, i, b, e, d, n = (list(x) for x in zip(*found, strict=True)) if found else ([] for _ in range(6))
-                item = pa.array([ids[x] for x in i]) if i else None
-                if i:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(r, pa.int64())), item, *(pa.array(x, pa.int64()) for x in (b, e, d, n))], ["doc_id", "item_id", "start", "end", "edits", "windows"])
+                if found:
+                    r, i, b, e, d, n = (list(x) for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(r, pa.int64())), pa.array([keys[x] for x in i], pa.string()), *(pa.array(x, pa.int64()) for x in (b, e, d, n))], ["doc_id", "item_key", "start", "end", "edits", "windows"])
 
-        return rows.mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, start long, end long, edits long, windows long")
+        return rows.mapInArrow(run, f"doc_id {kind}, item_key string, start long, end long, edits long, windows long")
 
-    return reduce(DataFrame.unionByName, (passed(ids, index) for ids, index in blocks(benchmark, block_bytes, item_col, item_text_col)))
+    found = reduce(DataFrame.unionByName, (passed(keys, index) for keys, index in blocks(items, block_bytes)))
+    found = found.withColumn("part_", F.pmod(F.xxhash64("doc_id", "start", "end"), F.lit(PARTS)).cast("int"))
+    names = items.select("item_id", "item_key", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part_"))
+    return found.join(names, ["item_key", "part_"]).select("doc_id", "item_id", "start", "end", "edits", "windows")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 1 << 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The documents that leak no item, all columns kept; one narrow pass for each block."""
+    """The documents that leak no item, all columns kept; one narrow pass for each block, ``CHAINED`` of them in a stage."""
     place = docs.columns.index(text_col)
 
     def passed(rows: DataFrame, index: Index) -> DataFrame:
@@ -246,4 +259,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 1 <<
 
         return rows.mapInArrow(run, docs.schema)
 
-    return reduce(lambda rows, block: passed(rows, block[1]), blocks(benchmark, block_bytes, item_col, item_text_col), docs)
+    rows = docs
+    for k, (_, index) in enumerate(blocks(keyed(benchmark, item_col, item_text_col), block_bytes)):
+        rows = passed(cut(rows) if k and k % CHAINED == 0 else rows, index)
+    return rows

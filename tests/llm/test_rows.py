@@ -66,6 +66,10 @@ def test_leaks_in_blocks_and_empty(spark):
     rows, _, docs, bench = leak_tables(spark, 2)
     one = {tuple(r) for r in decontamination.leaks(docs, bench).collect()}
     assert one == {tuple(r) for r in decontamination.leaks(docs, bench, block_bytes=300).collect()}
+    kept = {r.doc_id for r in decontamination.without_leaks(docs, bench, block_bytes=300).collect()}
+    assert kept == {r[0] for r in rows} - {r[0] for r in one}
+    again = decontamination.leaks(docs, bench.union(bench)).collect()  # equal items are reported each
+    assert len(again) == 2 * len(one) and {tuple(r) for r in again} == one
     assert decontamination.leaks(docs, bench.limit(0)).count() == 0
     assert decontamination.without_leaks(docs, bench.limit(0)).count() == len(rows)
     assert decontamination.leaks(docs.limit(0), bench).count() == 0
