@@ -31,24 +31,33 @@ def unit(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / float(1 << 53)
 
 
+def numbered(rows: DataFrame, column: str) -> DataFrame:
+    """``nth`` from 1 in the order of a column, null last: numbered range by range, so that only the ranges' counts meet in one task."""
+    order = F.col(column).asc_nulls_last()
+    rows = cut(rows.repartitionByRange(order).withColumn("range_", F.spark_partition_id()))
+    before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("range_").agg(F.count("*").alias("n_"))
+    ahead = counts.select("range_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("ahead_"))
+    nth = F.row_number().over(Window.partitionBy("range_").orderBy(order)) + F.col("ahead_")
+    return rows.join(F.broadcast(ahead), "range_").withColumn("nth", nth).drop("range_", "ahead_")
+
+
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3.0) -> DataFrame:
     """``source, source_size, target, documents`` from ``source, size, n``: shares by weight, at most ``most`` sizes each.
 
-    One row per source. Sources fill up in the order of most * size / weight; those before the level are full and
-    the others share the rest by weight, which is where repeated resharing of the excess ends.
+    One row per source. The level, which times its weight is the target of a source that is not full, rises as the excess of the
+    full ones is shared again, until no more of them fill up; each round is one sum over all sources.
     """
     by = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("documents"))
-    nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    by = by.withColumn("weight", F.array(*map(F.lit, weights))[(nth - 1) % len(weights)])
-    by = by.withColumn("full", most * F.col("source_size"))
-    order = Window.orderBy(F.col("full") / F.col("weight"), F.col("source").asc_nulls_last())
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = F.coalesce(F.sum("full").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    onward = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    by = by.withColumn("level", (F.sum("source_size").over(everything) - before) / onward)
-    by = by.withColumn("is_full", F.col("full") <= F.col("level") * F.col("weight"))
-    by = by.withColumn("share", F.max(F.when(~F.col("is_full"), F.col("level"))).over(everything))
-    return by.select("source", "source_size", F.when(F.col("is_full"), F.col("full")).otherwise(F.col("share") * F.col("weight")).alias("target"), "documents")
+    by = numbered(by, "source").withColumn("weight", F.array(*map(F.lit, weights))[((F.col("nth") - 1) % len(weights)).cast("int")])
+    by = cut(by.withColumn("full", most * F.col("source_size")))
+    total, level, filled = by.agg(F.sum("source_size")).first()[0] or 0, 0.0, -1
+    while True:
+        is_full = F.col("full") <= F.col("weight") * level
+        r = by.agg(F.count_if(is_full).alias("n"), F.sum(F.when(is_full, F.col("full"))).alias("full"), F.sum(F.when(~is_full, F.col("weight"))).alias("weight")).first()
+        if r.weight is None or r.n == filled:
+            return by.select("source", "source_size", F.when(is_full, F.col("full")).otherwise(F.col("weight") * level).alias("target"), "documents")
+        level, filled = (total - (r.full or 0.0)) / r.weight, r.n
 
 
 def _meet(one: Column, two: Column, seed: int) -> Column:

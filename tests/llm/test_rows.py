@@ -203,6 +203,8 @@ def test_language(spark):
     held = [r for r in rows if r[2] and zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert sum(got[i].lang_pred == lang for i, _, lang, _ in held) >= 0.97 * len(held)
     assert [got[1000 + k].lang_pred for k in (0, 1, 2, 6)] == ["und"] * 4 and all(0 <= r.score <= 1 for r in got.values())
+    small = language.dictionaries(docs, most_bytes=3 * 4 * 50)
+    assert sorted(small) == sorted(pieces) and all(0 < len(d) <= 200 for d in small.values())
     empty = language.dictionaries(docs.limit(0))
     assert empty == {} and {r.lang_pred for r in language.identify(docs, empty).collect()} == {"und"}
 
@@ -235,6 +237,19 @@ def test_mixture(spark):
     assert mixing.mixture(docs.limit(0)).count() == 0
 
 
+def test_targets_of_many_sources(spark):
+    rng = random.Random(12)
+    sizes = {f"h{k:04}": rng.choice([0, 1, 5, 40, 3000]) * rng.randrange(1, 9) for k in range(500)} | {None: 90_000, "\uffee": 7, "🙂": 7, "é": 7}
+    rows = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, n long").repartition(5)
+    got = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    want = plain.water_fill(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+    numbers = {r.source: r.nth for r in mixing.numbered(rows, "source").collect()}
+    assert [s for s, _ in sorted(numbers.items(), key=lambda x: x[1])] == sorted(sizes, key=lambda s: (s is None, s or "")) and sorted(numbers.values()) == list(range(1, len(sizes) + 1))
+    void = mixing.source_targets(spark.createDataFrame([("a", 0, 1), ("b", 0, 2)], rows.schema))
+    assert [r.target for r in void.collect()] == [0, 0] and mixing.source_targets(rows.limit(0)).count() == 0
+
+
 def test_expectation_of_a_copy(spark):
     """Over many seeds a document is taken as often as its source's rate says."""
     docs = docs_of(spark, [(k, "w " * (1 + k % 4), "en", "a" if k % 2 else "b") for k in range(40)])
