@@ -4,7 +4,8 @@ Each language has a raw-content zstandard dictionary, made of passages of its ow
 blocks, every block is compressed on its own with each dictionary, and the language with the smallest sum of sizes wins. Blocks keep
 a long text from becoming its own dictionary. The margin is the saving against the second best; narrow margins mark a row as rejected.
 
-Limits: a dictionary holds ``passages`` passages of at most ``passage`` characters, from training documents with the smallest hashes.
+Limits: a dictionary holds ``passages`` passages of at most ``passage`` characters, from training documents with the smallest hashes;
+where there are so many languages that this would take more than ``most_bytes`` in all, each has fewer and then shorter passages.
 Every document is scored whole.
 
 Defined cases: null text and text without a letter give ``und`` and score 0; equal sums go to the language first in code-point
@@ -28,6 +29,7 @@ from corpusloom.llm.common import held_out, pieces
 LETTER = regex.compile(r"\p{L}")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 BLOCK = 2048  # bytes
+WIDEST = 4  # bytes of a character
 LEVEL = 6
 
 
@@ -36,7 +38,7 @@ def normal(text: str) -> bytes:
     return NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
-def dictionaries(docs: DataFrame, passages: int = 32, passage: int = 2000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 9) -> dict[str, bytes]:
+def dictionaries(docs: DataFrame, passages: int = 32, passage: int = 2000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 9, most_bytes: int = 32 << 20) -> dict[str, bytes]:
     """A dictionary for each language: a bounded draw of documents by the hash of their ids, a passage from inside each.
 
     Only ids and languages take part in the draw; a language's documents are thinned by its own count first, so that the
@@ -46,6 +48,9 @@ def dictionaries(docs: DataFrame, passages: int = 32, passage: int = 2000, id_co
     rows = rows.where(F.col("drawn_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("drawn_id")))
     rows = rows.withColumn("u", F.shiftrightunsigned(F.xxhash64("drawn_id", F.lit(seed)), 11) / float(1 << 53))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    share = most_bytes // (WIDEST * max(1, counts.count()))  # characters of a language
+    passages = max(1, min(passages, share // passage))
+    passage = max(1, min(passage, share // passages))
     near = rows.join(F.broadcast(counts), "lang").where(F.col("u") * F.col("n") < 8 * passages)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "drawn_id"))
     ids = near.withColumn("rank", rank).where(F.col("rank") <= passages).select("drawn_id", F.col("lang").alias("drawn_lang"), "rank").dropDuplicates(["drawn_id"])
