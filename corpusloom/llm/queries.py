@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import decontamination, embeddings, jaccard, language, quality, secrets, substrings, toxicity
 from corpusloom.llm.common import table
+from corpusloom.llm.exact import exact_duplicates
 from corpusloom.llm.mixing import mixture
+from corpusloom.llm.periodic import periodic_runs
 from corpusloom.llm.sharding import shard_manifest
+from corpusloom.llm.spelling import variants
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_manifest(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "op11_runs": op11_runs,
+    "op12_spelling": op12_spelling,
+    "op13_exact": op13_exact,
 }
 
 #: Components by closure over links ``l (a, b)``: every node reaches the smallest node of its component.
@@ -89,4 +107,7 @@ l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec
 m AS (SELECT node, min(low) AS low FROM reached GROUP BY node),
 k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT e.vec_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, coalesce(m.low, e.vec_id) AS component_id, coalesce(m.low, e.vec_id) = e.vec_id AS kept FROM embeddings e LEFT JOIN m ON m.node = e.vec_id LEFT JOIN k ON k.a = e.vec_id""",
+    "op13_exact": r"""SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+doc_id = first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)""",
 }
