@@ -24,6 +24,21 @@ def _text_udf(f):
     return call
 
 
+def decoded(text: str) -> str:
+    """Text with its entities decoded as ``text.decode_entities`` does: names in their order, then numbers, each in one pass."""
+    if "&" not in text:
+        return text
+
+    def character(digits: str, base: int) -> str:
+        n = int(digits.lstrip("0")[:9] or "0", base)
+        return chr(n) if n <= 0x10FFFF and not 0xD800 <= n <= 0xDFFF else "\ufffd"
+
+    for name, char in rules.ENTITIES:
+        text = re.sub(f"&{name};", lambda m, char=char: char, text, flags=re.I)
+    text = re.sub(r"&#[xX]([0-9a-fA-F]+);", lambda m: character(m[1], 16), text)
+    return re.sub(r"&#([0-9]+);", lambda m: character(m[1], 10), text)
+
+
 @_text_udf
 def decode_bytes(content: pd.Series) -> pd.Series:
     """Text of raw bytes: gunzipped by its magic, windows-1252 where declared in the head, else UTF-8 with replacement."""

@@ -138,8 +138,13 @@ RISK_LABELS = (
     ("intellectual_property", "Intellectual property", "知识产权"),
 )
 
+# --- fixed values: references that lead to no page ---
+NO_PAGES = ("mailto:", "tel:", "javascript:")
+
 # --- fixed values: URLs that differ only behind the # and site aliases ---
-HASH_ROUTED = r"^https?://(?:(?:www\.)?bilibili\.com/blackboard/help\.html|link\.bilibili\.com/p/eden/news)(?:[?#]|\z)"
-POLICY_SLUG = r"(?i)^https?://(?:www\.)?help\.(?:x|twitter)\.com/(?:[^?#]*/)?rules-and-policies/+([^/?#]+)"
+HASH_ROUTED = ("bilibili.com/blackboard/help.html", "link.bilibili.com/p/eden/news")
+POLICY_HOSTS = ("help.x.com", "help.twitter.com")
+POLICY_FOLDER = "rules-and-policies"
 POLICY_URL = "https://help.x.com/en/rules-and-policies/%s.html"
-HELP_ID = r"(?i)^https?://(?:www\.)?support\.google\.com/youtube/answer/(\d+)"
+HELP_HOST = "support.google.com"
+HELP_ID = r"^/youtube/answer/([0-9]+)"

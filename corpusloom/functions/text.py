@@ -232,6 +232,14 @@ def paragraphs_between(found: Column, title: Column, footer: Column, expected: C
     return F.struct(cut_["paragraphs"].alias("paragraphs"), F.coalesce(cut_["error"], F.when(n != expected, wrong)).alias("error"))
 
 
+BBCODE_LINK = r"(?is)\[url=([^\]]+)\](.*?)\[/url\]"
+
+
+def bbcode_references(text: Column, numbers: bool = True) -> Column:
+    """What the links of a BBCode text refer to, as ``bbcode_to_markdown`` asks for it."""
+    return F.regexp_extract_all(F.replace(decode_entities(text, numbers), F.lit("\r"), F.lit("\n")), F.lit(BBCODE_LINK), F.lit(1))
+
+
 def bbcode_to_markdown(text: Column, target=lambda href: href, numbers: bool = True) -> Column:
     """BBCode as Markdown; ``target`` gives the target of a reference, null where there is none."""
 
@@ -240,7 +248,7 @@ def bbcode_to_markdown(text: Column, target=lambda href: href, numbers: bool = T
         return F.when(url.isNull() | (label == ""), label).otherwise(F.concat(F.lit("["), label, F.lit("]("), F.replace(url, F.lit(")"), F.lit("%29")), F.lit(")")))
 
     text = F.replace(decode_entities(text, numbers), F.lit("\r"), F.lit("\n"))
-    text = rewritten(text, r"(?is)\[url=([^\]]+)\](.*?)\[/url\]", 2, linked)
+    text = rewritten(text, BBCODE_LINK, 2, linked)
     for pattern, by in rules.BBCODE:
         text = F.regexp_replace(text, pattern, by)
     return clean_text(text, numbers)

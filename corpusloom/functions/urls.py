@@ -1,111 +1,187 @@
-"""URLs as column expressions: canonical form, aliases, resolution of the usual references."""
+"""URLs as column expressions: parts, canonical form, aliases, resolution.
+
+A URL of the simple form (http or https, a host of letters, digits and hyphens, nothing to be escaped and no dot segments), and a
+path from the root on a base of that form, is split by expressions. Others go to ``weburl``, all of a row in one call; a row without any sends nothing.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions import rules
+from corpusloom.functions import rules, weburl
+from corpusloom.functions.helpers import decoded
 from corpusloom.functions.text import decode_entities, let, trim
 
-_PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?\z"
-_WELL_FORMED = r"^(?i:https?)://[^/?#\s]+"
+PARTS = ("head", "host", "path", "query", "clean", "fragment")
+_TYPE = f"struct<{','.join(f'{p}:string' for p in PARTS)}>"
+_PLAIN = r"A-Za-z0-9._~!$&()*+,;=:@%|/\[\]\-"
+_TAIL = rf"(\?[{_PLAIN}?{{}}^]*)?(#[{_PLAIN}?{{}}^']*)?\z"
+#: Scheme, host, path, query, fragment.
+_SIMPLE = rf"^([hH][tT][tT][pP][sS]?)://((?:[A-Za-z0-9_-][A-Za-z0-9_.-]*\.)?[A-Za-z][A-Za-z0-9_-]*)(/[{_PLAIN}']*)?{_TAIL}"
+_ROOTED = rf"^()()(/(?![/\\])[{_PLAIN}']*){_TAIL}"
+#: What no simple form has: dot segments, Punycode, entities, and the mark that groups are parted by.
+_ODD = rf"^(?:[A-Za-z]+://)?[^?#]*/(?:\.|%2[eE]){{1,2}}(?:[/?#]|\z)|^[A-Za-z]+://(?:[^/?#]*\.)?[xX][nN]--|\x1f|(?i:&(?:{'|'.join(name for name, _ in rules.ENTITIES)}|#x[0-9a-f]+|#\d+);)"
+_CAMPAIGN = r"(?i)utm|%(?:75|74|6d|5f)"
+
+
+def _fields(query: Column) -> Column:
+    return F.split(F.substr(query, F.lit(2)), "&")
+
+
+def _is_simple(url: Column, pattern: str) -> Column:
+    """Whether expressions split a URL: its form, and a query that they write as it is."""
+    asks = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
+    plain = ~asks.rlike(_CAMPAIGN) | F.forall(_fields(asks), lambda f: f.rlike(r"^[\w*.+-]+=[\w*.+-]*\z"))
+    return url.rlike(pattern) & ~url.rlike(_ODD) & plain
+
+
+def _cut(url: Column, pattern: str) -> Column:
+    """The five groups of a simple form, by one search; null for any other URL."""
+    return F.when(_is_simple(url, pattern), F.split(F.regexp_replace(url, pattern, "$1\x1f$2\x1f$3\x1f$4\x1f$5"), "\x1f"))
+
+
+def _without_campaigns(query: Column) -> Column:
+    kept = F.concat(F.lit("?"), F.array_join(F.filter(_fields(query), lambda f: ~f.startswith("utm_")), "&"))
+    return F.when(query.rlike(_CAMPAIGN), F.regexp_replace(kept, r"^\?\z", "")).otherwise(query)
+
+
+def _struct(groups: Column, head: Column, host: Column) -> Column:
+    path = F.when(groups[2] == "", "/").otherwise(groups[2])
+    return F.when(groups.isNotNull(), F.struct(head.alias("head"), host.alias("host"), path.alias("path"), groups[3].alias("query"), _without_campaigns(groups[3]).alias("clean"), groups[4].alias("fragment")))
+
+
+def _split_odd(urls: Column, base: Column, references: bool) -> Column:
+    """Arrays of parts for arrays of URLs, decoded first; a row's base is parsed once."""
+
+    def run(lists: pd.Series, bases: pd.Series) -> pd.Series:
+        def parts(url, start):
+            text = None if url is None else decoded(url)
+            if text is None or (references and (text == "" or text.startswith(rules.NO_PAGES))):
+                return None
+            found = weburl.split(text, start)
+            return found and dict(zip(PARTS, found, strict=True))
+
+        def one(urls, base):
+            if urls is None:
+                return None
+            start = None if base is None else weburl.parse(base)
+            return [None if base is not None and start is None else parts(u, start) for u in urls]
+
+        return pd.Series([one(a, b) for a, b in zip(lists, bases, strict=True)], dtype=object)
+
+    return F.pandas_udf(run, f"array<{_TYPE}>")(urls, base)
 
 
-def _part(url: Column, n: int) -> Column:
-    return F.regexp_extract(url, _PARTS, n)
+def split_urls(urls: Column, base: Column | None = None, references: bool = False) -> Column:
+    """The parts of each URL of an array, its entities decoded, seen from a base where one is given; null for what is no URL.
 
+    With ``references`` empty ones and those to mail, telephone and script are none either.
+    """
+    base = F.lit(None).cast("string") if base is None else base
 
-def _host(url: Column) -> Column:
-    host = F.lower(_part(url, 2))
-    return F.regexp_replace(host, F.when(F.lower(_part(url, 1)) == "https", r":443\z").otherwise(r":80\z"), F.lit(""))
+    based, host = F.coalesce(_is_simple(base, _SIMPLE), F.lit(False)), F.lower(F.regexp_extract(base, _SIMPLE, 2))
+    origin = F.concat(F.lower(F.regexp_extract(base, _SIMPLE, 1)), F.lit("://"), host)
 
+    # no inner function names a variable of an outer one, as Spark does not take calls of Python out of such expressions
+    def plain(u: Column) -> Column:
+        own = let(_cut(u, _SIMPLE), lambda g: _struct(g, F.concat(F.lower(g[0]), F.lit("://"), F.lower(g[1])), F.lower(g[1])))
+        rooted = let(_cut(u, _ROOTED), lambda g: _struct(g, origin, host))
+        return F.when(based, F.coalesce(own, rooted)).when(base.isNull(), own)
 
-def _path(url: Column) -> Column:
-    path = _part(url, 3)
-    return F.when(path == "", "/").otherwise(path)
+    # one call of the helper a row, and none for a row whose URLs are all simple
+    odd = F.exists(urls, lambda u: u.isNotNull() & ~(_is_simple(u, _SIMPLE) | (based & _is_simple(u, _ROOTED))))
+    asked = F.when(odd | (base.isNotNull() & ~based), urls)
+    return F.coalesce(_split_odd(asked, base, references), F.transform(urls, plain))
 
 
-def _hash(url: Column) -> Column:
-    return F.when(F.concat(F.lower(_part(url, 1)), F.lit("://"), _host(url), _part(url, 3), F.lit("?")).rlike(rules.HASH_ROUTED), _part(url, 5)).otherwise("")
+def _split(url: Column) -> Column:
+    return F.get(split_urls(F.array(url)), 0)
 
 
-def _kept_query(url: Column) -> Column:
-    query = _part(url, 4)
-    fields = F.filter(F.split(F.regexp_replace(query, r"^\?", ""), "&"), lambda f: ~f.startswith("utm_"))
-    kept = F.array_join(fields, "&")
-    return F.when(~query.rlike(r"[?&]utm_"), query).when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))
+def _bare_host(parts: Column) -> Column:
+    return F.regexp_replace(parts["host"], r"^www\.", "")
 
 
-def well_formed(url: Column) -> Column:
-    return url.rlike(_WELL_FORMED)
+def _routed(parts: Column) -> Column:
+    """The fragment where a site finds its pages by it."""
+    return F.when(F.concat(_bare_host(parts), parts["path"]).isin(*rules.HASH_ROUTED), parts["fragment"]).otherwise("")
+
+
+def _canonical(parts: Column) -> Column:
+    return F.concat(parts["head"], parts["path"], parts["clean"], _routed(parts))
+
+
+def _without_fragment(url: Column) -> Column:
+    return F.regexp_replace(decode_entities(url), r"#[^\n\r\u2028\u2029]*\z", "")
 
 
 def canonical_url(url: Column) -> Column:
-    """Small host, no fragment unless the site routes by it, no ``utm_`` parameters; a malformed one is cut at its #."""
-    return let(decode_entities(url), _canonical)
+    """No fragment unless the site routes by it, no ``utm_`` parameters; what is no URL is cut at its #."""
+    return let(_split(url), lambda p: F.when(p.isNull(), _without_fragment(url)).otherwise(_canonical(p)))
+
 
+def _slug(parts: Column) -> Column:
+    """The name of a policy page of two hosts; null elsewhere."""
 
-def _canonical(url: Column) -> Column:
-    whole = F.concat(F.lower(_part(url, 1)), F.lit("://"), _host(url), _path(url), _kept_query(url), _hash(url))
-    return F.when(well_formed(url), whole).otherwise(F.regexp_replace(url, r"(?s)#.*\z", ""))
+    def after(names: Column) -> Column:
+        return F.get(names, F.nullif(F.array_position(names, rules.POLICY_FOLDER), F.lit(0)).cast("int"))
+
+    found = let(F.filter(F.split(parts["path"], "/"), lambda p: p != ""), after)
+    return F.when(_bare_host(parts).isin(*rules.POLICY_HOSTS), F.regexp_replace(found, r"(?i)\.html\z", ""))
 
 
 def policy_slug(url: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(url, rules.POLICY_SLUG, 1), r"(?i)\.html\z", "")
+    return let(_split(url), _slug)
+
+
+def aliases_of(parts: Column, url: Column) -> Column:
+    """The keys of a URL whose parts are known, the most exact first; of no URL its canonical form alone."""
+
+    def listed(p: Column) -> Column:
+        bare, routed = F.concat(F.lit("scheme:"), p["host"], p["path"]), _routed(p)
+        shown = F.when(routed == "#", "").otherwise(routed)
+        slug, answer = _slug(p), F.when(_bare_host(p) == rules.HELP_HOST, F.nullif(F.regexp_extract(p["path"], rules.HELP_ID, 1), F.lit("")))
+        before, after = rules.POLICY_URL.split("%s")
+        found = [
+            _canonical(p),
+            F.concat(bare, F.when(p["query"] == "?", "").otherwise(p["query"]), shown),
+            F.concat(p["head"], p["path"], routed),
+            F.concat(bare, shown),
+            F.concat(F.lit("x-policy:"), slug),
+            F.concat(F.lit(before), slug, F.lit(after)),
+            F.concat(F.lit("youtube-answer:"), answer),
+        ]
+        return F.array_distinct(F.array_compact(F.array(*found)))
+
+    return let(parts, lambda p: F.when(p.isNull(), F.array(_without_fragment(url))).otherwise(listed(p)))
 
 
 def url_aliases(url: Column) -> Column:
     """Every key under which a URL is known, the most exact first."""
-    return let(decode_entities(url), _aliases)
-
-
-def _aliases(url: Column) -> Column:
-    base = F.concat(F.lower(_part(url, 1)), F.lit("://"), _host(url), _path(url))
-    bare = F.concat(F.lit("scheme:"), F.regexp_replace(_host(url), r":\d+\z", ""), _path(url))
-    slug, answer = policy_slug(url), F.regexp_extract(url, rules.HELP_ID, 1)
-    found = [
-        _canonical(url),
-        F.concat(bare, F.regexp_replace(_part(url, 4), r"^\?\z", ""), _hash(url)),
-        F.concat(base, _hash(url)),
-        F.concat(bare, _hash(url)),
-        F.when(slug != "", F.concat(F.lit("x-policy:"), slug)),
-        F.when(slug != "", F.concat(F.lit(rules.POLICY_URL.split("%s")[0]), slug, F.lit(rules.POLICY_URL.split("%s")[1]))),
-        F.when(answer != "", F.concat(F.lit("youtube-answer:"), answer)),
-    ]
-    several = F.array_distinct(F.array_compact(F.array(*found)))
-    return F.when(well_formed(url), several).otherwise(F.array(_canonical(url)))
+    return F.when(url.isNotNull(), aliases_of(_split(url), url))
+
+
+def aliases_all(urls: Column) -> Column:
+    """The aliases of each URL of an array."""
+    parts = split_urls(urls)
+    return F.zip_with(urls, parts, lambda u, p: F.when(u.isNotNull(), aliases_of(p, u)))
+
+
+def resolve_all(hrefs: Column, base: Column) -> Column:
+    """The absolute URL of each reference of an array; null for none, for mail, telephone and script, and for what does not resolve."""
+
+    parts = split_urls(F.transform(hrefs, trim), base, references=True)
+    return F.transform(parts, lambda p: F.concat(p["head"], p["path"], p["query"], p["fragment"]))
 
 
 def resolve_url(href: Column, base: Column) -> Column:
-    """Absolute, protocol-relative, root-relative, query and path-relative references, dot segments taken out; null for none."""
-    return let(trim(decode_entities(href)), lambda h: let(_resolved(h, base), _without_dots))
-
-
-def _without_dots(url: Column) -> Column:
-    """Segments ``.`` go, and ``..`` with the segment before them."""
-
-    def step(kept: Column, part: Column) -> Column:
-        return F.when(part == ".", kept).when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(part)))
-
-    parts = F.split(F.regexp_replace(_part(url, 3), "^/", ""), "/")
-    whole = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
-    path = F.concat(F.lit("/"), F.array_join(F.aggregate(whole, F.expr("cast(array() as array<string>)"), step), "/"))
-    head = F.concat(_part(url, 1), F.lit("://"), _part(url, 2))
-    return F.when(_part(url, 3).rlike(r"/\.\.?(?:/|\z)"), F.concat(head, path, _part(url, 4), _part(url, 5))).otherwise(url)
-
-
-def _resolved(href: Column, base: Column) -> Column:
-    scheme, host = F.lower(_part(base, 1)), _host(base)
-    origin = F.concat(scheme, F.lit("://"), host)
-    absolute = F.concat(F.lower(_part(href, 1)), F.lit("://"), _host(href), _path(href), _part(href, 4), _part(href, 5))
-    return (
-        F.when((href == "") | href.rlike(r"^(?:mailto:|tel:|javascript:)"), F.lit(None).cast("string"))
-        .when(href.rlike(_WELL_FORMED), absolute)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("?"), F.concat(origin, _path(base), href))
-        .when(href.startswith("#"), F.concat(origin, _path(base), _part(base, 4), href))
-        .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
-        .otherwise(F.concat(origin, F.regexp_replace(_path(base), r"[^/]*\z", ""), href))
-    )
+    return F.get(resolve_all(F.array(href), base), 0)
+
+
+def resolved_map(hrefs: Column, base: Column) -> Column:
+    """A map of the distinct references of an array to their URLs, without those that have none."""
+    distinct = F.array_distinct(F.array_compact(hrefs))
+    pairs = F.arrays_zip(distinct.alias("href"), resolve_all(distinct, base).alias("url"))
+    return F.map_from_entries(F.filter(pairs, lambda p: p["url"].isNotNull()))

@@ -85,13 +85,18 @@ def sql_let(x: str, body) -> str:
 sql_let.names = 0
 
 
+def sql_escaped(x: str) -> str:
+    """A reference with all beyond ASCII escaped."""
+    return f"array_to_string(list_transform(string_split({x}, ''), lambda c: CASE WHEN ord(c) > 127 THEN url_encode(c) ELSE c END), '')"
+
+
 def sql_linked(x: str, origin: str, target=lambda u: u) -> str:
     """Paired anchors with root-relative targets, the only ones in the tables at hand, as Markdown links; as text without an origin."""
     P = q(SQL_ANCHOR)
 
     def one(m: str) -> str:
         def shown(t: str) -> str:
-            u = f"({origin} || {m}.h[i])"
+            u = f"({origin} || {sql_escaped(m + '.h[i]')})"
             return f"CASE WHEN {t} = '' THEN ' ' ELSE " + (f"' ' || {t} || ' '" if not origin else f"' [' || {t} || '](' || {target(u)} || ') '") + " END"
 
         new = sql_let(sql_text(f"{m}.t[i]"), shown)
@@ -143,7 +148,7 @@ def sql_alias_rows(source: str) -> str:
 
 
 SQL_LINKS = f"""
-  SELECT page_id, ordinal, lower({sql_part('url', 1)}) || '://' || lower({sql_part('url', 2)}) || href AS u, inner_ FROM (
+  SELECT page_id, ordinal, lower({sql_part('url', 1)}) || '://' || lower({sql_part('url', 2)}) || {sql_escaped('href')} AS u, inner_ FROM (
     SELECT page_id, url, unnest(range(0, len(h))) AS ordinal, unnest(h) AS href, unnest(t) AS inner_ FROM (
       SELECT page_id, url, regexp_extract_all(html, {q(SQL_ANCHOR)}, 1) AS h, regexp_extract_all(html, {q(SQL_ANCHOR)}, 3) AS t FROM pages))"""
 
@@ -382,7 +387,9 @@ def t12_node_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT doc_id, source || ' [more](https://x.org/' || doc_id || ') gone' || chr(10) || chr(10) || '### ' || lang || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || 'said so' AS markdown FROM documents""")
 def t13_bbcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat("source", F.lit(" [url=https://x.org/"), "doc_id", F.lit("][b]more[/b][/url] [url=mailto:x]gone[/url][h2]"), "lang", F.lit("[/h2][list][*]one[*]two[/list][quote]said[/quote] [code]so[/code][hr][/hr]"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.bbcode_to_markdown(raw, lambda h: urls.resolve_url(h, F.lit("https://b.org/"))).alias("markdown"))
+    rows = links.apart(table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")), "hrefs", text.bbcode_references(F.col("raw")))
+    rows = rows.withColumn("leads", urls.resolved_map(F.col("hrefs"), F.lit("https://b.org/")))
+    return rows.select("doc_id", text.bbcode_to_markdown(F.col("raw"), lambda h: F.try_element_at("leads", h)).alias("markdown"))
 
 
 @query("""SELECT page_id, sha256('# 2 first' || chr(10) || chr(10) || 'body ' || page_id || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '# 10 second' || chr(10) || chr(10) || '[more](' || regexp_extract(url, '^[a-zA-Z]+://[^/?#]*') || '/x)') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
@@ -462,18 +469,27 @@ def l2_canonical_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
 
 
-@query(f"SELECT p.page_id, rank, alias FROM pages p JOIN ({sql_alias_rows('SELECT url AS u FROM pages')}) a ON p.url = a.u")
+@query(f"SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY rank) - 1 AS rank, alias FROM pages p JOIN ({sql_alias_rows('SELECT url AS u FROM pages')}) a ON p.url = a.u")
 def l3_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(urls.url_aliases(F.col("url"))).alias("rank", "alias"))
-    # ranks count the forms before repeats are dropped, as in the SQL
-    forms = table(spark, sf_dir, "pages").select("page_id", F.posexplode(_forms(F.col("url"))).alias("rank", "alias"))
-    return rows.select("page_id", "alias").join(forms.groupBy("page_id", "alias").agg(F.min("rank").cast("long").alias("rank")), ["page_id", "alias"]).select("page_id", "rank", "alias")
+    return rows.withColumn("rank", F.col("rank").cast("long"))
+
 
+SQL_PLACE = f"lower({sql_part('url', 2)}) || CASE WHEN {sql_part('url', 3)} = '' THEN '/' ELSE {sql_part('url', 3)} END"
+SQL_ASKED = "'?k=%C3%A9%20' || page_id || '&q=%27'"
 
-def _forms(url: Column) -> Column:
-    base = F.regexp_extract(urls.canonical_url(F.regexp_replace(url, r"[?#].*\z", "")), r"^.*\z", 0)
-    bare = F.concat(F.lit("scheme:"), F.regexp_replace(base, r"^[a-z]+://", ""))
-    return F.array(urls.canonical_url(url), F.concat(bare, F.regexp_extract(url, r"(\?[^#]*)", 1)), base, bare)
+
+@query(f"""WITH p AS (SELECT page_id, lower({sql_part('url', 1)}) || '://u:p%40@' AS head, {SQL_PLACE} AS place FROM pages),
+a AS (SELECT page_id, unnest(range(0, 4)) AS rank, unnest([head || place || {SQL_ASKED}, 'scheme:' || place || {SQL_ASKED}, head || place, 'scheme:' || place]) AS alias FROM p)
+SELECT page_id, rank, alias FROM a""")
+def l3_odd_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL with a user, capitals, its default port, backslashes, dot segments, blanks and a campaign: its keys are those of the plain one."""
+    url = F.col("url")
+    scheme, host, path = (F.regexp_extract(url, r"^([a-zA-Z]+)://([^/?#]*)([^?#]*)", k) for k in (1, 2, 3))
+    port = F.when(F.lower(scheme) == "https", ":443").otherwise(":080")
+    odd = F.concat(F.lit(" "), F.upper(scheme), F.lit(":\\\\u:p@@"), F.upper(host), port, F.lit("/x/.\t/%2E%2e/"), F.regexp_replace(path, "^/", ""), F.lit("?k=é "), "page_id", F.lit("&q='#utm_x=1 "))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(urls.url_aliases(odd)).alias("rank", "alias"))
+    return rows.withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"SELECT page_id, ordinal, u AS url, {sql_canonical('u')} AS key, {sql_text('inner_')} AS text FROM ({SQL_LINKS})")

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import helpers, rules
 from corpusloom.functions.text import (
-    bbcode_to_markdown, clean_pdf_lines, clean_text, content_hash, decode_entities, drop_chrome, help_article, host_of, html_to_text, let, paragraph_count, path_of, relative_path, slice_lines, trim_chrome,
+    bbcode_references, bbcode_to_markdown, clean_pdf_lines, clean_text, content_hash, decode_entities, drop_chrome, help_article, host_of, html_to_text, let, paragraph_count, path_of, relative_path, slice_lines, trim_chrome,
 )
-from corpusloom.functions.urls import resolve_url
+from corpusloom.functions.urls import resolve_all
 from corpusloom.operators.entries import is_low_value
-from corpusloom.operators.links import linked_lines, local_target
+from corpusloom.operators.links import apart, linked_lines, local_targets
 
 SEPARATOR = "\n\n---\n\n"
 # --- fixed values: what the opening note of a document says, and which notes count as uncertain ---
@@ -120,17 +120,21 @@ def tree_pieces(nodes: Column, numbers: bool = True) -> Column:
     return F.transform(nodes, lambda n: F.struct(F.concat(F.repeat(F.lit("#"), n["level"]), F.lit(" "), clean_text(n["title"], numbers)).alias("head"), n["content"].alias("html")))
 
 
-def store_articles(html: Column, url: Column, targets: Column | None = None, numbers: bool = True) -> Column:
-    """The articles of a page's FAQ store, an attribute with JSON whose texts are BBCode, numbered ones in order."""
+def store_faqs(html: Column, numbers: bool = True) -> Column:
+    """The entries of a page's FAQ store, an attribute with JSON, numbered ones in order; those without content are left out."""
     raw = F.regexp_extract(html, r"(?is)\bdata-faqstore=(?:\"([^\"]*)\"|'([^']*)')", 1)
     raw = F.when(raw != "", raw).otherwise(F.regexp_extract(html, r"(?is)\bdata-faqstore=(?:\"([^\"]*)\"|'([^']*)')", 2))
     faqs = F.map_entries(F.from_json(decode_entities(raw, numbers), _FAQS)["faqs"])
     faqs = F.array_sort(F.transform(faqs, lambda e, i: F.struct(F.coalesce(e["key"].try_cast("long"), F.lit(2**62)).alias("k"), i.alias("i"), e["value"].alias("v"))))
-    faqs = F.filter(faqs, lambda f: F.coalesce(f["v"]["content"], F.lit("")) != "")
+    return F.filter(faqs, lambda f: F.coalesce(f["v"]["content"], F.lit("")) != "")
+
+
+def store_articles(faqs: Column, leads: Column, numbers: bool = True) -> Column:
+    """The entries of ``store_faqs`` as Markdown; ``leads`` maps what their links refer to, where it resolves."""
 
     def article(f: Column) -> Column:
         title = F.concat(F.lit("# "), clean_text(F.nullif(f["v"]["title"], F.lit("")), numbers))
-        return F.concat_ws("\n\n", title, F.nullif(bbcode_to_markdown(f["v"]["content"], lambda h: local_target(resolve_url(h, url), targets), numbers), F.lit("")))
+        return F.concat_ws("\n\n", title, F.nullif(bbcode_to_markdown(f["v"]["content"], lambda h: F.try_element_at(leads, h), numbers), F.lit("")))
 
     return F.transform(faqs, article)
 
@@ -172,6 +176,9 @@ def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
         .when(way == "github-docs-article", _one(F.col("body_")))
         .when(generic, _one(drop_chrome(F.col("scoped_"))))
     )
+    rows = apart(rows, "faqs_", F.when(way == "steam-faqstore-json", store_faqs(content, numbers)))
+    rows = apart(rows, "asked_", F.array_distinct(F.flatten(F.transform("faqs_", lambda f: bbcode_references(f["v"]["content"], numbers)))))
+    rows = rows.withColumn("leads_", F.map_from_arrays("asked_", local_targets(resolve_all(F.col("asked_"), url), targets)))
     base = F.when(~way.isin(*UNBASED), url)
     rows = linked_lines(rows.withColumn("pieces_", pieces), "pieces_", base, targets, numbers).withColumn("lines_", F.get("pieces_", 0)["lines"])
 
@@ -192,7 +199,7 @@ def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
         .when(way == "x-help-html", F.when(challenged, "").otherwise(joined(help_article(lines))))
         .when(way == "google-help-article", joined(F.col("cut_")))
         .when(way == "github-docs-article", F.when(F.size("cut_") > 0, F.concat_ws("\n\n", title, joined(F.col("cut_")))))
-        .when(way == "steam-faqstore-json", F.array_join(store_articles(content, url, targets, numbers), SEPARATOR))
+        .when(way == "steam-faqstore-json", F.array_join(store_articles(F.col("faqs_"), F.col("leads_"), numbers), SEPARATOR))
         .when(pdf, clean_pdf_lines(content, host))
         .when(plain, clean_text(content, numbers))
         .otherwise(F.when(low, "").otherwise(joined(F.col("cut_"))))
@@ -209,7 +216,7 @@ def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
         .when(F.col("pieces_").isNull() & way.isin(*UNBASED), noted("the JSON payload was not found"))
         .when((way == "steam-faqstore-json") & (F.coalesce("text", F.lit("")) == ""), noted("the FAQ data store was not found or holds no records"))
     )
-    return rows.withColumn("text", F.coalesce(text, F.lit(""))).withColumn("note", note).drop("scoped_", "body_", "nodes_", "pieces_", "lines_", "cut_")
+    return rows.withColumn("text", F.coalesce(text, F.lit(""))).withColumn("note", note).drop("scoped_", "body_", "nodes_", "faqs_", "asked_", "leads_", "pieces_", "lines_", "cut_")
 
 
 def manifest_records(entries: DataFrame, artifacts: DataFrame, extractions: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import broken_lines, html_to_text, let, long_preformatted, relative_path, rewritten, trim, without_noise
 from corpusloom.functions import rules
-from corpusloom.functions.urls import canonical_url, policy_slug, resolve_url, url_aliases
+from corpusloom.functions.urls import aliases_all, canonical_url, policy_slug, resolve_all, resolve_url, url_aliases
 
 PAIRED = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
 SINGLE = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*/>\s*([^<\n]+)"
@@ -28,12 +28,24 @@ def extract_links(pages: DataFrame, numbers: bool = True) -> DataFrame:
     return rows.select("page_id", "ordinal", "url", canonical_url(F.col("url")).alias("key"), "text")
 
 
-def local_target(url: Column, targets: Column | None) -> Column:
-    """The target of the first alias of a URL in a map of aliases, or the URL itself."""
+def apart(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column that is worked out before what is made of it.
+
+    Spark puts expressions into each other, and does not find a call of Python whose arguments hold functions within functions; this keeps them apart.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def local_targets(found: Column, targets: Column | None) -> Column:
+    """For each URL of an array the target of its first alias in a map of aliases, or the URL itself."""
     if targets is None:
-        return url
-    found = F.filter(F.transform(url_aliases(url), lambda a: F.try_element_at(targets, a)), lambda t: t.isNotNull())
-    return F.coalesce(F.get(found, 0), url)
+        return found
+
+    def target(url: Column, aliases: Column) -> Column:
+        known = F.filter(F.transform(aliases, lambda a: F.try_element_at(targets, a)), lambda t: t.isNotNull())
+        return F.coalesce(F.get(known, 0), url)
+
+    return F.zip_with(found, aliases_all(found), target)
 
 
 def linked_lines(rows: DataFrame, pieces: str, base: Column, targets: Column | None = None, numbers: bool = True) -> DataFrame:
@@ -58,11 +70,16 @@ def linked_lines(rows: DataFrame, pieces: str, base: Column, targets: Column | N
 
         rows = step(rows, between=lambda p, pattern=pattern: F.split(p["html"], pattern), whole=groups(0), a=groups(1), b=groups(2), inner=groups(3))
         rows = step(rows, between=same("between"), whole=same("whole"), href=lambda p: F.zip_with(p["a"], p["b"], lambda a, b: F.concat(a, b)), label=lambda p: F.transform(p["inner"], lambda t: html_to_text(t, numbers)))
-        # a fragment has no target of its own among paired anchors
-        resolved = lambda p, paired=paired: F.transform(p["href"], lambda h: F.when(~trim(h).startswith("#") | F.lit(not paired), resolve_url(h, base)))
-        rows = step(rows, between=same("between"), whole=same("whole"), label=same("label"), url=resolved)
-        if targets is not None:
-            rows = step(rows, between=same("between"), whole=same("whole"), label=same("label"), url=lambda p: F.transform(p["url"], lambda u: local_target(u, targets)))
+        # the references of all pieces are resolved in one call; a fragment has no target of its own among paired anchors
+        hrefs = F.flatten(F.transform(pieces, lambda p: p["href"]))
+        hrefs = F.transform(hrefs, lambda h: F.when(~trim(h).startswith("#"), h)) if paired else hrefs
+        rows = apart(rows, "hrefs_", hrefs).withColumn("resolved_", local_targets(resolve_all(F.col("hrefs_"), base), targets))
+
+        def of_piece(p: Column, i: Column) -> Column:
+            before = F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda n, q: n + F.size(q["href"]))
+            return F.struct(p["head"].alias("head"), p["pre"].alias("pre"), p["between"].alias("between"), p["whole"].alias("whole"), p["label"].alias("label"), F.slice("resolved_", before + 1, F.size(p["href"])).alias("url"))
+
+        rows = rows.withColumn(pieces, F.transform(pieces, of_piece)).drop("resolved_", "hrefs_")
 
         def anchor(p: Column, i: Column, paired: bool = paired) -> Column:
             label, url = F.get(p["label"], i), F.get(p["url"], i)
