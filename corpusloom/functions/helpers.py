@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import functools
-import gzip
 import json
 import re
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,18 +39,44 @@ def decoded(text: str) -> str:
     return re.sub(r"&#([0-9]+);", lambda m: character(m[1], 10), text)
 
 
+#: Most bytes of an artifact once it is unpacked.
+MOST_BYTES = 80 << 20
+
+
+def inflate(raw: bytes, most: int) -> bytes | None:
+    """The members of a gzip stream, one after another; null for damaged data, for an unfinished member, and beyond ``most`` bytes. What is behind the last member is left out."""
+    out, left = [], most
+    while raw[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(raw, left + 1))
+        except zlib.error:
+            return None
+        left -= len(out[-1])
+        if left < 0 or not member.eof:
+            return None
+        raw = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
+def decoding_note(content: Column, text: Column) -> Column:
+    """Why ``decode_bytes`` has no text for some bytes; null where it has."""
+    return F.when(content.isNotNull() & text.isNull(), f"compressed data is damaged or larger than {MOST_BYTES} bytes")
+
+
 @_text_udf
 def decode_bytes(content: pd.Series) -> pd.Series:
-    """Text of raw bytes: gunzipped by its magic, windows-1252 where declared in the head, else UTF-8 with replacement."""
+    """Text of raw bytes: gunzipped by its magic, windows-1252 where declared in the head, else UTF-8 with replacement.
+
+    Null for compressed data that is damaged or unpacks to more than ``MOST_BYTES``; ``decoding_note`` says so.
+    """
 
     def one(raw: bytes | None) -> str | None:
         if raw is None:
             return None
         if raw[:2] == b"\x1f\x8b":
-            try:
-                return gzip.decompress(raw).decode("utf-8", "replace")
-            except (OSError, EOFError):
-                return None
+            plain = inflate(bytes(raw), MOST_BYTES)
+            return None if plain is None else plain.decode("utf-8", "replace")
         if re.search(rb"charset=[\"']?(windows-1252|iso-8859-1)", raw[:4096], re.I):
             return raw.decode("cp1252", "replace")
         return raw.decode("utf-8", "replace")

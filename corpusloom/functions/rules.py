@@ -138,6 +138,10 @@ RISK_LABELS = (
     ("intellectual_property", "Intellectual property", "知识产权"),
 )
 
+# --- fixed values: the pages of a platform group, by language, and what they are headed with ---
+RISK_PAGES = {"en": "risk-index.md", "cn": "risk-index_cn.md"}
+RISK_TITLES = {"en": ("Illegal and High-Risk Content Index", "Tagged Categories", "Official Sources"), "cn": ("违法和高风险内容类别索引", "已标记类别", "官方来源")}
+
 # --- fixed values: references that lead to no page ---
 NO_PAGES = ("mailto:", "tel:", "javascript:")
 

@@ -47,12 +47,8 @@ def _code_point(digits: Column, base: int) -> Column:
 
 
 def _decode_numbers(text: Column, pattern: str, base: int) -> Column:
-
-    def decoded(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        return F.aggregate(found, text, lambda t, m: F.replace(t, m, _code_point(F.regexp_replace(m, "^&#[xX]?|;", ""), base)))
-
-    return let(text, lambda t: F.when(t.rlike(pattern), decoded(t)).otherwise(t))
+    """Each reference replaced once; what comes out is not read again."""
+    return let(text, lambda t: rewritten(t, pattern, 1, lambda _whole, digits: _code_point(digits, base)))
 
 
 def decode_entities(text: Column, numbers: bool = True, entities=rules.ENTITIES) -> Column:
@@ -66,7 +62,7 @@ def decode_entities(text: Column, numbers: bool = True, entities=rules.ENTITIES)
             text = F.regexp_replace(text, f"(?i)&{name};", char)
         if not numbers:
             return text
-        return _decode_numbers(_decode_numbers(text, "&#[xX][0-9a-fA-F]+;", 16), r"&#\d+;", 10)
+        return _decode_numbers(_decode_numbers(text, "&#[xX]([0-9a-fA-F]+);", 16), r"&#(\d+);", 10)
 
     return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
@@ -341,14 +337,18 @@ def relative_path(from_file: Column, to_file: Column) -> Column:
 
 
 def metadata_of(document: Column) -> Column:
-    """A map of the mapped ``- Key: value`` lines of a document; the last one of a field wins."""
-    lines = F.split(document, r"\r?\n")
+    """A map of the mapped ``- Key: value`` lines of a document; the last one of a field wins. One pass over the lines, then one over the pairs for each field there is."""
     pattern = r"^- ([^:：]+)[:：]\s*(.*)\z"
     keys = F.create_map(*(F.lit(x) for pair in rules.METADATA_KEYS.items() for x in pair))
-    pairs = F.transform(F.filter(lines, lambda x: x.rlike(pattern)), lambda x: F.struct(F.try_element_at(keys, trim(F.regexp_extract(x, pattern, 1))).alias("key"), trim(F.regexp_extract(x, pattern, 2)).alias("value")))
+    lines = F.filter(F.split(document, r"\r?\n"), lambda x: x.startswith("- ") & x.rlike(pattern))
+    pairs = F.transform(lines, lambda x: F.struct(F.try_element_at(keys, trim(F.regexp_extract(x, pattern, 1))).alias("key"), trim(F.regexp_extract(x, pattern, 2)).alias("value")))
     pairs = F.filter(pairs, lambda p: p["key"].isNotNull() & ~p["key"].isin("source_urls", "reference_urls") & (p["value"] != ""))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(F.array_sort(last))
+
+    def last(pairs: Column) -> Column:
+        fields = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["key"])))
+        return F.map_from_entries(F.transform(fields, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)))
+
+    return let(pairs, last)
 
 
 def url_block(document: Column, key: str) -> Column:

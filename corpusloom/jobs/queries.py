@@ -7,17 +7,18 @@ checks follow from ids, so that the SQL makes the same ones.
 
 from __future__ import annotations
 
+import gzip
 import string
-import tempfile
-import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import helpers, rules, text, urls
 from corpusloom.operators import assembly, entries, indexes, links, verification
 from corpusloom.sources import readers, writers
+from corpusloom.sources.shared import cut, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -198,14 +199,15 @@ def p2_explode_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH p AS (SELECT page_id, CASE page_id % 7 WHEN 0 THEN url || '.json' WHEN 1 THEN url || '.PDF' WHEN 2 THEN 'https://a.b/x.txt' WHEN 3 THEN 'https://a.b/x.xml?y=1' ELSE url END AS url,
   CASE page_id % 5 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'application/pdf' WHEN 2 THEN 'text/html' END AS kind, CASE WHEN page_id % 11 = 0 THEN '.md' END AS ext FROM pages),
 r AS (SELECT *, lower(regexp_extract(url, '^[a-zA-Z][^:]*://[^/?#]*([^?#]*)', 1)) AS path, lower(regexp_extract(url, '^[a-zA-Z][^:]*://[^/?#]*([^#]*)', 1)) AS search, coalesce(kind, '') AS k FROM p)
-SELECT page_id, CASE WHEN ext IS NOT NULL THEN ltrim(ext, '.') WHEN path LIKE '%.json' OR k LIKE '%json%' OR url LIKE '%/rule_out_api/%' OR url LIKE '%/oacontract/%' THEN 'json'
+SELECT page_id, CASE WHEN page_id % 13 = 0 THEN 'pdf' WHEN ext IS NOT NULL THEN ltrim(ext, '.') WHEN path LIKE '%.json' OR k LIKE '%json%' OR url LIKE '%/rule_out_api/%' OR url LIKE '%/oacontract/%' THEN 'json'
   WHEN search LIKE '%.pdf%' OR k LIKE '%pdf%' THEN 'pdf' WHEN path LIKE '%.txt' OR k LIKE '%text/plain%' THEN 'txt' WHEN path LIKE '%.xml' OR k LIKE '%xml%' THEN 'xml' ELSE 'html' END AS type FROM r""")
 def p3_artifact_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, url = F.col("page_id"), F.col("url")
     shown = F.when(n % 7 == 0, F.concat(url, F.lit(".json"))).when(n % 7 == 1, F.concat(url, F.lit(".PDF"))).when(n % 7 == 2, "https://a.b/x.txt").when(n % 7 == 3, "https://a.b/x.xml?y=1").otherwise(url)
     kind = F.when(n % 5 == 0, "text/plain").when(n % 5 == 1, "application/pdf").when(n % 5 == 2, "text/html")
     none = F.lit(None).cast("string")
-    return table(spark, sf_dir, "pages").select("page_id", text.artifact_type(shown, kind, F.when(n % 11 == 0, ".md"), none, none).alias("type"))
+    content = F.encode(F.concat(F.when(n % 13 == 0, "%PDF-1.7 ").otherwise(""), "html"), "UTF-8")
+    return table(spark, sf_dir, "pages").select("page_id", text.sniffed_type(text.artifact_type(shown, kind, F.when(n % 11 == 0, ".md"), none, none), content).alias("type"))
 
 
 def challenged(html: Column) -> Column:
@@ -300,10 +302,21 @@ def t6_scope_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.content_hash(text.drop_chrome(helpers.scope_html(F.col("html"), host))).alias("hash"))
 
 
-@query("SELECT page_id, sha256(html) AS hash FROM pages")
+@query("""SELECT page_id, CASE WHEN page_id % 5 = 4 THEN NULL WHEN page_id % 5 = 2 THEN sha256('<meta charset=windows-1252>' || html) WHEN page_id % 5 = 3 THEN sha256(html || html) ELSE sha256(html) END AS hash, page_id % 5 = 4 AS noted FROM pages""")
 def t1_decode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = F.encode("html", "UTF-8")
-    return table(spark, sf_dir, "pages").select("page_id", text.content_hash(helpers.decode_bytes(content)).alias("hash"))
+    """Pages as UTF-8, compressed, in windows-1252, compressed as two members, and compressed with a damaged byte."""
+
+    def packed(html: pd.Series, n: pd.Series) -> pd.Series:
+        def one(text: str, way: int) -> bytes:
+            zipped = gzip.compress(text.encode())
+            plain = ("<meta charset=windows-1252>" + text).encode("cp1252", "replace") if way == 2 else text.encode()
+            return (plain, zipped, plain, zipped * 2, zipped[:-6] + bytes([zipped[-6] ^ 1]) + zipped[-5:])[way]
+
+        return pd.Series([one(a, b % 5) for a, b in zip(html, n, strict=True)], dtype=object)
+
+    rows = table(spark, sf_dir, "pages").select("page_id", F.pandas_udf(packed, "binary")("html", "page_id").alias("content"))
+    rows = rows.withColumn("text", helpers.decode_bytes(F.col("content")))
+    return rows.select("page_id", text.content_hash(F.col("text")).alias("hash"), helpers.decoding_note(F.col("content"), F.col("text")).isNotNull().alias("noted"))
 
 
 @query(f"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {sql_trim('x')}), lambda x: x <> '') AS l FROM documents),
@@ -448,7 +461,7 @@ def documents_as_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""SELECT doc_id, 'Document ' || doc_id AS heading, lang AS collection, source AS language, 'x' AS language_group, 'https://a.org/' || doc_id || ' https://b.org/' || (doc_id % 10) AS source_urls,
   CASE WHEN doc_id % 13 = 0 THEN NULL ELSE sha256(regexp_replace(text, '\n+$', '')) END AS body_hash FROM documents""")
 def t17_rule_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents_as_markdown(spark, sf_dir).withColumn("m", text.metadata_of(F.substring_index("document", "\n## Source", 1)))
+    rows = documents_as_markdown(spark, sf_dir).withColumn("m", text.metadata_of(F.col("document")))
     return rows.select("doc_id", text.first_heading(F.col("document"), F.col("path")).alias("heading"), *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("collection", "language", "language_group")), F.array_join(text.url_block(F.col("document"), "Source URL|来源链接"), " ").alias("source_urls"), text.content_hash(text.body_of(F.col("document"))).alias("body_hash"))
 
 
@@ -548,12 +561,22 @@ def l6_admit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.admit_links(found, _entries_with_rules(spark, sf_dir))
 
 
+def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_url, ordinal, url``: the links of the pages, and three more of each page to other pages, one of them written oddly."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
+    own = page_links(spark, sf_dir).join(pages, "page_id").select("page_url", F.col("ordinal").cast("long").alias("ordinal"), "url")
+    n = F.col("page_id")
+    steps = F.array(*(F.struct(F.lit(1000 + k).cast("long").alias("ordinal"), to.cast("long").alias("to")) for k, to in enumerate((n + 1, F.floor(n * 3 / 2), n + 1, F.floor(n / 2)))))
+    ends = pages.select(n.alias("to"), F.col("page_url").alias("url"))
+    more = pages.select("page_url", F.inline(steps)).join(ends, "to")
+    odd = F.concat(F.regexp_replace("url", "^https?:", "HTTP:"), F.lit("#again"))
+    return own.unionByName(more.select("page_url", "ordinal", F.when(F.col("ordinal") == 1002, odd).otherwise(F.col("url")).alias("url")))
+
+
 @query(None)
 def l7_discover_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of the pages themselves and of collected pages they lead to; the order of seen aliases is greedy, so there is no SQL."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
-    found = page_links(spark, sf_dir).join(pages, "page_id").select("page_url", "ordinal", "url")
-    return links.discover_links(_entries_with_rules(spark, sf_dir), found, depth=1, cap=50).withColumn("depth", F.col("depth").cast("long"))
+    """Links of the pages themselves, of the pages they lead to and of those that these lead to, all of them; order decides which of several links to a page stays, so there is no SQL."""
+    return links.discover_links(_entries_with_rules(spark, sf_dir), site_links(spark, sf_dir), depth=3).withColumn("depth", F.col("depth").cast("long"))
 
 
 SQL_MAP = f"SELECT alias, arg_min('p/' || page_id || '.html', page_id) AS target FROM (SELECT page_id, unnest({sql_aliases('u')}) AS alias FROM ({SQL_LINKS})) GROUP BY alias"
@@ -714,18 +737,13 @@ def a2_rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(name: str, *fields: str) -> Column:
         return F.array_join(F.transform(name, lambda x: F.concat_ws("|", *(x[f].cast("string") for f in fields))), ",").alias(name)
 
-    out = indexes.rule_index(_headers(spark, sf_dir), ("language",))
+    out = indexes.rule_index(documents_as_markdown(spark, sf_dir), ("language",))
     return out.select("directory", "rule_count", "descendant_rule_count", listed("rules", "file", "path", "title", "language"), listed("children", "name", "path", "index", "rule_count", "descendant_rule_count"))
 
 
-def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents without their bodies, which may themselves hold lines of metadata."""
-    return documents_as_markdown(spark, sf_dir).select("path", F.substring_index("document", "\n## Source", 1).alias("document"))
-
-
 @query("SELECT CAST(1 + count(DISTINCT lang) + count(DISTINCT lang || '/' || source) AS BIGINT) AS indexes, count(*) AS indexed_rules FROM documents")
 def a5_index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indexes.index_summary(indexes.rule_index(_headers(spark, sf_dir), ()))
+    return indexes.index_summary(indexes.rule_index(documents_as_markdown(spark, sf_dir), ()))
 
 
 SQL_CATEGORY = "CASE doc_id % 5 WHEN 0 THEN 'self_harm' WHEN 1 THEN 'child_safety' WHEN 2 THEN 'unheard_of' ELSE 'fraud_scams' END"
@@ -735,11 +753,14 @@ SQL_CATEGORY = "CASE doc_id % 5 WHEN 0 THEN 'self_harm' WHEN 1 THEN 'child_safet
 l(c, en) AS (VALUES {", ".join(f"({q(a)}, {q(b)})" for a, b, _ in rules.RISK_LABELS)})
 SELECT source AS platform_group, 'N' || min(doc_id) AS name, (SELECT string_agg(coalesce(l.en, x.c), ', ' ORDER BY x.c) FROM (SELECT DISTINCT c FROM e e2 WHERE e2.source = e.source) x LEFT JOIN l ON l.c = x.c) AS labels, count(*) AS sources FROM e GROUP BY source""")
 def a3_risk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = indexes.risk_index(_risky_entries(spark, sf_dir), indexes.risk_labels(spark))
+    return out.select("platform_group", "name", F.array_join("labels_en", ", ").alias("labels"), F.size("sources").cast("long").alias("sources"))
+
+
+def _risky_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("id")
     category = F.when(n % 5 == 0, "self_harm").when(n % 5 == 1, "child_safety").when(n % 5 == 2, "unheard_of").otherwise("fraud_scams")
-    rows = entry_rows(spark, sf_dir).where("collection = 'en'").select(n, F.lit("platforms").alias("collection"), "platform_group", "enabled", n.alias("position"), F.concat(F.lit("N"), n).alias("platform_name"), F.concat(F.lit("T"), n).alias("title"), F.array(F.lit("u")).alias("source_urls"), F.array(category).alias("risk_categories"))
-    out = indexes.risk_index(rows, indexes.risk_labels(spark))
-    return out.select("platform_group", "name", F.array_join("labels_en", ", ").alias("labels"), F.size("sources").cast("long").alias("sources"))
+    return entry_rows(spark, sf_dir).where("collection = 'en'").select(n, F.lit("platforms").alias("collection"), "platform_group", "enabled", n.alias("position"), F.concat(F.lit("N"), n).alias("platform_name"), F.concat(F.lit("T"), n).alias("title"), F.array(F.lit("u")).alias("source_urls"), F.array(category).alias("risk_categories"))
 
 
 @query("SELECT sha256(text) AS hash, count(*) AS count FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -886,7 +907,7 @@ SELECT 'V9' AS "check", CAST(NULL AS VARCHAR) AS entry_id, CASE WHEN name = '' T
 @query(SQL_V9)
 def v9_stale_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexes with a fault of each kind: lost, of no directory, miscounted, of another version, and with rules that are left out, doubled, untitled, astray."""
-    docs = _headers(spark, sf_dir)
+    docs = documents_as_markdown(spark, sf_dir)
     index = indexes.rule_index(docs, ())
     name = F.regexp_extract("directory", r"[^/]*\z", 0)
     third = name == "src3"
@@ -930,17 +951,6 @@ def v10_verify_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ---
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share; a local one for a local master only."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if root is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="spark-")
-    return f"{root}/files-{uuid.uuid4().hex}"
-
-
 def folder_of(n: Column, size: int) -> Column:
     """Directories of ``size`` ids in turn, which bounds a file whatever the sources hold."""
     return F.floor(n / size).cast("long")
@@ -979,7 +989,7 @@ def s2_read_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_artifacts(spark, path).select(F.regexp_extract("path", "^(.*)/", 1).alias("dir"), "length", F.sha2("content", 256).alias("sha256"))
 
 
-@query("""SELECT 'dir=' || doc_id // 100 AS dir, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS position, CAST(doc_id AS VARCHAR) AS id, 'https://a.org/' || doc_id AS source_urls,
+@query("""SELECT 'd' || doc_id // 100 AS dir, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS position, CAST(doc_id AS VARCHAR) AS id, 'https://a.org/' || doc_id AS source_urls,
   'f/' || doc_id AS source_files, sha256(text) AS hashes, CASE WHEN doc_id % 4 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS bytes FROM documents""")
 def s3_read_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifests of up to a hundred records written, a fourth of the records in the older schema, and read as one."""
@@ -987,12 +997,10 @@ def s3_read_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_, url, file, hash_ = n.cast("string").alias("id"), F.concat(F.lit("https://a.org/"), n), F.concat(F.lit("f/"), n), F.sha2("text", 256)
     old = F.to_json(F.struct(id_, url.alias("source_url"), file.alias("source_file"), hash_.alias("source_sha256")))
     new = F.to_json(F.struct(id_, F.array(url).alias("source_urls"), F.array(file).alias("source_files"), F.array(F.struct(file.alias("source_file"), hash_.alias("sha256"), F.octet_length("text").alias("bytes"))).alias("source_sha256")))
-    record = F.when(n % 4 == 0, old).otherwise(new)
-    rows = table(spark, sf_dir, "documents").groupBy(folder_of(n, 100).alias("dir")).agg(in_order(n, record.alias("v")).alias("records"))
-    writers.write_texts(rows.select("dir", F.concat(F.lit("["), F.array_join("records", ",\n"), F.lit("]")).alias("value")), path)
-    back = readers.read_manifests(spark, path, "part-*")
+    writers.write_manifests(table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), folder_of(n, 100)).alias("dir"), "doc_id", F.when(n % 4 == 0, old).otherwise(new).alias("record")), path, "doc_id")
+    back = readers.read_manifests(spark, path)
     return back.select(
-        F.regexp_extract("manifest", "^(.*)/", 1).alias("dir"), F.col("position").cast("long").alias("position"), "id", F.array_join("source_urls", " ").alias("source_urls"), F.array_join("source_files", " ").alias("source_files"),
+        F.regexp_extract("manifest", "^(.*)/sources/", 1).alias("dir"), F.col("position").cast("long").alias("position"), "id", F.array_join("source_urls", " ").alias("source_urls"), F.array_join("source_files", " ").alias("source_files"),
         F.array_join(F.transform("source_sha256", lambda x: x["sha256"]), " ").alias("hashes"), F.get("source_sha256", 0)["bytes"].alias("bytes"),
     )
 
@@ -1008,21 +1016,50 @@ def s4_read_rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_rule_documents(spark, path, "part-*").select(F.regexp_extract("path", "^(.*)/", 1).alias("dir"), F.length("document").cast("long").alias("chars"), F.sha2("document", 256).alias("sha256"))
 
 
-@query("SELECT source AS dir, CAST(doc_id AS VARCHAR) AS id, sha256(text) AS body_sha256, 'f/' || doc_id AS source_files FROM documents")
+@query("SELECT source AS dir, row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS VARCHAR)) - 1 AS position, CAST(doc_id AS VARCHAR) AS id, sha256(text) AS body_sha256, 'f/' || doc_id AS source_files FROM documents")
 def s6_write_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records written by directory and read again."""
+    """Records written as one manifest for each directory and read again."""
     n, path = F.col("doc_id"), shared_folder(spark)
     rows = table(spark, sf_dir, "documents").select(F.col("source").alias("dir"), n.cast("string").alias("id"), F.sha2("text", 256).alias("body_sha256"), F.array(F.concat(F.lit("f/"), n)).alias("source_files"))
     writers.write_manifests(rows, path)
-    back = spark.read.schema("id string, body_sha256 string, source_files array<string>, dir string").json(path)
-    return back.select("dir", "id", "body_sha256", F.array_join("source_files", " ").alias("source_files"))
+    back = readers.read_manifests(spark, path)
+    return back.select(F.regexp_extract("manifest", "^(.*)/sources/", 1).alias("dir"), F.col("position").cast("long").alias("position"), "id", "body_sha256", F.array_join("source_files", " ").alias("source_files"))
+
+
+@query(f"""WITH {SQL_MERGED}, t AS (SELECT DISTINCT dir FROM n), k AS (SELECT dir, id, source_files, 1 AS version FROM e WHERE id % 10 <> 5 AND dir NOT IN (SELECT dir FROM t))
+SELECT dir, CAST(id AS VARCHAR) AS id, array_to_string(source_files, ' ') AS source_files, version FROM (SELECT * FROM m UNION ALL SELECT * FROM k)""")
+def s6_merge_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests written, read, merged with new records and written over; directories that get none keep their files."""
+    path = shared_folder(spark)
+
+    def records(rows: DataFrame) -> DataFrame:
+        return rows.select("dir", F.col("id").cast("string").alias("id"), "source_files", F.col("version").alias("paragraph_count"))
+
+    existing, new, registry = _manifests(spark, sf_dir)
+    writers.write_manifests(records(existing), path)
+    stored = readers.read_manifests(spark, path).select(F.regexp_extract("manifest", "^(.*)/sources/", 1).alias("dir"), "id", "source_files", "paragraph_count")
+    writers.write_manifests(assembly.merge_manifests(stored, records(new), registry.select(F.col("id").cast("string").alias("id"))), path)
+    back = readers.read_manifests(spark, path)
+    return back.select(F.regexp_extract("manifest", "^(.*)/sources/", 1).alias("dir"), "id", F.array_join("source_files", " ").alias("source_files"), F.col("paragraph_count").alias("version"))
 
 
-@query(f"WITH {SQL_ROLLUP} SELECT directory, rule_count, descendant_rule_count, rule_count AS rules, CAST(len(children) AS BIGINT) AS children FROM rollup_")
+@query(f"WITH {SQL_ROLLUP} SELECT directory AS location, directory, rule_count, descendant_rule_count, rule_count AS rules, CAST(len(children) AS BIGINT) AS children, array_to_string(children, ',') AS names FROM rollup_")
 def s7_write_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Indexes written as JSON, one for each directory, and read again."""
+    """Indexes written rule by rule, one file for each directory, and read again."""
+    path, docs = shared_folder(spark), documents_as_markdown(spark, sf_dir)
+    writers.write_indexes(indexes.directory_heads(docs), indexes.rule_records(docs, ("language",)), path)
+    back = readers.read_indexes(spark, path, ("language",))
+    return back.select("location", "directory", "rule_count", "descendant_rule_count", F.size("rules").cast("long").alias("rules"), F.size("children").cast("long").alias("children"), F.array_join(F.transform("children", lambda c: c["name"]), ",").alias("names"))
+
+
+@query(f"""WITH e AS (SELECT d.doc_id, source, {SQL_CATEGORY} AS c FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang = 'en' AND coalesce(toxic, 0) = 0), t AS (VALUES {", ".join(f"({q(k)}, {q(rules.RISK_PAGES[k])}, {q(a)}, {q(b)}, {q(c)})" for k, (a, b, c) in rules.RISK_TITLES.items())}),
+l(c, en, cn) AS (VALUES {", ".join(f"({q(a)}, {q(b)}, {q(c)})" for a, b, c in rules.RISK_LABELS)}),
+x AS (SELECT source, string_agg('- ' || coalesce(l.en, d.c), chr(10) ORDER BY d.c) AS en, string_agg('- ' || coalesce(l.cn, d.c), chr(10) ORDER BY d.c) AS cn FROM (SELECT DISTINCT source, c FROM e) d LEFT JOIN l ON l.c = d.c GROUP BY source),
+y AS (SELECT source, min(doc_id) AS n, string_agg('- T' || doc_id || ': u', chr(10) ORDER BY doc_id) AS urls FROM e GROUP BY source)
+SELECT 'p/' || source || '/' || t.col1 AS path, sha256('# N' || n || ' ' || t.col2 || chr(10) || chr(10) || '## ' || t.col3 || chr(10) || chr(10) || CASE t.col0 WHEN 'en' THEN en ELSE cn END || chr(10) || chr(10) || '## ' || t.col4 || chr(10) || chr(10) || urls || chr(10)) AS hash FROM x JOIN y USING (source), t""")
+def s7_risk_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The English and the Chinese page of each platform group, written into its directory and read again."""
     path = shared_folder(spark)
-    index = indexes.rule_index(_headers(spark, sf_dir), ("language",))
-    writers.write_indexes(index, path)
-    back = spark.read.text(path).select(F.from_json("value", index.schema.simpleString()).alias("x")).select("x.*")
-    return back.select("directory", "rule_count", "descendant_rule_count", F.size("rules").cast("long").alias("rules"), F.size("children").cast("long").alias("children"))
+    writers.write_risk_indexes(indexes.risk_index(_risky_entries(spark, sf_dir).withColumn("output_file", F.concat(F.lit("p/"), "platform_group", F.lit("/"), "id", F.lit(".md"))), indexes.risk_labels(spark)), path)
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return files.select(F.regexp_extract("_metadata.file_path", "/(p/.*)$", 1).alias("path"), text.content_hash(F.col("value")).alias("hash"))

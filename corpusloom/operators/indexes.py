@@ -41,6 +41,11 @@ def rule_records(documents: DataFrame, fields: tuple[str, ...] = ("collection",
     return rows.select(directory_of(F.col("path")).alias("directory"), name.alias("file"), "path", first_heading(F.col("document"), name).alias("title"), *meta)
 
 
+def directory_heads(documents: DataFrame) -> DataFrame:
+    """What an index says of its directory itself: version, directory, generator and counts."""
+    return directory_rollup(documents).select(F.lit(1).alias("schema_version"), "directory", F.lit(GENERATOR).alias("generated_by"), "rule_count", "descendant_rule_count")
+
+
 def rule_index(documents: DataFrame, fields: tuple[str, ...] = ("collection", "jurisdiction", "language", "retrieval_date")) -> DataFrame:
     """One row for each directory: version, directory, generator, counts, its rules by file name and its child directories.
 
@@ -66,19 +71,21 @@ def risk_labels(spark: SparkSession) -> DataFrame:
 
 
 def risk_index(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """``platform_group, name, categories, labels_en, labels_cn, sources`` of the enabled platform entries.
+    """``platform_group, directory, name, categories, labels_en, labels_cn, sources`` of the enabled platform entries.
 
-    ``labels`` has one row for each category, a dozen, and is broadcast.
+    The directory is that of the first entry's ``output_file``, the group itself where entries have none. ``labels`` has one row for each category, a dozen, and is broadcast.
     """
     rows = entries.where((F.col("collection") == "platforms") & F.coalesce("enabled", F.lit(True)) & (F.coalesce("platform_group", F.lit("")) != ""))
+    place = directory_of(F.min_by("output_file", "position")) if "output_file" in entries.columns else F.col("platform_group")
     named = rows.groupBy("platform_group").agg(
+        place.alias("directory"),
         F.coalesce(F.min_by("platform_name", "position"), F.col("platform_group")).alias("name"),
         F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat(F.lit("- "), F.col("title"), F.lit(": "), F.array_join("source_urls", ", ")).alias("line")))), lambda x: x["line"]).alias("sources"),
     )
     tags = rows.select("platform_group", F.explode("risk_categories").alias("category")).distinct().join(F.broadcast(labels), "category", "left")
     tags = tags.groupBy("platform_group").agg(F.array_sort(F.collect_list(F.struct("category", F.coalesce("label_en", "category").alias("en"), F.coalesce("label_cn", "category").alias("cn")))).alias("t"))
     out = named.join(tags, "platform_group", "left")
-    return out.select("platform_group", "name", *(F.coalesce(F.col(f"t.{f}"), F.expr("cast(array() as array<string>)")).alias(a) for f, a in (("category", "categories"), ("en", "labels_en"), ("cn", "labels_cn"))), "sources")
+    return out.select("platform_group", "directory", "name", *(F.coalesce(F.col(f"t.{f}"), F.expr("cast(array() as array<string>)")).alias(a) for f, a in (("category", "categories"), ("en", "labels_en"), ("cn", "labels_cn"))), "sources")
 
 
 def duplicate_values(df: DataFrame, key: str) -> DataFrame:

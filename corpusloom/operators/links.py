@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import broken_lines, html_to_text, let, long_preformatted, relative_path, rewritten, trim, without_noise
 from corpusloom.functions import rules
+from corpusloom.sources.shared import cut
 from corpusloom.functions.urls import aliases_all, canonical_url, policy_slug, resolve_all, resolve_url, url_aliases
 
 PAIRED = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
@@ -114,20 +114,6 @@ def admit_links(links: DataFrame, entries: DataFrame) -> DataFrame:
     return ruled.where(F.coalesce("named", F.lit(False)) | (any_of("include") & ~any_of("exclude"))).drop("include", "exclude", "named")
 
 
-def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The new rows of an entry, in order, that share no alias with a known or kept one."""
-    seen: set[str] = set()
-    for aliases in pdf.loc[pdf["known"], "aliases"]:
-        seen.update(aliases)
-    keep = []
-    fresh = pdf[~pdf["known"]].sort_values(["rank", "url"], kind="stable")
-    for i, aliases in zip(fresh.index, fresh["aliases"], strict=True):
-        if not seen.intersection(aliases):
-            seen.update(aliases)
-            keep.append(i)
-    return fresh.loc[keep, ["id", "url", "rank", "depth"]]
-
-
 def preferred_url(links: DataFrame, entries: DataFrame) -> DataFrame:
     """``links`` (id, url, ...) with policy pages by their canonical URL, where their entry lets that one in."""
     slug = policy_slug(F.col("url"))
@@ -145,8 +131,8 @@ def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: in
 
     ``entries``: id, source_urls, linked_source_urls, include, exclude, and where there are any max_linked_sources and
     linked_source_discovery_depth, which come before ``cap`` and ``depth``; ``links``: page_url, ordinal, url. Explicit links come first, then the anchors of
-    the entry's own pages in order, then those of each page of the queue. A candidate is left out if any alias of it was seen. Exact repeats go first, in a built-in
-    join and window; what remains of an entry, at most the links of its frontier, is settled greedily in order. Levels after the first are checkpointed.
+    the entry's own pages in order, then those of each page of the queue. A candidate is left out if any alias of it was seen; ``_first_of_each`` settles a level in
+    rounds of joins. Each level is cut off in the shared folder.
     """
 
     def rule(name: str, default: int | None) -> Column:
@@ -164,29 +150,43 @@ def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: in
         reached = pages.join(by_page, "page_alias").select("id", "url", F.lit(level).alias("depth"), "at", "ordinal")
         reached = start.unionByName(reached) if level == 1 else reached
         admitted = admit_links(preferred_url(reached, entries), entries)
-        order = Window.partitionBy("id").orderBy("at", "ordinal", "url")
-        ranked = admitted.withColumn("rank", F.row_number().over(order).cast("long")).select("id", "url", "rank", "depth")
-        more = _settle(own if found is None else own.unionByName(found), ranked, limits)
-        if level < levels:
-            more = more.checkpoint()
-        found = more if found is None else found.unionByName(more)
-        frontier = more
+        frontier = cut(_settle(own if found is None else own.unionByName(found), admitted, limits))
+        found = frontier if found is None else found.unionByName(frontier)
     return found
 
 
 def _settle(known: DataFrame, candidates: DataFrame, limits: DataFrame) -> DataFrame:
     """The candidates of which no alias is known or taken by one before them, with their positions in the queue, up to the cap of the entry."""
-    first = candidates.groupBy("id", F.get(url_aliases(F.col("url")), 0).alias("key")).agg(F.min(F.struct("rank", "url", "depth")).alias("x")).select("id", "x.*")
-    rows = known.select("id", "url", F.lit(0).cast("long").alias("rank"), F.lit(True).alias("known"), "depth").unionByName(first.withColumn("known", F.lit(False)))
-    rows = rows.withColumn("aliases", url_aliases(F.col("url")))
-    kind = known.schema["id"].dataType.simpleString()
-    settled = rows.groupBy("id").applyInPandas(_greedy, f"id {kind}, url string, rank long, depth int")
+    seen = known.select("id", F.explode(url_aliases(F.col("url"))).alias("alias")).distinct()
+    first = candidates.groupBy("id", "url", "depth").agg(F.min(F.struct("at", "ordinal")).alias("rank"))
+    rows = first.select("id", "url", "depth", "rank", F.explode(url_aliases(F.col("url"))).alias("alias"))
+    fresh = rows.join(rows.join(seen, ["id", "alias"], "left_semi").select("id", "url").distinct(), ["id", "url"], "left_anti")
+    settled = _first_of_each(fresh)
     used = known.where("depth > 0").groupBy("id").agg(F.count("*").alias("used"))
     nth = F.row_number().over(Window.partitionBy("id").orderBy("rank", "url"))
     out = settled.join(limits, "id").join(used, "id", "left").withColumn("position", (nth + F.coalesce("used", F.lit(0))).cast("long") - 1)
     return out.where(F.col("most").isNull() | (F.col("position") < F.col("most"))).select("id", "url", "depth", "position")
 
 
+def _first_of_each(rows: DataFrame) -> DataFrame:
+    """Of ``id, url, depth, rank, alias``, a row for each alias of a candidate, the candidates that a walk in the order of rank would take.
+
+    In each round every candidate that is the first of all its aliases among those undecided is taken, and what shares an alias with a taken one is out. No
+    earlier candidate can change that, so the result is the walk's; each round settles the first candidate of every entry at least, and most settle in the first one.
+    """
+    taken, open_ = None, cut(rows)
+    while not open_.isEmpty():
+        order = F.struct("rank", "url")
+        first = open_.groupBy("id", "alias").agg(F.min(order).alias("first"))
+        judged = open_.join(first, ["id", "alias"]).groupBy("id", "url", "depth", "rank").agg(F.bool_and(order == F.col("first")).alias("leads"))
+        now = cut(judged.where("leads").drop("leads"))
+        gone = open_.join(now.select("id", "url"), ["id", "url"], "left_semi").select("id", "alias").distinct()
+        out = open_.join(gone, ["id", "alias"], "left_semi").select("id", "url").distinct()
+        open_ = cut(open_.join(out, ["id", "url"], "left_anti"))
+        taken = now if taken is None else taken.unionByName(now)
+    return rows.select("id", "url", "depth", "rank").limit(0) if taken is None else taken
+
+
 def build_link_map(pairs: DataFrame, order: list[str]) -> DataFrame:
     """``alias, target`` of ``url, target`` and order columns: the first target of each alias, in one aggregation."""
     each = pairs.where("target is not null").select("target", *order, F.explode(url_aliases(F.col("url"))).alias("alias"))

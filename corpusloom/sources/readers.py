@@ -71,6 +71,16 @@ def read_manifests(spark: SparkSession, root: str, name: str = "verification-man
     return rows.withColumns({"source_urls": urls, "source_files": files_, "source_sha256": hashes}).drop("source_url", "source_file")
 
 
+def read_indexes(spark: SparkSession, root: str, fields: tuple[str, ...] = ("collection", "jurisdiction", "language", "retrieval_date")) -> DataFrame:
+    """The stored directory indexes as ``stale_indexes`` compares them: ``location``, and what each ``index.json`` says; null where it says nothing readable."""
+    rule = ",".join(f"{name}:string" for name in ("file", "path", "title", *fields))
+    child = "name:string,path:string,index:string,rule_count:bigint,descendant_rule_count:bigint"
+    shape = f"schema_version int, directory string, generated_by string, rule_count bigint, descendant_rule_count bigint, rules array<struct<{rule}>>, children array<struct<{child}>>"
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "index.json").text(root, wholetext=True)
+    rows = files.select(_relative("_metadata.file_path", root).alias("path"), F.from_json("value", shape).alias("x"))
+    return rows.select(F.regexp_replace("path", r"/?index\.json\z", "").alias("location"), "x.*")
+
+
 def read_rule_documents(spark: SparkSession, root: str, name: str = "*.md") -> DataFrame:
     """``path, document`` of the Markdown files (named by a pattern) that are rule documents."""
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root, wholetext=True)

@@ -3,6 +3,8 @@
 import hashlib
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from corpusloom.operators import assembly, entries, indexes, verification
@@ -134,12 +136,65 @@ def test_files_round_trip(spark, tmp_path):
     assert rows["old"].manifest == "a/sources/verification-manifest.json"
     assert [(r.path, bytes(r.content)) for r in readers.read_artifacts(spark, str(root)).collect()] == [("a/sources/page.html", b"<p>x</p>")]
     assert [(r.path, r.document) for r in readers.read_rule_documents(spark, str(root)).collect()] == [("a/doc.md", "# D\n")]
-    out = str(tmp_path / "out")
-    writers.write_manifests(spark.createDataFrame([("d1", "a"), ("d2", "b")], "dir string, id string"), out + "/m")
-    assert {(r.dir, r.id) for r in spark.read.json(out + "/m").collect()} == {("d1", "a"), ("d2", "b")}
-    index = indexes.directory_rollup(spark.createDataFrame([("d1/a.md",)], "path string"))
-    writers.write_indexes(index.where("directory <> ''"), out + "/i")
-    assert json.loads(spark.read.text(out + "/i").first().value)["rule_count"] == 1
+
+
+def stamps(root):
+    return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.read_text()) for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+
+
+def test_manifests_in_place(spark, tmp_path):
+    """Records written come back by the default name; a merge leaves the files of other directories as they are, and a second one changes no text."""
+    root = tmp_path / "corpus"
+    rows = spark.createDataFrame([("d1", "a", ["d1/x"]), ("d1", "b", ["d1/y"]), ("d2/e", "c", []), ("", "top", None)], "dir string, id string, source_files array<string>")
+    writers.write_manifests(rows.repartition(3), str(root))
+    assert sorted(stamps(root)) == ["d1/sources/verification-manifest.json", "d2/e/sources/verification-manifest.json", "sources/verification-manifest.json"]
+    assert json.loads((root / "d1/sources/verification-manifest.json").read_text()) == [{"id": "a", "source_files": ["d1/x"]}, {"id": "b", "source_files": ["d1/y"]}]
+    back = readers.read_manifests(spark, str(root))
+    assert sorted((r.manifest.rpartition("sources/")[0], r.position, r.id) for r in back.collect()) == [("", 0, "top"), ("d1/", 0, "a"), ("d1/", 1, "b"), ("d2/e/", 0, "c")]
+    before = stamps(root)
+    new = spark.createDataFrame([("d1", "b", ["d1/z"])], rows.schema)
+    for _ in range(2):
+        stored = back.select(F.regexp_extract("manifest", "^(.*)/sources/", 1).alias("dir"), "id", "source_files")
+        writers.write_manifests(assembly.merge_manifests(stored, new, rows.select("id")), str(root))
+        after = stamps(root)
+        assert {k for k in after if after[k] != before[k]} == {"d1/sources/verification-manifest.json"}
+        assert [(r["id"], r["source_files"]) for r in json.loads(after["d1/sources/verification-manifest.json"][1])] == [("a", ["d1/x"]), ("b", ["d1/z"])]
+    writers.write_manifests(rows.limit(0), str(root))
+    assert stamps(root).keys() == before.keys()
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    """A task that fails halfway leaves neither a half file nor anything staged, and the files that were there stay."""
+    from corpusloom.sources import files
+
+    root = tmp_path / "corpus"
+    rows = spark.range(2000).select(F.concat(F.lit("d"), F.col("id") % 7, F.lit("/x.txt")).alias("file"), F.lit(0).alias("section"), F.col("id").cast("string").alias("value"), F.col("id").alias("n"))
+    files.write_files(rows, str(root), "\n", ("n",))
+    before = stamps(root)
+    assert sorted(before) == [f"d{k}/x.txt" for k in range(7)] and before["d3/x.txt"][1].split("\n") == [str(n) for n in range(3, 2000, 7)]
+    spoiled = rows.withColumn("value", F.when(F.col("n") == 1500, F.raise_error(F.lit("lost"))).otherwise(F.lit("other")))
+    with pytest.raises(Exception, match="lost"):
+        files.write_files(spoiled, str(root), "\n", ("n",))
+    assert stamps(root) == before and not list(root.glob("_staged*"))
+    for name in ("../x", "/x", ""):
+        with pytest.raises(Exception, match="not a path below the root"):
+            files.write_files(rows.limit(1).withColumn("file", F.lit(name)), str(root))
+    assert stamps(root) == before and not list(root.glob("_staged*"))
+
+
+def test_indexes_in_place(spark, tmp_path):
+    """Indexes written rule by rule are those that the checks make of the documents; a lost rule is found in the files."""
+    docs = spark.createDataFrame([(f"{d}r{k}.md", f"# T{k}\n\n- Language: en\n") for d in ("", "a/", "a/b/") for k in range(3)] + [("a/README.md", "no")], "path string, document string")
+    root = tmp_path / "corpus"
+    writers.write_indexes(indexes.directory_heads(docs), indexes.rule_records(docs, ("language",)), str(root))
+    assert sorted(stamps(root)) == ["a/b/index.json", "a/index.json", "index.json"]
+    wanted = {r.directory: r.asDict(True) for r in indexes.rule_index(docs, ("language",)).collect()}
+    for r in readers.read_indexes(spark, str(root), ("language",)).collect():
+        assert {k: v for k, v in r.asDict(True).items() if k != "location"} == wanted[r.location]
+    assert verification.stale_indexes(readers.read_indexes(spark, str(root), ("language",)), docs).count() == 0
+    path = root / "a/index.json"
+    path.write_text(json.dumps({**json.loads(path.read_text()), "rules": []}))
+    assert {r.detail for r in verification.stale_indexes(readers.read_indexes(spark, str(root), ("language",)), docs).collect()} == {"missing rule", "stale descendant count"}
 
 
 def test_render_then_parse(spark):

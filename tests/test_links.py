@@ -64,6 +64,70 @@ def test_discover(spark):
     assert links.discover_links(entries, found, 2, cap=1).count() == 1
 
 
+def walked(entries, edges, depth, cap=None):
+    """The queue of each entry by a plain walk: (id, source_urls, linked, include, exclude) and (page, ordinal, url) rows."""
+    import re
+
+    from corpusloom.functions import helpers, weburl
+
+    def aliases(url):
+        p = weburl.split(helpers.decoded(url), None)
+        if p is None:
+            return [url.split("#")[0]]
+        head, host, path, query, clean, _ = p
+        return list(dict.fromkeys([head + path + clean, f"scheme:{host}{path}{query if query != '?' else ''}", head + path, f"scheme:{host}{path}"]))
+
+    by_page = {}
+    for page, ordinal, url in edges:
+        by_page.setdefault(aliases(page)[0], []).append((ordinal, url))
+    out = set()
+    for id_, own, linked, include, exclude in entries:
+        named, seen, queue = {a for u in linked for a in aliases(u)}, {a for u in own for a in aliases(u)}, []
+
+        def add(url, level, named=named, seen=seen, queue=queue, include=include, exclude=exclude):
+            let_in = named & set(aliases(url)) or (any(re.search(p, url, re.I) for p in include) and not any(re.search(p, url, re.I) for p in exclude))
+            if let_in and not seen & set(aliases(url)) and (cap is None or len(queue) < cap):
+                seen.update(aliases(url))
+                queue.append((url, level))
+
+        for u in linked:
+            add(u, 1)
+        pages = [(u, 0) for u in own]
+        for page, level in pages:
+            for _, u in sorted(by_page.get(aliases(page)[0], [])):
+                add(u, level + 1)
+        for page, level in queue:
+            for _, u in sorted(by_page.get(aliases(page)[0], [])) if level < depth else ():
+                add(u, level + 1)
+        out |= {(id_, u, level, k) for k, (u, level) in enumerate(queue)}
+    return out
+
+
+@pytest.mark.parametrize("cap", [None, 4])
+def test_discover_as_a_walk(spark, cap):
+    """Rounds of joins take what a walk in order takes, also along chains of candidates that share aliases."""
+    import random
+
+    rng = random.Random(6)
+    urls_ = [f"{rng.choice(['http', 'https'])}://h.org/{p}{q}{f}" for p in "abcdefghij" for q in ("", "?x=1", "?x=2", "?x=1&utm_a=b") for f in ("", "#z")]
+    edges = [(rng.choice(urls_), n, rng.choice(urls_)) for n in range(700)]
+    rows = [(k, rng.sample(urls_, 2), rng.sample(urls_, k % 3), [rng.choice(["h.org", "[a-f]", "x=", "nothing"])], ["[ij]$"]) for k in range(25)]
+    entries = spark.createDataFrame(rows, "id long, source_urls array<string>, linked_source_urls array<string>, include array<string>, exclude array<string>")
+    found = links.discover_links(entries, spark.createDataFrame(edges, "page_url string, ordinal int, url string"), 3, cap)
+    want = walked(rows, edges, 3, cap)
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 60
+
+
+def test_discovery_of_the_registered_query(spark):
+    from corpusloom.jobs import queries
+
+    root = "/root/testdata/sf0.001"
+    rows = [(r.id, r.source_urls, r.linked_source_urls, r.include, r.exclude) for r in queries._entries_with_rules(spark, root).collect()]
+    want = walked(rows, [tuple(r) for r in queries.site_links(spark, root).collect()], 3)
+    got = [tuple(r) for r in queries.QUERIES["l7_discover_links"](spark, root).select("id", "url", "depth", "position").collect()]
+    assert len(got) == len(want) and set(got) == want and {r[2] for r in got} == {1, 2, 3}
+
+
 def test_map_lookup_localize(spark):
     pairs = spark.createDataFrame([("https://h.org/a?q=1", "r/a1.md", 0), ("https://h.org/a?q=2", "r/a2).md", 1), ("https://h.org/n", None, 2)], "url string, target string, at int")
     link_map = links.build_link_map(pairs, ["at"])

@@ -152,3 +152,46 @@ def test_helpers(spark):
     page = "<script>JSON.parse('{\"b\":\"it\\'s\"}'); JSON.parse('{\"c\":\"\\u4e2d\"}')</script>"
     assert one(spark, page, lambda c: helpers.embedded_literal(c, "it")) == '{"b":"it\'s"}'
     assert one(spark, page, lambda c: helpers.embedded_literal(c, "中")) == '{"c":"中"}'
+
+
+def test_references_are_decoded_once(spark):
+    rows = spark.createDataFrame([("&#38;#65; &#65; &#x26;#66; &amp;lt; &#0; &#1114112; &#xD800; &#99999999999;",)], "x string")
+    got = rows.select(text.decode_entities(F.col("x")).alias("y")).first().y
+    assert got == "&#65; A B &lt; \0 \ufffd \ufffd \ufffd".replace("&lt;", "<")
+    assert helpers.decoded(rows.first().x) == got
+
+
+def test_many_metadata_lines(spark):
+    """Lines of one document are read in a time that grows with their number, and the last of a field wins."""
+    import time
+
+    one = "- Language: l%d\n- 语言组：g%d\nprose - Language: no\n- Unknown: x\n"
+    rows = spark.createDataFrame([("# H\n" + "".join(one % (k, k) for k in range(4000)),)], "d string").select(text.metadata_of(F.col("d")).alias("m"))
+    rows.first()
+    start = time.time()
+    assert rows.first().m == {"language": "l3999", "language_group": "g3999"} and time.time() - start < 2
+
+
+def test_damaged_and_huge_artifacts():
+    """Every one-byte change of a stream ends in its text or in nothing; what unpacks beyond the bound does too."""
+    import gzip
+    import zlib
+
+    plain = b"<p>some text</p>" * 9
+    raw = gzip.compress(plain)
+    assert helpers.inflate(raw, 1000) == plain and helpers.inflate(raw + raw + b"\0\0", 1000) == plain * 2 and helpers.inflate(raw + b"tail", 1000) == plain
+    assert helpers.inflate(raw, len(plain)) == plain and helpers.inflate(raw, len(plain) - 1) is None and helpers.inflate(raw[:-1], 1000) is None
+    for k in range(2, len(raw)):
+        for bit in range(8):
+            assert helpers.inflate(raw[:k] + bytes([raw[k] ^ 1 << bit]) + raw[k + 1 :], 1000) in (plain, None)
+    packer = zlib.compressobj(9, zlib.DEFLATED, 31)
+    bomb = b"".join(packer.compress(bytes(1 << 20)) for _ in range(200)) + packer.flush()
+    assert helpers.inflate(bomb, helpers.MOST_BYTES) is None
+
+
+def test_undecodable_artifacts_are_noted(spark):
+    import gzip
+
+    raw = gzip.compress("é".encode())
+    rows = spark.createDataFrame([(1, raw), (2, raw[:-9] + b"x" * 9), (3, None)], "n int, x binary").withColumn("y", helpers.decode_bytes("x"))
+    assert {r.n: (r.y, r.z is not None) for r in rows.select("n", "y", helpers.decoding_note(F.col("x"), F.col("y")).alias("z")).collect()} == {1: ("é", False), 2: (None, True), 3: (None, False)}
