@@ -150,5 +150,6 @@ HASH_ROUTED = ("bilibili.com/blackboard/help.html", "link.bilibili.com/p/eden/ne
 POLICY_HOSTS = ("help.x.com", "help.twitter.com")
 POLICY_FOLDER = "rules-and-policies"
 POLICY_URL = "https://help.x.com/en/rules-and-policies/%s.html"
+POLICY_WITHOUT_PAGE = "parody-account-policy"  # its address has no file extension
 HELP_HOST = "support.google.com"
 HELP_ID = r"^/youtube/answer/([0-9]+)"

@@ -96,6 +96,11 @@ def markdown_links(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(MARKDOWN), F.lit(2))
 
 
+def _aliases(rows: DataFrame) -> Column:
+    """The aliases of ``url``, from the column where a table has them already."""
+    return F.col("aliases") if "aliases" in rows.columns else url_aliases(F.col("url"))
+
+
 def admit_links(links: DataFrame, entries: DataFrame) -> DataFrame:
     """The rows of ``id, url, ...`` that an entry lets in.
 
@@ -103,7 +108,7 @@ def admit_links(links: DataFrame, entries: DataFrame) -> DataFrame:
     an include pattern and no exclude pattern. The entry's patterns come by an equi-join on its id.
     """
     explicit = entries.select("id", F.explode("linked_source_urls").alias("u")).select("id", F.explode(url_aliases(F.col("u"))).alias("alias")).distinct()
-    named = links.select("id", "url").distinct().withColumn("alias", F.explode(url_aliases(F.col("url"))))
+    named = links.select("id", "url", _aliases(links).alias("aliases")).dropDuplicates(["id", "url"]).select("id", "url", F.explode("aliases").alias("alias"))
     named = named.join(explicit, ["id", "alias"], "left_semi").select("id", "url").distinct().withColumn("named", F.lit(True))
     none = F.expr("cast(array() as array<string>)")
     ruled = links.join(entries.select("id", F.coalesce("include", none).alias("include"), F.coalesce("exclude", none).alias("exclude")), "id").join(named, ["id", "url"], "left")
@@ -114,16 +119,23 @@ def admit_links(links: DataFrame, entries: DataFrame) -> DataFrame:
     return ruled.where(F.coalesce("named", F.lit(False)) | (any_of("include") & ~any_of("exclude"))).drop("include", "exclude", "named")
 
 
-def preferred_url(links: DataFrame, entries: DataFrame) -> DataFrame:
-    """``links`` (id, url, ...) with policy pages by their canonical URL, where their entry lets that one in."""
+def with_aliases(links: DataFrame) -> DataFrame:
+    """``links`` with the aliases of each URL, and for policy pages their canonical URL with its aliases."""
     slug = policy_slug(F.col("url"))
-    canonical = F.when(slug == "parody-account-policy", "https://help.x.com/en/rules-and-policies/parody-account-policy").when(slug != "", F.format_string(rules.POLICY_URL, slug))
-    rows = links.withColumn("canonical", canonical)
-    wanted = rows.where("canonical is not null").select("id", F.col("canonical").alias("url")).distinct()
+    rows = links.withColumns({"aliases": url_aliases(F.col("url")), "slug": slug})
+    canonical = F.when(F.col("slug") == rules.POLICY_WITHOUT_PAGE, F.regexp_replace(F.format_string(rules.POLICY_URL, "slug"), r"\.html\z", "")).when(F.col("slug").isNotNull(), F.format_string(rules.POLICY_URL, "slug"))
+    rows = apart(rows, "canonical", canonical).drop("slug")
+    return rows.withColumn("canonical_aliases", url_aliases(F.col("canonical")))
+
+
+def preferred_url(links: DataFrame, entries: DataFrame) -> DataFrame:
+    """``links`` (id, url, ... of ``with_aliases``) with policy pages by their canonical URL, where their entry lets that one in."""
+    wanted = links.where("canonical is not null").select("id", F.col("canonical").alias("url"), F.col("canonical_aliases").alias("aliases")).dropDuplicates(["id", "url"])
     let_in = admit_links(wanted, entries).select("id", F.col("url").alias("canonical"), F.lit(True).alias("let_in"))
-    rows = rows.join(let_in, ["id", "canonical"], "left")
-    better = F.coalesce("let_in", F.lit(False)) | F.coalesce(F.col("canonical").endswith("/parody-account-policy"), F.lit(False))
-    return rows.withColumn("url", F.when(better, F.col("canonical")).otherwise(F.col("url"))).drop("canonical", "let_in")
+    rows = links.join(let_in, ["id", "canonical"], "left")
+    better = F.coalesce("let_in", F.lit(False)) | F.coalesce(F.col("canonical").endswith(f"/{rules.POLICY_WITHOUT_PAGE}"), F.lit(False))
+    rows = rows.withColumns({"url": F.when(better, F.col("canonical")).otherwise(F.col("url")), "aliases": F.when(better, F.col("canonical_aliases")).otherwise(F.col("aliases"))})
+    return rows.drop("canonical", "canonical_aliases", "let_in")
 
 
 def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: int | None = None) -> DataFrame:
@@ -132,7 +144,7 @@ def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: in
     ``entries``: id, source_urls, linked_source_urls, include, exclude, and where there are any max_linked_sources and
     linked_source_discovery_depth, which come before ``cap`` and ``depth``; ``links``: page_url, ordinal, url. Explicit links come first, then the anchors of
     the entry's own pages in order, then those of each page of the queue. A candidate is left out if any alias of it was seen; ``_first_of_each`` settles a level in
-    rounds of joins. Each level is cut off in the shared folder.
+    rounds of joins. Aliases are worked out once for each link, before the levels; links and levels are cut off in the shared folder.
     """
 
     def rule(name: str, default: int | None) -> Column:
@@ -140,51 +152,52 @@ def discover_links(entries: DataFrame, links: DataFrame, depth: int = 1, cap: in
 
     limits = entries.select("id", rule("max_linked_sources", cap).alias("most"), F.coalesce(rule("linked_source_discovery_depth", depth), F.lit(1)).alias("deepest"))
     levels = max(1, limits.agg(F.max("deepest")).first()[0] or 1)
-    own = entries.select("id", F.posexplode("source_urls").alias("position", "url")).select("id", "url", F.lit(0).alias("depth"), F.col("position").cast("long"))
+    own = entries.select("id", F.posexplode("source_urls").alias("position", "url")).select("id", "url", F.col("position").cast("long"))
+    own = cut(own.withColumns({"depth": F.lit(0), "aliases": url_aliases(F.col("url"))}))
     start = entries.select("id", F.posexplode("linked_source_urls").alias("rank", "url")).select("id", "url", F.lit(1).alias("depth"), F.lit(-1).cast("long").alias("at"), F.col("rank").cast("long").alias("ordinal"))
-    by_page = links.withColumn("page_alias", F.get(url_aliases(F.col("page_url")), 0)).select("page_alias", F.col("ordinal").cast("long").alias("ordinal"), "url")
-    found, frontier = None, own
+    by_page = links.select(F.col("ordinal").cast("long").alias("ordinal"), "url", F.get(url_aliases(F.col("page_url")), 0).alias("page_alias"))
+    by_page = cut(with_aliases(by_page))
+    found, frontier = own, own
     for level in range(1, levels + 1):
         pages = frontier.join(limits.where(F.col("deepest") >= level).select("id"), "id", "left_semi") if level > 1 else frontier
-        pages = pages.select("id", F.get(url_aliases(F.col("url")), 0).alias("page_alias"), F.col("position").alias("at"))
-        reached = pages.join(by_page, "page_alias").select("id", "url", F.lit(level).alias("depth"), "at", "ordinal")
-        reached = start.unionByName(reached) if level == 1 else reached
-        admitted = admit_links(preferred_url(reached, entries), entries)
-        frontier = cut(_settle(own if found is None else own.unionByName(found), admitted, limits))
-        found = frontier if found is None else found.unionByName(frontier)
-    return found
+        pages = pages.select("id", F.get("aliases", 0).alias("page_alias"), F.col("position").alias("at"))
+        reached = pages.join(by_page, "page_alias").drop("page_alias").withColumn("depth", F.lit(level))
+        reached = with_aliases(start).unionByName(reached) if level == 1 else reached
+        frontier = _settle(found, admit_links(preferred_url(reached, entries), entries), limits)
+        found = found.unionByName(frontier)
+    return found.where("depth > 0").select("id", "url", "depth", "position")
 
 
 def _settle(known: DataFrame, candidates: DataFrame, limits: DataFrame) -> DataFrame:
     """The candidates of which no alias is known or taken by one before them, with their positions in the queue, up to the cap of the entry."""
-    seen = known.select("id", F.explode(url_aliases(F.col("url"))).alias("alias")).distinct()
-    first = candidates.groupBy("id", "url", "depth").agg(F.min(F.struct("at", "ordinal")).alias("rank"))
-    rows = first.select("id", "url", "depth", "rank", F.explode(url_aliases(F.col("url"))).alias("alias"))
+    seen = known.select("id", F.explode("aliases").alias("alias")).distinct()
+    first = cut(candidates.groupBy("id", "url", "depth").agg(F.min(F.struct("at", "ordinal")).alias("rank"), F.first("aliases").alias("aliases")))
+    rows = first.select("id", "url", "rank", F.explode("aliases").alias("alias"))
     fresh = rows.join(rows.join(seen, ["id", "alias"], "left_semi").select("id", "url").distinct(), ["id", "url"], "left_anti")
-    settled = _first_of_each(fresh)
+    settled = first.join(_first_of_each(fresh), ["id", "url"], "left_semi")
     used = known.where("depth > 0").groupBy("id").agg(F.count("*").alias("used"))
     nth = F.row_number().over(Window.partitionBy("id").orderBy("rank", "url"))
     out = settled.join(limits, "id").join(used, "id", "left").withColumn("position", (nth + F.coalesce("used", F.lit(0))).cast("long") - 1)
-    return out.where(F.col("most").isNull() | (F.col("position") < F.col("most"))).select("id", "url", "depth", "position")
+    return cut(out.where(F.col("most").isNull() | (F.col("position") < F.col("most"))).select("id", "url", "position", "depth", "aliases"))
 
 
 def _first_of_each(rows: DataFrame) -> DataFrame:
-    """Of ``id, url, depth, rank, alias``, a row for each alias of a candidate, the candidates that a walk in the order of rank would take.
+    """Of ``id, url, rank, alias``, a row for each alias of a candidate, the candidates (id, url) that a walk in the order of rank would take.
 
     In each round every candidate that is the first of all its aliases among those undecided is taken, and what shares an alias with a taken one is out. No
     earlier candidate can change that, so the result is the walk's; each round settles the first candidate of every entry at least, and most settle in the first one.
     """
-    taken, open_ = None, cut(rows)
+    taken, open_ = rows.select("id", "url").limit(0), cut(rows)
     while not open_.isEmpty():
         order = F.struct("rank", "url")
         first = open_.groupBy("id", "alias").agg(F.min(order).alias("first"))
-        judged = open_.join(first, ["id", "alias"]).groupBy("id", "url", "depth", "rank").agg(F.bool_and(order == F.col("first")).alias("leads"))
-        now = cut(judged.where("leads").drop("leads"))
-        gone = open_.join(now.select("id", "url"), ["id", "url"], "left_semi").select("id", "alias").distinct()
+        judged = open_.join(first, ["id", "alias"]).groupBy("id", "url").agg(F.bool_and(order == F.col("first")).alias("leads"))
+        now = cut(judged.where("leads").select("id", "url"))
+        gone = open_.join(now, ["id", "url"], "left_semi").select("id", "alias").distinct()
         out = open_.join(gone, ["id", "alias"], "left_semi").select("id", "url").distinct()
         open_ = cut(open_.join(out, ["id", "url"], "left_anti"))
-        taken = now if taken is None else taken.unionByName(now)
-    return rows.select("id", "url", "depth", "rank").limit(0) if taken is None else taken
+        taken = taken.unionByName(now)
+    return taken
 
 
 def build_link_map(pairs: DataFrame, order: list[str]) -> DataFrame:
