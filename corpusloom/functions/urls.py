@@ -122,6 +122,11 @@ def canonical_url(url: Column) -> Column:
     return let(_split(url), lambda p: F.when(p.isNull(), _without_fragment(url)).otherwise(_canonical(p)))
 
 
+def canonical_all(urls: Column) -> Column:
+    """The canonical form of each URL of an array."""
+    return F.zip_with(urls, split_urls(urls), lambda u, p: F.when(p.isNull(), _without_fragment(u)).otherwise(_canonical(p)))
+
+
 def _slug(parts: Column) -> Column:
     """The name of a policy page of two hosts; null elsewhere."""
 

@@ -448,12 +448,13 @@ def t16_artifact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents_as_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule documents made of the table: path, document."""
+def documents_as_markdown(spark: SparkSession, sf_dir: str, linked: bool = False) -> DataFrame:
+    """Rule documents made of the table: path, document. With ``linked`` their bodies end in links."""
     n = F.col("doc_id")
+    body = linked_body() if linked else F.col("text")
     document = F.concat(
         F.lit("# Document "), n, F.lit("\n\n- Collection: "), "lang", F.lit("\n- Source URL:\n- https://a.org/"), n, F.lit("\n- https://b.org/"), n % 10, F.lit("\n- 语言组：x\n- Language: first\n- Language: "), "source",
-        F.when(n % 19 == 0, "\n").otherwise("\n- Scope Note: s\n"), F.when(n % 13 == 0, "\n## Source Stub\n").otherwise(F.concat(F.lit("\n## Source Text\n\n"), "text", F.lit("\n"))),
+        F.when(n % 19 == 0, "\n").otherwise("\n- Scope Note: s\n"), F.when(n % 13 == 0, "\n## Source Stub\n").otherwise(F.concat(F.lit("\n## Source Text\n\n"), body, F.lit("\n"))),
     )
     return table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("/"), "source", F.lit("/"), n, F.lit(".md")).alias("path"), document.alias("document"), "text")
 
@@ -527,10 +528,13 @@ def l4_linked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_BODY = "text || ' [a](https://a.org/' || (doc_id % 500) || ') and [b](https://a.org/' || (doc_id % 500) || '/x) or [c](http://c.org/' || doc_id || ')'"
 
 
-def linked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def linked_body() -> Column:
     n = F.col("doc_id")
-    body = F.concat("text", F.lit(" [a](https://a.org/"), n % 500, F.lit(") and [b](https://a.org/"), n % 500, F.lit("/x) or [c](http://c.org/"), n, F.lit(")"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("/"), n, F.lit(".md")).alias("path"), body.alias("body"))
+    return F.concat("text", F.lit(" [a](https://a.org/"), n % 500, F.lit(") and [b](https://a.org/"), n % 500, F.lit("/x) or [c](http://c.org/"), n, F.lit(")"))
+
+
+def linked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("/"), "doc_id", F.lit(".md")).alias("path"), linked_body().alias("body"))
 
 
 @query(f"SELECT doc_id, unnest(regexp_extract_all({SQL_BODY}, {q(links.MARKDOWN)}, 2)) AS url FROM documents")
@@ -801,6 +805,10 @@ SQL_V2 = """SELECT 'V2' AS "check", CAST(doc_id AS VARCHAR) AS entry_id, CASE do
 
 @query(SQL_V2)
 def v2_hash_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verification.hash_coverage(_hashed_files(spark, sf_dir))
+
+
+def _hashed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
 
     def entry(name: str, hash_: Column) -> Column:
@@ -808,12 +816,12 @@ def v2_hash_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     good, other, odd = entry("e/", F.sha2("text", 256)), entry("f/", F.sha2("source", 256)), entry("g/", F.lit(""))
     hashes = F.when(n % 11 == 0, F.array(good)).when(n % 11 == 1, F.array(good, other, entry("h/", F.sha2("lang", 256)))).when(n % 11 == 3, F.array(other, odd, good)).when(n % 11 != 2, F.array(other, good))
-    return verification.hash_coverage(table(spark, sf_dir, "documents").select(n.alias("id"), F.array(F.concat(F.lit("e/"), n), F.concat(F.lit("f/"), n)).alias("source_files"), hashes.alias("source_sha256")))
+    return table(spark, sf_dir, "documents").select(n.alias("id"), F.array(F.concat(F.lit("e/"), n), F.concat(F.lit("f/"), n)).alias("source_files"), hashes.alias("source_sha256"))
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, linked: bool = False) -> DataFrame:
     n = F.col("doc_id")
-    body = F.regexp_replace("text", r"\n+\z", "")
+    body = linked_body() if linked else F.regexp_replace("text", r"\n+\z", "")
     return table(spark, sf_dir, "documents").select(
         n.alias("id"), F.concat("lang", F.lit("/"), "source", F.lit("/"), n, F.lit(".md")).alias("output_file"), F.array(F.concat(F.lit("https://a.org/"), n), F.when(n % 31 == 0, "https://lost.org").otherwise(F.concat(F.lit("https://b.org/"), n % 10))).alias("source_urls"),
         F.array().cast("array<string>").alias("linked_source_urls"), F.array().cast("array<string>").alias("reference_urls"), F.array(F.concat(F.lit("x/"), n)).alias("source_files"), F.when(n % 37 == 0, F.array(F.lit("lang/y"))).otherwise(F.array().cast("array<string>")).alias("linked_source_files"),
@@ -908,7 +916,11 @@ SELECT 'V9' AS "check", CAST(NULL AS VARCHAR) AS entry_id, CASE WHEN name = '' T
 def v9_stale_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexes with a fault of each kind: lost, of no directory, miscounted, of another version, and with rules that are left out, doubled, untitled, astray."""
     docs = documents_as_markdown(spark, sf_dir)
-    index = indexes.rule_index(docs, ())
+    return verification.stale_indexes(_spoiled_indexes(docs), docs)
+
+
+def _spoiled_indexes(docs: DataFrame) -> DataFrame:
+    index = cut(indexes.rule_index(docs, ()))
     name = F.regexp_extract("directory", r"[^/]*\z", 0)
     third = name == "src3"
 
@@ -932,20 +944,35 @@ def v9_stale_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = index.where("directory = ''").select(
         F.lit("no/where").alias("location"), "schema_version", F.lit("no/where").alias("directory"), "generated_by", F.lit(0).cast("long").alias("rule_count"), F.lit(0).cast("long").alias("descendant_rule_count"), "rules", "children"
     )
-    return verification.stale_indexes(stored.unionByName(lost), docs)
+    return stored.unionByName(lost)
+
 
+SQL_SOUND = "doc_id % 13 <> 0 AND doc_id % 17 <> 0 AND doc_id % 41 <> 0 AND doc_id % 43 <> 0"
+SQL_OWN = [f"SELECT * FROM ({sql}) WHERE CAST(entry_id AS BIGINT) % 23 <> 0" for sql in (SQL_V2, SQL_V3, SQL_V4, SQL_V5)]
+SQL_V10 = f"""{SQL_V1} UNION ALL {SQL_V7} UNION ALL {" UNION ALL ".join(SQL_OWN)}
+UNION ALL SELECT 'V6', CAST(doc_id AS VARCHAR), 'https://a.org/' || (doc_id % 500), 'link to a collected source is online' FROM documents WHERE doc_id % 23 <> 0 AND (doc_id % 500) % 23 <> 0 AND {SQL_SOUND}
+UNION ALL SELECT 'V8', NULL, unnest([CAST(doc_id AS VARCHAR), lang || '/' || source || '/' || doc_id || '.md']), unnest(['id', 'output_file']) || ' missing from manifests' FROM documents WHERE doc_id % 23 = 0 AND doc_id % 29 <> 0
+UNION ALL SELECT 'V8', NULL, unnest([CAST(doc_id AS VARCHAR), lang || '/' || source || '/' || doc_id || '.md']), unnest(['id', 'output_file']) || ' missing from registry' FROM documents WHERE doc_id % 29 = 0 AND doc_id % 23 <> 0
+UNION ALL SELECT 'V8', NULL, unnest([CAST(doc_id AS VARCHAR), lang || '/' || source || '/' || doc_id || '.md']), 'duplicate registry ' || unnest(['id', 'output_file']) FROM documents WHERE doc_id % 101 = 0 AND doc_id % 29 <> 0
+UNION ALL SELECT * FROM ({SQL_V9})"""
 
-CHECKS = (SQL_V1, SQL_V2, SQL_V3, SQL_V4, SQL_V5, SQL_V6, SQL_V7, SQL_V8, SQL_V9)
+
+def corpus_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One corpus with faults of every check: its registry, manifests, documents, artifacts and indexes."""
+    n = F.col("doc_id")
+    docs, hashes = documents_as_markdown(spark, sf_dir, linked=True), _hashed_files(spark, sf_dir)
+    records = _records(spark, sf_dir, linked=True).drop("source_files").join(hashes, "id").where("id % 23 <> 0")
+    files = table(spark, sf_dir, "documents").select(n.alias("id"), F.concat("lang", F.lit("/"), "source", F.lit("/"), n, F.lit(".md")).alias("output_file")).where("id % 29 <> 0")
+    return {
+        "registry": files.select("id", "output_file", F.explode(F.array_repeat(F.lit(1), F.when(F.col("id") % 101 == 0, 2).otherwise(1))).alias("copy")).drop("copy"),
+        "records": records, "documents": docs.select("path", "document"), "declared": _declared(spark, sf_dir), "facts": _facts(spark, sf_dir), "stored": _spoiled_indexes(docs),
+    }
 
 
-@query(" UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in CHECKS))
+@query(SQL_V10)
 def v10_verify_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of V1-V9."""
-    checks = (
-        v1_artifact_integrity, v2_hash_coverage, v3_document_references, v4_scope_notes, v5_body_status, v6_online_links,
-        v7_orphan_artifacts, v8_registry_coverage, v9_stale_indexes,
-    )
-    return verification.verify_corpus(*(f(spark, sf_dir) for f in checks))
+    """All of V1-V9 over one corpus."""
+    return verification.verify_corpus(**corpus_tables(spark, sf_dir), parts=("en/src1", "en/src3/"))
 
 
 # --- files ---

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import broken_lines, html_to_text, let, long_preformatted, relative_path, rewritten, trim, without_noise
 from corpusloom.functions import rules
 from corpusloom.sources.shared import cut
-from corpusloom.functions.urls import aliases_all, canonical_url, policy_slug, resolve_all, resolve_url, url_aliases
+from corpusloom.functions.urls import aliases_all, canonical_all, policy_slug, resolve_all, url_aliases
 
 PAIRED = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</a>"
 SINGLE = r"(?is)<a\b[^>]*?href=(?:\"([^\"]*)\"|'([^']*)')[^>]*/>\s*([^<\n]+)"
@@ -22,10 +22,11 @@ def extract_links(pages: DataFrame, numbers: bool = True) -> DataFrame:
         parts = F.struct(*(F.regexp_extract_all("html", F.lit(pattern), F.lit(k)).alias(f"g{k}") for k in (1, 2, 3)))
         return let(parts, lambda m: F.transform(m["g1"], lambda double, i: F.struct(F.concat(double, F.get(m["g2"], i)).alias("href"), F.get(m["g3"], i).alias("inner"))))
 
-    rows = pages.select("page_id", F.col("url").alias("base"), F.posexplode(F.concat(anchors(PAIRED), anchors(SINGLE))).alias("ordinal", "a"))
-    url = resolve_url(F.col("a.href"), F.col("base"))
-    rows = rows.select("page_id", "ordinal", url.alias("url"), html_to_text(F.col("a.inner"), numbers).alias("text")).where("url is not null")
-    return rows.select("page_id", "ordinal", "url", canonical_url(F.col("url")).alias("key"), "text")
+    # a page's references are resolved together, before they become rows
+    rows = apart(pages.select("page_id", F.col("url").alias("base"), "html"), "anchors", F.concat(anchors(PAIRED), anchors(SINGLE))).drop("html")
+    rows = apart(rows, "urls", resolve_all(F.transform("anchors", lambda a: a["href"]), F.col("base")))
+    rows = rows.select("page_id", F.posexplode(F.arrays_zip(F.col("urls").alias("url"), canonical_all(F.col("urls")).alias("key"), F.transform("anchors", lambda a: a["inner"]).alias("inner"))).alias("ordinal", "a"))
+    return rows.select("page_id", "ordinal", "a.url", "a.key", "a.inner").where("url is not null").select("page_id", "ordinal", "url", "key", html_to_text(F.col("inner"), numbers).alias("text"))
 
 
 def apart(rows: DataFrame, name: str, value: Column) -> DataFrame:
