@@ -16,6 +16,7 @@ an empty result; other columns are kept by ``without_toxic`` and not read by ``s
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -101,9 +102,20 @@ def trained(docs: DataFrame, labels: DataFrame, each: int = 1500, max_chars: int
     ids = [drawn(known.where(F.col(f"y{k}") == v), "drawn_id", each, 20 + k) for k in range(len(flags)) for v in (0, 1)]
     ids = reduce(DataFrame.union, ids).distinct()
     marked = known.join(F.broadcast(ids), "drawn_id").groupBy("drawn_id").agg(*(F.max(f"y{k}").alias(f"y{k}") for k in range(len(flags))))
-    rows = sorted(texts_of(docs, marked, id_col, text_col, max_chars).collect(), key=lambda r: r.drawn_id)
-    y = np.array([[np.nan if r[f"y{k}"] is None else r[f"y{k}"] for k in range(len(flags))] for r in rows], float).reshape(len(rows), len(flags))
-    return fit_chain([r.text for r in rows], y)
+    names = [f"y{k}" for k in range(len(flags))]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(batches)
+        if not found:
+            return
+        rows = pa.Table.from_batches(found).sort_by("drawn_id")
+        y = np.array([[np.nan if v is None else v for v in rows[name].to_pylist()] for name in names], float).reshape(len(names), -1).T
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_chain(rows["text"].to_pylist(), y))], pa.binary())], ["chain"])
+
+    examples = texts_of(docs, marked, id_col, text_col, max_chars).select("drawn_id", F.col("text").cast("string").alias("text"), *(F.col(n).cast("int").alias(n) for n in names))
+    # the bounded draw is fitted in one task, so that its texts never reach the driver
+    made = examples.repartition(1).mapInArrow(fit, "chain binary").first()
+    return fit_chain([], np.zeros((0, len(names)))) if made is None else pickle.loads(made.chain)
 
 
 def score_toxicity(docs: DataFrame, chain: Chain, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", categories=CATEGORIES) -> DataFrame:
