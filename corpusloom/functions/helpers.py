@@ -213,7 +213,9 @@ def unescape_literal(text: pd.Series) -> pd.Series:
 
 def embedded_literal(html: Column, phrase: str) -> Column:
     """The first ``JSON.parse('...')`` literal that holds a phrase once its escapes are undone."""
-    literals = F.regexp_extract_all(html, F.lit(r"JSON\.parse\('((?:\\'|[^'])*)'\)"), F.lit(1))
+    # each ends at the first quote without a backslash before it; no group is repeated, as long literals would exhaust the stack
+    starts = F.slice(F.split(html, r"JSON\.parse\('"), F.lit(2), F.lit(1 << 30))
+    literals = F.filter(F.transform(starts, lambda x: F.regexp_extract(x, r"(?s)\A(.*?)(?<!\\)'\)", 1)), lambda x: (x != "") & ~x.rlike(r"(?<!\\)'"))
     # one call of the helper for all literals of a page: a character that no text has stands between them
     plain = F.split(unescape_literal(F.array_join(literals, "\x1d")), "\x1d")
     return F.get(F.filter(plain, lambda x: F.contains(x, F.lit(phrase))), 0)

@@ -122,6 +122,9 @@ METADATA_KEYS = {
 }
 NOT_RULES = ("README.md", "README_cn.md", "risk-index.md", "risk-index_cn.md")
 
+#: Hosts whose pages are narrowed to a part; all others are taken whole.
+SCOPED_HOSTS = tuple(sorted({"redditinc.com", "douban.com", *(h for h, *_ in SCOPES), *(h for h, _ in SKELETONS), *(h for h, _ in CUT_BEFORE)}))
+
 # --- fixed values: risk categories and their labels ---
 RISK_LABELS = (
     ("illegal_activity", "Illegal activity", "违法活动"),

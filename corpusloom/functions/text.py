@@ -102,11 +102,28 @@ def _merged(lines: Column) -> Column:
     return F.transform(F.filter(first, lambda x: ~F.coalesce(x["taken"], F.lit(False))), lambda x: x["line"])
 
 
+#: Pages beyond this are searched for elements up to the last end tag only.
+LONG_PAGE = 1 << 16
+
+
+def without_elements(html: Column, start: str, end: str) -> Column:
+    """A line end for everything from a start pattern to the next end pattern; a start without an end stays.
+
+    Behind the last end no start is tried, where each would be followed to the end of the page: so the time grows with the page, however many starts
+    are never closed. Short pages are spared the search for the last end.
+    """
+
+    def before(html: Column) -> Column:
+        return let(F.length(F.regexp_extract(html, rf"(?is)\A.*{end}", 0)), lambda n: F.concat(F.regexp_replace(F.substr(html, F.lit(1), n), rf"(?is){start}.*?{end}", "\n"), F.substr(html, n + 1)))
+
+    return let(html, lambda h: F.when(F.length(h) > LONG_PAGE, before(h)).otherwise(F.regexp_replace(h, rf"(?is){start}.*?{end}", "\n")))
+
+
 def without_noise(html: Column) -> Column:
     """HTML without scripts, styles and comments."""
     for tag in rules.NOISE_TAGS:
-        html = F.regexp_replace(html, rf"(?is)<{tag}\b.*?</{tag}>", "\n")
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "\n")
+        html = without_elements(html, rf"<{tag}\b", f"</{tag}>")
+    return without_elements(html, "<!--", "-->")
 
 
 def broken_lines(html: Column, numbers: bool = True) -> Column:
@@ -137,7 +154,7 @@ def first_article(html: Column) -> Column:
 def drop_chrome(html: Column) -> Column:
     """The page without header, footer, navigation, asides, hidden elements and inputs."""
     for tag in rules.CHROME_TAGS:
-        html = F.regexp_replace(html, rf"(?is)<{tag}\b.*?</{tag}>", "\n")
+        html = without_elements(html, rf"<{tag}\b", f"</{tag}>")
     html = F.regexp_replace(html, rf"(?is)<([a-z0-9]+)\b(?=[^>]*\bclass=[\"'][^\"']*(?:{rules.HIDDEN_CLASSES})[^\"']*[\"'])[^>]*>.*?</\1>", "\n")
     html = F.regexp_replace(html, r"(?is)<([a-z0-9]+)\b(?=[^>]*\bhidden(?:\s|=|>))[^>]*>.*?</\1>", "\n")
     return F.regexp_replace(html, r"(?i)<input\b[^>]*>", "\n")

@@ -242,18 +242,20 @@ def p5_choose_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.choose_artifact(rows).select("id", "ordinal", "artifact", "cached", "type")
 
 
-SQL_HOSTS = "CASE page_id % 4 WHEN 0 THEN 'tiktok.com' WHEN 1 THEN 'www2.tiktok.com' WHEN 2 THEN 'support.tiktok.com' ELSE 'other.org' END"
-SQL_PATHS = "CASE WHEN page_id % 3 = 0 THEN '/legal/report/x' WHEN page_id % 3 = 1 THEN '/community-guidelines/a' ELSE '/x' END"
+SQL_SITE = f"regexp_replace(lower({sql_part('url', 2)}), '^www\\.', '')"
+SQL_HOSTS = f"CASE WHEN {SQL_SITE} LIKE '%example.com' THEN regexp_replace({SQL_SITE}, 'example.com$', 'tiktok.com') WHEN {SQL_SITE} LIKE '%example.net' THEN 'tiktok.com' WHEN page_id % 2 = 0 THEN 'support.tiktok.com' ELSE {SQL_SITE} END"
+SQL_PATHS = f"lower(CASE page_id % 3 WHEN 0 THEN '/legal/report' WHEN 1 THEN '/Community-Guidelines' ELSE '' END || {sql_part('url', 3)})"
 
 
-@query(f"""WITH p AS (SELECT page_id, {SQL_HOSTS} AS host, {SQL_PATHS} AS path, page_id % 5 AS n FROM pages)
-SELECT page_id FROM p WHERE NOT (host = 'tiktok.com' AND starts_with(path, '/legal/report/')) AND NOT (host LIKE '%tiktok.com' AND path NOT LIKE '%/community-guidelines%' AND n <= 2) AND NOT (host = 'support.tiktok.com' AND n = 0)""")
+@query(f"""WITH p AS (SELECT page_id, {SQL_HOSTS} AS host, {SQL_PATHS} AS path, least(page_id % 5, len({sql_lines('html')})) AS n FROM pages)
+SELECT page_id, n AS lines FROM p WHERE NOT (host = 'tiktok.com' AND starts_with(path, '/legal/report/')) AND NOT (host LIKE '%tiktok.com' AND path NOT LIKE '%/community-guidelines%' AND n <= 2) AND NOT (host = 'support.tiktok.com' AND n = 0)""")
 def p6_drop_low_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("page_id")
-    host = F.when(n % 4 == 0, "tiktok.com").when(n % 4 == 1, "www2.tiktok.com").when(n % 4 == 2, "support.tiktok.com").otherwise("other.org")
-    path = F.when(n % 3 == 0, "/legal/report/x").when(n % 3 == 1, "/community-guidelines/a").otherwise("/x")
-    rows = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"), F.array_repeat(F.lit("line"), (n % 5).cast("int")).alias("lines"))
-    return entries.drop_low_value(rows).select("page_id")
+    """Pages by the first lines of their text, two thirds of them as of a site with rules."""
+    n, site, path = F.col("page_id"), text.host_of(F.col("url")), text.path_of(F.col("url"))
+    host = F.when(site.endswith("example.com"), F.regexp_replace(site, r"example.com\z", "tiktok.com")).when(site.endswith("example.net"), "tiktok.com").when(n % 2 == 0, "support.tiktok.com").otherwise(site)
+    path = F.concat(F.when(n % 3 == 0, "/legal/report").when(n % 3 == 1, "/Community-Guidelines").otherwise(""), path)
+    rows = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"), F.slice(text.html_to_lines(F.col("html")), F.lit(1), (n % 5).cast("int")).alias("lines"))
+    return entries.drop_low_value(rows).select("page_id", F.size("lines").cast("long").alias("lines"))
 
 
 @query("""SELECT doc_id, '{' || array_to_string(list_filter(['"doc_id":' || doc_id, CASE WHEN lang <> 'en' THEN '"lang":"' || lang || '"' END, CASE WHEN doc_id % 2 = 0 THEN '"tags":["' || source || '"]' END, '"n_chars":' || n_chars], lambda x: x IS NOT NULL), ',') || '}' AS record FROM documents""")
@@ -387,22 +389,23 @@ def t11_json_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", content.alias("content"), F.lit("tencent-rule-json").alias("extractor"), F.lit("json").alias("type")))
 
 
-@query("""SELECT page_id, sha256('## 违法违禁 ' || page_id || chr(10) || chr(10) || 'first' || chr(10) || chr(10) || url || chr(10) || chr(10) || '### Part' || chr(10) || chr(10) || '#### Leaf' || chr(10) || chr(10) || 'x' || chr(10) || chr(10) || '## Last') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
+@query(f"""SELECT page_id, sha256('## 违法违禁 ' || page_id || chr(10) || chr(10) || array_to_string({sql_linked_lines("html", "")}, chr(10) || chr(10)) || chr(10) || chr(10) || '### Part' || chr(10) || chr(10) || array_to_string({sql_linked_lines(sql_article(), "")}, chr(10) || chr(10)) || chr(10) || chr(10) || '#### Leaf' || chr(10) || chr(10) || 'x' || chr(10) || chr(10) || '## Last') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")
 def t12_node_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A list of nodes in a script literal: titles by depth, contents as lines."""
+    """A list of nodes in a script literal, with the page and its article as contents: titles by depth, contents as lines."""
     leaf = F.array(F.struct(F.lit("Leaf").alias("title"), F.lit("<p>x</p>").alias("contentXML")))
-    part = F.array(F.struct(F.lit("Part").alias("title"), leaf.alias("children")))
-    one = F.to_json(F.struct(F.concat(F.lit("违法违禁 "), "page_id").alias("title"), F.concat(F.lit("<p>first</p><p>"), "url", F.lit("</p>")).alias("contentXML"), part.alias("children")))
+    part = F.array(F.struct(F.lit("Part").alias("title"), text.first_article(F.col("html")).alias("contentXML"), leaf.alias("children")))
+    one = F.to_json(F.struct(F.concat(F.lit("违法违禁 "), "page_id").alias("title"), F.col("html").alias("contentXML"), part.alias("children")))
+    one = F.replace(F.replace(one, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
     content = F.concat(F.lit("<script>var a = JSON.parse('{\"no\":1}'); var b = JSON.parse('["), one, F.lit(',{"title":"Last"}]\');</script>'))
     return dispatched(table(spark, sf_dir, "pages").select("page_id", "url", content.alias("content"), F.lit("bilibili-convention-js").alias("extractor"), F.lit("html").alias("type")))
 
 
-@query("""SELECT doc_id, source || ' [more](https://x.org/' || doc_id || ') gone' || chr(10) || chr(10) || '### ' || lang || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || 'said so' AS markdown FROM documents""")
+@query(f"""SELECT doc_id, sha256({sql_clean("text || ' [more](https://x.org/' || doc_id || ') gone' || chr(10) || chr(10) || '### ' || lang || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || 'said so'")}) AS hash FROM documents""")
 def t13_bbcode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.concat("source", F.lit(" [url=https://x.org/"), "doc_id", F.lit("][b]more[/b][/url] [url=mailto:x]gone[/url][h2]"), "lang", F.lit("[/h2][list][*]one[*]two[/list][quote]said[/quote] [code]so[/code][hr][/hr]"))
+    raw = F.concat("text", F.lit(" [url=https://x.org/"), "doc_id", F.lit("][b]more[/b][/url] [url=mailto:x]gone[/url][h2]"), "lang", F.lit("[/h2][list][*]one[*]two[/list][quote]said[/quote] [code]so[/code][hr][/hr]"))
     rows = links.apart(table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")), "hrefs", text.bbcode_references(F.col("raw")))
     rows = rows.withColumn("leads", urls.resolved_map(F.col("hrefs"), F.lit("https://b.org/")))
-    return rows.select("doc_id", text.bbcode_to_markdown(F.col("raw"), lambda h: F.try_element_at("leads", h)).alias("markdown"))
+    return rows.select("doc_id", text.content_hash(text.bbcode_to_markdown(F.col("raw"), lambda h: F.try_element_at("leads", h))).alias("hash"))
 
 
 @query("""SELECT page_id, sha256('# 2 first' || chr(10) || chr(10) || 'body ' || page_id || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '# 10 second' || chr(10) || chr(10) || '[more](' || regexp_extract(url, '^[a-zA-Z]+://[^/?#]*') || '/x)') AS hash, CAST(NULL AS BOOLEAN) AS noted FROM pages""")

@@ -162,7 +162,7 @@ def dispatch_extractor(pages: DataFrame, numbers: bool = True) -> DataFrame:
     article = F.nullif(F.regexp_extract(content, r"(?is)<article\b[^>]*>(.*?)</article>", 1), F.lit(""))
     data = F.get_json_object(content, "$.data")
     rows = pages.withColumns({
-        "scoped_": helpers.scope_html(F.when(generic, content), host),
+        "scoped_": F.coalesce(helpers.scope_html(F.when(generic & host.isin(*rules.SCOPED_HOSTS), content), host), F.when(generic, content)),
         "body_": helpers.element_by_id(F.when(way == "github-docs-article", content), F.lit("article-contents")),
         "nodes_": helpers.tree_nodes(helpers.embedded_literal(F.when(way == "bilibili-convention-js", content), rules.CONVENTION_PHRASE)),
     })

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import body_of, is_challenge_page, relative_path
+from corpusloom.functions.text import body_of, is_challenge_page, let, relative_path
 from corpusloom.functions.urls import url_aliases
 from corpusloom.operators.assembly import STUB_NOTE
 from corpusloom.functions.rules import NOT_RULES
@@ -16,6 +16,7 @@ from corpusloom.operators.links import markdown_links
 from corpusloom.sources.shared import cut
 
 
+FEW = 16  # URLs that are searched in a document one by one
 ORPHAN, NO_SCOPE = "unreferenced artifact", "missing scope note"
 
 
@@ -85,8 +86,15 @@ def document_references(records: DataFrame, documents: DataFrame) -> DataFrame:
 def _reference_faults() -> Column:
     none = F.expr("cast(array() as array<string>)")
 
+    # most URLs stand in the document by themselves and are found in the set of those; only the others are searched in the text one by one
+    written = F.array_distinct(F.regexp_extract_all("document", F.lit(r"https?://[^\s<>\")\]]+"), F.lit(0)))
+
     def lost(name: str, what: str) -> Column:
-        return _said(F.filter(F.coalesce(name, none), lambda u: ~F.contains(F.col("document"), u)), what)
+        named = F.coalesce(name, none)
+        few = F.filter(named, lambda u: ~F.contains(F.col("document"), u))
+        gone = F.filter(F.array_except(named, written), lambda u: ~F.contains(F.col("document"), u))
+        many = let(gone, lambda g: F.when(F.size(g) == 0, none).otherwise(F.filter(named, lambda u: F.array_contains(g, u))))
+        return _said(F.when(F.size(named) > FEW, many).otherwise(few), what)
 
     local = F.transform(F.coalesce("linked_source_files", none), lambda f: relative_path(F.col("output_file"), f))
     return F.concat(

@@ -230,3 +230,12 @@ def test_verify_an_empty_corpus(spark):
 
     t = {name: rows.limit(0) for name, rows in corpus_tables(spark, "/root/testdata/sf0.001").items()}
     assert verification.verify_corpus(**t).count() == 0
+
+
+def test_many_references(spark):
+    """Thousands of URLs of one document: those that stand in it alone, within others, or in brackets are there; a lost one is named as often as it is listed."""
+    urls = [f"https://a.org/{k}" for k in range(9000)] + ["https://b.org/x(1)", "https://lost.org/1", "https://a.org/8", "https://lost.org/1", "https://whole.org/p"]
+    document = "# D\n" + "".join(f"- https://a.org/{k}\n" for k in range(9000)) + "[t](https://b.org/x(1)) https://whole.org/pages/2\n"
+    records = spark.createDataFrame([(1, "d.md", urls, None, ["https://lost.org/2"], ["f"], [])], "id int, output_file string, source_urls array<string>, linked_source_urls array<string>, reference_urls array<string>, source_files array<string>, linked_source_files array<string>")
+    found = verification.document_references(records, spark.createDataFrame([("d.md", document)], "path string, document string")).collect()
+    assert sorted((r.subject, r.detail) for r in found) == [("https://lost.org/1", "missing source URL")] * 2 + [("https://lost.org/2", "missing reference URL")]

@@ -195,3 +195,23 @@ def test_undecodable_artifacts_are_noted(spark):
     raw = gzip.compress("é".encode())
     rows = spark.createDataFrame([(1, raw), (2, raw[:-9] + b"x" * 9), (3, None)], "n int, x binary").withColumn("y", helpers.decode_bytes("x"))
     assert {r.n: (r.y, r.z is not None) for r in rows.select("n", "y", helpers.decoding_note(F.col("x"), F.col("y")).alias("z")).collect()} == {1: ("é", False), 2: (None, True), 3: (None, False)}
+
+
+def test_elements_that_never_end(spark):
+    """A page of starts without ends takes a time that grows with it, and is cut as a short page is."""
+    import re
+    import time
+
+    parts = ["<script>a</script>x", "<SCRIPT src=1>", "<b>y</b>", "</script>", "<!-- c -->", "<!--", "<scripted>", "z\n"]
+    import random
+
+    rng = random.Random(3)
+    long_ = ["".join(rng.choice(parts) for _ in range(12_000)) for _ in range(3)] + ["<script>" * 300_000, "<script>x</script>" + "<!--" * 300_000]
+    rows = spark.createDataFrame([(k, h) for k, h in enumerate(long_)], "n int, h string").repartition(4)
+    start = time.time()
+    got = {r.n: r.y for r in rows.select("n", text.without_elements(text.without_elements(F.col("h"), r"<script\b", "</script>"), "<!--", "-->").alias("y")).collect()}
+    assert time.time() - start < 20
+    for k, h in enumerate(long_[:3]):
+        assert len(h) > text.LONG_PAGE
+        assert got[k] == re.sub(r"(?s)<!--.*?-->", "\n", re.sub(r"(?is)<script\b.*?</script>", "\n", h))
+    assert got[3] == long_[3] and got[4] == "\n" + "<!--" * 300_000
