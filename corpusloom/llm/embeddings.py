@@ -41,6 +41,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """The rows at length 1. They are brought near 1 by powers of two first, which change no digit, so that no square is too large or too small."""
+    if not len(x):
+        return x
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def _principal(nodes: DataFrame, dim: int, leading: int) -> np.ndarray:
     """The leading directions of the second moments, from sums of every vector; ``dim`` squared numbers reach the driver."""
 
@@ -49,7 +57,7 @@ def _principal(nodes: DataFrame, dim: int, leading: int) -> np.ndarray:
         for batch in batches:
             x = _matrix(batch.column(0)).astype(np.float64)
             if len(x):
-                x = np.hstack([x / np.linalg.norm(x, axis=1)[:, None], np.ones((len(x), 1))])
+                x = np.hstack([_unit(x), np.ones((len(x), 1))])
                 total += x.T @ x
         i, j = np.meshgrid(np.arange(dim + 1), np.arange(dim + 1), indexing="ij")
         yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "v"])
@@ -72,7 +80,7 @@ def _blocks(nodes: DataFrame, directions: np.ndarray, epsilon: float, stored: st
         for batch in batches:
             x = _matrix(batch.column(3)).astype(np.float64)
             if len(x):
-                p = (x / np.linalg.norm(x, axis=1)[:, None]) @ directions
+                p = _unit(x) @ directions
                 cells = np.floor(p / epsilon).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c) for c in cells.T), *(pa.array(c) for c in p.T)], [*batch.schema.names, *(f"c{i}" for i in range(k)), *(f"p{i}" for i in range(k))])
 
@@ -133,9 +141,7 @@ def _interval_pairs(blocks: DataFrame, epsilon: float) -> DataFrame:
 def _compare(a: tuple, b: tuple, same: bool, dim: int, dtype, threshold: float):
     """Link counts of the nodes of two blocks, and edges to the smallest id of each local component."""
     (ia, ka, ca, va), (ib, kb, cb, vb) = ((np.frombuffer(i, np.int64), np.frombuffer(k, np.int64), np.frombuffer(c, np.int64), np.frombuffer(v, dtype).reshape(-1, dim)) for i, k, c, v in (a, b))
-    xa, xb = (v.astype(np.float64) for v in (va, vb))
-    xa /= np.linalg.norm(xa, axis=1)[:, None]
-    xb /= np.linalg.norm(xb, axis=1)[:, None]
+    xa, xb = (_unit(v.astype(np.float64)) for v in (va, vb))
     fa, fb = xa.astype(np.float32), xb.astype(np.float32)
     slack = 1e-5 + 2e-7 * dim  # a sum of products in single precision is off by less than its terms times their rounding
     rows, cols = [], []

@@ -208,3 +208,12 @@ def test_perfect_hash():
         assert sorted(perfect.slots(keys).tolist()) == list(range(n))
         others = perfect.slots(rng.integers(0, 1 << 63, (500, 4)).astype(np.uint64))
         assert others.max(initial=-1) < n
+
+
+def test_vectors_of_any_length(spark):
+    """Lengths whose squares a double does not hold change no cosine."""
+    from corpusloom.llm import embeddings
+
+    rows = [(1, [1e200, 1e200]), (2, [1.0, 1.01]), (3, [1e-300, 1.02e-300]), (4, [1e308, -1e308]), (5, [5e-324, -5e-324]), (6, [0.0, 1e-320])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
