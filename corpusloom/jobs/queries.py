@@ -975,7 +975,7 @@ def corpus_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query(SQL_V10)
 def v10_verify_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of V1-V9 over one corpus."""
-    return verification.verify_corpus(**corpus_tables(spark, sf_dir), parts=("en/src1", "en/src3/"))
+    return verification.verify_tables(**corpus_tables(spark, sf_dir), parts=("en/src1", "en/src3/"))
 
 
 # --- files ---

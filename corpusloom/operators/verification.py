@@ -281,8 +281,13 @@ def stale_indexes(stored: DataFrame, documents: DataFrame, generator: str = GENE
     return found.select(*failure("V9", F.lit(None), F.when(F.col("name") == "", F.col("at")).otherwise(F.concat_ws(": ", "at", "name")), F.col("w")))
 
 
-def verify_corpus(registry: DataFrame, records: DataFrame, documents: DataFrame, declared: DataFrame, facts: DataFrame, stored: DataFrame, parts: tuple[str, ...] = ("/united-states/states/",)) -> DataFrame:
-    """V10: the failures of all checks; the corpus passes where there are none.
+def verify_corpus(*checks: DataFrame) -> DataFrame:
+    """V10: the failures of all checks; the corpus passes where there are none."""
+    return reduce(DataFrame.unionByName, checks)
+
+
+def verify_tables(registry: DataFrame, records: DataFrame, documents: DataFrame, declared: DataFrame, facts: DataFrame, stored: DataFrame, parts: tuple[str, ...] = ("/united-states/states/",)) -> DataFrame:
+    """V10 from the tables of a corpus: the failures of all checks.
 
     Each table meets another once: records their documents (V2-V6), declared artifacts those there are (V1, V7), registry and manifests (V8), indexes the directories (V9).
     Collected sources, which V6 looks for, are the source and linked URLs of the records.
@@ -292,4 +297,4 @@ def verify_corpus(registry: DataFrame, records: DataFrame, documents: DataFrame,
     own = checked.select("id", F.inline("faults")).select(*failure("", F.col("id"), F.col("subject"), F.col("detail"))[1:], "check")
     collected = records.select(F.explode(F.concat(F.coalesce("source_urls", none), F.coalesce("linked_source_urls", none))).alias("url")).distinct()
     online = _online(checked.select("id", F.explode("links").alias("url")), collected)
-    return reduce(DataFrame.unionByName, (own, online, artifact_checks(declared, facts), coverage_checks(registry, records), stale_indexes(stored, documents)))
+    return verify_corpus(own, online, artifact_checks(declared, facts), coverage_checks(registry, records), stale_indexes(stored, documents))

@@ -221,7 +221,7 @@ def test_verify_corpus_is_all_checks(spark):
     ]
     names = ("check", "entry_id", "subject", "detail")
     want = Counter(tuple(r) for x in alone for r in x.select(*names).collect())
-    got = Counter(tuple(r) for r in v.verify_corpus(**t, parts=parts).select(*names).collect())
+    got = Counter(tuple(r) for r in v.verify_tables(**t, parts=parts).select(*names).collect())
     assert got == want and {r[0] for r in got} == {f"V{k}" for k in range(1, 10)}
 
 
@@ -229,7 +229,7 @@ def test_verify_an_empty_corpus(spark):
     from corpusloom.jobs.queries import corpus_tables
 
     t = {name: rows.limit(0) for name, rows in corpus_tables(spark, "/root/testdata/sf0.001").items()}
-    assert verification.verify_corpus(**t).count() == 0
+    assert verification.verify_tables(**t).count() == 0
 
 
 def test_many_references(spark):
