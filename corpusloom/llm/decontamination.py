@@ -9,8 +9,10 @@ that overlap by half, bands below the bound are dropped, and what remains is ali
 The distinct texts of the benchmark are read in blocks of about ``block_bytes``; each block's q-gram index is broadcast and the documents
 pass it once, in one narrow stage. A benchmark of any size so needs a bounded index per pass.
 
-Defined cases: null and empty texts leak nothing; items with fewer than ``LEAST`` folded bytes are too short to show a leak
-and are left out; a null item id is reported as null; equal items are reported each; repeated documents each get their rows; an empty
+Items of ``Q`` to 23 folded bytes have no edits to spare, so the same count asks for all of their q-grams; what is found must also begin and end with
+a word, so that no part of a longer word counts. A shorter item, a word or two that any text may hold, leaks only into a document that is nothing else.
+
+Defined cases: null and empty texts, and items without a letter or digit, leak nothing; a null item id is reported as null; equal items are reported each; repeated documents each get their rows; an empty
 benchmark or table gives an empty result; other columns are kept by ``without_leaks`` and not read by ``leaks``.
 """
 
@@ -32,7 +34,7 @@ Q = 12
 WINDOW = 72
 RATE = 0.06
 BAND = 16
-LEAST = 24
+WORDS = 24  # folded bytes below which a match begins and ends with a word
 PART = 2 << 20
 PARTS = 16  # of the rows found with one text
 CHAINED = 4  # passes, each with an index and a worker of its own, in one stage
@@ -87,15 +89,18 @@ class Index:
     places: np.ndarray  # of the keys in the text
     seen: np.ndarray  # which key hashes occur
     shift: np.uint64
+    whole: dict[bytes, list[int]]  # items of fewer than Q bytes, by what they are
 
     @classmethod
     def of(cls, texts: list[str | None]) -> Index:
         data, at = text_buffer(pa.array([t or "" for t in texts], pa.large_string()))
         text, at, _ = fold(data, at)
-        items, begins, sizes, keys, places = [], [], [], [], []
+        items, begins, sizes, keys, places, whole = [], [], [], [], [], {}
         for i in range(len(texts)):
             lo, hi = int(at[i]), int(at[i + 1])
-            if hi - lo < LEAST:
+            if hi - lo < Q:
+                if word := text[lo:hi].tobytes().strip():
+                    whole.setdefault(word, []).append(i)
                 continue
             first = list(range(lo, hi - WINDOW, WINDOW // 2)) + [max(lo, hi - WINDOW)]
             items += [i] * len(first)
@@ -108,7 +113,7 @@ class Index:
         bits = int(np.clip(np.ceil(np.log2(32 * max(1, len(keys)))), 16, 24))
         seen = np.zeros(1 << bits, bool)
         seen[mix64(keys) >> np.uint64(64 - bits)] = True
-        return cls(np.array(items, np.int64), text, np.array(begins, np.int64), np.array(sizes, np.int64), keys[order], places[order], seen, np.uint64(64 - bits))
+        return cls(np.array(items, np.int64), text, np.array(begins, np.int64), np.array(sizes, np.int64), keys[order], places[order], seen, np.uint64(64 - bits), whole)
 
     def hits(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``text`` and in the benchmark that share a q-gram."""
@@ -175,6 +180,15 @@ class Index:
         edits = cost.min(axis=1).astype(np.int64)
         end = at[row] + diagonal - Q // 2 + size + cost.argmin(axis=1)
         good = edits <= budget(size)
+        short = np.flatnonzero(good & (size < WORDS))
+        for r in short.tolist():  # of the ends of exact matches, those between words
+            begin, stop = int(at[row[r]]), int(at[row[r] + 1])
+            ends = int(end[r]) - int(cost[r].argmin()) + np.flatnonzero(cost[r] == 0)
+            starts = ends - size[r]
+            item = self.text[self.begins[window[r]] : self.begins[window[r]] + size[r]]
+            free = [e for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if (s <= begin or 32 in (text[s - 1], item[0])) and (e >= stop or 32 in (text[e], item[-1]))]
+            good[r] = bool(free)
+            end[r] = free[0] if free else end[r]
         return [(int(r), int(w), int(max(e - s, a)), int(min(e, z)), int(d)) for r, w, e, s, d, a, z in zip(row[good], window[good], end[good], size[good], edits[good], at[row][good], at[row + 1][good], strict=True)]
 
 
@@ -189,7 +203,8 @@ def regions(index: Index, data: np.ndarray, at: np.ndarray) -> list[tuple[int, i
             found += [(r, w, b + lo, e + lo, d) for r, w, b, e, d in index.search(text[lo:hi], np.array([0, hi - lo]))]
     else:
         found = index.search(text, offsets)
-    if not found:
+    alone = _alone(index, text, offsets)
+    if not found and not alone:
         return []
     origin = np.flatnonzero(keep)
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -197,9 +212,21 @@ def regions(index: Index, data: np.ndarray, at: np.ndarray) -> list[tuple[int, i
     for r, w, b, e, d in found:
         begin, end = int(origin[b]), int(origin[e - 1]) + 1 if e > b else int(origin[b])
         by.setdefault((r, int(index.items[w])), []).append((int(points[begin] - points[at[r]]), int(points[end] - points[at[r]]), d, w))
+    for r, i, b, e in alone:
+        by[r, i] = [(int(points[origin[b]] - points[at[r]]), int(points[origin[e - 1] + 1] - points[at[r]]), 0, -1)]
     return [(r, i, min(x[0] for x in v), max(x[1] for x in v), min(x[2] for x in v), len({x[3] for x in v})) for (r, i), v in sorted(by.items())]
 
 
+def _alone(index: Index, text: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Row, item, begin and end of each row that is one of the items without a q-gram and nothing else."""
+    found = []
+    for r in np.flatnonzero(np.diff(at) <= Q + 1) if index.whole else ():
+        row = text[at[r] : at[r + 1]].tobytes()
+        word, lead = row.strip(), int(at[r]) + len(row) - len(row.lstrip())
+        found += [(int(r), i, lead, lead + len(word)) for i in index.whole.get(word, ())]
+    return found
+
+
 def blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[str], Index]]:
     """Keys and index of each block of the distinct texts of the benchmark; a block comes to the driver alone."""
     texts = items.select("item_key", "text").dropDuplicates(["item_key"])

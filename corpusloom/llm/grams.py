@@ -86,8 +86,14 @@ class Features:
 
 
 def presence(grams: Grams, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes of each row, and their rows, in 32 bits: the driver holds them for all examples at once."""
-    codes = [np.unique(grams.codes(data[at[r] : at[r + 1]], np.array([0, at[r + 1] - at[r]]))[0]).astype(np.int32) for r in range(len(at) - 1)]
+    """The distinct codes of each row, and their rows, in 32 bits: one task holds them for all examples at once."""
+
+    def distinct(lo: int, hi: int) -> np.ndarray:
+        stops = [(a, min(hi, a + PART + grams.size - 1)) for a in range(lo, max(lo + 1, hi), PART)]
+        found = [np.unique(grams.codes(data[a:b], np.array([0, b - a]))[0]).astype(np.int32) for a, b in stops]
+        return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+
+    codes = [distinct(int(at[r]), int(at[r + 1])) for r in range(len(at) - 1)]
     rows = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
     return np.concatenate([*codes, np.zeros(0, np.int32)]), rows
 

@@ -10,7 +10,7 @@ Every document is scored whole.
 
 Defined cases: null text and text without a letter give ``und`` and score 0; equal sums go to the language first in code-point
 order; languages without training text are not predicted, and with none at all every row is ``und``; a null id is not held out
-and no example; repeated rows get equal results; an empty table gives an empty result; other columns are not read.
+and no example; of several texts of an id in a language one is the example, by its hash; repeated rows get equal results; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,14 +19,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import held_out, pieces
 
-LETTER = regex.compile(r"\p{L}")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 BLOCK = 2048  # bytes
 WIDEST = 4  # bytes of a character
@@ -53,14 +51,15 @@ def dictionaries(docs: DataFrame, passages: int = 32, passage: int = 2000, id_co
     passage = max(1, min(passage, share // passages))
     near = rows.join(F.broadcast(counts), "lang").where(F.col("u") * F.col("n") < 8 * passages)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "drawn_id"))
-    ids = near.withColumn("rank", rank).where(F.col("rank") <= passages).select("drawn_id", F.col("lang").alias("drawn_lang"), "rank").dropDuplicates(["drawn_id"])
+    ids = near.select("drawn_id", "lang", "u").distinct().withColumn("rank", rank).where(F.col("rank") <= passages).select("drawn_id", "lang", "rank")
     text = docs[text_col]
     begin = F.greatest(F.lit(1), F.floor((F.length(text) - passage) / 2).cast("int"))
-    own = docs.select(docs[id_col].alias("drawn_id"), F.substring(F.coalesce(text, F.lit("")), begin, F.lit(passage)).alias("passage"))
+    own = docs.select(docs[id_col].alias("drawn_id"), docs[lang_col].cast("string").alias("lang"), F.substring(F.coalesce(text, F.lit("")), begin, F.lit(passage)).alias("passage"))
     found: dict[str, list[tuple[int, str]]] = {}
-    for r in own.join(F.broadcast(ids), "drawn_id").collect():
-        found.setdefault(r.drawn_lang, []).append((r.rank, r.passage or ""))
-    return {lang: b"".join(normal(p) for _, p in sorted(set(found[lang]), reverse=True)) for lang in sorted(found)}
+    one = F.min_by("passage", F.struct(F.xxhash64("passage"), "passage")).alias("passage")  # of several texts of an id
+    for r in own.join(F.broadcast(ids), ["drawn_id", "lang"]).groupBy("lang", "rank").agg(one).collect():
+        found.setdefault(r.lang, []).append((r.rank, r.passage))
+    return {lang: b"".join(normal(p) for _, p in sorted(found[lang], reverse=True)) for lang in sorted(found)}
 
 
 class Identifier:
@@ -76,7 +75,7 @@ class Identifier:
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin."""
-        if not text or not self.languages or not LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return "und", 0.0, 0.0
         data = normal(text)
         sums = [0] * len(self.languages)

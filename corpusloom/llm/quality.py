@@ -7,8 +7,8 @@ share (less its standard error) bounds the share of good documents in unlabelled
 ``prior * loss(P, +) + max(0, loss(U, -) - prior * loss(P, -))``, and turns back on examples for which the second part went
 below zero. Features are raw byte pairs of the whole text and its share of symbols, capitals, digits and repeated words.
 
-Limits: ``positives`` and ``unlabelled`` bound the examples, drawn by a hash of their ids, and ``max_chars`` the length
-of an example. Every document is scored whole.
+Limits: ``positives`` and ``unlabelled`` bound the examples, drawn by a hash of their ids. Examples are whole texts of any
+length, of several of an id the one with the smallest hash; every document is scored whole.
 
 Defined cases: null and empty texts get the score of a text without features; a null id is not held out and no example; labels that are null
 or of unknown documents are not used; repeated rows get equal scores; without positives every score is 0.5; an
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import held_out
 from corpusloom.llm.grams import Features, Grams, descend, fit_logistic, joined, linear, presence, select, shape, sigmoid, text_pieces
-from corpusloom.llm.training import texts_of, training_ids
+from corpusloom.llm.training import fitted, texts_of, training_ids
 
 PAIRS = Grams(2, False)
 
@@ -89,13 +89,17 @@ def fit(positive: list[str], unlabelled: list[str], width: int = 256, seed: int
     return model
 
 
-def trained(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 6000, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
+def trained(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 6000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
     """Fit on a bounded draw of positives and of unlabelled documents."""
     good = training_ids(labels, id_col, F.col(label_col) == 1, positives, 41)
     any_ = training_ids(docs, id_col, F.lit(True), unlabelled, 42)
     roles = good.withColumn("good", F.lit(1)).unionByName(any_.withColumn("good", F.lit(0))).groupBy("drawn_id").agg(F.max("good").alias("p"), F.min("good").alias("u"))
-    rows = sorted(texts_of(docs, roles, id_col, text_col, max_chars).collect(), key=lambda r: r.drawn_id)
-    return fit([r.text for r in rows if r.p == 1], [r.text for r in rows if r.u == 0])
+
+    def fit_rows(rows: pa.Table) -> QualityModel | None:
+        own = list(zip(*(rows[name].to_pylist() for name in ("text", "p", "u")), strict=True))
+        return fit([t for t, p, _ in own if p == 1], [t for t, _, u in own if u == 0])
+
+    return fitted(texts_of(docs, roles, id_col, text_col), fit_rows)
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

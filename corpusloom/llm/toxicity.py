@@ -1,22 +1,21 @@
 """Operator 2, toxicity: a classifier chain over the label categories.
 
 Categories are predicted in order. Each has a logistic model on the letter n-grams that tell most of it, and the later
-ones also see the log odds of the categories before. While fitting, those log odds come from models that were fitted without the fold the
+ones also see the probabilities of the categories before. While fitting, those probabilities come from models that were fitted without the fold the
 document is in, so that a later model learns how far an honest earlier prediction can be trusted; in use
-they come from the model fitted to all examples. The chain is generic in its categories; the label table at hand has
+they come from the model fitted to all examples. Labels of the held-out fold (``common.held_out``) are never read. The chain is generic in its categories; the label table at hand has
 two, text that is degraded (quality 0) and text that is toxic.
 
-Limits: ``each`` bounds the examples of either value of each category, drawn by a hash of their ids, and ``max_chars``
-the length of an example; scores so hold at about even odds. Every document is scored whole.
+Limits: ``each`` bounds the examples of either value of each category, drawn by a hash of their ids; scores so hold at
+about even odds. Examples are whole texts of any length; every document is scored whole.
 
 Defined cases: null and empty texts get the score of a text without features; null labels are no examples of their
-category; a category with one value only is predicted with its share; repeated rows get equal scores; an empty table gives
+category; a category with one value only is predicted with its share; of several texts of an id one is the example, by its hash; repeated rows get equal scores; an empty table gives
 an empty result; other columns are kept by ``without_toxic`` and not read by ``score_toxicity``.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import pieces, text_buffer
 from corpusloom.llm.grams import Features, Grams, fit_logistic, joined, linear, presence, select, sigmoid, text_pieces
-from corpusloom.llm.training import drawn, texts_of
+from corpusloom.llm.training import fitted, texts_of, training_ids
 
 #: The chain: name, column of the label table, value that counts as 1.
 CATEGORIES = (("degraded", "quality", 0), ("toxic", "toxic", 1))
@@ -47,31 +46,31 @@ class Chain:
 
     def probabilities(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """One column for each category, in chain order."""
-        odds: list[np.ndarray] = []
+        before: list[np.ndarray] = []
         for link in self.links:
-            x = np.column_stack([link.features.matrix(data, at), *odds])
-            odds.append(np.clip(linear(x, link.weights), -12, 12))
-        return sigmoid(np.column_stack(odds))
+            x = np.column_stack([link.features.matrix(data, at), *before])
+            before.append(sigmoid(linear(x, link.weights)))
+        return np.column_stack(before)
 
 
-def _fit_link(codes: np.ndarray, rows: np.ndarray, data: np.ndarray, at: np.ndarray, y: np.ndarray, use: np.ndarray, odds: list[np.ndarray], width: int) -> Link:
+def _fit_link(codes: np.ndarray, rows: np.ndarray, data: np.ndarray, at: np.ndarray, y: np.ndarray, use: np.ndarray, before: list[np.ndarray], width: int) -> Link:
     seen = y[use]
     if len(seen) == 0 or seen.min() == seen.max():
         share = (seen.sum() + 0.5) / (len(seen) + 1)
-        return Link(Features(STEMS, np.zeros(0, np.int64)), np.r_[np.zeros(len(odds)), np.log(share / (1 - share))])
+        return Link(Features(STEMS, np.zeros(0, np.int64)), np.r_[np.zeros(len(before)), np.log(share / (1 - share))])
     features = Features(STEMS, select(codes, rows, y, use, width))
-    return Link(features, fit_logistic(_matrix(features, data, at, odds, use), seen))
+    return Link(features, fit_logistic(_matrix(features, data, at, before, use), seen))
 
 
-def _matrix(features: Features, data: np.ndarray, at: np.ndarray, odds: list[np.ndarray], use: np.ndarray) -> np.ndarray:
-    """Features and earlier odds of the rows in use; only these are worked out, a part of the texts at a time."""
+def _matrix(features: Features, data: np.ndarray, at: np.ndarray, before: list[np.ndarray], use: np.ndarray) -> np.ndarray:
+    """Features and earlier probabilities of the rows in use; only these are worked out, a part of the texts at a time."""
     rows = np.flatnonzero(use)
-    out = np.zeros((len(rows), len(features.chosen) + len(odds)))
+    out = np.zeros((len(rows), len(features.chosen) + len(before)))
     for lo in range(0, len(rows), 256):
         some = rows[lo : lo + 256]
         text = np.concatenate([data[at[r] : at[r + 1]] for r in some])
         out[lo : lo + 256, : len(features.chosen)] = features.matrix(text, np.concatenate([[0], np.cumsum(at[some + 1] - at[some])]))
-    for k, column in enumerate(odds):
+    for k, column in enumerate(before):
         out[:, len(features.chosen) + k] = column[rows]
     return out
 
@@ -81,41 +80,34 @@ def fit_chain(texts: list[str | None], labels: np.ndarray, folds: int = 3, width
     data, at = joined(texts)
     codes, rows = presence(STEMS, data, at)
     fold = np.arange(len(texts)) % folds
-    chain, odds = Chain(), []
+    chain, before = Chain(), []
     for k in range(labels.shape[1]):
         known = ~np.isnan(labels[:, k])
         y = np.nan_to_num(labels[:, k])
-        chain.links.append(_fit_link(codes, rows, data, at, y, known, odds, width))
+        chain.links.append(_fit_link(codes, rows, data, at, y, known, before, width))
         if k + 1 < labels.shape[1]:
             out = np.zeros(len(texts))
             for f in range(folds):
-                link = _fit_link(codes, rows, data, at, y, known & (fold != f), odds, width)
-                out[fold == f] = np.clip(linear(_matrix(link.features, data, at, odds, fold == f), link.weights), -12, 12)
-            odds.append(out)
+                link = _fit_link(codes, rows, data, at, y, known & (fold != f), before, width)
+                out[fold == f] = sigmoid(linear(_matrix(link.features, data, at, before, fold == f), link.weights))
+            before.append(out)
     return chain
 
 
-def trained(docs: DataFrame, labels: DataFrame, each: int = 1500, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", categories=CATEGORIES) -> Chain:
+def trained(docs: DataFrame, labels: DataFrame, each: int = 1500, id_col: str = "doc_id", text_col: str = "text", categories=CATEGORIES) -> Chain:
     """Fit the chain on a bounded draw of labelled documents."""
     flags = [(F.col(c) == v).cast("int").alias(f"y{k}") for k, (_, c, v) in enumerate(categories)]
     known = labels.select(F.col(id_col).alias("drawn_id"), *flags)
-    ids = [drawn(known.where(F.col(f"y{k}") == v), "drawn_id", each, 20 + k) for k in range(len(flags)) for v in (0, 1)]
+    ids = [training_ids(known, "drawn_id", F.col(f"y{k}") == v, each, 20 + k) for k in range(len(flags)) for v in (0, 1)]
     ids = reduce(DataFrame.union, ids).distinct()
     marked = known.join(F.broadcast(ids), "drawn_id").groupBy("drawn_id").agg(*(F.max(f"y{k}").alias(f"y{k}") for k in range(len(flags))))
     names = [f"y{k}" for k in range(len(flags))]
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = list(batches)
-        if not found:
-            return
-        rows = pa.Table.from_batches(found).sort_by("drawn_id")
+    def fit(rows: pa.Table) -> Chain:
         y = np.array([[np.nan if v is None else v for v in rows[name].to_pylist()] for name in names], float).reshape(len(names), -1).T
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_chain(rows["text"].to_pylist(), y))], pa.binary())], ["chain"])
+        return fit_chain(rows["text"].to_pylist(), y)
 
-    examples = texts_of(docs, marked, id_col, text_col, max_chars).select("drawn_id", F.col("text").cast("string").alias("text"), *(F.col(n).cast("int").alias(n) for n in names))
-    # the bounded draw is fitted in one task, so that its texts never reach the driver
-    made = examples.repartition(1).mapInArrow(fit, "chain binary").first()
-    return fit_chain([], np.zeros((0, len(names)))) if made is None else pickle.loads(made.chain)
+    return fitted(texts_of(docs, marked, id_col, text_col), fit) or fit_chain([], np.zeros((0, len(names))))
 
 
 def score_toxicity(docs: DataFrame, chain: Chain, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", categories=CATEGORIES) -> DataFrame:

@@ -1,7 +1,11 @@
-"""Bounded samples of labelled documents, drawn by hash and brought to the driver to fit small models."""
+"""Bounded samples of labelled documents, drawn by hash, and models fitted to them in one task."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +37,21 @@ def training_ids(rows: DataFrame, id_col: str, keep: Column, most: int, seed: in
     return drawn(rows.where(keep & ~held_out(F.col(id_col))), id_col, most, seed)
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, max_chars: int) -> DataFrame:
-    """The texts of a bounded set of ids, one for each id; longer ones than ``max_chars`` are no examples."""
-    own = docs.select(docs[id_col].alias("drawn_id"), docs[text_col].alias("text")).where(F.length("text") <= max_chars)
-    return own.join(F.broadcast(ids), "drawn_id").dropDuplicates(["drawn_id"])
+def texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The texts of a bounded set of ids, whole, one for each id: of several, the one with the smallest hash."""
+    own = docs.select(docs[id_col].alias("drawn_id"), docs[text_col].cast("string").alias("text")).where("drawn_id is not null and text is not null")
+    own = own.join(F.broadcast(ids.select("drawn_id")), "drawn_id", "left_semi")
+    one = own.groupBy("drawn_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return one.join(F.broadcast(ids), "drawn_id")
+
+
+def fitted(examples: DataFrame, fit: Callable[[pa.Table], object]) -> object | None:
+    """What ``fit`` makes of the bounded examples, in the order of their ids, in one task; their texts never reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(batches)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(found).sort_by("drawn_id")))], pa.binary())], ["model"])
+
+    made = examples.repartition(1).mapInArrow(run, "model binary").first()
+    return None if made is None else pickle.loads(made.model)

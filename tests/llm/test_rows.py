@@ -101,6 +101,51 @@ def test_leak_in_a_long_text(spark):
     assert (r.item_id, r.start, r.end, r.edits) == (5, mid + 1, mid + 1 + len(item), 0)
 
 
+def test_short_items(spark):
+    """Items of 12 to 23 folded bytes leak where they stand between words, shorter ones where a text is nothing else."""
+    items = ["Gull over pier", "the", "Är du", "river: seventeen stones", "%%", "a gull over"]
+    texts = ["see Gull, over -- PIER!", "a seagull over pier", "gull over pierces", "gull over pier", "  THE! ", "the the", "är  DU?", "in the river seventeen stones lie", "river seventeen stonesriver seventeen stones", "x gull over pier gull over piers", "%%", "", None]
+    docs = docs_of(spark, [(k, t, "en", "s") for k, t in enumerate(texts)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end, r.edits) for r in decontamination.leaks(docs, bench).collect())
+    assert got == [(0, 0, 4, 22, 0), (3, 0, 0, 14, 0), (4, 1, 2, 5, 0), (6, 2, 0, 6, 0), (7, 3, 7, 29, 0), (9, 0, 2, 16, 0)]
+    assert {r.doc_id for r in decontamination.without_leaks(docs, bench).collect()} == {1, 2, 5, 8, 10, 11, 12}
+
+
+@pytest.mark.parametrize("size", [12, 15, 23])
+def test_short_items_anywhere(size):
+    """Against a plain search for whole words."""
+    rng = random.Random(size)
+    for _ in range(20):
+        item = (plain.prose(rng, 12) + " abcdefgh")[:size].strip().ljust(size, "x")
+        texts = [plain.prose(rng, rng.randint(0, 9)) + rng.choice([" ", "", "q"]) + item + rng.choice([" ", "", "q"]) + plain.prose(rng, rng.randint(0, 9)) for _ in range(30)]
+        index = decontamination.Index.of([item])
+        data, at = decontamination.text_buffer(decontamination.pa.array(texts))
+        want = {k for k, t in enumerate(texts) if f" {item} " in f" {' '.join(t.split())} "}
+        assert {r for r, *_ in decontamination.regions(index, data, at)} == want
+
+
+def test_repeated_ids_of_examples(spark):
+    """Of several texts of an id one is the example, whatever the order of the rows, and long texts are examples too."""
+    from corpusloom.llm import training
+
+    rows = [(1, f"text {k}", "en", "s") for k in range(50)] + [(2, "word " * 20_000, "en", "s"), (3, None, "en", "s")]
+    ids = spark.createDataFrame([(1, 7), (2, 8), (3, 9), (4, 9)], "drawn_id long, y int")
+    found = [sorted(map(tuple, training.texts_of(docs_of(spark, some), ids, "doc_id", "text").select("drawn_id", "text", "y").collect())) for some in (rows, rows[::-1])]
+    assert found[0] == found[1] and [(r[0], len(r[1]) > 9000, r[2]) for r in found[0]] == [(1, False, 7), (2, True, 8)]
+    mixed = [(k % 9, plain.prose(random.Random(k), 20), "ab"[k % 2], "s") for k in range(60)]
+    made = [language.dictionaries(docs_of(spark, some), passages=4) for some in (mixed, mixed[::-1])]
+    assert made[0] == made[1] and set(made[0]) == {"a", "b"}
+
+
+def test_held_out_labels_are_not_read(spark):
+    rows, docs, labels = labelled(spark, 5)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    turned = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic"))).withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    some, other = (toxicity.score_toxicity(docs, toxicity.trained(docs, y)) for y in (labels, turned))
+    assert sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, other.collect()), key=str)
+
+
 def labelled(spark, seed=0, n=400):
     rng = random.Random(seed)
     rows, labels = [], []
@@ -131,7 +176,7 @@ def test_toxicity(spark):
     assert all(0 <= r.p_toxic <= 1 and 0 <= r.p_degraded <= 1 for r in got.values())
     kept = {r.doc_id for r in toxicity.without_toxic(docs, chain).collect()}
     assert kept == {i for i, r in got.items() if not r.is_toxic}
-    assert len(chain.links[1].weights) == len(chain.links[1].features.chosen) + 2  # the odds of the first category, and the intercept
+    assert len(chain.links[1].weights) == len(chain.links[1].features.chosen) + 2  # the probability of the first category, and the intercept
     none = toxicity.trained(docs.limit(0), labels)
     assert toxicity.score_toxicity(docs, none).count() == len(rows) and toxicity.score_toxicity(docs.limit(0), chain).count() == 0
 
@@ -346,13 +391,13 @@ def test_chain_by_hand():
     data, at = grams.joined(texts)
     got = chain.probabilities(data, at)
     for row, t in enumerate(texts):
-        odds = []
+        before = []
         for link in chain.links:
             low = bytes(grams.FOLDED[np.frombuffer(t.encode(), np.uint8)]) if t else b""
             codes = [((int.from_bytes(low[k : k + 5], "big") * 0x9E3779B97F4A7C15) % 2**64) >> (64 - grams.BITS) for k in range(len(low) - 4)]
             x = [np.log1p(codes.count(int(c))) / (1 + np.log1p(len(codes) / 2000)) for c in link.features.chosen]
-            odds.append(min(12, max(-12, sum(a * b for a, b in zip([*x, *odds, 1.0], link.weights, strict=True)))))
-        assert np.allclose(got[row], 1 / (1 + np.exp(-np.array(odds))))
+            before.append(1 / (1 + np.exp(-sum(a * b for a, b in zip([*x, *before, 1.0], link.weights, strict=True)))))
+        assert np.allclose(got[row], before)
 
 
 def test_risk_gradient():
