@@ -6,7 +6,6 @@ path from the root on a base of that form, is split by expressions. Others go to
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,23 +54,19 @@ def _struct(groups: Column, head: Column, host: Column) -> Column:
 def _split_odd(urls: Column, base: Column, references: bool) -> Column:
     """Arrays of parts for arrays of URLs, decoded first; a row's base is parsed once."""
 
-    def run(lists: pd.Series, bases: pd.Series) -> pd.Series:
-        def parts(url, start):
-            text = None if url is None else decoded(url)
-            if text is None or (references and (text == "" or text.startswith(rules.NO_PAGES))):
-                return None
-            found = weburl.split(text, start)
-            return found and dict(zip(PARTS, found, strict=True))
+    def parts(url, start):
+        text = None if url is None else decoded(url)
+        if text is None or (references and (text == "" or text.startswith(rules.NO_PAGES))):
+            return None
+        return weburl.split(text, start)
 
-        def one(urls, base):
-            if urls is None:
-                return None
-            start = None if base is None else weburl.parse(base)
-            return [None if base is not None and start is None else parts(u, start) for u in urls]
+    def one(urls, base):
+        if urls is None:
+            return None
+        start = None if base is None else weburl.parse(base)
+        return [None if base is not None and start is None else parts(u, start) for u in urls]
 
-        return pd.Series([one(a, b) for a, b in zip(lists, bases, strict=True)], dtype=object)
-
-    return F.pandas_udf(run, f"array<{_TYPE}>")(urls, base)
+    return F.udf(one, f"array<{_TYPE}>", useArrow=False)(urls, base)
 
 
 def split_urls(urls: Column, base: Column | None = None, references: bool = False) -> Column:
