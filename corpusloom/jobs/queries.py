@@ -11,7 +11,6 @@ import gzip
 import string
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -308,15 +307,12 @@ def t6_scope_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t1_decode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as UTF-8, compressed, in windows-1252, compressed as two members, and compressed with a damaged byte."""
 
-    def packed(html: pd.Series, n: pd.Series) -> pd.Series:
-        def one(text: str, way: int) -> bytes:
-            zipped = gzip.compress(text.encode())
-            plain = ("<meta charset=windows-1252>" + text).encode("cp1252", "replace") if way == 2 else text.encode()
-            return (plain, zipped, plain, zipped * 2, zipped[:-6] + bytes([zipped[-6] ^ 1]) + zipped[-5:])[way]
+    def packed(text: str, n: int) -> bytes:
+        way, zipped = n % 5, gzip.compress(text.encode())
+        plain = ("<meta charset=windows-1252>" + text).encode("cp1252", "replace") if way == 2 else text.encode()
+        return (plain, zipped, plain, zipped * 2, zipped[:-6] + bytes([zipped[-6] ^ 1]) + zipped[-5:])[way]
 
-        return pd.Series([one(a, b % 5) for a, b in zip(html, n, strict=True)], dtype=object)
-
-    rows = table(spark, sf_dir, "pages").select("page_id", F.pandas_udf(packed, "binary")("html", "page_id").alias("content"))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.udf(packed, "binary", useArrow=False)("html", "page_id").alias("content"))
     rows = rows.withColumn("text", helpers.decode_bytes(F.col("content")))
     return rows.select("page_id", text.content_hash(F.col("text")).alias("hash"), helpers.decoding_note(F.col("content"), F.col("text")).isNotNull().alias("noted"))
 

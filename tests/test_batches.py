@@ -29,3 +29,8 @@ def test_halves_of_characters(spark):
     assert [r.y for r in rows.select(helpers.unescape_literal("x").alias("y")).collect()] == ["\U0001f600 �."]
     trees = spark.createDataFrame([(r'[{"title": "\ud83d\ude00", "contentXML": "\ude00"}]',)], "x string")
     assert [tuple(n) for n in trees.select(helpers.tree_nodes(trees.x).alias("y")).first().y] == [(2, "\U0001f600", "�")]
+
+
+def test_decode_bytes_batches(spark, root):
+    shown = plan(spark, root, "t1_decode_bytes")
+    assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
