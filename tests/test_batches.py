@@ -34,3 +34,8 @@ def test_halves_of_characters(spark):
 def test_decode_bytes_batches(spark, root):
     shown = plan(spark, root, "t1_decode_bytes")
     assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
+
+
+def test_linked_lines_batches(spark, root):
+    shown = plan(spark, root, "l4_linked_lines")
+    assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
