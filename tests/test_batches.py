@@ -39,3 +39,8 @@ def test_decode_bytes_batches(spark, root):
 def test_linked_lines_batches(spark, root):
     shown = plan(spark, root, "l4_linked_lines")
     assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
+
+
+def test_lookup_batches(spark, root):
+    shown = plan(spark, root, "l9_lookup_targets")
+    assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
