@@ -44,3 +44,8 @@ def test_linked_lines_batches(spark, root):
 def test_lookup_batches(spark, root):
     shown = plan(spark, root, "l9_lookup_targets")
     assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
+
+
+def test_link_map_batches(spark, root):
+    shown = plan(spark, root, "l8_build_link_map")
+    assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
