@@ -186,18 +186,15 @@ def _first_of_each(rows: DataFrame) -> DataFrame:
     """Of ``id, url, rank, alias``, a row for each alias of a candidate, the candidates (id, url) that a walk in the order of rank would take.
 
     In each round every candidate that is the first of all its aliases among those undecided is taken, and what shares an alias with a taken one is out. No
-    earlier candidate can change that, so the result is the walk's; each round settles the first candidate of every entry at least, and most settle in the first one.
+    earlier candidate can change that, so the result is the walk's; each round is a pass of windows and one table, and settles the first candidate of every entry at least, and most settle in the first one.
     """
-    taken, open_ = rows.select("id", "url").limit(0), cut(rows)
+    taken, open_, order = rows.select("id", "url").limit(0), cut(rows), F.struct("rank", "url")
+    alias, candidate = Window.partitionBy("id", "alias"), Window.partitionBy("id", "url")
     while not open_.isEmpty():
-        order = F.struct("rank", "url")
-        first = open_.groupBy("id", "alias").agg(F.min(order).alias("first"))
-        judged = open_.join(first, ["id", "alias"]).groupBy("id", "url").agg(F.bool_and(order == F.col("first")).alias("leads"))
-        now = cut(judged.where("leads").select("id", "url"))
-        gone = open_.join(now, ["id", "url"], "left_semi").select("id", "alias").distinct()
-        out = open_.join(gone, ["id", "alias"], "left_semi").select("id", "url").distinct()
-        open_ = cut(open_.join(out, ["id", "url"], "left_anti"))
-        taken = taken.unionByName(now)
+        judged = open_.withColumn("leads", order == F.min(order).over(alias)).withColumn("leads", F.bool_and("leads").over(candidate))
+        judged = cut(judged.withColumn("gone", F.bool_or("leads").over(alias)).withColumn("gone", F.bool_or("gone").over(candidate)))
+        taken = taken.unionByName(judged.where("leads").select("id", "url"))
+        open_ = judged.where("not gone").select("id", "url", "rank", "alias")
     return taken
 
 

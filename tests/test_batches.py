@@ -49,3 +49,20 @@ def test_lookup_batches(spark, root):
 def test_link_map_batches(spark, root):
     shown = plan(spark, root, "l8_build_link_map")
     assert "BatchEvalPython" in shown and "ArrowEvalPython" not in shown
+
+
+def test_a_round_is_one_table(spark, monkeypatch):
+    """A round of ``_first_of_each`` writes one table and joins nothing."""
+    from corpusloom.operators import links
+
+    plans, real = [], links.cut
+
+    def kept(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return real(rows)
+
+    monkeypatch.setattr(links, "cut", kept)
+    found = [(1, "a", 1, "x"), (1, "b", 2, "x"), (1, "b", 2, "y"), (1, "c", 3, "y"), (2, "b", 1, "x")]
+    taken = links._first_of_each(spark.createDataFrame(found, "id long, url string, rank long, alias string"))
+    assert {tuple(r) for r in taken.collect()} == {(1, "a"), (1, "c"), (2, "b")}
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
