@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import pieces, text_buffer
+from corpusloom.llm.common import pieces, sort_places, text_buffer
 
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 1 << 16
@@ -56,16 +56,19 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
 
 
-def squeezed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+_SQUEEZE, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def squeezed(values: np.ndarray | bytes) -> bytes:
+    return _SQUEEZE.compress(values if isinstance(values, bytes) else values.tobytes())
 
 
 def expanded(raw: bytes, dtype) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype)
+    return np.frombuffer(_EXPAND.decompress(raw), dtype)
 
 
-def pack(rows: DataFrame, facts: Callable[[np.ndarray, np.ndarray], list[np.ndarray]] | None = None, names: tuple[str, ...] = (), part: int | None = None, overlap: int = 0) -> DataFrame:
-    """Blocks of about ``BLOCK_BYTES`` of ``doc_id, key, text``, and the arrays of ``facts`` about their texts.
+def pack(rows: DataFrame, facts: Callable[[np.ndarray, np.ndarray], list[np.ndarray]] | None = None, names: tuple[str, ...] = (), part: int | None = None, overlap: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks of about ``block_bytes`` of ``doc_id, key, text``, and the arrays of ``facts`` about their texts.
 
     With ``part``, longer texts come as several rows, each with the ``overlap`` bytes that follow it; they share a key of
     their own, which takes the place of the given one, and other texts have the key -1.
@@ -100,7 +103,7 @@ def pack(rows: DataFrame, facts: Callable[[np.ndarray, np.ndarray], list[np.ndar
         for unit in units(batches):
             held.append(unit)
             size += len(unit[4])
-            if size >= BLOCK_BYTES // 2 or sum(len(u[0]) for u in held) >= BLOCK_ROWS:
+            if size >= block_bytes - BLOCK_BYTES // 2 or sum(len(u[0]) for u in held) >= BLOCK_ROWS:
                 yield emit()
                 held, size, number = [], 0, number + 1
         if held:
@@ -143,7 +146,7 @@ def tally(blocks: DataFrame, hashes: Callable[[dict], tuple[np.ndarray, np.ndarr
                 continue
             raw = ((values << np.uint64(bits)) >> np.uint64(64 - 8 * PRINT)).view(np.uint8).reshape(-1, 8)[:, :PRINT]
             counts = np.minimum(counts, 65535).astype(np.uint16)
-            spans = list(zip(heads, np.append(heads[1:], len(values)), strict=True))
+            spans = list(zip(heads.tolist(), [*heads[1:].tolist(), len(values)], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[heads]), pa.array(np.full(len(heads), row["block"])), pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([squeezed(counts[a:b]) for a, b in spans], pa.binary())], ["bucket", "block", "prints", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
@@ -153,8 +156,10 @@ def tally(blocks: DataFrame, hashes: Callable[[dict], tuple[np.ndarray, np.ndarr
             wide[:, :PRINT] = np.frombuffer(raw, np.uint8).reshape(-1, PRINT)
             prints.append(wide.view(np.uint64).ravel())
         counts = np.concatenate([expanded(c, np.uint16) for c in table["counts"].to_pylist()])
-        _, inverse = np.unique(np.concatenate(prints), return_inverse=True)
-        found = level(np.bincount(inverse, weights=counts))[inverse]
+        every, order = sort_places(np.concatenate(prints), 8 * PRINT)
+        heads = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        found = np.empty(len(order), np.uint8)
+        found[order] = np.repeat(level(np.add.reduceat(counts[order].astype(np.int64), heads)), np.diff(np.append(heads, len(order))))
         ends = np.cumsum([len(p) for p in prints])
         out = [squeezed(found[e - len(p) : e]) for p, e in zip(prints, ends, strict=True)]
         return pa.table({"block": table["block"], "bucket": table["bucket"], "levels": pa.array(out, pa.binary())})

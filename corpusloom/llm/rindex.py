@@ -6,17 +6,19 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from corpusloom.llm.common import sort_places
+
 SEPARATOR = 255  # never a byte of UTF-8
+FIRST = 5  # bytes that the first sort looks at, so that a key and its place share a word
 
 
-def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorting order of the keys and their dense ranks from 1."""
-    order = np.argsort(keys)
-    ordered = keys[order]
+def _dense(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stable sorting order of the keys, which have ``bits`` bits, and their dense ranks from 1."""
+    ordered, order = sort_places(keys, bits)
     step = np.ones(len(keys), np.int64)
     step[1:] = ordered[1:] != ordered[:-1]
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(step)
+    rank[order] = np.cumsum(step, out=step)
     return order, rank
 
 
@@ -38,6 +40,7 @@ class RunIndex:
     owners: np.ndarray
     rows: int
     width: int
+    run_of: np.ndarray  # of each row
 
     @classmethod
     def build(cls, data: np.ndarray, lengths: np.ndarray, owners: np.ndarray, width: int) -> RunIndex:
@@ -51,22 +54,31 @@ class RunIndex:
         text[body] = data
         left = np.repeat(ends, lengths + 1) - np.arange(n)  # bytes before the separator
         keys = np.zeros(n, np.uint64)
-        padded = np.concatenate([text, np.zeros(8, np.uint8)])
-        for k in range(8):
-            keys = (keys << np.uint64(8)) | np.where(left >= k, padded[k : k + n], 0).astype(np.uint64)
-        _, rank = _dense(keys)
-        depth, half = 8, None
+        for k in range(FIRST):
+            keys <<= np.uint64(8)
+            stop = max(0, n - k)
+            keys[:stop] |= np.where(left[:stop] >= k, text[k:], 0)
+        order, rank = _dense(keys, 8 * FIRST)
+        depth, half = FIRST, None
         longest = int(lengths.max()) + 1
+        bits = n.bit_length()
+
+        def ahead(ranks: np.ndarray, by: int, least: int) -> np.ndarray:
+            """The ranks of the suffixes that begin so many bytes further on, where at least ``least`` bytes are left."""
+            out = np.zeros(n, np.int64)
+            out[: max(0, n - by)] = ranks[by:]
+            out *= left >= least
+            return out
+
         agree = np.zeros(n, np.int64)
         while depth < longest or half is None:
             if half is None and 2 * depth >= width:  # ranks that tell strings apart by half the width or more
                 half = rank
-                shift = width - depth
-                agree = half * (n + 1) + np.where(left >= width, half[np.minimum(np.arange(n) + shift, n - 1)], 0)
-            follow = np.where(left >= depth, rank[np.minimum(np.arange(n) + depth, n - 1)], 0)
-            _, rank = _dense(rank * (n + 1) + follow)
+                agree = half * (n + 1) + ahead(half, width - depth, width)
+            follow = ahead(rank, depth, depth)
+            follow |= rank << bits
+            order, rank = _dense(follow, 2 * bits)
             depth *= 2
-        order = np.argsort(rank, kind="stable")
         before = np.where(order > 0, text[order - 1], SEPARATOR)
         new = np.ones(n, bool)
         new[1:] = before[1:] != before[:-1]
@@ -88,11 +100,11 @@ class RunIndex:
         low, high = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
         tails = np.append(heads[1:], n)
         told = low < high
-        return cls(start, target, heads[told], tails[told], low[told], lengths, owners, n, width)
+        return cls(start, target, heads[told], tails[told], low[told], lengths, owners, n, width, np.repeat(np.arange(len(start), dtype=np.int32), size))
 
     def preceding(self, rows: np.ndarray) -> np.ndarray:
         """The row of the suffix one byte longer, for each row."""
-        run = np.searchsorted(self.run_start, rows, "right") - 1
+        run = self.run_of[rows]
         return self.run_target[run] + rows - self.run_start[run]
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
@@ -106,12 +118,15 @@ class RunIndex:
         live = np.argsort(-self.lengths, kind="stable")
         sizes = self.lengths[live]
         rows = self.rows - m + live  # separators sort last, in the order of the strings
+        sample_of = np.zeros(self.rows + 1, np.int32)  # the last sample that begins at each row or before it, from 1
+        sample_of[self.sample_start] = 1
+        sample_of = np.cumsum(sample_of, dtype=np.int32)
         strings, places = [], []
         for step in range(1, int(sizes[0]) + 1):
             n = int(np.searchsorted(-sizes, -step, "right"))
             live, sizes, rows = live[:n], sizes[:n], self.preceding(rows[:n])
             if step >= self.width:
-                at = np.searchsorted(self.sample_start, rows, "right") - 1
+                at = sample_of[rows] - 1
                 hit = (at >= 0) & (rows < self.sample_end[at]) & (self.sample_owner[at] < self.owners[live])
                 strings.append(live[hit])
                 places.append(sizes[hit] - step)

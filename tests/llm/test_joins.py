@@ -195,6 +195,66 @@ def test_substrings_long_text(spark):
     assert got == {1: (0, 0), 2: (400, 1), 3: (2_000_000, 1), 4: (350, 1), 5: (400, 1)}
 
 
+def test_substring_ranges_are_even():
+    """No range gets much more than its share, and a block sends all its ranges in one batch."""
+    rng = np.random.default_rng(6)
+    data = rng.integers(97, 123, 1 << 20, np.uint8)
+    at = np.array([0, 1 << 19, 1 << 20])
+    start, size, anchor = substrings.segments(data, at, np.ones(2, bool))
+    per = np.bincount(blocks.range_of(anchor, 6), minlength=64)
+    assert size.sum() == 2 * ((1 << 19) - 49) and per.max() < 2 * per.mean()
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            self.run = run
+
+    row = {"block": 7, "ids": np.array([1, 2]).tobytes(), "known": np.ones(2, bool).tobytes(), "keys": np.full(2, -1).tobytes(), "offsets": np.zeros(2, np.int64).tobytes()}
+    row |= {"sizes": np.diff(at).tobytes(), "bytes": len(data), "text": blocks.squeezed(data)}
+    row["levels"] = [{"bucket": 0, "levels": blocks.squeezed(np.full(len(np.unique(anchor)), 2, np.uint8))}]
+    rows = Rows()
+    substrings._send_segments(rows, 6, substrings.HOT)
+    sent = list(rows.run(iter([pa.RecordBatch.from_pylist([row])])))
+    assert [b.num_rows for b in sent] == [64]
+
+
+def test_related_strings_lose_no_match():
+    """Strings that share a window with one of another owner are all kept for the index; most that share no more than the gram are not."""
+    rng = random.Random(8)
+    grams = ["".join(rng.choice("abcdefgh") for _ in range(24)) for _ in range(12)] + ["a" * 24, "ab" * 12]
+    windows, strings, owners = {}, [], []
+    for k in range(600):
+        left, right = ("".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(2))
+        if k > 200 and k % 3:
+            s = rng.choice(strings)
+            cut = rng.randint(0, 20)
+            strings.append(s[: len(s) - cut] + right[:cut] if k % 2 else left[:cut] + s[cut:])
+        else:
+            strings.append(left[: rng.randint(10, 40)] + rng.choice(grams) + right[: rng.randint(16, 40)])
+        owners.append(rng.randint(0, 300))
+    owners = np.array(owners)
+    for j, s in enumerate(strings):
+        for p in range(len(s) - 49):
+            windows.setdefault(s[p : p + 50], set()).add(j)
+    raw = [s.encode() for s in strings]
+    low = [int(substrings._sums(np.frombuffer(r, np.uint8), substrings.GRAM).min()) for r in raw]
+    want = set()
+    for w, found in windows.items():  # a segment's windows all hold its smallest gram
+        found = {j for j in found if low[j] == int(substrings._sums(np.frombuffer(w.encode(), np.uint8), substrings.GRAM).min())}
+        want |= found if len({int(owners[j]) for j in found}) > 1 else set()
+    kept = substrings.related(np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw]), owners)
+    assert len(want) > 50 and want <= set(np.flatnonzero(kept).tolist()) and not kept.all()
+
+
+def test_equals_where_words_deceive():
+    """Pairs that agree in the high bits of the first word, or in all of it, are told apart."""
+    rng = np.random.default_rng(3)
+    first = (rng.integers(0, 3, 500).astype(np.uint64) << np.uint64(60)) | rng.integers(0, 3, 500).astype(np.uint64)
+    second = rng.integers(0, 2, 500).astype(np.uint64)
+    order, heads = substrings.equals(first, second)
+    groups = [{(int(first[k]), int(second[k])) for k in part} for part in np.split(order, heads[1:])]
+    assert all(len(g) == 1 for g in groups) and len(groups) == len(set.union(*groups)) == 18
+
+
 def vector_table(spark, vectors):
     return spark.createDataFrame([(i, v, 0) for i, v in vectors], "vec_id long, embedding array<float>, label int").repartition(3)
 
